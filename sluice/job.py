@@ -115,7 +115,7 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
         if carried is None or not carried.get("schema_message"):
             report.rejects += _reject(spark, warehouse, checks.check_order(head_rows.withColumn("epoch", F.lit(None))), opts)
         plans: dict[int, tuple[ColumnPlan, dict]] = {}
-        if carried is not None and carried.get("schema_message"):
+        if carried is not None and carried.get("schema_message") and head_rows.limit(1).count() > 0:
             msg = json.loads(carried["schema_message"])
             plans[-1] = (build_plan(msg, opts), msg)
         for b in segs:

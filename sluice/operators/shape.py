@@ -30,7 +30,7 @@ def flatten_records(df: DataFrame, plan: ColumnPlan, opts: LoadOptions = LoadOpt
     values, flags = [], []
     for col in plan.columns:
         if opts.with_metadata and col.name == "_sdc_extracted_at":
-            value = F.try_cast(F.col("time_extracted"), "timestamp_ntz") if "time_extracted" in df.columns else F.lit(None)
+            value = F.col("time_extracted").try_cast("timestamp_ntz") if "time_extracted" in df.columns else F.lit(None)
             misfit = F.lit(False)
         elif opts.with_metadata and col.name == "_sdc_batched_at":
             value = _now_literal(now) if now is not None else F.lit(None)

@@ -72,6 +72,12 @@ def _as_long(df: DataFrame, name: str) -> Column:
 
 ORDER_FIELDS = ["seq", "k1", "k2", "k3"]
 
+# ISO-8601 text with microseconds, so timestamps survive the round trip.
+JSON_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
 
 def order_key(df: DataFrame, seq: int, cols: list[str] | None = None) -> Column:
     """struct<seq, k1, k2, k3> of longs: a run number, then up to three data columns."""
@@ -94,7 +100,7 @@ def record_messages(df: DataFrame, stream: str | Column, seq: int, order: list[s
               rec.alias("record")]
     if time_extracted is not None:
         fields.append(time_extracted.alias("time_extracted"))
-    return df.select(order_key(df, seq, order).alias("ord"), F.to_json(F.struct(*fields)).alias("value"))
+    return df.select(order_key(df, seq, order).alias("ord"), F.to_json(F.struct(*fields), JSON_OPTIONS).alias("value"))
 
 
 def control_message(spark: SparkSession, message: dict, seq: int, k1: int = 0, k2: int = 0, k3: int = 0) -> DataFrame:
