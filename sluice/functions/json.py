@@ -37,6 +37,24 @@ def blank(sub: Column) -> Column:
     return sub.isNull() | F.is_variant_null(sub) | F.to_json(sub).isin(BLANK_JSON)
 
 
+def json_path_text(path: tuple[str, ...]) -> str:
+    """Path for get_json_object (single-quoted brackets only)."""
+    if any("'" in seg for seg in path):
+        raise PlanError(f"nested property path {path!r} holds a quote character")
+    return "$" + "".join(f"['{seg}']" for seg in path)
+
+
+def extract_text(raw: Column, col: PlanColumn, time_enabled: bool = True) -> tuple[Column, Column]:
+    """(typed value, misfit) from the JSON text of one value, as from_json
+    returns it for a STRING field (strings unquoted, numbers/objects as JSON)."""
+    target = spark_type(col.kind, time_enabled)
+    if col.kind == "string" or (col.kind == "time" and not target.typeName().startswith("time")):
+        return raw, F.lit(False)
+    text = F.regexp_replace(raw, _ZONE_SUFFIX, "") if col.kind == "time" else raw
+    value = text.try_cast(target)
+    return value, raw.isNotNull() & value.isNull()
+
+
 def extract(record: Column, col: PlanColumn, string_mode: str = "plain", blank_mode: str = "native",
             time_enabled: bool = True) -> tuple[Column, Column]:
     """Return (typed value, misfit flag) for one plan column.

@@ -65,13 +65,13 @@ def _reject(spark: SparkSession, warehouse: str, violations: DataFrame, opts: Lo
 
 def _merge_segment(store: SnapshotTable, delta: DataFrame, plan: ColumnPlan, opts: LoadOptions, load_id: str,
                    suffix: str, time_enabled: bool, schema_message: dict, st: dict | None) -> LoadResult:
-    spark = delta.sparkSession
     current = store.read()
-    if current is None:
-        current = evolve.create_from_plan(spark, plan, time_enabled)
-    current, _ = evolve.align_to_plan(current, plan, suffix, time_enabled)
     keys = list(plan.key_columns)
-    if keys:
+    if current is not None:
+        current, _ = evolve.align_to_plan(current, plan, suffix, time_enabled)
+    if current is None:  # first load of the table: every delta row is an insert, no join
+        merged = delta.withColumn(merge.T_FLAG, F.lit(False)).withColumn(merge.D_FLAG, F.lit(True))
+    elif keys:
         merged = merge.merge_join(current, delta, keys)
     else:
         merged = merge.append_keyless(current.withColumn(merge.T_FLAG, F.lit(True)).withColumn(merge.D_FLAG, F.lit(False)),

@@ -180,6 +180,10 @@ def compile_rules(schema: dict, record: Column, path: tuple[str, ...] = ()) -> l
 
 def validate_records(df: DataFrame, schema: dict, stream: str) -> DataFrame:
     """One pass over the records; returns violations[stream, ord, rule, detail]."""
+    from sluice.sources.messages import record_variant
+
+    if "record" not in df.columns:
+        df = df.select("ord", record_variant(F.col("value")).alias("record"))
     rules = compile_rules(schema, F.col("record"))
     if not rules:
         return df.limit(0).select(F.lit(stream).alias("stream"), "ord", F.lit("").alias("rule"), F.lit("").alias("detail"))

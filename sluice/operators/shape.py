@@ -7,7 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.json import extract
+from pyspark.sql import types as T
+
+from sluice.functions.json import extract, extract_text, json_path_text
 from sluice.options import LoadOptions
 from sluice.plans.column_plan import ColumnPlan
 
@@ -20,31 +22,67 @@ def _now_literal(now: dt.datetime | str) -> Column:
     return F.lit(now.replace(tzinfo=None)).cast("timestamp_ntz")
 
 
+def needs_variant(plan: ColumnPlan, opts: LoadOptions) -> bool:
+    """JSON-text columns and the compat modes must see JSON types ("5" vs 5,
+    "false" vs false); everything else reads plain text, which is cheaper."""
+    return opts.string_mode != "plain" or opts.blank_mode != "native" or any(c.kind == "json" for c in plan.columns)
+
+
+PARSED = "_rec"
+
+
+def _parse_once(df: DataFrame, plan: ColumnPlan, use_variant: bool, keep: list[str]) -> DataFrame:
+    """Parse each line once into `_rec` in its own projection (a non-cheap
+    expression used by many columns is not collapsed into each of them)."""
+    if use_variant:
+        env = F.parse_json(F.col("value"))
+        rec = F.variant_get(env, "$.record", "variant")
+        extracted = F.try_variant_get(env, "$.time_extracted", "string")
+        return df.select(*keep, extracted.alias("time_extracted"), rec.alias(PARSED))
+    tops = list(dict.fromkeys(c.path[0] for c in plan.columns))
+    schema = T.StructType([
+        T.StructField("time_extracted", T.StringType()),
+        T.StructField("record", T.StructType([T.StructField(t, T.StringType()) for t in tops])),
+    ])
+    env = df.select(*keep, F.from_json(F.col("value"), schema).alias("_env"))
+    return env.select(*keep, F.col("_env.time_extracted").alias("time_extracted"), F.col("_env.record").alias(PARSED))
+
+
+def _raw_text(col) -> Column:
+    top = F.col(PARSED).getField(col.path[0])
+    return top if len(col.path) == 1 else F.get_json_object(top, json_path_text(col.path[1:]))
+
+
 def flatten_records(df: DataFrame, plan: ColumnPlan, opts: LoadOptions = LoadOptions(),
                     time_enabled: bool = True, now=None, keep: tuple[str, ...] = ("ord",)) -> DataFrame:
-    """B3+B5+B6+B7(+B9): one projection of `record` to the plan's typed columns.
+    """B3+B5+B6+B7(+B9): one projection of RECORD lines to the plan's typed columns.
 
     Adds `_misfits` (array of column names whose value does not fit). With
     on_error="fail" a misfit raises inside the task instead.
     """
+    use_variant = needs_variant(plan, opts)
+    kept = [c for c in keep if c in df.columns]
+    parsed = _parse_once(df, plan, use_variant, kept)
+    types = plan.types(time_enabled)
     values, flags = [], []
     for col in plan.columns:
         if opts.with_metadata and col.name == "_sdc_extracted_at":
-            value = F.col("time_extracted").try_cast("timestamp_ntz") if "time_extracted" in df.columns else F.lit(None)
+            value = F.col("time_extracted").try_cast("timestamp_ntz") if "time_extracted" in parsed.columns else F.lit(None)
             misfit = F.lit(False)
         elif opts.with_metadata and col.name == "_sdc_batched_at":
             value = _now_literal(now) if now is not None else F.lit(None)
             misfit = F.lit(False)
+        elif use_variant:
+            value, misfit = extract(F.col(PARSED), col, opts.string_mode, opts.blank_mode, time_enabled)
         else:
-            value, misfit = extract(F.col("record"), col, opts.string_mode, opts.blank_mode, time_enabled)
+            value, misfit = extract_text(_raw_text(col), col, time_enabled)
         if opts.on_error == "fail":
             value = F.when(misfit, F.raise_error(F.lit(f"value does not fit column {plan.stream}.{col.name} "
                                                        f"({col.kind})"))).otherwise(value)
-        values.append(value.cast(plan.types(time_enabled)[col.name]).alias(col.name))
+        values.append(value.cast(types[col.name]).alias(col.name))
         flags.append(F.when(misfit, F.lit(col.name)))
-    kept = [c for c in keep if c in df.columns]
-    misfits = F.filter(F.array(*flags), lambda x: x.isNotNull()) if flags else F.array().cast("array<string>")
-    return df.select(*kept, *values, misfits.alias(MISFITS))
+    misfits = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
+    return parsed.select(*kept, *values, misfits.alias(MISFITS))
 
 
 def batch_constants(df: DataFrame, plan: ColumnPlan, now) -> DataFrame:
@@ -73,7 +111,7 @@ def select_present(df: DataFrame, plan: ColumnPlan, time_enabled: bool = True, o
         out.append(typed.alias(name))
         flags.append(F.when(misfit, F.lit(name)))
     kept = [c for c in keep if c in df.columns]
-    misfits = F.filter(F.array(*flags), lambda x: x.isNotNull()) if flags else F.array().cast("array<string>")
+    misfits = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
     return df.select(*kept, *out, misfits.alias(MISFITS))
 
 

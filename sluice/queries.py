@@ -70,10 +70,11 @@ def fold_log(spark: SparkSession, msgs: DataFrame, stream: str, opts: LoadOption
         shaped = shape.flatten_records(segmented.filter(F.col("seg") == b["seg"]), plan, opts, time_enabled, now=now)
         good = shaped.drop(shape.MISFITS)
         delta = merge.latest_per_key(good, list(plan.key_columns)).drop("ord")
-        if current is None:
-            current = evolve.create_from_plan(spark, plan, time_enabled)
-        current, _ = evolve.align_to_plan(current, plan, suffix, time_enabled)
-        current = merge.merge_upsert(current, delta, list(plan.key_columns))
+        if current is None:  # new table: the delta is the table, no join
+            current = delta
+        else:
+            current, _ = evolve.align_to_plan(current, plan, suffix, time_enabled)
+            current = merge.merge_upsert(current, delta, list(plan.key_columns))
         if opts.hard_delete:
             current = merge.drop_deleted(current)
     return current

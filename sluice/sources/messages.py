@@ -119,18 +119,22 @@ def schema_message(stream: str, properties: dict, keys=(), **extra) -> dict:
 # ---------------------------------------------------------------- parse
 
 def parse_envelopes(msgs: DataFrame) -> DataFrame:
-    """One parse per line. Unparsable lines keep their text in `raw`."""
-    env = F.try_parse_json(F.col("value"))
-    parsed = msgs.select("ord", env.alias("env"), "value")
-    return parsed.select(
+    """Light pass over every line: `type` and `stream` only (json_tuple, a
+    generator, so later filters on them are not re-parsed below it). RECORD
+    lines keep their text for the per-stream projection; the few control
+    lines are parsed to VARIANT; lines that are not JSON keep their text in
+    `raw` (C2). A line without `type` is checked fully to tell malformed
+    from merely untyped."""
+    env = msgs.select("ord", "value", F.json_tuple(F.col("value"), "type", "stream").alias("type", "stream"))
+    malformed = F.col("type").isNull() & F.try_parse_json(F.col("value")).isNull()
+    return env.select(
         "ord",
-        F.try_variant_get("env", "$.type", "string").alias("type"),
-        F.try_variant_get("env", "$.stream", "string").alias("stream"),
-        F.variant_get("env", "$.record", "variant").alias("record"),
-        F.try_variant_get("env", "$.time_extracted", "string").alias("time_extracted"),
-        F.col("env").isNull().alias("malformed"),
-        F.when(F.col("env").isNull(), F.col("value")).alias("raw"),
-        F.when(F.try_variant_get("env", "$.type", "string") != "RECORD", F.col("env")).alias("control"),
+        "type",
+        "stream",
+        malformed.alias("malformed"),
+        F.when(malformed, F.col("value")).alias("raw"),
+        F.col("value"),
+        F.when(F.col("type") != "RECORD", F.try_parse_json(F.col("value"))).alias("control"),
     )
 
 
@@ -151,4 +155,11 @@ def control_rows(parsed: DataFrame) -> DataFrame:
 
 
 def records(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("type") == "RECORD").select("ord", "stream", "record", "time_extracted")
+    """RECORD lines: (ord, stream, value text). The record and its
+    time_extracted are read from the text by the per-stream projection."""
+    return parsed.filter(F.col("type") == "RECORD").select("ord", "stream", "value")
+
+
+def record_variant(value: Column) -> Column:
+    """The `record` object of a RECORD line as VARIANT (full parse)."""
+    return F.variant_get(F.parse_json(value), "$.record", "variant")
