@@ -1,8 +1,10 @@
 """The load job: a message log -> maintained tables + resume state.
 
-1. parse every line once (VARIANT) and stage the parse, partitioned by
-   stream, in the shared folder (cuts lineage; executors may be lost);
-2. checks on the whole log (malformed lines, unknown kinds, encodings);
+1. read type/stream of every line (light pass) and stage the lines,
+   partitioned by stream, in the shared folder (cuts lineage; executors may
+   be lost);
+2. checks on the whole log in one aggregate (malformed lines, unknown kinds,
+   records before their SCHEMA); details are computed only on failure;
 3. per stream: segments by SCHEMA/BATCH boundaries (broadcast range join),
    then, in order, one merge per segment: shape -> latest per key -> keyed
    full outer join against the current snapshot -> hard delete -> publish;
@@ -82,6 +84,54 @@ def _merge_segment(store: SnapshotTable, delta: DataFrame, plan: ColumnPlan, opt
     return store.publish(merged, load_id, schema_message=schema_message, state=st, layout=layout)
 
 
+def _summary(parsed: DataFrame) -> list:
+    """One aggregate over the whole log: per stream, the first RECORD position
+    and the counts the checks need (C2, C3, C5). Streams are few."""
+    return parsed.groupBy("stream").agg(
+        F.min(F.when(F.col("type") == "RECORD", F.col("ord"))).alias("first_record"),
+        F.count_if(F.col("type") == "RECORD").alias("records"),
+        F.count_if(F.col("malformed")).alias("malformed"),
+        F.count_if(~F.col("malformed") & (F.col("type").isNull() | ~F.col("type").isin(messages.MESSAGE_TYPES)))
+        .alias("unknown"),
+    ).collect()
+
+
+def _bounds(control_rows: list) -> list[dict]:
+    """Segment boundaries per stream from the collected control rows."""
+    out, seg, epoch = [], {}, {}
+    for r in control_rows:
+        if r["type"] not in ("SCHEMA", "BATCH"):
+            continue
+        s = r["stream"]
+        seg[s] = seg.get(s, -1) + 1
+        epoch[s] = epoch.get(s, -1) + (1 if r["type"] == "SCHEMA" else 0)
+        out.append({"stream": s, "start": r["ord"], "kind": r["type"], "seg": seg[s], "epoch": epoch[s],
+                    "schema_json": r["schema_json"], "key_properties": r["key_properties"],
+                    "encoding": r["encoding"], "manifest": r["manifest"]})
+    nxt = {}
+    for b in reversed(out):
+        b["end"] = nxt.get(b["stream"])
+        nxt[b["stream"]] = b["start"]
+    return out
+
+
+def _ord_literal(value, ord_type):
+    from pyspark.sql import types as T
+
+    if isinstance(ord_type, T.StructType):
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(ord_type.fields, value)])
+    return F.lit(value).cast(ord_type)
+
+
+def _bounds_frame(spark: SparkSession, bounds: list[dict], ord_type) -> DataFrame:
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("stream", T.StringType()), T.StructField("start", ord_type),
+                           T.StructField("end", ord_type), T.StructField("seg", T.LongType()),
+                           T.StructField("epoch", T.LongType())])
+    return spark.createDataFrame([(b["stream"], b["start"], b["end"], b["seg"], b["epoch"]) for b in bounds], schema)
+
+
 def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: LoadOptions = LoadOptions(),
                   load_id: str = "load", now: dt.datetime | None = None, suffix: str | None = None,
                   stage: bool = True) -> LoadReport:
@@ -92,70 +142,78 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
     report = LoadReport()
 
     parsed = _stage(spark, messages.parse_envelopes(msgs), stage)
-    control = messages.control_rows(parsed).persist(StorageLevel.MEMORY_AND_DISK)
-
-    bad = checks.reject_malformed(parsed).unionByName(checks.check_message_kind(parsed, control))
-    report.rejects += _reject(spark, warehouse, bad, opts)
-
-    bounds_df = epochs.segment_bounds(control)
-    bounds = bounds_df.orderBy("stream", "seg").collect()
+    ord_type = parsed.schema["ord"].dataType
+
+    # checks over the whole log in one aggregate; details only when needed
+    summary = _summary(parsed)
+    if any(r["malformed"] or r["unknown"] for r in summary):
+        bad = checks.reject_malformed(parsed).unionByName(checks.check_message_kind(parsed, messages.control_rows(parsed)))
+        report.rejects += _reject(spark, warehouse, bad, opts)
+    control = messages.control_rows(parsed).orderBy("ord").collect()  # control messages only
+    wrong_encoding = [r for r in control if r["type"] == "BATCH" and r["encoding"] != messages.BATCH_ENCODING]
+    if wrong_encoding:
+        r = wrong_encoding[0]
+        report.rejects += _reject(spark, warehouse, spark.createDataFrame(
+            [(r["stream"], str(r["ord"]), "encoding", str(r["encoding"]))], REJECT_SCHEMA), opts)
+    bounds = [b for b in _bounds(control) if not (b["kind"] == "BATCH" and b["encoding"] != messages.BATCH_ENCODING)]
     by_stream: dict[str, list] = {}
     for b in bounds:
         by_stream.setdefault(b["stream"], []).append(b)
-    record_streams = [r["stream"] for r in parsed.filter(F.col("type") == "RECORD").select("stream").distinct().collect()]
+    first_record = {r["stream"]: r["first_record"] for r in summary if r["records"]}
     recs = messages.records(parsed)
 
-    for stream in sorted(set(record_streams) | set(by_stream)):
+    for stream in sorted(s for s in set(first_record) | set(by_stream) if s is not None):
         segs = by_stream.get(stream, [])
         store = SnapshotTable(spark, table_root(warehouse, stream, opts))
         carried = store.head()
-        segmented = epochs.assign_segment(recs.filter(F.col("stream") == stream), bounds_df.filter(F.col("stream") == stream),
-                                          len(segs)).persist(StorageLevel.MEMORY_AND_DISK)
-        head_rows = segmented.filter(F.col("seg").isNull())
-        if carried is None or not carried.get("schema_message"):
-            report.rejects += _reject(spark, warehouse, checks.check_order(head_rows.withColumn("epoch", F.lit(None))), opts)
+        early = stream in first_record and (not segs or first_record[stream] < segs[0]["start"])
         plans: dict[int, tuple[ColumnPlan, dict]] = {}
-        if carried is not None and carried.get("schema_message") and head_rows.limit(1).count() > 0:
-            msg = json.loads(carried["schema_message"])
-            plans[-1] = (build_plan(msg, opts), msg)
+        if early:
+            if carried is None or not carried.get("schema_message"):
+                report.rejects += _reject(spark, warehouse, checks.check_order(
+                    recs.filter(F.col("stream") == stream).withColumn("epoch", F.lit(None))
+                    .filter(F.col("ord") < _ord_literal(segs[0]["start"], ord_type) if segs else F.lit(True))), opts)
+            else:
+                msg = json.loads(carried["schema_message"])
+                plans[-1] = (build_plan(msg, opts), msg)
         for b in segs:
             if b["kind"] == "SCHEMA":
                 msg = {"stream": stream, "schema": json.loads(b["schema_json"] or "{}"),
                        "key_properties": list(b["key_properties"] or [])}
                 plans[b["epoch"]] = (build_plan(msg, opts), msg)
+        stream_recs = recs.filter(F.col("stream") == stream)
+        segmented = epochs.assign_segment(stream_recs, _bounds_frame(spark, segs, ord_type), len(segs)) if segs \
+            else stream_recs.withColumn("seg", F.lit(None).cast("long")).withColumn("epoch", F.lit(None).cast("long"))
         order = ([(-1, None)] if -1 in plans else []) + [(b["seg"], b) for b in segs]
         for seg, b in order:
             epoch = -1 if b is None else b["epoch"]
             if epoch not in plans:
                 if b is not None and b["kind"] == "BATCH":
                     report.rejects += _reject(spark, warehouse, spark.createDataFrame(
-                        [(stream, None, "order", "BATCH before SCHEMA")], REJECT_SCHEMA), opts)
+                        [(stream, str(b["start"]), "order", "BATCH before SCHEMA")], REJECT_SCHEMA), opts)
                 continue
             plan, msg = plans[epoch]
             if b is not None and b["kind"] == "BATCH":
                 report.results.append(_load_batch(spark, store, b, plan, msg, opts, f"{load_id}:{stream}:{seg}:batch",
                                                   now, suffix, time_enabled))
             rows = segmented.filter(F.col("seg").isNull()) if b is None else segmented.filter(F.col("seg") == seg)
-            shaped = shape.flatten_records(rows, plan, opts, time_enabled, now=now)
-            if opts.on_error == "reject" or opts.validate_records:
-                shaped = shaped.persist(StorageLevel.MEMORY_AND_DISK)
             if opts.validate_records:
                 report.rejects += _reject(spark, warehouse, checks.validate_records(rows, json.loads(plan.schema_json), stream), opts)
-            good, misfit = shape.split_misfits(shaped, stream)
+            shaped = shape.flatten_records(rows, plan, opts, time_enabled, now=now)
             if opts.on_error == "reject":
-                report.rejects += _reject(spark, warehouse, misfit.withColumnRenamed("column", "detail"), opts)
-            report.rejects += _reject(spark, warehouse, checks.check_keys(good, list(plan.key_columns), stream), opts)
-            good = good.filter(F.lit(True) if not plan.key_columns else
-                               F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in plan.key_columns)))
+                shaped = shaped.persist(StorageLevel.MEMORY_AND_DISK)
+                good, misfit = shape.split_misfits(shaped, stream)
+                report.rejects += _reject(spark, warehouse, misfit, opts)
+            else:  # misfits and NULL keys already raise inside the projection
+                good = shaped.drop(shape.MISFITS)
             delta = merge.latest_per_key(good, list(plan.key_columns)).drop("ord")
             report.results.append(_merge_segment(store, delta, plan, opts, f"{load_id}:{stream}:{seg}", suffix,
                                                  time_enabled, msg, None))
-        segmented.unpersist()
+            shaped.unpersist()
 
     # Every stream of the log is committed up to its end: the whole latest state is safe.
-    report.state = state.safe_state(state.state_rows(control), None)
+    report.state = state.safe_state(state.state_rows(messages.control_rows(parsed)), None)
     publish_state(spark, f"{warehouse.rstrip('/')}", load_id, report.state)
-    control.unpersist()
     if not stage:
         parsed.unpersist()
     return report

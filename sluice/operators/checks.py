@@ -187,8 +187,11 @@ def validate_records(df: DataFrame, schema: dict, stream: str) -> DataFrame:
     rules = compile_rules(schema, F.col("record"))
     if not rules:
         return df.limit(0).select(F.lit(stream).alias("stream"), "ord", F.lit("").alias("rule"), F.lit("").alias("detail"))
-    failed = F.filter(F.array(*[F.when(bad, F.lit(f"{rule}@{path}")) for rule, path, bad in rules]),
-                      lambda x: x.isNotNull())
-    hits = df.select("ord", failed.alias("_failed")).filter(F.size("_failed") > 0)
-    return hits.select(F.lit(stream).alias("stream"), "ord", F.explode("_failed").alias("_f")).select(
+    # Filter on the generator's output: a filter on the array itself would be
+    # pushed below the parse and re-parse the record once per rule.
+    failed = F.concat_ws("\u001f", *[F.when(bad, F.lit(f"{rule}@{path}")) for rule, path, bad in rules])
+    hits = df.select("ord", failed.alias("_failed"))
+    exploded = hits.select(F.lit(stream).alias("stream"), "ord",
+                           F.explode_outer(F.split("_failed", "\u001f")).alias("_f"))
+    return exploded.filter(F.col("_f") != "").select(
         "stream", "ord", F.split("_f", "@").getItem(0).alias("rule"), F.split("_f", "@").getItem(1).alias("detail"))

@@ -13,7 +13,16 @@ from sluice.functions.json import extract, extract_text, json_path_text
 from sluice.options import LoadOptions
 from sluice.plans.column_plan import ColumnPlan
 
+# Misfit column names joined by SEP ("" = the row fits). A string built with
+# concat_ws stays in whole-stage codegen; array_compact would not (it is a
+# lambda function inside).
 MISFITS = "_misfits"
+SEP = "\u001f"
+KEY_RULE = "key:"
+
+
+def misfit_list(flags: list[Column]) -> Column:
+    return F.concat_ws(SEP, *flags) if flags else F.lit("")
 
 
 def _now_literal(now: dt.datetime | str) -> Column:
@@ -79,10 +88,14 @@ def flatten_records(df: DataFrame, plan: ColumnPlan, opts: LoadOptions = LoadOpt
         if opts.on_error == "fail":
             value = F.when(misfit, F.raise_error(F.lit(f"value does not fit column {plan.stream}.{col.name} "
                                                        f"({col.kind})"))).otherwise(value)
+        if col.name in plan.key_columns:  # C4 in the same pass: a key may not be NULL
+            null_key = value.isNull()
+            if opts.on_error == "fail":
+                value = F.when(null_key, F.raise_error(F.lit(f"NULL key {plan.stream}.{col.name}"))).otherwise(value)
+            flags.append(F.when(null_key, F.lit(f"{KEY_RULE}{col.name}")))
         values.append(value.cast(types[col.name]).alias(col.name))
         flags.append(F.when(misfit, F.lit(col.name)))
-    misfits = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
-    return parsed.select(*kept, *values, misfits.alias(MISFITS))
+    return parsed.select(*kept, *values, misfit_list(flags).alias(MISFITS))
 
 
 def batch_constants(df: DataFrame, plan: ColumnPlan, now) -> DataFrame:
@@ -111,15 +124,17 @@ def select_present(df: DataFrame, plan: ColumnPlan, time_enabled: bool = True, o
         out.append(typed.alias(name))
         flags.append(F.when(misfit, F.lit(name)))
     kept = [c for c in keep if c in df.columns]
-    misfits = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
-    return df.select(*kept, *out, misfits.alias(MISFITS))
+    return df.select(*kept, *out, misfit_list(flags).alias(MISFITS))
 
 
 def split_misfits(shaped: DataFrame, stream: str) -> tuple[DataFrame, DataFrame]:
-    """(rows that fit, rejects[stream, ord, rule, column])."""
-    good = shaped.filter(F.size(MISFITS) == 0).drop(MISFITS)
-    bad = shaped.filter(F.size(MISFITS) > 0).select(
-        F.lit(stream).alias("stream"), "ord", F.lit("type").alias("rule"), F.explode(MISFITS).alias("column"))
+    """(rows that fit, rejects[stream, ord, rule, detail]). Persist `shaped`
+    first: both sides read it."""
+    good = shaped.filter(F.col(MISFITS) == "").drop(MISFITS)
+    bad = (shaped.select("ord", F.explode_outer(F.split(MISFITS, SEP)).alias("_m")).filter(F.col("_m") != "")
+           .select(F.lit(stream).alias("stream"), "ord",
+                   F.when(F.col("_m").startswith(KEY_RULE), F.lit("key")).otherwise(F.lit("type")).alias("rule"),
+                   F.regexp_replace("_m", f"^{KEY_RULE}", "").alias("detail")))
     return good, bad
 
 

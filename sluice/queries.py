@@ -293,7 +293,7 @@ def q_cast_reject(spark, sf_dir):
     plan = build_plan(schema_message("db-prices", props), opts)
     log = record_messages(li, "db-prices", 1, ["l_shipdate", "l_partkey", "l_suppkey"], record=rec)
     shaped = shape.flatten_records(messages.records(messages.parse_envelopes(log)), plan, opts, time_enabled)
-    return shaped.select(*plan.names, (F.size(shape.MISFITS) > 0).alias("rejected"))
+    return shaped.select(*plan.names, (F.col(shape.MISFITS) != "").alias("rejected"))
 
 
 SQL_CAST_REJECT = """
@@ -517,9 +517,10 @@ def q_check_keys(spark, sf_dir):
     props = {k: ORDERS_PROPS[k] for k in ("o_orderkey", "o_custkey", "o_orderstatus")}
     plan = build_plan(schema_message("db-orders", props, ["o_orderkey"]))
     log = record_messages(o, "db-orders", 1, ["o_orderkey"], record=rec)
-    shaped = shape.flatten_records(messages.records(messages.parse_envelopes(log)), plan, LoadOptions(), time_enabled)
-    return checks.check_keys(shaped, list(plan.key_columns), "db-orders").select(
-        "stream", F.col("ord.k1").alias("position"), "rule")
+    opts = LoadOptions(on_error="reject")
+    shaped = shape.flatten_records(messages.records(messages.parse_envelopes(log)), plan, opts, time_enabled)
+    _, rejects = shape.split_misfits(shaped, "db-orders")
+    return rejects.filter(F.col("rule") == "key").select("stream", F.col("ord.k1").alias("position"), "rule")
 
 
 SQL_CHECK_KEYS = "SELECT 'db-orders' AS stream, o_orderkey AS position, 'key' AS rule FROM orders WHERE o_orderstatus = 'P'"

@@ -40,6 +40,7 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._rows: list[dict] | None = None
 
     # ------------------------------------------------------------ ledger
     def ledger(self) -> DataFrame | None:
@@ -48,21 +49,24 @@ class SnapshotTable:
         except AnalysisException:
             return None
 
-    def _entries(self, where=None) -> list:
-        led = self.ledger()
-        if led is None:
-            return []
-        if where is not None:
-            led = led.filter(where)
-        return led.orderBy(F.col("version").desc()).limit(1).collect()
+    def _entries(self) -> list[dict]:
+        """The ledger, read once per handle (this process is the table's only
+        writer) and extended by publish()."""
+        if self._rows is None:
+            led = self.ledger()
+            self._rows = [] if led is None else sorted(
+                (r.asDict() for r in led.drop("state_json").collect()), key=lambda r: r["version"])
+        return self._rows
 
     def head(self) -> dict | None:
         rows = self._entries()
-        return rows[0].asDict() if rows else None
+        return rows[-1] if rows else None
 
     def find(self, load_id: str) -> dict | None:
-        rows = self._entries(F.col("load_id") == load_id)
-        return rows[0].asDict() if rows else None
+        for r in reversed(self._entries()):
+            if r["load_id"] == load_id:
+                return r
+        return None
 
     def read(self) -> DataFrame | None:
         head = self.head()
@@ -108,6 +112,7 @@ class SnapshotTable:
         }
         row = self.spark.createDataFrame([entry], LEDGER_SCHEMA.replace(", version long", ""))
         row.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_ledger/version={version}")
+        self._entries().append(dict(entry, version=version))
         return LoadResult(self.root, version, load_id, entry["inserts"], entry["updates"], entry["rows"])
 
 
