@@ -52,6 +52,8 @@ def extract_text(raw: Column, col: PlanColumn, time_enabled: bool = True) -> tup
         return raw, F.lit(False)
     text = F.regexp_replace(raw, _ZONE_SUFFIX, "") if col.kind == "time" else raw
     value = text.try_cast(target)
+    if col.kind == "numeric":  # a DECIMAL(38,0) cast would round 1.5 to 2; integers only
+        value = F.when(raw.rlike(_INTEGRAL), value)
     return value, raw.isNotNull() & value.isNull()
 
 

@@ -196,10 +196,11 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
             if b is not None and b["kind"] == "BATCH":
                 report.results.append(_load_batch(spark, store, b, plan, msg, opts, f"{load_id}:{stream}:{seg}:batch",
                                                   now, suffix, time_enabled))
-            rows = segmented.filter(F.col("seg").isNull()) if b is None else segmented.filter(F.col("seg") == seg)
+            in_seg = F.col("seg").isNull() if b is None else F.col("seg") == seg
+            rows = segmented.filter(in_seg)
             if opts.validate_records:
                 report.rejects += _reject(spark, warehouse, checks.validate_records(rows, json.loads(plan.schema_json), stream), opts)
-            shaped = shape.flatten_records(rows, plan, opts, time_enabled, now=now)
+            shaped = shape.flatten_records(rows, plan, opts, time_enabled, now=now, guard=in_seg)
             if opts.on_error == "reject":
                 shaped = shaped.persist(StorageLevel.MEMORY_AND_DISK)
                 good, misfit = shape.split_misfits(shaped, stream)
@@ -223,6 +224,9 @@ def _load_batch(spark, store: SnapshotTable, b, plan: ColumnPlan, msg: dict, opt
                 now, suffix: str, time_enabled: bool) -> LoadResult:
     """BATCH segment: Arrow files -> present columns -> latest per key -> partial merge."""
     plan.check_batch_compatible()
+    done = store.find(load_id)
+    if done is not None:  # replayed: committed before, its files may be gone
+        return LoadResult(store.root, done["version"], load_id, done["inserts"], done["updates"], done["rows"], True)
     paths = list(b["manifest"] or [])
     raw = columnar.scan_columnar_batches(spark, paths)
     raw = raw.withColumn("ord", F.struct(F.col(columnar.FILE_ORD), F.col(columnar.ROW_ORD)))

@@ -43,11 +43,11 @@ def _merged_columns(target: DataFrame, delta: DataFrame, keys: list[str]) -> lis
     tcols = [c for c in target.columns if c not in (T_FLAG,)]
     dcols = [c for c in delta.columns if c not in (D_FLAG,)]
     dset = set(dcols)
-    out = [F.col(k) for k in keys]
-    for c in tcols:
+    out = []
+    for c in tcols:  # the target's column order is kept
         if c in keys:
-            continue
-        if c in dset:
+            out.append(F.col(f"`{c}`"))
+        elif c in dset:
             out.append(F.when(F.col(D_FLAG), F.col(f"d.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c))
         else:
             out.append(F.col(f"t.`{c}`").alias(c))

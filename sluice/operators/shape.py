@@ -40,21 +40,25 @@ def needs_variant(plan: ColumnPlan, opts: LoadOptions) -> bool:
 PARSED = "_rec"
 
 
-def _parse_once(df: DataFrame, plan: ColumnPlan, use_variant: bool, keep: list[str]) -> DataFrame:
+LIVE = "_live"
+
+
+def _parse_once(df: DataFrame, plan: ColumnPlan, use_variant: bool, keep: list[str], guard: Column) -> DataFrame:
     """Parse each line once into `_rec` in its own projection (a non-cheap
     expression used by many columns is not collapsed into each of them)."""
     if use_variant:
         env = F.parse_json(F.col("value"))
         rec = F.variant_get(env, "$.record", "variant")
         extracted = F.try_variant_get(env, "$.time_extracted", "string")
-        return df.select(*keep, extracted.alias("time_extracted"), rec.alias(PARSED))
+        return df.select(*keep, extracted.alias("time_extracted"), rec.alias(PARSED), guard.alias(LIVE))
     tops = list(dict.fromkeys(c.path[0] for c in plan.columns))
     schema = T.StructType([
         T.StructField("time_extracted", T.StringType()),
         T.StructField("record", T.StructType([T.StructField(t, T.StringType()) for t in tops])),
     ])
-    env = df.select(*keep, F.from_json(F.col("value"), schema).alias("_env"))
-    return env.select(*keep, F.col("_env.time_extracted").alias("time_extracted"), F.col("_env.record").alias(PARSED))
+    env = df.select(*keep, F.from_json(F.col("value"), schema).alias("_env"), guard.alias(LIVE))
+    return env.select(*keep, F.col("_env.time_extracted").alias("time_extracted"), F.col("_env.record").alias(PARSED),
+                      F.col(LIVE))
 
 
 def _raw_text(col) -> Column:
@@ -63,15 +67,22 @@ def _raw_text(col) -> Column:
 
 
 def flatten_records(df: DataFrame, plan: ColumnPlan, opts: LoadOptions = LoadOptions(),
-                    time_enabled: bool = True, now=None, keep: tuple[str, ...] = ("ord",)) -> DataFrame:
-    """B3+B5+B6+B7(+B9): one projection of RECORD lines to the plan's typed columns.
+                    time_enabled: bool = True, now=None, keep: tuple[str, ...] = ("ord",),
+                    guard: Column | None = None) -> DataFrame:
+    """B3+B5+B6+B7(+B9)+C4: one projection of RECORD lines to the plan's typed columns.
+
+    Adds `_misfits` (column names whose value does not fit, or whose key is
+    NULL). With on_error="fail" such a row raises inside the task instead.
 
-    Adds `_misfits` (array of column names whose value does not fit). With
-    on_error="fail" a misfit raises inside the task instead.
+    `guard` must be true exactly for the rows being loaded, and should use a
+    column produced above the filters that select them (the segment from the
+    epoch join): Catalyst may push predicates that read these columns below
+    those filters, and a raise must not fire for rows they would drop.
     """
     use_variant = needs_variant(plan, opts)
     kept = [c for c in keep if c in df.columns]
-    parsed = _parse_once(df, plan, use_variant, kept)
+    parsed = _parse_once(df, plan, use_variant, kept, guard if guard is not None else F.lit(True))
+    live = F.col(LIVE)
     types = plan.types(time_enabled)
     values, flags = [], []
     for col in plan.columns:
@@ -86,12 +97,12 @@ def flatten_records(df: DataFrame, plan: ColumnPlan, opts: LoadOptions = LoadOpt
         else:
             value, misfit = extract_text(_raw_text(col), col, time_enabled)
         if opts.on_error == "fail":
-            value = F.when(misfit, F.raise_error(F.lit(f"value does not fit column {plan.stream}.{col.name} "
-                                                       f"({col.kind})"))).otherwise(value)
+            value = F.when(misfit & live, F.raise_error(F.lit(f"value does not fit column {plan.stream}.{col.name} "
+                                                              f"({col.kind})"))).otherwise(value)
         if col.name in plan.key_columns:  # C4 in the same pass: a key may not be NULL
             null_key = value.isNull()
             if opts.on_error == "fail":
-                value = F.when(null_key, F.raise_error(F.lit(f"NULL key {plan.stream}.{col.name}"))).otherwise(value)
+                value = F.when(null_key & live, F.raise_error(F.lit(f"NULL key {plan.stream}.{col.name}"))).otherwise(value)
             flags.append(F.when(null_key, F.lit(f"{KEY_RULE}{col.name}")))
         values.append(value.cast(types[col.name]).alias(col.name))
         flags.append(F.when(misfit, F.lit(col.name)))

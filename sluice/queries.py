@@ -67,7 +67,8 @@ def fold_log(spark: SparkSession, msgs: DataFrame, stream: str, opts: LoadOption
             continue
         plan = build_plan({"stream": stream, "schema": json.loads(b["schema_json"]),
                            "key_properties": list(b["key_properties"] or [])}, opts)
-        shaped = shape.flatten_records(segmented.filter(F.col("seg") == b["seg"]), plan, opts, time_enabled, now=now)
+        in_seg = F.col("seg") == b["seg"]
+        shaped = shape.flatten_records(segmented.filter(in_seg), plan, opts, time_enabled, now=now, guard=in_seg)
         good = shaped.drop(shape.MISFITS)
         delta = merge.latest_per_key(good, list(plan.key_columns)).drop("ord")
         if current is None:  # new table: the delta is the table, no join

@@ -123,10 +123,12 @@ def parse_envelopes(msgs: DataFrame) -> DataFrame:
     generator, so later filters on them are not re-parsed below it). RECORD
     lines keep their text for the per-stream projection; the few control
     lines are parsed to VARIANT; lines that are not JSON keep their text in
-    `raw` (C2). A line without `type` is checked fully to tell malformed
-    from merely untyped."""
+    `raw` (C2). Only a line without `type` is parsed fully, to tell a line
+    that is not a JSON object (malformed) from an object without a type."""
     env = msgs.select("ord", "value", F.json_tuple(F.col("value"), "type", "stream").alias("type", "stream"))
-    malformed = F.col("type").isNull() & F.try_parse_json(F.col("value")).isNull()
+    whole = F.try_parse_json(F.col("value"))
+    not_object = whole.isNull() | ~F.schema_of_variant(whole).startswith("OBJECT")
+    malformed = F.col("type").isNull() & not_object
     return env.select(
         "ord",
         "type",
