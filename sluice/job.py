@@ -67,21 +67,12 @@ def _reject(spark: SparkSession, warehouse: str, violations: DataFrame, opts: Lo
 
 def _merge_segment(store: SnapshotTable, delta: DataFrame, plan: ColumnPlan, opts: LoadOptions, load_id: str,
                    suffix: str, time_enabled: bool, schema_message: dict, st: dict | None) -> LoadResult:
-    current = store.read()
-    keys = list(plan.key_columns)
-    if current is not None:
-        current, _ = evolve.align_to_plan(current, plan, suffix, time_enabled)
-    if current is None:  # first load of the table: every delta row is an insert, no join
-        merged = delta.withColumn(merge.T_FLAG, F.lit(False)).withColumn(merge.D_FLAG, F.lit(True))
-    elif keys:
-        merged = merge.merge_join(current, delta, keys)
-    else:
-        merged = merge.append_keyless(current.withColumn(merge.T_FLAG, F.lit(True)).withColumn(merge.D_FLAG, F.lit(False)),
-                                      delta.withColumn(merge.T_FLAG, F.lit(False)).withColumn(merge.D_FLAG, F.lit(True)))
-    if opts.hard_delete:
-        merged = merge.drop_deleted(merged)
-    layout = opts.indices_for(plan.schema_segment, plan.table)
-    return store.publish(merged, load_id, schema_message=schema_message, state=st, layout=layout)
+    def align(current: DataFrame):
+        return evolve.align_to_plan(current, plan, suffix, time_enabled)
+
+    layout = [c for c in opts.indices_for(plan.schema_segment, plan.table) if c in plan.names]
+    return store.merge(delta, list(plan.key_columns), load_id, align=align, hard_delete=opts.hard_delete,
+                       schema_message=schema_message, layout=layout or None)
 
 
 def _summary(parsed: DataFrame) -> list:

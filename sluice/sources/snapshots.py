@@ -1,27 +1,39 @@
-"""Versioned snapshot tables with a ledger.
+"""Versioned, hash-bucketed snapshot tables with a ledger.
 
-<root>/data/v=<version>/   Parquet files of one snapshot
-<root>/_ledger/version=<version>/  one JSON row: load_id, path, schema, counts, state
+<root>/data/v=<version>/_bucket=<b>/   Parquet files written by one version
+<root>/_ledger/version=<version>/       one JSON row: load_id, manifest, schema, counts
+
+Rows live in `pmod(xxhash64(keys), buckets)` buckets. A merge reads and
+rewrites only the buckets its delta touches; the ledger row's manifest lists,
+per bucket, the directories that hold its current rows, so untouched buckets
+are carried forward without being read. (A schema change rewrites all
+buckets; keyless tables append a directory.)
 
 Data is written first, the ledger row last; a ledger row is written with
-mode "errorifexists", so a version is committed once. A load id already in
-the ledger is skipped, which makes replays (and streaming redelivery) safe.
-Readers only trust versions that have a ledger row.
+mode "errorifexists", so a version is committed once, and a load id already
+in the ledger is skipped, which makes replays (and streaming redelivery)
+safe. Readers only trust what a ledger row lists.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import re
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from sluice.operators.merge import D_FLAG, T_FLAG
+from sluice.operators.merge import D_FLAG, T_FLAG, drop_deleted, merge_join
 
-LEDGER_SCHEMA = ("load_id string, path string, schema_json string, schema_message string, inserts long, "
+BUCKET = "_bucket"
+DEFAULT_BUCKETS = 16
+LEDGER_SCHEMA = ("load_id string, manifest string, schema_json string, schema_message string, inserts long, "
                  "updates long, rows long, state_json string, committed_at string, version long")
 
 
@@ -34,12 +46,14 @@ class LoadResult:
     updates: int
     rows: int
     skipped: bool = False
+    buckets_rewritten: int = 0
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.default_buckets = buckets
         self._rows: list[dict] | None = None
 
     # ------------------------------------------------------------ ledger
@@ -51,7 +65,7 @@ class SnapshotTable:
 
     def _entries(self) -> list[dict]:
         """The ledger, read once per handle (this process is the table's only
-        writer) and extended by publish()."""
+        writer) and extended by merge()."""
         if self._rows is None:
             led = self.ledger()
             self._rows = [] if led is None else sorted(
@@ -68,52 +82,120 @@ class SnapshotTable:
                 return r
         return None
 
-    def read(self) -> DataFrame | None:
+    @staticmethod
+    def _manifest(entry: dict) -> dict:
+        return json.loads(entry["manifest"])
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame | None:
+        """The current snapshot (or only some of its buckets)."""
         head = self.head()
-        return None if head is None else self.spark.read.parquet(head["path"])
-
-    # ------------------------------------------------------------ publish
-    def publish(self, merged: DataFrame, load_id: str, schema_message: dict | None = None,
-                state: dict | None = None, layout: list[str] | None = None,
-                bloom: list[str] | None = None, partitions: int | None = None) -> LoadResult:
-        """A4: write the next snapshot, then its ledger row. `merged` may carry
-        the `_t`/`_d` flags of a merge; they are counted during the write."""
+        if head is None:
+            return None
+        schema = T.StructType.fromJson(json.loads(head["schema_json"]))
+        man = self._manifest(head)
+        wanted = None if buckets is None else set(buckets)
+        dirs = [d for b, ds in sorted(man["dirs"].items()) if wanted is None or int(b) in wanted for d in ds]
+        if not dirs:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*dirs)
+
+    # ------------------------------------------------------------ merge + publish
+    def merge(self, delta: DataFrame, keys: list[str], load_id: str,
+              align: Callable[[DataFrame], tuple[DataFrame, list]] | None = None, hard_delete: bool = False,
+              schema_message: dict | None = None, layout: list[str] | None = None,
+              bloom: list[str] | None = None) -> LoadResult:
+        """A4 (+D3/D4/F1/C6): merge `delta` into the table and commit a version."""
         done = self.find(load_id)
         if done is not None:
             return LoadResult(self.root, done["version"], load_id, done["inserts"], done["updates"], done["rows"], True)
         head = self.head()
         version = 0 if head is None else head["version"] + 1
-        path = f"{self.root}/data/v={version:012d}"
-        obs = Observation(f"publish_{version}")
-        has_flags = T_FLAG in merged.columns and D_FLAG in merged.columns
-        metrics = [F.count(F.lit(1)).alias("rows")]
-        if has_flags:
-            metrics += [F.count_if(F.col(D_FLAG) & ~F.col(T_FLAG)).alias("inserts"),
-                        F.count_if(F.col(D_FLAG) & F.col(T_FLAG)).alias("updates")]
-        observed = merged.observe(obs, *metrics)
-        if has_flags:
-            observed = observed.drop(T_FLAG, D_FLAG)
-        out = lookup_layout(observed, layout or [], partitions)
-        writer = out.write.mode("overwrite")
+        man = self._manifest(head) if head else {"buckets": self.default_buckets, "dirs": {}}
+        n = int(man["buckets"])
+        new_root = f"{self.root}/data/v={version:012d}"
+        flagged_delta = delta.withColumn(T_FLAG, F.lit(False)).withColumn(D_FLAG, F.lit(True))
+
+        current = self.read() if head else None
+        changed = False
+        if current is not None and align is not None:
+            current, changes = align(current)
+            changed = bool(changes)
+        if not keys:
+            merged = flagged_delta if not changed else current.withColumn(T_FLAG, F.lit(True)).withColumn(
+                D_FLAG, F.lit(False)).unionByName(flagged_delta, allowMissingColumns=True)
+            touched = None if changed else []
+        else:
+            bucket_of = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n))
+            if current is None or changed:
+                touched = None  # every bucket is (re)written
+            else:
+                touched = sorted(r[0] for r in delta.select(bucket_of.alias("b")).distinct().collect())
+                current = self.read(touched)
+                if align is not None:
+                    current, _ = align(current)
+            merged = flagged_delta if current is None else merge_join(current, delta, keys)
+        # inserts/updates are counted before the hard delete, rows after it
+        tag = uuid.uuid4().hex[:12]
+        obs_merge, obs_rows = Observation(f"merge_{version}_{tag}"), Observation(f"rows_{version}_{tag}")
+        counted = merged.observe(obs_merge, F.count_if(F.col(D_FLAG) & ~F.col(T_FLAG)).alias("inserts"),
+                                 F.count_if(F.col(D_FLAG) & F.col(T_FLAG)).alias("updates"))
+        kept = drop_deleted(counted) if hard_delete else counted
+        observed = kept.observe(obs_rows, F.count(F.lit(1)).alias("rows")).drop(T_FLAG, D_FLAG)
+        schema = observed.schema
+        if keys:
+            out = observed.withColumn(BUCKET, bucket_of).repartition(BUCKET)
+            out = out.sortWithinPartitions(*(layout or keys))
+            writer = out.write.mode("overwrite").partitionBy(BUCKET)
+        else:
+            out = observed if not layout else lookup_layout(observed, layout)
+            writer = out.write.mode("overwrite")
         for col in bloom or []:
             writer = writer.option(f"parquet.bloom.filter.enabled#{col}", "true")
-        writer.parquet(path)
-        m = obs.get
+        writer.parquet(new_root if keys else f"{new_root}/{BUCKET}=0")
+        try:
+            m = dict(obs_merge.get, **obs_rows.get)
+        except Exception:  # AQE replaced an empty stage and dropped a metrics node
+            m = merged.agg(F.count_if(F.col(D_FLAG) & ~F.col(T_FLAG)).alias("inserts"),
+                           F.count_if(F.col(D_FLAG) & F.col(T_FLAG)).alias("updates")).collect()[0].asDict()
+            m["rows"] = (drop_deleted(merged) if hard_delete else merged).count()
+
+        written = self._written_buckets(new_root)
+        if not keys:
+            dirs = {} if touched is None else dict(man["dirs"])
+            dirs["0"] = dirs.get("0", []) + ([f"{new_root}/{BUCKET}=0"] if 0 in written else [])
+        else:  # untouched buckets are carried forward; touched ones point at this version
+            rewritten = set(range(n)) if touched is None else set(touched)
+            dirs = {b: ds for b, ds in man["dirs"].items() if int(b) not in rewritten}
+            for b in written:
+                dirs[str(b)] = [f"{new_root}/{BUCKET}={b}"]
         entry = {
             "load_id": load_id,
-            "path": path,
-            "schema_json": out.schema.json(),
+            "manifest": json.dumps({"buckets": n, "keys": keys, "dirs": dirs}, sort_keys=True),
+            "schema_json": schema.json(),
             "schema_message": json.dumps(schema_message) if schema_message else None,
-            "inserts": int(m.get("inserts", m["rows"] if not has_flags else 0)),
+            "inserts": int(m.get("inserts", 0)),
             "updates": int(m.get("updates", 0)),
-            "rows": int(m["rows"]),
-            "state_json": json.dumps(state) if state is not None else None,
+            "rows": int(m.get("rows", 0)),
+            "state_json": None,
             "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
         }
         row = self.spark.createDataFrame([entry], LEDGER_SCHEMA.replace(", version long", ""))
         row.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_ledger/version={version}")
         self._entries().append(dict(entry, version=version))
-        return LoadResult(self.root, version, load_id, entry["inserts"], entry["updates"], entry["rows"])
+        return LoadResult(self.root, version, load_id, entry["inserts"], entry["updates"], entry["rows"],
+                          buckets_rewritten=len(written))
+
+    def _written_buckets(self, path: str) -> list[int]:
+        try:
+            files = self.spark.read.format("parquet").load(path).inputFiles()
+        except AnalysisException:  # nothing written
+            return []
+        found = set()
+        for f in files:
+            hit = re.search(rf"/{BUCKET}=(\d+)/", f)
+            if hit:
+                found.add(int(hit.group(1)))
+        return sorted(found)
 
 
 def lookup_layout(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:

@@ -168,3 +168,17 @@ def test_streaming_equals_batch(spark):
     key = lambda df: sorted((r["id"], r["name"]) for r in df.select("id", "name").collect())
     assert key(streamed) == key(batch)
     assert SnapshotTable(spark, table_root(f"{base}/wh", "public-things", OPTS)).ledger().count() == 3
+
+
+def test_small_delta_rewrites_only_its_buckets(spark):
+    wh = tempfile.mkdtemp()
+    lines = [schema_msg()] + [record({"id": i, "name": f"n{i}"}) for i in range(200)]
+    first = load_messages(spark, _log(spark, lines), wh, OPTS, load_id="full", now=NOW)
+    assert first.results[-1].buckets_rewritten == 16
+    upd = load_messages(spark, _log(spark, [schema_msg(), record({"id": 7, "name": "seven"})]), wh, OPTS,
+                        load_id="one", now=NOW)
+    res = upd.results[-1]
+    assert (res.buckets_rewritten, res.inserts, res.updates) == (1, 0, 1)
+    table = SnapshotTable(spark, table_root(wh, "public-things", OPTS)).read()
+    got = {r["id"]: r["name"] for r in table.collect()}
+    assert len(got) == 200 and got[7] == "seven" and got[8] == "n8"
