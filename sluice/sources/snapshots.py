@@ -19,11 +19,11 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import re
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,6 +116,7 @@ class SnapshotTable:
         flagged_delta = delta.withColumn(T_FLAG, F.lit(False)).withColumn(D_FLAG, F.lit(True))
 
         current = self.read() if head else None
+        cached = None
         changed = False
         if current is not None and align is not None:
             current, changes = align(current)
@@ -129,6 +130,10 @@ class SnapshotTable:
             if current is None or changed:
                 touched = None  # every bucket is (re)written
             else:
+                # the delta is read twice (its buckets, then the merge): keep it
+                delta = delta.persist(StorageLevel.MEMORY_AND_DISK)
+                cached = delta
+                flagged_delta = delta.withColumn(T_FLAG, F.lit(False)).withColumn(D_FLAG, F.lit(True))
                 touched = sorted(r[0] for r in delta.select(bucket_of.alias("b")).distinct().collect())
                 current = self.read(touched)
                 if align is not None:
@@ -140,14 +145,18 @@ class SnapshotTable:
         counted = merged.observe(obs_merge, F.count_if(F.col(D_FLAG) & ~F.col(T_FLAG)).alias("inserts"),
                                  F.count_if(F.col(D_FLAG) & F.col(T_FLAG)).alias("updates"))
         kept = drop_deleted(counted) if hard_delete else counted
-        observed = kept.observe(obs_rows, F.count(F.lit(1)).alias("rows")).drop(T_FLAG, D_FLAG)
-        schema = observed.schema
+        schema = kept.drop(T_FLAG, D_FLAG).schema
+        bucketed = kept.withColumn(BUCKET, bucket_of if keys else F.lit(0))
+        # which buckets get rows is observed while writing (at most `buckets` values)
+        observed = bucketed.observe(obs_rows, F.count(F.lit(1)).alias("rows"),
+                                    F.collect_set(BUCKET).alias("buckets")).drop(T_FLAG, D_FLAG)
         if keys:
-            out = observed.withColumn(BUCKET, bucket_of).repartition(BUCKET)
+            out = observed.repartition(BUCKET)
             out = out.sortWithinPartitions(*(layout or keys))
             writer = out.write.mode("overwrite").partitionBy(BUCKET)
         else:
-            out = observed if not layout else lookup_layout(observed, layout)
+            out = observed.drop(BUCKET)
+            out = out if not layout else lookup_layout(out, layout)
             writer = out.write.mode("overwrite")
         for col in bloom or []:
             writer = writer.option(f"parquet.bloom.filter.enabled#{col}", "true")
@@ -157,9 +166,12 @@ class SnapshotTable:
         except Exception:  # AQE replaced an empty stage and dropped a metrics node
             m = merged.agg(F.count_if(F.col(D_FLAG) & ~F.col(T_FLAG)).alias("inserts"),
                            F.count_if(F.col(D_FLAG) & F.col(T_FLAG)).alias("updates")).collect()[0].asDict()
-            m["rows"] = (drop_deleted(merged) if hard_delete else merged).count()
+            rest = (drop_deleted(merged) if hard_delete else merged).withColumn(BUCKET, bucket_of if keys else F.lit(0))
+            m.update(rest.agg(F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("buckets")).collect()[0].asDict())
 
-        written = self._written_buckets(new_root)
+        written = sorted(int(b) for b in m["buckets"])
+        if cached is not None:
+            cached.unpersist()
         if not keys:
             dirs = {} if touched is None else dict(man["dirs"])
             dirs["0"] = dirs.get("0", []) + ([f"{new_root}/{BUCKET}=0"] if 0 in written else [])
@@ -185,18 +197,6 @@ class SnapshotTable:
         return LoadResult(self.root, version, load_id, entry["inserts"], entry["updates"], entry["rows"],
                           buckets_rewritten=len(written))
 
-    def _written_buckets(self, path: str) -> list[int]:
-        try:
-            files = self.spark.read.format("parquet").load(path).inputFiles()
-        except AnalysisException:  # nothing written
-            return []
-        found = set()
-        for f in files:
-            hit = re.search(rf"/{BUCKET}=(\d+)/", f)
-            if hit:
-                found.add(int(hit.group(1)))
-        return sorted(found)
-
 
 def lookup_layout(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
     """Cluster rows on lookup columns so Parquet min/max statistics (and
