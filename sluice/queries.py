@@ -794,6 +794,24 @@ def q_stream_merge(spark, sf_dir):
     return SnapshotTable(spark, table_root(wh, "db-lineitem", opts)).read()
 
 
+def q_load_lineitem_files(spark, sf_dir):
+    """A1 + the published job: the lineitem log written as JSON-lines files,
+    scanned back with its (file, split, position) order, loaded and committed."""
+    from sluice.job import load_messages, table_root
+    from sluice.sources.messages import scan_messages
+    from sluice.streaming.loader import write_log_files
+
+    _setup(spark)
+    base = shared_dir(spark, "files")
+    log = lineitem_log(spark, sf_dir)
+    bucket = F.when(F.col("ord.seq") == 0, F.lit(0)).otherwise(F.year(F.timestamp_micros(F.col("ord.k1"))))
+    write_log_files(log.withColumn("_file", bucket), f"{base}/in")
+    opts = LoadOptions(default_target_schema="public")
+    load_messages(spark, scan_messages(spark, f"{base}/in/*/*.txt"), f"{base}/warehouse", opts, load_id="files",
+                  now=NOW, suffix=SUFFIX)
+    return SnapshotTable(spark, table_root(f"{base}/warehouse", "db-lineitem", opts)).read()
+
+
 # ---------------------------------------------------------------- registry
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
@@ -829,4 +847,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "text_pages": (q_text_pages, SQL_TEXT_PAGES),
     "publish_replay": (q_publish_replay, SQL_PUBLISH_REPLAY),
     "stream_merge": (q_stream_merge, SQL_DEDUP_LINEITEM),
+    "load_lineitem_files": (q_load_lineitem_files, SQL_DEDUP_LINEITEM),
 }

@@ -182,3 +182,26 @@ def test_small_delta_rewrites_only_its_buckets(spark):
     table = SnapshotTable(spark, table_root(wh, "public-things", OPTS)).read()
     got = {r["id"]: r["name"] for r in table.collect()}
     assert len(got) == 200 and got[7] == "seven" and got[8] == "n8"
+
+
+def test_scan_order_survives_many_splits(spark):
+    from sluice.sources.messages import parse_envelopes, scan_messages
+
+    d = tempfile.mkdtemp(prefix="sluice-scan-")
+    for f in range(3):
+        with open(f"{d}/part-{f}.jsonl", "w") as fh:
+            for i in range(2000):
+                fh.write(json.dumps(record({"id": f * 10_000 + i, "name": "x" * (i % 50)})) + "\n")
+                if i % 500 == 0:
+                    fh.write("\n")  # blank lines are skipped
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        msgs = scan_messages(spark, d)
+        assert msgs.rdd.getNumPartitions() > 10
+        rows = sorted(parse_envelopes(msgs).select("ord", F.get_json_object("value", "$.record.id").cast("long").alias("id"))
+                      .collect(), key=lambda r: tuple(r["ord"]))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    ids = [r["id"] for r in rows]
+    assert ids == sorted(ids) and len(ids) == 6000
