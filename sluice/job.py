@@ -87,42 +87,6 @@ def _summary(parsed: DataFrame) -> list:
     ).collect()
 
 
-def _bounds(control_rows: list) -> list[dict]:
-    """Segment boundaries per stream from the collected control rows."""
-    out, seg, epoch = [], {}, {}
-    for r in control_rows:
-        if r["type"] not in ("SCHEMA", "BATCH"):
-            continue
-        s = r["stream"]
-        seg[s] = seg.get(s, -1) + 1
-        epoch[s] = epoch.get(s, -1) + (1 if r["type"] == "SCHEMA" else 0)
-        out.append({"stream": s, "start": r["ord"], "kind": r["type"], "seg": seg[s], "epoch": epoch[s],
-                    "schema_json": r["schema_json"], "key_properties": r["key_properties"],
-                    "encoding": r["encoding"], "manifest": r["manifest"]})
-    nxt = {}
-    for b in reversed(out):
-        b["end"] = nxt.get(b["stream"])
-        nxt[b["stream"]] = b["start"]
-    return out
-
-
-def _ord_literal(value, ord_type):
-    from pyspark.sql import types as T
-
-    if isinstance(ord_type, T.StructType):
-        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(ord_type.fields, value)])
-    return F.lit(value).cast(ord_type)
-
-
-def _bounds_frame(spark: SparkSession, bounds: list[dict], ord_type) -> DataFrame:
-    from pyspark.sql import types as T
-
-    schema = T.StructType([T.StructField("stream", T.StringType()), T.StructField("start", ord_type),
-                           T.StructField("end", ord_type), T.StructField("seg", T.LongType()),
-                           T.StructField("epoch", T.LongType())])
-    return spark.createDataFrame([(b["stream"], b["start"], b["end"], b["seg"], b["epoch"]) for b in bounds], schema)
-
-
 def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: LoadOptions = LoadOptions(),
                   load_id: str = "load", now: dt.datetime | None = None, suffix: str | None = None,
                   stage: bool = True) -> LoadReport:
@@ -146,7 +110,7 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
         r = wrong_encoding[0]
         report.rejects += _reject(spark, warehouse, spark.createDataFrame(
             [(r["stream"], str(r["ord"]), "encoding", str(r["encoding"]))], REJECT_SCHEMA), opts)
-    bounds = [b for b in _bounds(control) if not (b["kind"] == "BATCH" and b["encoding"] != messages.BATCH_ENCODING)]
+    bounds = [b for b in epochs.bounds_from_rows(control) if not (b["kind"] == "BATCH" and b["encoding"] != messages.BATCH_ENCODING)]
     by_stream: dict[str, list] = {}
     for b in bounds:
         by_stream.setdefault(b["stream"], []).append(b)
@@ -163,7 +127,7 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
             if carried is None or not carried.get("schema_message"):
                 report.rejects += _reject(spark, warehouse, checks.check_order(
                     recs.filter(F.col("stream") == stream).withColumn("epoch", F.lit(None))
-                    .filter(F.col("ord") < _ord_literal(segs[0]["start"], ord_type) if segs else F.lit(True))), opts)
+                    .filter(F.col("ord") < epochs.ord_literal(segs[0]["start"], ord_type) if segs else F.lit(True))), opts)
             else:
                 msg = json.loads(carried["schema_message"])
                 plans[-1] = (build_plan(msg, opts), msg)
@@ -173,7 +137,7 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
                        "key_properties": list(b["key_properties"] or [])}
                 plans[b["epoch"]] = (build_plan(msg, opts), msg)
         stream_recs = recs.filter(F.col("stream") == stream)
-        segmented = epochs.assign_segment(stream_recs, _bounds_frame(spark, segs, ord_type), len(segs)) if segs \
+        segmented = epochs.assign_segment(stream_recs, epochs.bounds_frame(spark, segs, ord_type), len(segs)) if segs \
             else stream_recs.withColumn("seg", F.lit(None).cast("long")).withColumn("epoch", F.lit(None).cast("long"))
         order = ([(-1, None)] if -1 in plans else []) + [(b["seg"], b) for b in segs]
         for seg, b in order:

@@ -9,7 +9,7 @@ are control messages, so they are few; the join is a broadcast equi(stream)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT = 200_000
@@ -39,3 +39,42 @@ def assign_segment(data: DataFrame, bounds: DataFrame, n_bounds: int) -> DataFra
         joined = d.join(salted, (F.col("stream") == F.col("_bs")) & (F.col("_dsalt") == F.col("_salt")) & cond_range,
                         "left").drop("_dsalt", "_salt")
     return joined.drop("_bs", "start", "end")
+
+
+# Boundaries built on the driver from the collected control rows (they are
+# control messages: few), so the join's build side needs no second scan.
+
+def bounds_from_rows(control_rows: list) -> list[dict]:
+    """Segment boundaries per stream from the collected control rows."""
+    out, seg, epoch = [], {}, {}
+    for r in control_rows:
+        if r["type"] not in ("SCHEMA", "BATCH"):
+            continue
+        s = r["stream"]
+        seg[s] = seg.get(s, -1) + 1
+        epoch[s] = epoch.get(s, -1) + (1 if r["type"] == "SCHEMA" else 0)
+        out.append({"stream": s, "start": r["ord"], "kind": r["type"], "seg": seg[s], "epoch": epoch[s],
+                    "schema_json": r["schema_json"], "key_properties": r["key_properties"],
+                    "encoding": r["encoding"], "manifest": r["manifest"]})
+    nxt = {}
+    for b in reversed(out):
+        b["end"] = nxt.get(b["stream"])
+        nxt[b["stream"]] = b["start"]
+    return out
+
+
+def ord_literal(value, ord_type):
+    from pyspark.sql import types as T
+
+    if isinstance(ord_type, T.StructType):
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(ord_type.fields, value)])
+    return F.lit(value).cast(ord_type)
+
+
+def bounds_frame(spark: SparkSession, bounds: list[dict], ord_type) -> DataFrame:
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("stream", T.StringType()), T.StructField("start", ord_type),
+                           T.StructField("end", ord_type), T.StructField("seg", T.LongType()),
+                           T.StructField("epoch", T.LongType())])
+    return spark.createDataFrame([(b["stream"], b["start"], b["end"], b["seg"], b["epoch"]) for b in bounds], schema)
