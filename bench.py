@@ -27,6 +27,7 @@ HEADLINE = [
     "batch_columnar",
     "publish_replay",
     "stream_merge",
+    "load_lineitem_files",
 ]
 
 
