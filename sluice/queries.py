@@ -19,7 +19,8 @@ from sluice.options import LoadOptions
 from sluice.plans.column_plan import build_plan
 from sluice.session import configure, shared_dir, time_type_enabled
 from sluice.sources import columnar, messages
-from sluice.sources.messages import control_message, record_messages, schema_message
+from sluice.sources.messages import control_message, schema_message
+from sluice.sources.messages import record_messages as _record_messages
 from sluice.sources.snapshots import SnapshotTable, load_audit
 
 # Fixed clock values passed to the jobs (never read from the wall clock here).
@@ -42,6 +43,13 @@ LINEITEM_PROPS = {"l_orderkey": BIGINT, "l_partkey": BIGINT, "l_suppkey": BIGINT
 EVENT_PROPS = {"event_id": BIGINT, "ts": TS, "user_id": BIGINT, "event_type": STR, "value": NUM}
 
 
+def record_messages(df: DataFrame, *args, **kwargs) -> DataFrame:
+    """The test tables are single row groups: spread them over the cores
+    before the JSON work (see sources.messages.record_messages)."""
+    kwargs.setdefault("spread", df.sparkSession.sparkContext.defaultParallelism)
+    return _record_messages(df, *args, **kwargs)
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -93,15 +93,14 @@ def order_key(df: DataFrame, seq: int, cols: list[str] | None = None) -> Column:
 
 def record_messages(df: DataFrame, stream: str | Column, seq: int, order: list[str] | None = None,
                     record: Column | None = None, time_extracted: Column | None = None,
-                    kind: str = "RECORD") -> DataFrame:
+                    kind: str = "RECORD", spread: int | None = None) -> DataFrame:
     """Wrap table rows as RECORD envelopes (JSON text), as a tap would send them.
 
-    A source with fewer partitions than the cluster has cores (one big row
-    group, say) is spread by a hash of its order columns first, so the JSON
-    work downstream runs in parallel; `ord` does not depend on placement."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        df = df.repartition(parallelism, *[F.col(c) for c in (order or [])]) if order else df.repartition(parallelism)
+    `spread=n` hash-spreads the source over n partitions by its order
+    columns first, for sources stored as one big row group, so the JSON work
+    downstream runs in parallel; `ord` does not depend on placement."""
+    if spread:
+        df = df.repartition(spread, *[F.col(c) for c in (order or [])]) if order else df.repartition(spread)
     rec = record if record is not None else F.struct(*[F.col(c) for c in df.columns])
     fields = [F.lit(kind).alias("type"), (F.lit(stream) if isinstance(stream, str) else stream).alias("stream"),
               rec.alias("record")]
