@@ -168,8 +168,10 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
             shaped.unpersist()
 
     # Every stream of the log is committed up to its end: the whole latest state is safe.
-    report.state = state.safe_state(state.state_rows(messages.control_rows(parsed)), None)
-    publish_state(spark, f"{warehouse.rstrip('/')}", load_id, report.state)
+    # (A load without STATE messages leaves the published state as it was.)
+    if any(r["type"] == "STATE" for r in control):
+        report.state = state.safe_state(state.state_rows(messages.control_rows(parsed)), None)
+        publish_state(spark, f"{warehouse.rstrip('/')}", load_id, report.state)
     if not stage:
         parsed.unpersist()
     return report
