@@ -71,8 +71,10 @@ def _merge_segment(store: SnapshotTable, delta: DataFrame, plan: ColumnPlan, opt
         return evolve.align_to_plan(current, plan, suffix, time_enabled)
 
     layout = [c for c in opts.indices_for(plan.schema_segment, plan.table) if c in plan.names]
+    # Configured lookup columns order the rows inside each bucket (row-group
+    # min/max skipping) and get Parquet bloom filters
     return store.merge(delta, list(plan.key_columns), load_id, align=align, hard_delete=opts.hard_delete,
-                       schema_message=schema_message, layout=layout or None)
+                       schema_message=schema_message, layout=layout or None, bloom=layout or None)
 
 
 def _summary(parsed: DataFrame) -> list:
@@ -119,7 +121,7 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
 
     for stream in sorted(s for s in set(first_record) | set(by_stream) if s is not None):
         segs = by_stream.get(stream, [])
-        store = SnapshotTable(spark, table_root(warehouse, stream, opts))
+        store = SnapshotTable(spark, table_root(warehouse, stream, opts), buckets=opts.buckets)
         carried = store.head()
         early = stream in first_record and (not segs or first_record[stream] < segs[0]["start"])
         plans: dict[int, tuple[ColumnPlan, dict]] = {}

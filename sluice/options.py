@@ -31,6 +31,9 @@ class LoadOptions:
     flush_all_streams: bool = False
     # keep identifiers within 63 characters like the reference's target database
     max_identifier_length: int | None = 63
+    # hash buckets of a new table (fixed for its life): size so one bucket is
+    # a few hundred MB at the expected table size
+    buckets: int = 16
 
     @property
     def with_metadata(self) -> bool:

@@ -151,8 +151,9 @@ class SnapshotTable:
         observed = bucketed.observe(obs_rows, F.count(F.lit(1)).alias("rows"),
                                     F.collect_set(BUCKET).alias("buckets")).drop(T_FLAG, D_FLAG)
         if keys:
-            out = observed.repartition(BUCKET)
-            out = out.sortWithinPartitions(*(layout or keys))
+            # (bucket, lookup columns): the writer's sort on the bucket is then
+            # already satisfied and keeps the order inside each bucket
+            out = observed.repartition(BUCKET).sortWithinPartitions(BUCKET, *(layout or keys))
             writer = out.write.mode("overwrite").partitionBy(BUCKET)
         else:
             out = observed.drop(BUCKET)

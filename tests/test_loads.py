@@ -205,3 +205,18 @@ def test_scan_order_survives_many_splits(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     ids = [r["id"] for r in rows]
     assert ids == sorted(ids) and len(ids) == 6000
+
+
+def test_lookup_layout_and_bucket_option(spark):
+    wh = tempfile.mkdtemp()
+    opts = LoadOptions(default_target_schema="public", buckets=4,
+                       schema_mapping={"public": {"target_schema": "public", "indices": {"things": ["name"]}}})
+    lines = [schema_msg()] + [record({"id": i, "name": f"n{i % 7}"}) for i in range(100)]
+    load_messages(spark, _log(spark, lines), wh, opts, load_id="x", now=NOW)
+    store = SnapshotTable(spark, table_root(wh, "public-things", opts))
+    man = json.loads(store.head()["manifest"])
+    assert man["buckets"] == 4 and len(man["dirs"]) == 4
+    for d in man["dirs"].values():
+        names = [r["name"] for r in spark.read.parquet(*d).collect()]
+        assert names == sorted(names)          # rows ordered by the lookup column inside a bucket
+    assert store.read().count() == 100
