@@ -84,6 +84,7 @@ def _summary(parsed: DataFrame) -> list:
         F.min(F.when(F.col("type") == "RECORD", F.col("ord"))).alias("first_record"),
         F.count_if(F.col("type") == "RECORD").alias("records"),
         F.count_if(F.col("malformed")).alias("malformed"),
+        F.count_if(F.col("type") == "STATE").alias("states"),
         F.count_if(~F.col("malformed") & (F.col("type").isNull() | ~F.col("type").isin(messages.MESSAGE_TYPES)))
         .alias("unknown"),
     ).collect()
@@ -106,7 +107,9 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
     if any(r["malformed"] or r["unknown"] for r in summary):
         bad = checks.reject_malformed(parsed).unionByName(checks.check_message_kind(parsed, messages.control_rows(parsed)))
         report.rejects += _reject(spark, warehouse, bad, opts)
-    control = messages.control_rows(parsed).orderBy("ord").collect()  # control messages only
+    # only boundary messages reach the driver (STATE rows can be many; they are folded on executors)
+    control = (messages.control_rows(parsed).filter(F.col("type").isin("SCHEMA", "BATCH"))
+               .orderBy("ord").collect())
     wrong_encoding = [r for r in control if r["type"] == "BATCH" and r["encoding"] != messages.BATCH_ENCODING]
     if wrong_encoding:
         r = wrong_encoding[0]
@@ -171,7 +174,7 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
 
     # Every stream of the log is committed up to its end: the whole latest state is safe.
     # (A load without STATE messages leaves the published state as it was.)
-    if any(r["type"] == "STATE" for r in control):
+    if any(r["states"] for r in summary):
         report.state = state.safe_state(state.state_rows(messages.control_rows(parsed)), None)
         publish_state(spark, f"{warehouse.rstrip('/')}", load_id, report.state)
     if not stage:

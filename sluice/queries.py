@@ -65,7 +65,8 @@ def fold_log(spark: SparkSession, msgs: DataFrame, stream: str, opts: LoadOption
     (The published, ledgered form of the same steps is sluice.job.)"""
     time_enabled = _setup(spark)
     parsed = messages.parse_envelopes(msgs).filter(F.col("stream") == stream)
-    bounds = epochs.bounds_from_rows(messages.control_rows(parsed).orderBy("ord").collect())
+    bounds = epochs.bounds_from_rows(messages.control_rows(parsed).filter(F.col("type").isin("SCHEMA", "BATCH"))
+                                     .orderBy("ord").collect())
     bounds_df = epochs.bounds_frame(spark, bounds, parsed.schema["ord"].dataType)
     segmented = epochs.assign_segment(messages.records(parsed), bounds_df, len(bounds))
     current = target
