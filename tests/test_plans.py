@@ -150,7 +150,7 @@ def test_join_path_respects_limit_and_keeps_short_names(parts):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.sampled_from(["a", "b", "a__1", "x" * 62, "x" * 61 + "__1"]), max_size=12))
+@given(st.lists(st.sampled_from(["a", "b", "a__1", "x" * 62, "x" * 60 + "__1"]), max_size=12))
 def test_unique_names_are_unique_and_bounded(names):
     out = naming.unique_names(names)
     assert len(out) == len(names) and len(set(out)) == len(out)
