@@ -138,22 +138,30 @@ class SnapshotTable:
                 current = self.read(touched)
                 if align is not None:
                     current, _ = align(current)
-            merged = flagged_delta if current is None else merge_join(current, delta, keys)
+            # Both sides hash-partitioned by bucket and joined on (bucket, keys):
+            # the join reuses that partitioning and every bucket's rows end in
+            # one task, so the bucketed write needs no second shuffle.
+            d_b = delta.withColumn(BUCKET, bucket_of).repartition(BUCKET)
+            if current is None:
+                merged = d_b.withColumn(T_FLAG, F.lit(False)).withColumn(D_FLAG, F.lit(True))
+            else:
+                c_b = current.withColumn(BUCKET, bucket_of).repartition(BUCKET)
+                merged = merge_join(c_b, d_b, [BUCKET] + list(keys))
         # inserts/updates are counted before the hard delete, rows after it
         tag = uuid.uuid4().hex[:12]
         obs_merge, obs_rows = Observation(f"merge_{version}_{tag}"), Observation(f"rows_{version}_{tag}")
         counted = merged.observe(obs_merge, F.count_if(F.col(D_FLAG) & ~F.col(T_FLAG)).alias("inserts"),
                                  F.count_if(F.col(D_FLAG) & F.col(T_FLAG)).alias("updates"))
         kept = drop_deleted(counted) if hard_delete else counted
-        schema = kept.drop(T_FLAG, D_FLAG).schema
-        bucketed = kept.withColumn(BUCKET, bucket_of if keys else F.lit(0))
+        schema = kept.drop(T_FLAG, D_FLAG, BUCKET).schema
+        bucketed = kept if keys else kept.withColumn(BUCKET, F.lit(0))
         # which buckets get rows is observed while writing (at most `buckets` values)
         observed = bucketed.observe(obs_rows, F.count(F.lit(1)).alias("rows"),
                                     F.collect_set(BUCKET).alias("buckets")).drop(T_FLAG, D_FLAG)
         if keys:
             # (bucket, lookup columns): the writer's sort on the bucket is then
             # already satisfied and keeps the order inside each bucket
-            out = observed.repartition(BUCKET).sortWithinPartitions(BUCKET, *(layout or keys))
+            out = observed.sortWithinPartitions(BUCKET, *(layout or keys))
             writer = out.write.mode("overwrite").partitionBy(BUCKET)
         else:
             out = observed.drop(BUCKET)
@@ -161,13 +169,25 @@ class SnapshotTable:
             writer = out.write.mode("overwrite")
         for col in bloom or []:
             writer = writer.option(f"parquet.bloom.filter.enabled#{col}", "true")
-        writer.parquet(new_root if keys else f"{new_root}/{BUCKET}=0")
+        # Let hash partitioning on the bucket alone serve the join on (bucket, keys)
+        # (Spark otherwise re-shuffles each side on all join keys).
+        conf_key = "spark.sql.requireAllClusterKeysForCoPartition"
+        previous = self.spark.conf.get(conf_key, None)
+        self.spark.conf.set(conf_key, "false")
+        try:
+            writer.parquet(new_root if keys else f"{new_root}/{BUCKET}=0")
+        finally:
+            if previous is None:
+                self.spark.conf.unset(conf_key)
+            else:
+                self.spark.conf.set(conf_key, previous)
         try:
             m = dict(obs_merge.get, **obs_rows.get)
         except Exception:  # AQE replaced an empty stage and dropped a metrics node
             m = merged.agg(F.count_if(F.col(D_FLAG) & ~F.col(T_FLAG)).alias("inserts"),
                            F.count_if(F.col(D_FLAG) & F.col(T_FLAG)).alias("updates")).collect()[0].asDict()
-            rest = (drop_deleted(merged) if hard_delete else merged).withColumn(BUCKET, bucket_of if keys else F.lit(0))
+            rest = drop_deleted(merged) if hard_delete else merged
+            rest = rest if keys else rest.withColumn(BUCKET, F.lit(0))
             m.update(rest.agg(F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("buckets")).collect()[0].asDict())
 
         written = sorted(int(b) for b in m["buckets"])
