@@ -92,7 +92,9 @@ def _summary(parsed: DataFrame) -> list:
 
 def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: LoadOptions = LoadOptions(),
                   load_id: str = "load", now: dt.datetime | None = None, suffix: str | None = None,
-                  stage: bool = True) -> LoadReport:
+                  stage: bool = True, tables: dict[str, SnapshotTable] | None = None) -> LoadReport:
+    """Load one message log into its tables. `tables` keeps table handles (and
+    their ledgers) across calls, e.g. across micro-batches of one stream."""
     configure(spark)
     time_enabled = time_type_enabled(spark)
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -124,7 +126,12 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
 
     for stream in sorted(s for s in set(first_record) | set(by_stream) if s is not None):
         segs = by_stream.get(stream, [])
-        store = SnapshotTable(spark, table_root(warehouse, stream, opts), buckets=opts.buckets)
+        root = table_root(warehouse, stream, opts)
+        store = tables.get(root) if tables is not None else None
+        if store is None:
+            store = SnapshotTable(spark, root, buckets=opts.buckets)
+            if tables is not None:
+                tables[root] = store
         carried = store.head()
         early = stream in first_record and (not segs or first_record[stream] < segs[0]["start"])
         plans: dict[int, tuple[ColumnPlan, dict]] = {}

@@ -69,10 +69,10 @@ def fold_log(spark: SparkSession, msgs: DataFrame, stream: str, opts: LoadOption
                                      .orderBy("ord").collect())
     bounds_df = epochs.bounds_frame(spark, bounds, parsed.schema["ord"].dataType)
     segmented = epochs.assign_segment(messages.records(parsed), bounds_df, len(bounds))
+    if any(b["kind"] == "BATCH" for b in bounds):
+        raise ValueError("fold_log does not read columnar batches; load such logs with sluice.job.load_messages")
     current = target
     for b in bounds:
-        if b["kind"] != "SCHEMA":
-            continue
         plan = build_plan({"stream": stream, "schema": json.loads(b["schema_json"]),
                            "key_properties": list(b["key_properties"] or [])}, opts)
         in_seg = F.col("seg") == b["seg"]
