@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from sluice.functions.naming import split_stream_cols, table_name_col
 
 
+MAPPING_BROADCAST_LIMIT = 100_000
+
+
 def route_streams(parsed: DataFrame, streams: list[str]) -> dict[str, DataFrame]:
     """B1: one filtered frame per stream over the same (persisted) parse."""
     return {s: parsed.filter(F.col("stream") == s) for s in streams}
@@ -26,13 +29,15 @@ def mapping_frame(spark: SparkSession, schema_mapping: dict) -> DataFrame:
 def resolve_targets(streams: DataFrame, mapping: DataFrame, default_target_schema: str | None) -> DataFrame:
     """B2: stream -> catalog, schema segment, table, target schema.
 
-    The mapping is configuration (one row per schema segment), so it is
-    broadcast. Unresolved targets keep a NULL target_schema; the loader
+    The mapping is configuration (one row per schema segment); it is
+    broadcast after checking that it is small. Unresolved targets keep a NULL target_schema; the loader
     raises on them.
     """
     parts = split_stream_cols(F.col("stream"))
     named = streams.select("*", *[c.alias(n) for n, c in parts.items()])
     named = named.withColumn("table_name", table_name_col(F.col("table_segment"))).drop("table_segment")
-    joined = named.join(F.broadcast(mapping), named["schema_name"] == mapping["segment"], "left")
+    small = mapping.limit(MAPPING_BROADCAST_LIMIT + 1).count() <= MAPPING_BROADCAST_LIMIT
+    side = F.broadcast(mapping) if small else mapping
+    joined = named.join(side, named["schema_name"] == mapping["segment"], "left")
     default = F.lit(default_target_schema) if default_target_schema else F.lit(None).cast("string")
     return joined.withColumn("target_schema", F.coalesce(F.col("mapped_schema"), default)).drop("segment", "mapped_schema")

@@ -34,7 +34,8 @@ def fold_bookmarks(states: DataFrame, committed: DataFrame | Column | None) -> D
     elif isinstance(committed, Column):
         eligible = entries.filter(F.col("ord") <= committed)
     else:
-        c = F.broadcast(committed.select(F.col("stream").alias("_cs"), "committed"))
+        # one row per stream; AQE broadcasts it when it proves small
+        c = committed.select(F.col("stream").alias("_cs"), "committed")
         eligible = entries.join(c, F.col("stream") == F.col("_cs"), "left").filter(
             F.col("committed").isNull() | (F.col("ord") <= F.col("committed"))).drop("_cs", "committed")
     return eligible.groupBy("stream").agg(F.max_by("bookmark", "ord").alias("bookmark"))
