@@ -16,6 +16,9 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -60,8 +63,8 @@ def _reject(spark: SparkSession, warehouse: str, violations: DataFrame, opts: Lo
         return 0
     out = violations.select("stream", F.to_json(F.struct("ord")).alias("ord"), "rule", "detail")
     obs_n = out.count()
-    if obs_n:
-        out.write.mode("append").parquet(f"{warehouse.rstrip('/')}/_rejects")
+    if obs_n:  # one directory per write, so concurrent stream loads never share a commit folder
+        out.write.mode("errorifexists").parquet(f"{warehouse.rstrip('/')}/_rejects/write={uuid.uuid4().hex}")
     return obs_n
 
 
@@ -124,7 +127,10 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
     first_record = {r["stream"]: r["first_record"] for r in summary if r["records"]}
     recs = messages.records(parsed)
 
-    for stream in sorted(s for s in set(first_record) | set(by_stream) if s is not None):
+    lock = threading.Lock()
+
+    def load_stream(stream: str) -> None:
+        rejected = 0
         segs = by_stream.get(stream, [])
         root = table_root(warehouse, stream, opts)
         store = tables.get(root) if tables is not None else None
@@ -137,7 +143,7 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
         plans: dict[int, tuple[ColumnPlan, dict]] = {}
         if early:
             if carried is None or not carried.get("schema_message"):
-                report.rejects += _reject(spark, warehouse, checks.check_order(
+                rejected += _reject(spark, warehouse, checks.check_order(
                     recs.filter(F.col("stream") == stream).withColumn("epoch", F.lit(None))
                     .filter(F.col("ord") < epochs.ord_literal(segs[0]["start"], ord_type) if segs else F.lit(True))), opts)
             else:
@@ -156,28 +162,53 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
             epoch = -1 if b is None else b["epoch"]
             if epoch not in plans:
                 if b is not None and b["kind"] == "BATCH":
-                    report.rejects += _reject(spark, warehouse, spark.createDataFrame(
+                    rejected += _reject(spark, warehouse, spark.createDataFrame(
                         [(stream, str(b["start"]), "order", "BATCH before SCHEMA")], REJECT_SCHEMA), opts)
                 continue
             plan, msg = plans[epoch]
             if b is not None and b["kind"] == "BATCH":
-                report.results.append(_load_batch(spark, store, b, plan, msg, opts, f"{load_id}:{stream}:{seg}:batch",
-                                                  now, suffix, time_enabled))
+                _append(_load_batch(spark, store, b, plan, msg, opts, f"{load_id}:{stream}:{seg}:batch",
+                                    now, suffix, time_enabled))
             in_seg = F.col("seg").isNull() if b is None else F.col("seg") == seg
             rows = segmented.filter(in_seg)
             if opts.validate_records:
-                report.rejects += _reject(spark, warehouse, checks.validate_records(rows, json.loads(plan.schema_json), stream), opts)
+                rejected += _reject(spark, warehouse, checks.validate_records(rows, json.loads(plan.schema_json), stream), opts)
             shaped = shape.flatten_records(rows, plan, opts, time_enabled, now=now, guard=in_seg)
             if opts.on_error == "reject":
                 shaped = shaped.persist(StorageLevel.MEMORY_AND_DISK)
                 good, misfit = shape.split_misfits(shaped, stream)
-                report.rejects += _reject(spark, warehouse, misfit, opts)
+                rejected += _reject(spark, warehouse, misfit, opts)
             else:  # misfits and NULL keys already raise inside the projection
                 good = shaped.drop(shape.MISFITS)
             delta = merge.latest_per_key(good, list(plan.key_columns)).drop("ord")
-            report.results.append(_merge_segment(store, delta, plan, opts, f"{load_id}:{stream}:{seg}", suffix,
-                                                 time_enabled, msg, None))
+            _append(_merge_segment(store, delta, plan, opts, f"{load_id}:{stream}:{seg}", suffix,
+                                   time_enabled, msg, None))
             shaped.unpersist()
+        with lock:
+            report.rejects += rejected
+
+    def _append(result: LoadResult) -> None:
+        with lock:
+            report.results.append(result)
+
+    streams = sorted(s for s in set(first_record) | set(by_stream) if s is not None)
+    if opts.parallel_streams > 1 and len(streams) > 1:
+        # streams are independent tables: submit their jobs concurrently
+        conf_key = "spark.sql.requireAllClusterKeysForCoPartition"
+        previous = spark.conf.get(conf_key, None)
+        spark.conf.set(conf_key, "false")  # set once for the load, not toggled per merge
+        try:
+            with ThreadPoolExecutor(max_workers=min(opts.parallel_streams, len(streams))) as pool:
+                for fut in [pool.submit(load_stream, st_name) for st_name in streams]:
+                    fut.result()
+        finally:
+            if previous is None:
+                spark.conf.unset(conf_key)
+            else:
+                spark.conf.set(conf_key, previous)
+    else:
+        for st_name in streams:
+            load_stream(st_name)
 
     # Every stream of the log is committed up to its end: the whole latest state is safe.
     # (A load without STATE messages leaves the published state as it was.)

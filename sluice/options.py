@@ -34,6 +34,8 @@ class LoadOptions:
     # hash buckets of a new table (fixed for its life): size so one bucket is
     # a few hundred MB at the expected table size
     buckets: int = 16
+    # streams of one load merged concurrently (independent tables)
+    parallel_streams: int = 1
 
     @property
     def with_metadata(self) -> bool:

@@ -220,3 +220,21 @@ def test_lookup_layout_and_bucket_option(spark):
         names = [r["name"] for r in spark.read.parquet(*d).collect()]
         assert names == sorted(names)          # rows ordered by the lookup column inside a bucket
     assert store.read().count() == 100
+
+
+def test_streams_load_concurrently(spark):
+    wh = tempfile.mkdtemp()
+    opts = LoadOptions(default_target_schema="public", parallel_streams=3, on_error="reject")
+    lines = []
+    for s in ("public-a", "public-b", "public-c"):
+        lines.append({"type": "SCHEMA", "stream": s, "schema": {"properties": PROPS}, "key_properties": ["id"]})
+    for i in range(60):
+        s = ("public-a", "public-b", "public-c")[i % 3]
+        lines.append({"type": "RECORD", "stream": s, "record": {"id": i % 10, "name": f"{s}-{i}",
+                                                                  "bal": "bad" if i == 59 else i}})
+    report = load_messages(spark, _log(spark, lines), wh, opts, load_id="par", now=NOW)
+    assert report.rejects == 1 and len(report.results) == 3
+    for s in ("public-a", "public-b", "public-c"):
+        t = SnapshotTable(spark, table_root(wh, s, opts)).read()
+        assert t.count() == 10
+    assert spark.read.parquet(f"{wh}/_rejects").count() == 1
