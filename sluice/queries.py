@@ -554,9 +554,16 @@ def q_message_kinds(spark, sf_dir):
     log = e.select(messages.order_key(e, 1, ["ts", "event_id"]).alias("ord"), F.to_json(env).alias("value"))
     parsed = messages.parse_envelopes(log)
     control = messages.control_rows(parsed)
-    bad = checks.check_message_kind(parsed, control).select(F.col("ord").alias("_bo"), "rule")
-    judged = parsed.join(bad, parsed["ord"] == bad["_bo"], "left")
-    return judged.groupBy("type", F.coalesce("rule", F.lit("ok")).alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
+    # per-type totals minus per-type violations: aggregates only, no join on lines
+    totals = parsed.groupBy("type").agg(F.count(F.lit(1)).alias("total"))
+    bad = checks.check_message_kind(parsed, control).select(
+        F.when(F.col("rule") == "encoding", F.lit("BATCH")).otherwise(F.col("detail")).alias("type"), "rule")
+    bad_n = bad.groupBy("type", F.col("rule").alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
+    bad_per_type = bad_n.groupBy("type").agg(F.sum("n").alias("bad"))
+    ok = (totals.join(bad_per_type, "type", "left")
+          .select("type", F.lit("ok").alias("verdict"), (F.col("total") - F.coalesce("bad", F.lit(0))).alias("n"))
+          .filter(F.col("n") > 0))
+    return ok.unionByName(bad_n)
 
 
 SQL_MESSAGE_KINDS = f"""
