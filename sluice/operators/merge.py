@@ -23,13 +23,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str | list[str] = "ord
     if not keys:
         return df
     orders = [order] if isinstance(order, str) else list(order)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(o).desc() for o in orders])
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*[F.col(o).desc() for o in orders])
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def assert_unique(df: DataFrame, keys: list[str]) -> None:
     """S2 with duplicates="fail": a batch may not hold a key twice."""
-    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
+    dup = df.groupBy(*[F.col(f"`{k}`") for k in keys]).count().filter(F.col("count") > 1).limit(1).collect()
     if dup:
         raise DuplicateKeyError(f"key {dup[0].asDict()} appears more than once in one batch")
 

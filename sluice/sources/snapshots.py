@@ -161,7 +161,7 @@ class SnapshotTable:
         if keys:
             # (bucket, lookup columns): the writer's sort on the bucket is then
             # already satisfied and keeps the order inside each bucket
-            out = observed.sortWithinPartitions(BUCKET, *(layout or keys))
+            out = observed.sortWithinPartitions(BUCKET, *[F.col(f"`{c}`") for c in (layout or keys)])
             writer = out.write.mode("overwrite").partitionBy(BUCKET)
         else:
             out = observed.drop(BUCKET)
@@ -225,8 +225,9 @@ def lookup_layout(df: DataFrame, cols: list[str], partitions: int | None = None)
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
-    return ranged.sortWithinPartitions(*cols)
+    refs = [F.col(f"`{c}`") for c in cols]
+    ranged = df.repartitionByRange(partitions, *refs) if partitions else df.repartitionByRange(*refs)
+    return ranged.sortWithinPartitions(*refs)
 
 
 def load_audit(spark: SparkSession, tables: dict[str, str]) -> DataFrame:

@@ -238,3 +238,33 @@ def test_streams_load_concurrently(spark):
         t = SnapshotTable(spark, table_root(wh, s, opts)).read()
         assert t.count() == 10
     assert spark.read.parquet(f"{wh}/_rejects").count() == 1
+
+
+def test_odd_identifiers_round_trip(spark):
+    wh = tempfile.mkdtemp()
+    props = {"order": {"type": "integer", "maximum": 2147483647}, "ünicöde": {"type": ["string", "null"]},
+             "a.b": {"type": ["number", "null"]}, "with space": {"type": ["string", "null"]}}
+    msg = {"type": "SCHEMA", "stream": "public-select", "schema": {"properties": props}, "key_properties": ["order"]}
+    rec = lambda r: {"type": "RECORD", "stream": "public-select", "record": r}
+    lines = [msg, rec({"order": 1, "ünicöde": "café", "a.b": 1.5, "with space": "x"}),
+             rec({"order": 2, "ünicöde": "b", "a.b": 2.5}), rec({"order": 1, "ünicöde": "thé", "a.b": 3.5})]
+    load_messages(spark, _log(spark, lines), wh, OPTS, load_id="odd", now=NOW)
+    load_messages(spark, _log(spark, [msg, rec({"order": 2, "ünicöde": "z", "a.b": None})]), wh, OPTS,
+                  load_id="odd2", now=NOW)
+    t = SnapshotTable(spark, table_root(wh, "public-select", OPTS)).read()
+    got = {r["order"]: (r["ünicöde"], r["a.b"], r["with space"]) for r in t.collect()}
+    assert got == {1: ("thé", 3.5, None), 2: ("z", None, None)}
+
+
+
+def test_dotted_key_column(spark):
+    wh = tempfile.mkdtemp()
+    props = {"k.id": {"type": "integer", "maximum": 2147483647}, "v": {"type": ["string", "null"]}}
+    msg = {"type": "SCHEMA", "stream": "public-dots", "schema": {"properties": props}, "key_properties": ["k.id"]}
+    rec = lambda r: {"type": "RECORD", "stream": "public-dots", "record": r}
+    load_messages(spark, _log(spark, [msg, rec({"k.id": 1, "v": "a"}), rec({"k.id": 1, "v": "b"})]), wh, OPTS,
+                  load_id="d1", now=NOW)
+    load_messages(spark, _log(spark, [msg, rec({"k.id": 2, "v": "c"}), rec({"k.id": 1, "v": "d"})]), wh, OPTS,
+                  load_id="d2", now=NOW)
+    t = SnapshotTable(spark, table_root(wh, "public-dots", OPTS)).read()
+    assert {r["k.id"]: r["v"] for r in t.collect()} == {1: "d", 2: "c"}
