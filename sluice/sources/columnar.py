@@ -9,7 +9,6 @@ Each row carries (_file_ord, _row_ord): manifest position, then row in file.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,11 +22,10 @@ def strip_file_uri(paths: list[str]) -> list[str]:
 
 
 def _open(path: str):
-    import pyarrow.fs as pafs
     import pyarrow.ipc as ipc
 
     if "://" in path:
-        fs, inner = pafs.FileSystem.from_uri(path)
+        fs, inner = _filesystem(path)
         return ipc.open_file(fs.open_input_file(inner))
     return ipc.open_file(path)
 
@@ -98,14 +96,28 @@ def scan_columnar_batches(spark: SparkSession, paths: list[str], first_ordinal:
     return union_promote(frames)
 
 
+def _filesystem(path: str):
+    """(pyarrow filesystem, path inside it); plain paths are local."""
+    import pyarrow.fs as pafs
+
+    if "://" in path:
+        return pafs.FileSystem.from_uri(path)
+    return pafs.LocalFileSystem(), path
+
+
 def remove_sources(paths: list[str]) -> list[str]:
     """Delete loaded files after the commit; a failed delete only warns."""
+    import warnings
+
     failed = []
     for p in strip_file_uri(paths):
         try:
-            os.remove(p)
-        except OSError:
+            fs, inner = _filesystem(p)
+            fs.delete_file(inner)
+        except (OSError, FileNotFoundError):
             failed.append(p)
+    if failed:
+        warnings.warn(f"could not remove {len(failed)} loaded batch file(s), e.g. {failed[0]}")
     return failed
 
 
@@ -121,7 +133,8 @@ def _writer(directory: str):
             return
         path = f"{directory}/part-{uuid.uuid4().hex}.arrow"
         table = pa.Table.from_batches(batches)
-        with ipc.new_file(path, table.schema) as w:
+        fs, inner = _filesystem(path)
+        with fs.open_output_stream(inner) as sink, ipc.new_file(sink, table.schema) as w:
             w.write_table(table)
         yield pa.RecordBatch.from_pydict({"path": [path], "rows": [table.num_rows]})
 
@@ -131,6 +144,7 @@ def _writer(directory: str):
 def write_arrow_files(df: DataFrame, directory: str) -> list[str]:
     """Write each partition of `df` as one Arrow IPC file (a tap's BATCH
     output); returns the manifest, sorted."""
-    os.makedirs(directory, exist_ok=True)
+    fs, inner = _filesystem(directory)
+    fs.create_dir(inner, recursive=True)
     out = df.mapInArrow(_writer(directory), "path string, rows long").collect()
     return sorted(r["path"] for r in out)
