@@ -247,8 +247,9 @@ def load_audit(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
 
 def publish_state(spark: SparkSession, root: str, load_id: str, state: dict | None) -> None:
     """The load's resume state, written after every table of the load."""
-    row = spark.createDataFrame([(load_id, json.dumps(state) if state is not None else None)],
-                                "load_id string, state_json string")
+    committed = dt.datetime.now(dt.timezone.utc).isoformat()
+    row = spark.createDataFrame([(load_id, json.dumps(state) if state is not None else None, committed)],
+                                "load_id string, state_json string, committed_at string")
     try:
         row.coalesce(1).write.mode("errorifexists").json(f"{root}/_loads/load={load_id.replace(':', '_')}")
     except AnalysisException:
@@ -256,10 +257,10 @@ def publish_state(spark: SparkSession, root: str, load_id: str, state: dict | No
 
 
 def latest_state(spark: SparkSession, root: str) -> dict | None:
+    """The state of the most recently committed load (one row per load)."""
     try:
-        rows = spark.read.schema("load_id string, state_json string").json(f"{root}/_loads").collect()
+        latest = (spark.read.schema("load_id string, state_json string, committed_at string").json(f"{root}/_loads")
+                  .agg(F.max_by("state_json", "committed_at").alias("s")).collect())
     except AnalysisException:
         return None
-    if not rows:
-        return None
-    return json.loads(sorted(rows, key=lambda r: r["load_id"])[-1]["state_json"] or "null")
+    return json.loads(latest[0]["s"]) if latest and latest[0]["s"] is not None else None
