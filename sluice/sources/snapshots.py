@@ -55,6 +55,7 @@ class SnapshotTable:
         self.root = root.rstrip("/")
         self.default_buckets = buckets
         self._rows: list[dict] | None = None
+        self._head: dict | None = None
 
     # ------------------------------------------------------------ ledger
     def ledger(self) -> DataFrame | None:
@@ -64,17 +65,25 @@ class SnapshotTable:
             return None
 
     def _entries(self) -> list[dict]:
-        """The ledger, read once per handle (this process is the table's only
-        writer) and extended by merge()."""
+        """A small index of the ledger (version, load id, counts), read once per
+        handle (this process is the table's only writer) and extended by
+        merge(). Manifests and schemas stay in the files; only the head's is
+        read."""
         if self._rows is None:
             led = self.ledger()
             self._rows = [] if led is None else sorted(
-                (r.asDict() for r in led.drop("state_json").collect()), key=lambda r: r["version"])
+                (r.asDict() for r in led.select("version", "load_id", "inserts", "updates", "rows").collect()),
+                key=lambda r: r["version"])
         return self._rows
 
     def head(self) -> dict | None:
         rows = self._entries()
-        return rows[-1] if rows else None
+        if not rows:
+            return None
+        if self._head is None or self._head["version"] != rows[-1]["version"]:
+            version = rows[-1]["version"]  # partition pruning: one ledger file is read
+            self._head = self.ledger().filter(F.col("version") == version).drop("state_json").collect()[0].asDict()
+        return self._head
 
     def find(self, load_id: str) -> dict | None:
         for r in reversed(self._entries()):
@@ -214,7 +223,8 @@ class SnapshotTable:
         }
         row = self.spark.createDataFrame([entry], LEDGER_SCHEMA.replace(", version long", ""))
         row.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_ledger/version={version}")
-        self._entries().append(dict(entry, version=version))
+        self._entries().append({k: entry[k] for k in ("load_id", "inserts", "updates", "rows")} | {"version": version})
+        self._head = dict(entry, version=version)
         return LoadResult(self.root, version, load_id, entry["inserts"], entry["updates"], entry["rows"],
                           buckets_rewritten=len(written))
 
