@@ -22,7 +22,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import checks, epochs, evolve, merge, shape, state
@@ -69,7 +69,8 @@ def _reject(spark: SparkSession, warehouse: str, violations: DataFrame, opts: Lo
 
 
 def _merge_segment(store: SnapshotTable, delta: DataFrame, plan: ColumnPlan, opts: LoadOptions, load_id: str,
-                   suffix: str, time_enabled: bool, schema_message: dict, st: dict | None) -> LoadResult:
+                   suffix: str, time_enabled: bool, schema_message: dict, st: dict | None,
+                   source_bytes: Observation | None = None) -> LoadResult:
     def align(current: DataFrame):
         return evolve.align_to_plan(current, plan, suffix, time_enabled)
 
@@ -77,7 +78,8 @@ def _merge_segment(store: SnapshotTable, delta: DataFrame, plan: ColumnPlan, opt
     # Configured lookup columns order the rows inside each bucket (row-group
     # min/max skipping) and get Parquet bloom filters
     return store.merge(delta, list(plan.key_columns), load_id, align=align, hard_delete=opts.hard_delete,
-                       schema_message=schema_message, layout=layout or None, bloom=layout or None)
+                       schema_message=schema_message, layout=layout or None, bloom=layout or None,
+                       source_bytes=source_bytes)
 
 
 def _summary(parsed: DataFrame) -> list:
@@ -171,6 +173,9 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
                                     now, suffix, time_enabled))
             in_seg = F.col("seg").isNull() if b is None else F.col("seg") == seg
             rows = segmented.filter(in_seg)
+            # Bytes of record text in the segment, counted while the delta is computed
+            source_bytes = Observation(f"bytes_{uuid.uuid4().hex[:12]}")
+            rows = rows.observe(source_bytes, F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("bytes"))
             if opts.validate_records:
                 rejected += _reject(spark, warehouse, checks.validate_records(rows, json.loads(plan.schema_json), stream), opts)
             shaped = shape.flatten_records(rows, plan, opts, time_enabled, now=now, guard=in_seg)
@@ -182,7 +187,7 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
                 good = shaped.drop(shape.MISFITS)
             delta = merge.latest_per_key(good, list(plan.key_columns)).drop("ord")
             _append(_merge_segment(store, delta, plan, opts, f"{load_id}:{stream}:{seg}", suffix,
-                                   time_enabled, msg, None))
+                                   time_enabled, msg, None, source_bytes))
             shaped.unpersist()
         with lock:
             report.rejects += rejected

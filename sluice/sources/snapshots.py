@@ -34,7 +34,7 @@ from sluice.operators.merge import D_FLAG, T_FLAG, drop_deleted, merge_join
 BUCKET = "_bucket"
 DEFAULT_BUCKETS = 16
 LEDGER_SCHEMA = ("load_id string, manifest string, schema_json string, schema_message string, inserts long, "
-                 "updates long, rows long, state_json string, committed_at string, version long")
+                 "updates long, rows long, bytes long, state_json string, committed_at string, version long")
 
 
 @dataclass
@@ -47,6 +47,7 @@ class LoadResult:
     rows: int
     skipped: bool = False
     buckets_rewritten: int = 0
+    bytes: int | None = None
 
 
 class SnapshotTable:
@@ -112,7 +113,7 @@ class SnapshotTable:
     def merge(self, delta: DataFrame, keys: list[str], load_id: str,
               align: Callable[[DataFrame], tuple[DataFrame, list]] | None = None, hard_delete: bool = False,
               schema_message: dict | None = None, layout: list[str] | None = None,
-              bloom: list[str] | None = None) -> LoadResult:
+              bloom: list[str] | None = None, source_bytes: Observation | None = None) -> LoadResult:
         """A4 (+D3/D4/F1/C6): merge `delta` into the table and commit a version."""
         done = self.find(load_id)
         if done is not None:
@@ -218,6 +219,7 @@ class SnapshotTable:
             "inserts": int(m.get("inserts", 0)),
             "updates": int(m.get("updates", 0)),
             "rows": int(m.get("rows", 0)),
+            "bytes": _observed(source_bytes, "bytes"),
             "state_json": None,
             "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
         }
@@ -226,7 +228,17 @@ class SnapshotTable:
         self._entries().append({k: entry[k] for k in ("load_id", "inserts", "updates", "rows")} | {"version": version})
         self._head = dict(entry, version=version)
         return LoadResult(self.root, version, load_id, entry["inserts"], entry["updates"], entry["rows"],
-                          buckets_rewritten=len(written))
+                          buckets_rewritten=len(written), bytes=entry["bytes"])
+
+
+def _observed(obs: Observation | None, name: str) -> int | None:
+    if obs is None:
+        return None
+    try:
+        value = obs.get.get(name)
+    except Exception:  # not executed (an empty stage was skipped)
+        return None
+    return None if value is None else int(value)
 
 
 def lookup_layout(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
@@ -246,9 +258,11 @@ def load_audit(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     for name, root in tables.items():
         led = SnapshotTable(spark, root).ledger()
         if led is not None:
-            frames.append(led.select(F.lit(name).alias("table"), "version", "load_id", "inserts", "updates", "rows"))
+            frames.append(led.select(F.lit(name).alias("table"), "version", "load_id", "inserts", "updates", "rows",
+                                     "bytes"))
     if not frames:
-        return spark.createDataFrame([], "table string, version long, load_id string, inserts long, updates long, rows long")
+        return spark.createDataFrame([], "table string, version long, load_id string, inserts long, updates long, "
+                                         "rows long, bytes long")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -82,6 +82,8 @@ def test_job_upsert_batch_delete_state_and_replay(spark):
     assert report.state == {"bookmarks": {"public-things": {"pos": 7}}}
     assert latest_state(spark, wh) == report.state
     assert not os.path.exists(f1)                      # source removed after the commit
+    record_results = [r for r in report.results if not r.load_id.endswith(":batch")]
+    assert all(r.bytes and r.bytes > 0 for r in record_results)
     versions = SnapshotTable(spark, table_root(wh, "public-things", opts)).ledger().count()
     again = load_messages(spark, _log(spark, lines), wh, opts, load_id="L1", now=NOW)
     assert all(r.skipped for r in again.results)
