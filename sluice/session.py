@@ -19,7 +19,28 @@ _RUNTIME_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make `sluice` importable by Python workers (they run the Arrow/pandas
+    functions of the columnar reader): zip the package once per Spark
+    application into the shared folder and add it with addPyFile."""
+    import shutil
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package_dir = os.path.dirname(os.path.abspath(__file__))
+    target = shared_dir(spark, "pyfiles")
+    archive = shutil.make_archive(os.path.join(target.removeprefix("file:"), "sluice"), "zip",
+                                  root_dir=os.path.dirname(package_dir), base_dir="sluice")
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
+    ship_package(spark)
     for key, value in _RUNTIME_CONF.items():
         spark.conf.set(key, value)
     try:
