@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -23,17 +24,15 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make `sluice` importable by Python workers (they run the Arrow/pandas
-    functions of the columnar reader): zip the package once per Spark
-    application into the shared folder and add it with addPyFile."""
-    import shutil
-
+    """Make `sluice` importable by Python workers: zip the package once per
+    Spark application in the driver's own temp folder and add it with
+    addPyFile (the driver's file server hands it to every executor)."""
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
     package_dir = os.path.dirname(os.path.abspath(__file__))
-    target = shared_dir(spark, "pyfiles")
-    archive = shutil.make_archive(os.path.join(target.removeprefix("file:"), "sluice"), "zip",
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="sluice-py-"))
+    archive = shutil.make_archive(os.path.join(folder, "sluice"), "zip",
                                   root_dir=os.path.dirname(package_dir), base_dir="sluice")
     spark.sparkContext.addPyFile(archive)
     _SHIPPED.add(app)
@@ -74,7 +73,9 @@ def _checkpoint_base(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        # Only when the cluster names no shared folder (local tests).
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        # Only on a local master (tests), where driver and executors are one process.
         base = tempfile.mkdtemp(prefix="sluice-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
