@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.session import shared_dir
@@ -27,3 +27,20 @@ def words(text):
 
 def word_count(text):
     return F.size(words(text)).cast("long")
+
+
+def running_totals(df: DataFrame, order: list, totals: dict[str, str], label: str) -> DataFrame:
+    """Add, for each name -> column in `totals`, the sum of that column over all
+    earlier rows in a total order. Rows are range-partitioned by `order`,
+    written once, and each partition's sum is added up over the partitions, so
+    no task ever sees more than its own range."""
+    ranged = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), label)
+    by_part = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range partition, so this window has as many rows as Spark has partitions.
+    offsets = (ranged.groupBy("_part").agg(*[F.sum(c).alias(f"_{n}") for n, c in totals.items()])
+               .select("_part", *[F.coalesce(F.sum(f"_{n}").over(by_part), F.lit(0)).alias(f"_{n}") for n in totals]))
+    out = ranged.join(offsets, "_part")
+    for n, c in totals.items():
+        out = out.withColumn(n, F.col(f"_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0)))
+    return out.drop("_part", *[f"_{n}" for n in totals])

@@ -34,3 +34,25 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
          {" ".join(f"AND 100 * dup_chars_{n} <= {20 - n} * word_chars" for n in range(5, 11))} AS kept
 FROM b
 """
+
+MIXING = rf"""
+WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+             [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM d GROUP BY source),
+r AS (SELECT *, 2 * source_size AS stop, 2 * source_size / weight AS ratio,
+             coalesce(sum(2 * source_size) OVER w, 0) AS stopped, coalesce(sum(weight) OVER w, 0) AS weight_below,
+             sum(weight) OVER () AS weights, sum(source_size) OVER () AS words
+      FROM s WINDOW w AS (ORDER BY 2 * source_size / weight, source IS NOT NULL, source
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+v AS (SELECT *, (1.5::DOUBLE * words - stopped) / (weights - weight_below) AS level FROM r),
+t AS (SELECT source, source_size,
+             least(stop::DOUBLE, coalesce((SELECT arg_min(level, ratio) FROM v x WHERE x.level <= x.ratio), 0) * weight) AS target
+      FROM v),
+p AS (SELECT d.*, source_size, target, floor(target)::BIGINT AS words,
+             coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (greatest(least(a + size, words) - a, 0) + greatest(least(a + size, words - source_size) - a, 0))::BIGINT AS taken
+FROM p
+"""

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm import oracle
 from sluice.llm.common import table
+from sluice.llm.hilbert import hilbert_shards
+from sluice.llm.mixing import mix
 from sluice.llm.repetition import quality_rules
 
 
@@ -15,6 +17,16 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards(table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_repetition": (op1_repetition, oracle.REPETITION),
+    "op4_hilbert": (op4_hilbert, None),
+    "op7_mixing": (op7_mixing, oracle.MIXING),
 }
