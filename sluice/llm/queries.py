@@ -9,14 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from sluice.llm import oracle
 from sluice.llm.common import table
 from sluice.llm.hilbert import hilbert_shards
+from sluice.llm.langid import identify
 from sluice.llm.mixing import mix
 from sluice.llm.repetition import quality_rules
+from sluice.llm.simhash import near_duplicates
 
 
 def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(table(spark, sf_dir, "documents"))
 
@@ -25,8 +31,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_repetition": (op1_repetition, oracle.REPETITION),
+    "op2_ppm": (op2_ppm, None),
     "op4_hilbert": (op4_hilbert, None),
     "op7_mixing": (op7_mixing, oracle.MIXING),
+    "op10_simhash": (op10_simhash, None),
 }
