@@ -56,3 +56,22 @@ SELECT doc_id, size, source_size, target,
        (greatest(least(a + size, words) - a, 0) + greatest(least(a + size, words - source_size) - a, 0))::BIGINT AS taken
 FROM p
 """
+
+_TOKENS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+DECONTAMINATION = rf"""
+WITH d AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
+i AS (SELECT item_id, {_TOKENS} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p:p + 9], ' ') AS g
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM i WHERE len(w) > 0)),
+grams AS (SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS g
+          FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM windows))),
+m AS (SELECT doc_id, n, p, item_id FROM grams JOIN windows USING (n, g)),
+hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM m) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                 array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids FROM m GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

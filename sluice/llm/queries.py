@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm import oracle
 from sluice.llm.common import table
+from sluice.llm.decontaminate import decontaminate
 from sluice.llm.hilbert import hilbert_shards
 from sluice.llm.langid import identify
 from sluice.llm.mixing import mix
@@ -23,6 +24,11 @@ def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op3_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash", "n_near")
+
+
 def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(table(spark, sf_dir, "documents"))
 
@@ -38,6 +44,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_repetition": (op1_repetition, oracle.REPETITION),
     "op2_ppm": (op2_ppm, None),
+    "op3_index": (op3_index, oracle.DECONTAMINATION),
     "op4_hilbert": (op4_hilbert, None),
     "op7_mixing": (op7_mixing, oracle.MIXING),
     "op10_simhash": (op10_simhash, None),
