@@ -12,6 +12,7 @@ from sluice.llm.decontaminate import decontaminate
 from sluice.llm.hilbert import hilbert_shards
 from sluice.llm.langid import identify
 from sluice.llm.mixing import mix
+from sluice.llm.pii import find_personal_data
 from sluice.llm.repetition import quality_rules
 from sluice.llm.simhash import near_duplicates
 
@@ -33,6 +34,10 @@ def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(table(spark, sf_dir, "documents"))
 
 
+def op5_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_ppm": (op2_ppm, None),
     "op3_index": (op3_index, oracle.DECONTAMINATION),
     "op4_hilbert": (op4_hilbert, None),
+    "op5_boosting": (op5_boosting, None),
     "op7_mixing": (op7_mixing, oracle.MIXING),
     "op10_simhash": (op10_simhash, None),
 }
