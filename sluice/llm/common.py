@@ -44,3 +44,26 @@ def running_totals(df: DataFrame, order: list, totals: dict[str, str], label: st
     for n, c in totals.items():
         out = out.withColumn(n, F.col(f"_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0)))
     return out.drop("_part", *[f"_{n}" for n in totals])
+
+
+def spare(df: DataFrame, name: str) -> str:
+    """`name`, or a variation of it that is not a column of the DataFrame."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def by_row(docs: DataFrame, found: DataFrame, how: str, numbered: bool = False) -> DataFrame:
+    """Join documents with per-document findings on (doc_id, text_hash), NULLs
+    equal. `found` has doc_id, text_hash and columns that docs lacks; with
+    `numbered`, repeated rows meet one finding each."""
+    h, n, d2, h2, n2 = (spare(docs, c) for c in ("text_hash", "row_no", "found_id", "found_hash", "found_no"))
+    left = docs.withColumn(h, F.xxhash64("text"))
+    right = found.withColumnRenamed("doc_id", d2).withColumnRenamed("text_hash", h2)
+    on = F.col("doc_id").eqNullSafe(F.col(d2)) & F.col(h).eqNullSafe(F.col(h2))
+    if numbered:
+        left = left.withColumn(n, F.row_number().over(Window.partitionBy("doc_id", h).orderBy(F.lit(0))))
+        right = right.withColumn(n2, F.row_number().over(Window.partitionBy(d2, h2).orderBy(F.lit(0))))
+        on &= F.col(n) == F.col(n2)
+    return left.join(right, on, how).drop(h, n, d2, h2, n2)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialize
+from sluice.llm.common import by_row, materialize
 from sluice.session import ship_package
 
 WINDOW = 10
@@ -186,3 +186,9 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
                     F.sha2(F.array_join(items_found, ","), 256).alias("items_sha256"),
                     (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
                     F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "text_hash"))
+
+
+def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents, all columns, without any word of an exact benchmark window."""
+    found = decontaminate(docs, items).where("contaminated").select("doc_id", "text_hash").distinct()
+    return by_row(docs, found, "left_anti")

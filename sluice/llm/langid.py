@@ -34,6 +34,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.common import spare
 from sluice.session import ship_package
 
 ORDER = 4
@@ -42,6 +43,8 @@ SLICE = 1 << 20
 MODEL_LIMIT = 256 << 20  # bytes of broadcast model
 POINT = 1 << 16  # fixed-point steps per bit
 UNKNOWN = "und"
+MIN_SCORE = 0.5  # a document is kept if its language is likelier than all others together
+MAX_BITS = 8.0  # and its code is not longer than the bytes themselves
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -201,3 +204,12 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     return (docs.select("doc_id", held_out.alias("held_out"), predict(model, F.col("text"), docs.sparkSession).alias("p"))
             .select("doc_id", "held_out", "p.lang_pred", "p.score", "p.bits"))
+
+
+def known_language(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """The documents, all columns, that are written in a learned language."""
+    ship_package(docs.sparkSession)
+    model = model or fit(docs)
+    p = spare(docs, "language")
+    kept = ((F.col(p)["lang_pred"] != UNKNOWN) & (F.col(p)["score"] >= MIN_SCORE) & (F.col(p)["bits"] <= MAX_BITS))
+    return docs.withColumn(p, predict(model, F.col("text"), docs.sparkSession)).where(kept).drop(p)

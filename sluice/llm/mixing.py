@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialize, running_totals, word_count
+from sluice.llm.common import by_row, materialize, running_totals, spare, word_count, words
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -97,7 +97,7 @@ def schedule(needs: DataFrame, block: int) -> DataFrame:
 def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row per document: size, source size, source target and words taken."""
     source = F.col("source")
-    stream = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+    stream = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count(F.col("text")).alias("size"),
                          F.when(source.isNull(), "").otherwise(F.concat(F.lit("s"), source)).alias("skey"),
                          F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("shuffle"))
     stream = materialize(stream.withColumn("bucket", F.conv(F.substring("shuffle", 1, 3), 16, 10).cast("int")), "sizes")
@@ -110,7 +110,7 @@ def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     offsets = buckets.select("skey", "bucket", F.coalesce(
         F.sum("n").over(ahead(Window.partitionBy("skey").orderBy("bucket"))), F.lit(0)).alias("before"))
     offsets = offsets.join(needs, "skey")
-    inside = Window.partitionBy("skey", "bucket").orderBy("shuffle", "doc_id", "size")
+    inside = Window.partitionBy("skey", "bucket").orderBy("shuffle", "doc_id", "size", "text_hash")
     placed = (stream.join(offsets, ["skey", "bucket"])
               .withColumn("row", F.row_number().over(inside))
               .withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(ahead(inside)), F.lit(0))))
@@ -132,6 +132,25 @@ def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     takes = F.greatest(F.least(F.col("to"), quota) - F.col("from"), F.lit(0))
     return (pieces.join(slots, ["skey", "block"], "left")
             .groupBy("skey", "bucket", "row")
-            .agg(*[F.any_value(c).alias(c) for c in ("doc_id", "size", "source_size", "target")],
+            .agg(*[F.any_value(c).alias(c) for c in ("doc_id", "size", "source_size", "target", "text_hash")],
                  F.coalesce(F.sum(takes), F.lit(0)).cast("long").alias("taken"))
-            .select("doc_id", "size", "source_size", "target", "taken"))
+            .select("doc_id", "size", "source_size", "target", "taken", "text_hash"))
+
+
+def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The documents of the mix, with the columns of docs: one row per pass that
+    takes a document whole, and one cut to its first words (joined by single
+    spaces) where a source's target ends inside it."""
+    size, taken, copy = (spare(docs, c) for c in ("mix_size", "mix_taken", "mix_copy"))
+    plan = mix(docs, block).where("taken > 0").select(
+        "doc_id", "text_hash", F.col("size").alias(size), F.col("taken").alias(taken))
+    rows = by_row(docs, plan, "inner", numbered=True)
+    rows = rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.ceil(F.col(taken) / F.col(size)).cast("int"))))
+    rest = F.col(taken) - (F.col(copy) - 1) * F.col(size)
+    cut = F.when(rest >= F.col(size), F.col("text")).otherwise(
+        F.array_join(F.slice(words(F.col("text")), F.lit(1), rest.cast("int")), " "))
+    rows = rows.withColumn("text", cut)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(rest < F.col(size), F.length("text").cast(docs.schema["n_chars"].dataType))
+                               .otherwise(F.col("n_chars")))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

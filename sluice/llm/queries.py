@@ -39,7 +39,7 @@ def op5_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"))
+    return mix(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

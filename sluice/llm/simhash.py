@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialize
+from sluice.llm.common import by_row, materialize, spare
 from sluice.session import ship_package
 
 SHINGLE = 4
@@ -176,3 +176,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     return (marked.join(nodes.select("fp", "cluster").join(ids, "cluster"), "fp")
             .select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id",
                     hex16(F.col("cluster")).alias("cluster"), "text_hash"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The documents, all columns, that stand for their component: the row with the
+    smallest doc_id, one row if several share it."""
+    found = near_duplicates(docs, shingle, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = found.groupBy("cluster").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    h = spare(docs, "row_hash")
+    kept = by_row(docs, first.select("first.doc_id", "first.text_hash"), "left_semi").withColumn(h, F.xxhash64("text"))
+    return kept.dropDuplicates(["doc_id", h]).drop(h)
