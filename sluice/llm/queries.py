@@ -15,6 +15,7 @@ from sluice.llm.mixing import mix
 from sluice.llm.pii import find_personal_data
 from sluice.llm.repetition import quality_rules
 from sluice.llm.simhash import near_duplicates
+from sluice.llm.substrings import remove_repeats
 
 
 def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +43,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -53,5 +58,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op4_hilbert": (op4_hilbert, None),
     "op5_boosting": (op5_boosting, None),
     "op7_mixing": (op7_mixing, oracle.MIXING),
+    "op9_substrings": (op9_substrings, None),
     "op10_simhash": (op10_simhash, None),
 }
