@@ -12,6 +12,7 @@ from sluice.llm.decontaminate import decontaminate
 from sluice.llm.hilbert import hilbert_shards
 from sluice.llm.langid import identify
 from sluice.llm.mixing import mix
+from sluice.llm.pagetext import extract_pages
 from sluice.llm.pii import find_personal_data
 from sluice.llm.repetition import quality_rules
 from sluice.llm.simhash import near_duplicates
@@ -43,6 +44,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op8_pagetext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op4_hilbert": (op4_hilbert, None),
     "op5_boosting": (op5_boosting, None),
     "op7_mixing": (op7_mixing, oracle.MIXING),
+    "op8_pagetext": (op8_pagetext, None),
     "op9_substrings": (op9_substrings, None),
     "op10_simhash": (op10_simhash, None),
 }
