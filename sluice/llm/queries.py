@@ -15,8 +15,10 @@ from sluice.llm.mixing import mix
 from sluice.llm.pagetext import extract_pages
 from sluice.llm.pii import find_personal_data
 from sluice.llm.repetition import quality_rules
+from sluice.llm.rollup import maintained_totals
 from sluice.llm.simhash import near_duplicates
 from sluice.llm.substrings import remove_repeats
+from sluice.session import shared_dir
 
 
 def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +42,10 @@ def op5_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op6_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintained_totals(table(spark, sf_dir, "documents"), shared_dir(spark, "rollup"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -62,6 +68,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op3_index": (op3_index, oracle.DECONTAMINATION),
     "op4_hilbert": (op4_hilbert, None),
     "op5_boosting": (op5_boosting, None),
+    "op6_rollup": (op6_rollup, None),
     "op7_mixing": (op7_mixing, oracle.MIXING),
     "op8_pagetext": (op8_pagetext, None),
     "op9_substrings": (op9_substrings, None),
