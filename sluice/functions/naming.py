@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sluice.plans.naming import INFLECT_RULES
+from sluice.plans.naming import INFLECT_RULES, PLACE_PARTS
 
 
 def inflect_col(col: Column) -> Column:
@@ -19,13 +19,11 @@ def table_name_col(col: Column) -> Column:
 
 
 def split_stream_cols(stream: Column) -> dict[str, Column]:
-    """stream id -> catalog, schema segment and raw table segment."""
-    seg = F.split(stream, "-")
-    n = F.size(seg)
+    """stream id -> catalog, schema segment and raw table segment (as plans.naming.split_stream)."""
+    parts = F.split(stream, "-")
+    cut = F.least(F.size(parts) - 1, F.lit(PLACE_PARTS))
     return {
-        "catalog_name": F.when(n >= 3, seg.getItem(0)),
-        "schema_name": F.when(n == 2, seg.getItem(0)).when(n >= 3, seg.getItem(1)),
-        "table_segment": F.when(n == 1, seg.getItem(0))
-        .when(n == 2, seg.getItem(1))
-        .otherwise(F.array_join(F.slice(seg, 3, F.greatest(n - 2, F.lit(1))), "_")),
+        "catalog_name": F.when(cut == PLACE_PARTS, parts[0]),
+        "schema_name": F.when(cut > 0, F.get(parts, cut - 1)),
+        "table_segment": F.array_join(F.slice(parts, cut + 1, F.size(parts)), "_"),
     }

@@ -75,14 +75,18 @@ class ColumnPlan:
             )
 
 
-def _leaves(properties: dict, opts: LoadOptions, raw_path=(), col_path=(), level=0):
-    for name, prop in properties.items():
-        segment = naming.inflect(name) if opts.underscore_camel_case_fields else name
-        nested = prop.get("properties") if isinstance(prop, dict) else None
-        if nested and level < opts.data_flattening_max_level and "object" in declared_types(prop):
-            yield from _leaves(nested, opts, raw_path + (name,), col_path + (segment,), level + 1)
+def leaf_paths(properties: dict, depth: int) -> list[tuple[tuple[str, ...], dict]]:
+    """(path, property) of every column, in declared order: objects with declared
+    properties are opened while their path is at most `depth` long."""
+    leaves, pending = [], [((name,), prop) for name, prop in properties.items()]
+    while pending:
+        path, prop = pending.pop(0)
+        inner = prop.get("properties") if isinstance(prop, dict) and "object" in declared_types(prop) else None
+        if inner and len(path) <= depth:
+            pending[:0] = [((*path, name), p) for name, p in inner.items()]
         else:
-            yield raw_path + (name,), col_path + (segment,), prop
+            leaves.append((path, prop))
+    return leaves
 
 
 def build_plan(message: dict, opts: LoadOptions = LoadOptions(), resolve_schema: bool = False) -> ColumnPlan:
@@ -97,7 +101,9 @@ def build_plan(message: dict, opts: LoadOptions = LoadOptions(), resolve_schema:
         properties.update(METADATA_PROPERTIES)
 
     limit = opts.max_identifier_length
-    leaves = [(raw, naming.join_path(list(col), limit), prop) for raw, col, prop in _leaves(properties, opts)]
+    spell = naming.inflect if opts.underscore_camel_case_fields else str
+    leaves = [(path, naming.join_path([spell(part) for part in path], limit), prop)
+              for path, prop in leaf_paths(properties, opts.data_flattening_max_level)]
     leaves.sort(key=lambda leaf: leaf[1])
     unique = naming.unique_names([leaf[1] for leaf in leaves], limit)
     columns = tuple(

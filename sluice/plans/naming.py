@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
 # Separator for flattened paths and the identifier length limit.
@@ -28,68 +29,54 @@ def inflect(name: str) -> str:
 
 
 def initials(segment: str) -> str:
-    """Short form of a path segment: capitals of its camelised words, or its
-    first three characters when that leaves one letter or none."""
-    words = [w for w in re.split(r"[_\-\s]+", segment) if w]
-    caps = [ch for w in words for ch in (w[0].upper() + w[1:]) if ch.isupper()]
-    return "".join(caps) if len(caps) > 1 else segment[:3]
+    """Short form of a path segment: its capitals, with the first character of
+    every word counted as one, if there are at least two; else three characters."""
+    opens = {m.end() - 1 for m in re.finditer(r"(?:^|[_\-\s])[^_\-\s]", segment)}
+    capitals = "".join(filter(str.isupper, "".join(c.upper() if i in opens else c for i, c in enumerate(segment))))
+    return capitals if len(capitals) > 1 else segment[:3]
 
 
 def join_path(parts: list[str], limit: int | None = IDENTIFIER_LIMIT) -> str:
-    """Join path segments; shorten leading segments (never the last) until the
-    name is below the limit, then cut hard."""
-    parts = list(parts)
-    name = SEPARATOR.join(parts)
+    """The path with the fewest leading segments shortened (never the last) that
+    stays below the limit; if none does, the shortest one cut to the limit."""
+    short = [initials(p) for p in parts]
+    spelt = [SEPARATOR.join(short[:k] + list(parts[k:])) for k in range(len(parts))]
     if limit is None:
-        return name
-    shortened = 0
-    while len(name) >= limit and shortened < len(parts) - 1:
-        parts[shortened] = initials(parts[shortened])
-        shortened += 1
-        name = SEPARATOR.join(parts)
-    return name if len(name) < limit else name[:limit]
+        return spelt[0]
+    return next((name for name in spelt if len(name) < limit), spelt[-1][:limit])
 
 
 def unique_names(names: list[str], limit: int | None = IDENTIFIER_LIMIT) -> list[str]:
-    """Give repeated names `__1`, `__2`, ... suffixes in the order given."""
-    counters: dict[str, int] = {}
-    out = []
+    """The names in order, each one already taken replaced by its first free
+    numbered form (`__1`, `__2`, ...) within the limit."""
+    taken: dict[str, None] = {}
     for name in names:
-        if name not in counters:
-            counters[name] = 0
-            out.append(name)
-            continue
-        while True:
-            counters[name] += 1
-            suffix = f"{SEPARATOR}{counters[name]}"
-            head = name if limit is None else name[: limit - len(suffix)]
-            candidate = head + suffix
-            if candidate not in counters:
-                break
-        counters[candidate] = 0
-        out.append(candidate)
-    return out
+        marks = (f"{SEPARATOR}{n}" for n in itertools.count(1))
+        numbered = (name[:None if limit is None else limit - len(mark)] + mark for mark in marks)
+        taken[next(form for form in itertools.chain([name], numbered) if form not in taken)] = None
+    return list(taken)
+
+
+# A stream id is [[catalog-]schema-]table: at most this many leading parts name the place.
+PLACE_PARTS = 2
 
 
 def split_stream(stream: str) -> tuple[str | None, str | None, str]:
     """stream id -> (catalog, schema segment, table segment)."""
-    seg = stream.split("-")
-    if len(seg) == 1:
-        return None, None, seg[0]
-    if len(seg) == 2:
-        return None, seg[0], seg[1]
-    return seg[0], seg[1], "_".join(seg[2:])
+    parts = stream.split("-")
+    cut = min(PLACE_PARTS, len(parts) - 1)
+    catalog, schema = [None] * (PLACE_PARTS - cut) + parts[:cut]
+    return catalog, schema, "_".join(parts[cut:])
 
 
 def table_name(raw: str) -> str:
-    return raw.replace(".", "_").replace("-", "_").lower()
+    return re.sub(r"[.\-]", "_", raw).lower()
 
 
 def target_schema(schema_segment: str | None, default: str | None, mapping: dict) -> str:
-    if schema_segment and schema_segment in (mapping or {}):
-        return mapping[schema_segment]["target_schema"]
-    if default:
-        return default
-    raise TargetSchemaNotFound(
-        f"no target schema for segment {schema_segment!r}: not in schema_mapping and no default_target_schema"
-    )
+    mapped = (mapping or {}).get(schema_segment) or {}
+    found = mapped.get("target_schema") or default
+    if not found:
+        raise TargetSchemaNotFound(f"stream segment {schema_segment!r} has no entry in schema_mapping "
+                                   "and there is no default_target_schema")
+    return found
