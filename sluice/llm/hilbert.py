@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import running_totals
+from sluice.llm.common import materialize, running_totals
 
 SHARDS = 40
 BITS = 5
@@ -97,7 +97,8 @@ def hilbert_shards(docs: DataFrame, shards: int = SHARDS, keep: list[str] | None
     rows = docs.select("doc_id", "source", "lang", (F.octet_length(text) + 16).cast("long").alias("size"),
                        F.crc32(text).alias("text_crc32"),
                        *([F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept")] if keep else []))
-    bounds = {c: depth_bounds(docs.select(c), c) for c in ("source", "lang")}
+    rows = materialize(rows, "metadata")  # texts are read once
+    bounds = {c: depth_bounds(rows.select(c), c) for c in ("source", "lang")}
     rows = rows.withColumn("curve", curve_index([depth_code(F.col("source"), bounds["source"]),
                                                  depth_code(F.col("lang"), bounds["lang"]), size_code(F.col("size"))]))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(BUCKETS)).cast("int"))
@@ -109,7 +110,7 @@ def hilbert_shards(docs: DataFrame, shards: int = SHARDS, keep: list[str] | None
                .select("curve", "bucket", (F.col("before") + F.coalesce(
                    F.sum("n").over(earlier(Window.partitionBy("curve").orderBy("bucket"))), F.lit(0))).alias("before")))
     place = Window.partitionBy("curve", "bucket").orderBy("doc_id", "text_crc32", "size")
-    total = docs.count()
+    total = rows.count()
     ranked = rows.join(offsets, ["curve", "bucket"]).withColumn(
         "rank", F.col("before") + F.row_number().over(place) - 1)
     shard = F.expr(f"rank * {shards} div {max(total, 1)}")
