@@ -1,13 +1,13 @@
 """The load job: a message log -> maintained tables + resume state.
 
-1. read type/stream of every line (light pass) and stage the lines,
-   partitioned by stream, in the shared folder (cuts lineage; executors may
-   be lost);
-2. checks on the whole log in one aggregate (malformed lines, unknown kinds,
-   records before their SCHEMA); details are computed only on failure;
-3. per stream: segments by SCHEMA/BATCH boundaries (broadcast range join),
-   then, in order, one merge per segment: shape -> latest per key -> keyed
-   full outer join against the current snapshot -> hard delete -> publish;
+1. parse every line once and stage the lines, partitioned by stream, in the
+   shared folder (cuts lineage; executors may be lost; removed at the end);
+2. checks on the whole log in one aggregate (malformed or incomplete lines,
+   unknown kinds, records before their SCHEMA), and the log's fingerprint, which
+   names the load and tells a replay from other input; details only on failure;
+3. per stream: segments by SCHEMA/BATCH boundaries, then, in order, one merge
+   per segment: shape -> latest per key -> merge with the buckets it touches ->
+   hard delete -> publish;
 4. the safe state is published after every table of the load.
 Only control messages (SCHEMA/BATCH boundaries) reach the driver.
 """
@@ -15,6 +15,7 @@ Only control messages (SCHEMA/BATCH boundaries) reach the driver.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import threading
 import uuid
@@ -29,11 +30,14 @@ from sluice.operators import checks, epochs, evolve, merge, shape, state
 from sluice.options import LoadOptions
 from sluice.plans import naming
 from sluice.plans.column_plan import ColumnPlan, build_plan
-from sluice.session import configure, shared_dir, time_type_enabled
+from sluice.session import configure, remove_dir, shared_dir, time_type_enabled
 from sluice.sources import columnar, messages
-from sluice.sources.snapshots import LoadResult, SnapshotTable, publish_state
+from sluice.sources.snapshots import LoadResult, SnapshotTable, co_partitioning, folder_name, publish_state
 
-REJECT_SCHEMA = "stream string, ord string, rule string, detail string"
+REJECT_SCHEMA = "stream string, ord string, rule string, detail string, value string"
+
+
+LINE = "_line"  # the source text of a shaped row, kept for its reject
 
 
 @dataclass
@@ -49,27 +53,42 @@ def table_root(warehouse: str, stream: str, opts: LoadOptions) -> str:
     return f"{warehouse.rstrip('/')}/{schema}/{naming.table_name(raw_table)}"
 
 
-def _stage(spark: SparkSession, parsed: DataFrame, stage: bool) -> DataFrame:
-    if not stage:
-        return parsed.persist(StorageLevel.MEMORY_AND_DISK)
+def _stage(spark: SparkSession, parsed: DataFrame) -> tuple[DataFrame, str]:
     path = shared_dir(spark, "stage")
     parsed.write.mode("overwrite").partitionBy("stream").parquet(path)
-    return spark.read.parquet(path)
+    # with the schema given, a numeric-looking stream id stays text
+    return spark.read.schema(parsed.schema).parquet(path), path
+
+
+def rejects_path(warehouse: str) -> str:
+    return f"{warehouse.rstrip('/')}/_rejects"
+
+
+class _Rejects:
+    """Rejected messages of one load. Every check has its own folder under the
+    load's, so a replay writes the same rows over, and never twice."""
+
+    def __init__(self, warehouse: str, load_id: str, opts: LoadOptions):
+        self.root, self.opts = f"{rejects_path(warehouse)}/load={folder_name(load_id)}", opts
 
+    def add(self, check: str, violations: DataFrame) -> int:
+        if self.opts.on_error == "fail":
+            checks.raise_if_any(violations)
+            return 0
+        rows = violations.select("stream", F.to_json(F.struct("ord")).alias("ord"), "rule", "detail", "value")
+        written = Observation(f"rejects_{uuid.uuid4().hex[:12]}")
+        folder = f"{self.root}/check={folder_name(check)}"
+        if rows.limit(1).count() == 0:
+            return 0
+        rows.observe(written, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
+        return int(written.get["n"])
 
-def _reject(spark: SparkSession, warehouse: str, violations: DataFrame, opts: LoadOptions) -> int:
-    if opts.on_error == "fail":
-        checks.raise_if_any(violations)
-        return 0
-    out = violations.select("stream", F.to_json(F.struct("ord")).alias("ord"), "rule", "detail")
-    obs_n = out.count()
-    if obs_n:  # one directory per write, so concurrent stream loads never share a commit folder
-        out.write.mode("errorifexists").parquet(f"{warehouse.rstrip('/')}/_rejects/write={uuid.uuid4().hex}")
-    return obs_n
+    def add_one(self, spark: SparkSession, check: str, stream: str, order, rule: str, detail: str) -> int:
+        return self.add(check, spark.createDataFrame([(stream, str(order), rule, detail, None)], REJECT_SCHEMA))
 
 
 def _merge_segment(store: SnapshotTable, delta: DataFrame, plan: ColumnPlan, opts: LoadOptions, load_id: str,
-                   suffix: str, time_enabled: bool, schema_message: dict, st: dict | None,
+                   suffix: str, time_enabled: bool, schema_message: dict, source: str,
                    source_bytes: Observation | None = None) -> LoadResult:
     def align(current: DataFrame):
         return evolve.align_to_plan(current, plan, suffix, time_enabled)
@@ -79,170 +98,221 @@ def _merge_segment(store: SnapshotTable, delta: DataFrame, plan: ColumnPlan, opt
     # min/max skipping) and get Parquet bloom filters
     return store.merge(delta, list(plan.key_columns), load_id, align=align, hard_delete=opts.hard_delete,
                        schema_message=schema_message, layout=layout or None, bloom=layout or None,
-                       source_bytes=source_bytes)
+                       source_bytes=source_bytes, source=source)
 
 
 def _summary(parsed: DataFrame) -> list:
     """One aggregate over the whole log: per stream, the first RECORD position
-    and the counts the checks need (C2, C3, C5). Streams are few."""
+    the counts the checks need (B1, C2, C3, C5), and what identifies its lines.
+    Streams are few."""
     return parsed.groupBy("stream").agg(
-        F.min(F.when(F.col("type") == "RECORD", F.col("ord"))).alias("first_record"),
-        F.count_if(F.col("type") == "RECORD").alias("records"),
-        F.count_if(F.col("malformed")).alias("malformed"),
+        F.min(F.when((F.col("type") == "RECORD") & ~F.col("incomplete"), F.col("ord"))).alias("first_record"),
+        F.count_if((F.col("type") == "RECORD") & ~F.col("incomplete")).alias("records"),
+        F.count_if(F.col("malformed") | F.col("incomplete")).alias("malformed"),
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.xxhash64("value").cast("decimal(38,0)")).alias("digest"),
         F.count_if(F.col("type") == "STATE").alias("states"),
         F.count_if(~F.col("malformed") & (F.col("type").isNull() | ~F.col("type").isin(messages.MESSAGE_TYPES)))
         .alias("unknown"),
     ).collect()
 
 
+def _fingerprint(summary: list) -> str:
+    """Identifies the lines of a log, whatever their partitioning."""
+    rows = sorted((r["stream"] or "", r["lines"], str(r["digest"])) for r in summary)
+    return hashlib.sha256(json.dumps(rows).encode()).hexdigest()[:24]
+
+
 def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: LoadOptions = LoadOptions(),
-                  load_id: str = "load", now: dt.datetime | None = None, suffix: str | None = None,
+                  load_id: str | None = None, now: dt.datetime | None = None, suffix: str | None = None,
                   stage: bool = True, tables: dict[str, SnapshotTable] | None = None) -> LoadReport:
-    """Load one message log into its tables. `tables` keeps table handles (and
-    their ledgers) across calls, e.g. across micro-batches of one stream."""
+    """Load one message log into its tables. Without a `load_id` the load is named
+    after its lines, so the same lines load once. A given id that was used for
+    other lines is an error. `tables` keeps table handles (and their ledgers)
+    across calls, e.g. across micro-batches of one stream."""
     configure(spark)
-    time_enabled = time_type_enabled(spark)
-    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    suffix = suffix or now.strftime("%Y%m%d_%H%M")
-    report = LoadReport()
-
-    parsed = _stage(spark, messages.parse_envelopes(msgs), stage)
-    ord_type = parsed.schema["ord"].dataType
-
-    # checks over the whole log in one aggregate; details only when needed
-    summary = _summary(parsed)
-    if any(r["malformed"] or r["unknown"] for r in summary):
-        bad = checks.reject_malformed(parsed).unionByName(checks.check_message_kind(parsed, messages.control_rows(parsed)))
-        report.rejects += _reject(spark, warehouse, bad, opts)
-    # only boundary messages reach the driver (STATE rows can be many; they are folded on executors)
-    control = (messages.control_rows(parsed).filter(F.col("type").isin("SCHEMA", "BATCH"))
-               .orderBy("ord").collect())
-    wrong_encoding = [r for r in control if r["type"] == "BATCH" and r["encoding"] != messages.BATCH_ENCODING]
-    if wrong_encoding:
-        r = wrong_encoding[0]
-        report.rejects += _reject(spark, warehouse, spark.createDataFrame(
-            [(r["stream"], str(r["ord"]), "encoding", str(r["encoding"]))], REJECT_SCHEMA), opts)
-    bounds = [b for b in epochs.bounds_from_rows(control) if not (b["kind"] == "BATCH" and b["encoding"] != messages.BATCH_ENCODING)]
-    by_stream: dict[str, list] = {}
-    for b in bounds:
-        by_stream.setdefault(b["stream"], []).append(b)
-    first_record = {r["stream"]: r["first_record"] for r in summary if r["records"]}
-    recs = messages.records(parsed)
-
-    lock = threading.Lock()
-
-    def load_stream(stream: str) -> None:
-        rejected = 0
-        segs = by_stream.get(stream, [])
-        root = table_root(warehouse, stream, opts)
-        store = tables.get(root) if tables is not None else None
-        if store is None:
-            store = SnapshotTable(spark, root, buckets=opts.buckets)
-            if tables is not None:
-                tables[root] = store
-        carried = store.head()
-        early = stream in first_record and (not segs or first_record[stream] < segs[0]["start"])
+    parsed, staged = messages.parse_envelopes(msgs), None
+    if stage:
+        parsed, staged = _stage(spark, parsed)
+    else:
+        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _Load(spark, parsed, warehouse, opts, load_id, now, suffix, tables).run()
+    finally:
+        if staged is None:
+            parsed.unpersist()
+        else:
+            remove_dir(spark, staged)
+
+
+class _Load:
+    def __init__(self, spark, parsed, warehouse, opts, load_id, now, suffix, tables):
+        self.spark, self.parsed, self.warehouse, self.opts = spark, parsed, warehouse, opts
+        self.time_enabled = time_type_enabled(spark)
+        self.now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        self.suffix = suffix or self.now.strftime("%Y%m%d_%H%M")
+        self.tables = {} if tables is None else tables
+        self.summary = _summary(parsed)
+        self.source = _fingerprint(self.summary)
+        self.load_id = load_id or f"load-{self.source}"
+        self.rejects = _Rejects(warehouse, self.load_id, opts)
+        self.report, self.lock = LoadReport(), threading.Lock()
+        self.ord_type = parsed.schema["ord"].dataType
+        self.records = messages.records(parsed)
+
+    def run(self) -> LoadReport:
+        by_stream: dict[str, list] = {}
+        for b in self._boundaries():
+            by_stream.setdefault(b["stream"], []).append(b)
+        first_record = {r["stream"]: r["first_record"] for r in self.summary if r["records"]}
+        streams = sorted(set(first_record) | set(by_stream))
+        load = lambda s: self._stream(s, by_stream.get(s, []), first_record.get(s))
+        if self.opts.parallel_streams > 1 and len(streams) > 1:
+            # streams are independent tables: submit their jobs concurrently; the setting
+            # is made once for the load, so that concurrent merges do not toggle it
+            with co_partitioning(self.spark), ThreadPoolExecutor(min(self.opts.parallel_streams, len(streams))) as pool:
+                for done in [pool.submit(load, s) for s in streams]:
+                    done.result()
+        else:
+            for s in streams:
+                load(s)
+        # Every stream of the log is committed up to its end: the last state is safe whole.
+        # (A load without STATE messages leaves the published state as it was.)
+        if any(r["states"] for r in self.summary):
+            self.report.state = state.latest_state_document(state.state_rows(messages.control_rows(self.parsed)))
+            publish_state(self.spark, self.warehouse.rstrip("/"), self.load_id, self.report.state)
+        return self.report
+
+    def _count(self, rejected: int) -> None:
+        with self.lock:
+            self.report.rejects += rejected
+
+    def _done(self, result: LoadResult) -> None:
+        with self.lock:
+            self.report.results.append(result)
+
+    def _boundaries(self) -> list[dict]:
+        """Checks of the whole log; then its SCHEMA and BATCH boundaries (the only rows
+        that reach the driver; STATE rows can be many and are folded on executors)."""
+        control = messages.control_rows(self.parsed)
+        if any(r["malformed"] or r["unknown"] for r in self.summary):
+            bad = checks.reject_malformed(self.parsed).unionByName(checks.check_envelope(self.parsed)).unionByName(
+                checks.check_message_kind(self.parsed, control))
+            self._count(self.rejects.add("lines", bad))
+        rows = control.filter(F.col("type").isin("SCHEMA", "BATCH")).orderBy("ord").collect()
+        wrong = [r for r in rows if r["type"] == "BATCH" and r["encoding"] != messages.BATCH_ENCODING]
+        if wrong and not any(r["malformed"] or r["unknown"] for r in self.summary):  # else reported above
+            self._count(self.rejects.add("lines", checks.check_message_kind(self.parsed, control)))
+        return epochs.bounds_from_rows([r for r in rows if r not in wrong])
+
+    def _store(self, stream: str) -> SnapshotTable:
+        root = table_root(self.warehouse, stream, self.opts)
+        with self.lock:
+            if root not in self.tables:
+                self.tables[root] = SnapshotTable(self.spark, root, buckets=self.opts.buckets)
+            return self.tables[root]
+
+    def _stream(self, stream: str, segs: list[dict], first_record) -> None:
+        """The stream's segments in order. Records before its first SCHEMA of this log
+        take the SCHEMA that the table was last loaded with, if there is one."""
+        store = self._store(stream)
+        rows = self.records.filter(F.col("stream") == stream)
+        rows = epochs.assign_stream_segment(rows, segs, self.ord_type)
         plans: dict[int, tuple[ColumnPlan, dict]] = {}
-        if early:
-            if carried is None or not carried.get("schema_message"):
-                rejected += _reject(spark, warehouse, checks.check_order(
-                    recs.filter(F.col("stream") == stream).withColumn("epoch", F.lit(None))
-                    .filter(F.col("ord") < epochs.ord_literal(segs[0]["start"], ord_type) if segs else F.lit(True))), opts)
+        todo: list[tuple[int, dict | None]] = [(b["seg"], b) for b in segs]
+        if first_record is not None and (not segs or first_record < segs[0]["start"]):
+            carried = (store.head() or {}).get("schema_message")
+            if carried:
+                plans[-1] = (build_plan(json.loads(carried), self.opts), json.loads(carried))
+                todo.insert(0, (-1, None))
             else:
-                msg = json.loads(carried["schema_message"])
-                plans[-1] = (build_plan(msg, opts), msg)
+                self._count(self.rejects.add(f"{stream}:order", checks.check_order(rows.filter(F.col("seg").isNull()))))
         for b in segs:
             if b["kind"] == "SCHEMA":
                 msg = {"stream": stream, "schema": json.loads(b["schema_json"] or "{}"),
                        "key_properties": list(b["key_properties"] or [])}
-                plans[b["epoch"]] = (build_plan(msg, opts), msg)
-        stream_recs = recs.filter(F.col("stream") == stream)
-        segmented = epochs.assign_segment(stream_recs, epochs.bounds_frame(spark, segs, ord_type), len(segs)) if segs \
-            else stream_recs.withColumn("seg", F.lit(None).cast("long")).withColumn("epoch", F.lit(None).cast("long"))
-        order = ([(-1, None)] if -1 in plans else []) + [(b["seg"], b) for b in segs]
-        for seg, b in order:
+                plans[b["epoch"]] = (build_plan(msg, self.opts), msg)
+        counts = {r[0]: r[1] for r in rows.groupBy("seg").count().collect()} if len(todo) > 1 else None
+        for seg, b in todo:
             epoch = -1 if b is None else b["epoch"]
             if epoch not in plans:
-                if b is not None and b["kind"] == "BATCH":
-                    rejected += _reject(spark, warehouse, spark.createDataFrame(
-                        [(stream, str(b["start"]), "order", "BATCH before SCHEMA")], REJECT_SCHEMA), opts)
+                if b["kind"] == "BATCH":
+                    self._count(self.rejects.add_one(self.spark, f"{stream}:{seg}:order", stream, b["start"], "order", "BATCH before SCHEMA"))
                 continue
             plan, msg = plans[epoch]
             if b is not None and b["kind"] == "BATCH":
-                _append(_load_batch(spark, store, b, plan, msg, opts, f"{load_id}:{stream}:{seg}:batch",
-                                    now, suffix, time_enabled))
-            in_seg = F.col("seg").isNull() if b is None else F.col("seg") == seg
-            rows = segmented.filter(in_seg)
-            # Bytes of record text in the segment, counted while the delta is computed
-            source_bytes = Observation(f"bytes_{uuid.uuid4().hex[:12]}")
-            rows = rows.observe(source_bytes, F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("bytes"))
-            if opts.validate_records:
-                rejected += _reject(spark, warehouse, checks.validate_records(rows, json.loads(plan.schema_json), stream), opts)
-            shaped = shape.flatten_records(rows, plan, opts, time_enabled, now=now, guard=in_seg)
-            if opts.on_error == "reject":
-                shaped = shaped.persist(StorageLevel.MEMORY_AND_DISK)
-                good, misfit = shape.split_misfits(shaped, stream)
-                rejected += _reject(spark, warehouse, misfit, opts)
-            else:  # misfits and NULL keys already raise inside the projection
-                good = shaped.drop(shape.MISFITS)
-            delta = merge.latest_per_key(good, list(plan.key_columns)).drop("ord")
-            _append(_merge_segment(store, delta, plan, opts, f"{load_id}:{stream}:{seg}", suffix,
-                                   time_enabled, msg, None, source_bytes))
-            shaped.unpersist()
-        with lock:
-            report.rejects += rejected
-
-    def _append(result: LoadResult) -> None:
-        with lock:
-            report.results.append(result)
-
-    streams = sorted(s for s in set(first_record) | set(by_stream) if s is not None)
-    if opts.parallel_streams > 1 and len(streams) > 1:
-        # streams are independent tables: submit their jobs concurrently
-        conf_key = "spark.sql.requireAllClusterKeysForCoPartition"
-        previous = spark.conf.get(conf_key, None)
-        spark.conf.set(conf_key, "false")  # set once for the load, not toggled per merge
-        try:
-            with ThreadPoolExecutor(max_workers=min(opts.parallel_streams, len(streams))) as pool:
-                for fut in [pool.submit(load_stream, st_name) for st_name in streams]:
-                    fut.result()
-        finally:
-            if previous is None:
-                spark.conf.unset(conf_key)
-            else:
-                spark.conf.set(conf_key, previous)
-    else:
-        for st_name in streams:
-            load_stream(st_name)
-
-    # Every stream of the log is committed up to its end: the whole latest state is safe.
-    # (A load without STATE messages leaves the published state as it was.)
-    if any(r["states"] for r in summary):
-        report.state = state.safe_state(state.state_rows(messages.control_rows(parsed)), None)
-        publish_state(spark, f"{warehouse.rstrip('/')}", load_id, report.state)
-    if not stage:
-        parsed.unpersist()
-    return report
-
-
-def _load_batch(spark, store: SnapshotTable, b, plan: ColumnPlan, msg: dict, opts: LoadOptions, load_id: str,
-                now, suffix: str, time_enabled: bool) -> LoadResult:
-    """BATCH segment: Arrow files -> present columns -> latest per key -> partial merge."""
-    plan.check_batch_compatible()
-    done = store.find(load_id)
-    if done is not None:  # replayed: committed before, its files may be gone
-        return LoadResult(store.root, done["version"], load_id, done["inserts"], done["updates"], done["rows"], True)
-    paths = list(b["manifest"] or [])
-    raw = columnar.scan_columnar_batches(spark, paths)
-    raw = raw.withColumn("ord", F.struct(F.col(columnar.FILE_ORD), F.col(columnar.ROW_ORD)))
-    present = shape.select_present(raw, plan, time_enabled, opts.on_error)
-    present = shape.batch_constants(present, plan, now)
-    good = present.drop(shape.MISFITS)
-    keys = list(plan.key_columns)
-    if keys and opts.duplicates == "fail":
-        merge.assert_unique(good, keys)
-    delta = merge.latest_per_key(good, keys).drop("ord")
-    result = _merge_segment(store, delta, plan, opts, load_id, suffix, time_enabled, msg, None)
-    if not result.skipped:
-        columnar.remove_sources(paths)
-    return result
+                self._batch(store, b, plan, msg, f"{self.load_id}:{stream}:{seg}:batch")
+            if counts is None or counts.get(None if b is None else seg) or self._changes(store, plan):
+                in_seg = F.col("seg").isNull() if b is None else F.col("seg") == seg
+                self._records(store, rows.filter(in_seg), in_seg, plan, msg, f"{self.load_id}:{stream}:{seg}")
+
+    def _changes(self, store: SnapshotTable, plan: ColumnPlan) -> bool:
+        """Does an empty segment still change the table: create it, or its columns (D5)?"""
+        current = store.read()
+        if current is None:
+            return True
+        diff = evolve.diff_columns(evolve.plan_frame(self.spark, plan.table, plan, self.time_enabled),
+                                   evolve.existing_frame(self.spark, plan.table, current.schema))
+        return diff.filter("status <> 'same'").limit(1).count() > 0
+
+    def _records(self, store, rows: DataFrame, in_seg, plan: ColumnPlan, msg: dict, load_id: str) -> None:
+        done = store.replayed(load_id, self.source)
+        if done is not None:
+            self._done(done)
+            return
+        held = []
+        # Bytes of record text in the segment, counted while the delta is computed
+        source_bytes = Observation(f"bytes_{uuid.uuid4().hex[:12]}")
+        rows = rows.observe(source_bytes, F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("bytes"))
+        if self.opts.validate_records:
+            marked = checks.mark_invalid(rows, json.loads(plan.schema_json))
+            if self.opts.on_error == "reject":
+                held.append(marked := marked.persist(StorageLevel.MEMORY_AND_DISK))
+            self._count(self.rejects.add(f"{load_id}:rules", checks.rule_violations(marked, plan.stream)))
+            rows = marked.filter(F.col("_failed") == "").drop("_failed")
+        if self.opts.on_error == "reject":
+            shaped = shape.flatten_records(rows.withColumn(LINE, F.col("value")), plan, self.opts, self.time_enabled, now=self.now,
+                                           keep=("ord", LINE), guard=in_seg).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(shaped)
+            good, misfit = shape.split_misfits(shaped, plan.stream, LINE)
+            self._count(self.rejects.add(f"{load_id}:values", misfit))
+        else:  # misfits and NULL keys already raise inside the projection
+            good = shape.flatten_records(rows, plan, self.opts, self.time_enabled, now=self.now, guard=in_seg).drop(shape.MISFITS)
+        delta = merge.latest_per_key(good, list(plan.key_columns)).drop("ord")
+        self._done(_merge_segment(store, delta, plan, self.opts, load_id, self.suffix, self.time_enabled, msg, self.source, source_bytes))
+        for frame in held:
+            frame.unpersist()
+
+    def _batch(self, store: SnapshotTable, b: dict, plan: ColumnPlan, msg: dict, load_id: str) -> None:
+        """BATCH segment: Arrow files -> present columns -> latest per key -> partial
+        merge. Each file group is cast to the plan before the groups meet, so no
+        value passes through another group's type. The files are removed only
+        after a commit that took every row."""
+        plan.check_batch_compatible()
+        done = store.replayed(load_id, self.source)
+        if done is not None:  # committed before, its files may be gone
+            self._done(done)
+            return
+        paths, groups = list(b["manifest"] or []), []
+        for raw in columnar.scan_columnar_groups(self.spark, paths):
+            raw = raw.withColumn("ord", F.struct(F.col(columnar.FILE_ORD), F.col(columnar.ROW_ORD)))
+            groups.append(shape.select_present(raw, plan, self.time_enabled, self.opts.on_error))
+        present = merge.union_promote(groups)
+        rejected = 0
+        if self.opts.on_error == "reject":
+            present = present.persist(StorageLevel.MEMORY_AND_DISK)
+            good, misfit = shape.split_misfits(present, plan.stream)
+            rejected = self.rejects.add(f"{load_id}:values", misfit)
+            self._count(rejected)
+        else:
+            good = present.drop(shape.MISFITS)
+        good = shape.batch_constants(good, plan, self.now)
+        keys = list(plan.key_columns)
+        if keys and self.opts.duplicates == "fail":
+            merge.assert_unique(good, keys)
+        delta = merge.latest_per_key(good, keys).drop("ord")
+        result = _merge_segment(store, delta, plan, self.opts, load_id, self.suffix, self.time_enabled, msg, self.source)
+        present.unpersist()
+        self._done(result)
+        if not rejected:
+            columnar.remove_sources(paths)

@@ -1,5 +1,5 @@
 """Checks that find bad messages. Each returns violations
-DataFrame[stream, ord, rule, detail]; the loader fails or routes them."""
+DataFrame[stream, ord, rule, detail, value]; the loader fails or routes them."""
 
 from __future__ import annotations
 
@@ -18,15 +18,22 @@ class LoadError(RuntimeError):
 
 
 def _violations(df: DataFrame, rule: str, detail: Column) -> DataFrame:
-    stream = F.col("stream") if "stream" in df.columns else F.lit(None).cast("string")
-    return df.select(stream.alias("stream"), "ord", F.lit(rule).alias("rule"), detail.cast("string").alias("detail"))
+    given = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
+    return df.select(given("stream").alias("stream"), "ord", F.lit(rule).alias("rule"), detail.cast("string").alias("detail"),
+                     given("value").alias("value"))
 
 
 def reject_malformed(parsed: DataFrame) -> DataFrame:
-    """Lines that are not JSON."""
+    """Lines that are not one JSON object."""
     return _violations(parsed.filter("malformed"), "malformed", F.col("raw"))
 
 
+def check_envelope(parsed: DataFrame) -> DataFrame:
+    """B1: SCHEMA, RECORD or BATCH without a stream, or RECORD without a record object."""
+    missing = F.when(F.col("stream").isNull(), "stream").otherwise("record")
+    return _violations(parsed.filter("incomplete"), "envelope", missing)
+
+
 def check_message_kind(parsed: DataFrame, control: DataFrame) -> DataFrame:
     """Unknown message types, and columnar batches in another encoding."""
     unknown = parsed.filter(~F.col("malformed") & (F.col("type").isNull() | ~F.col("type").isin(MESSAGE_TYPES)))
@@ -40,18 +47,6 @@ def check_order(segmented: DataFrame) -> DataFrame:
     return _violations(segmented.filter(F.col("epoch").isNull() | (F.col("epoch") < 0)), "order", F.lit("no schema yet"))
 
 
-def check_keys(shaped: DataFrame, keys: list[str], stream: str) -> DataFrame:
-    """C4: NULL in any key column."""
-    if not keys:
-        return shaped.limit(0).select(F.lit(stream).alias("stream"), "ord", F.lit("key").alias("rule"),
-                                      F.lit(None).cast("string").alias("detail"))
-    bad = F.lit(False)
-    for k in keys:
-        bad = bad | F.col(k).isNull()
-    return shaped.filter(bad).select(F.lit(stream).alias("stream"), "ord", F.lit("key").alias("rule"),
-                                     F.lit(",".join(keys)).alias("detail"))
-
-
 def raise_if_any(violations: DataFrame) -> None:
     first = violations.limit(1).collect()
     if first:
@@ -77,10 +72,18 @@ _TYPE_TESTS = {
     "number": lambda t: t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") | t.startswith("DECIMAL"),
     "integer": lambda t: t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"),
 }
+_HOUR = r"([01][0-9]|2[0-3]):[0-5][0-9]:([0-5][0-9]|60)(\.[0-9]+)?"
+_ZONE = r"([Zz]|[+-]([01][0-9]|2[0-3]):[0-5][0-9])"
+_OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_LABEL = r"[A-Za-z0-9]([A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
 _FORMATS = {
-    "date-time": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})$",
+    "date-time": rf"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[Tt ]{_HOUR}{_ZONE}$",
     "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
-    "time": r"^[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})?$",
+    "time": rf"^{_HOUR}{_ZONE}?$",
+    "email": r"@",
+    "ipv4": rf"^{_OCTET}(\.{_OCTET}){{3}}$",
+    "hostname": rf"^(?=.{{1,253}}$){_LABEL}(\.{_LABEL})*$",
+    "uuid": r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
 }
 
 
@@ -100,6 +103,22 @@ def _type_ok(sub: Column, types: list[str]) -> Column:
     return ok
 
 
+def _is_number(value) -> bool:
+    return isinstance(value, (int, float)) and not isinstance(value, bool)
+
+
+def _equals_any(sub: Column, is_num: Column, num: Column, dbl: Column, values: list) -> Column:
+    """Numbers compare by value (1, 1.0 and 1e0 are equal), everything else as canonical JSON."""
+    out = F.lit(False)
+    for v in values:
+        if _is_number(v):
+            exact = F.lit(str(v)).try_cast("decimal(38,18)")
+            out = out | (is_num & F.coalesce(num == exact, dbl == F.lit(float(v))))
+        else:
+            out = out | (F.to_json(sub) == _canon(v))
+    return F.coalesce(out, F.lit(False))
+
+
 def compile_rules(schema: dict, record: Column, path: tuple[str, ...] = ()) -> list[tuple[str, str, Column]]:
     """JSON Schema keywords -> [(rule, path, violation predicate)]."""
     unknown = set(schema) - SUPPORTED - ANNOTATIONS
@@ -122,9 +141,9 @@ def compile_rules(schema: dict, record: Column, path: tuple[str, ...] = ()) -> l
         types = [schema["type"]] if isinstance(schema["type"], str) else list(schema["type"])
         add("type", ~_type_ok(sub, types))
     if "enum" in schema:
-        add("enum", ~F.to_json(sub).isin([_canon(v) for v in schema["enum"]]))
+        add("enum", ~_equals_any(sub, is_num, num, dbl, schema["enum"]))
     if "const" in schema:
-        add("const", F.to_json(sub) != _canon(schema["const"]))
+        add("const", ~_equals_any(sub, is_num, num, dbl, [schema["const"]]))
     for kw, op in (("minimum", "lt"), ("maximum", "gt"), ("exclusiveMinimum", "le"), ("exclusiveMaximum", "ge")):
         if kw in schema:
             bound = schema[kw]
@@ -133,14 +152,15 @@ def compile_rules(schema: dict, record: Column, path: tuple[str, ...] = ()) -> l
             add(kw, is_num & F.coalesce(cmp(num), cmp(dbl)))
     if "multipleOf" in schema:
         step = F.lit(str(schema["multipleOf"])).cast("decimal(38,18)")
-        add("multipleOf", is_num & ((num % step) != 0))
+        # a number beyond the decimal range cannot be divided exactly: that is an error, not a pass
+        add("multipleOf", is_num & (num.isNull() | ((num % step) != 0)))
     if "minLength" in schema:
         add("minLength", is_str & (F.char_length(txt) < schema["minLength"]))
     if "maxLength" in schema:
         add("maxLength", is_str & (F.char_length(txt) > schema["maxLength"]))
     if "pattern" in schema:
         add("pattern", is_str & ~txt.rlike(schema["pattern"]))
-    if schema.get("format") in _FORMATS:
+    if schema.get("format") in _FORMATS:  # JSON Schema: a format that is not known only annotates
         fmt = schema["format"]
         parsed_ok = txt.rlike(_FORMATS[fmt])
         if fmt == "date-time":
@@ -161,6 +181,14 @@ def compile_rules(schema: dict, record: Column, path: tuple[str, ...] = ()) -> l
         if "type" in item:
             itypes = [item["type"]] if isinstance(item["type"], str) else list(item["type"])
             add("items", ~F.forall(items, lambda x: _type_ok(x, itypes)))
+    if isinstance(schema.get("items"), list):  # one schema per position
+        for i, item in enumerate(schema["items"]):
+            extra = set(item) - {"type"} - ANNOTATIONS
+            if extra:
+                raise PlanError(f"validation of array items supports only 'type', found {sorted(extra)} at {where}")
+            if "type" in item:
+                itypes = [item["type"]] if isinstance(item["type"], str) else list(item["type"])
+                add("items", (F.size(items) > i) & ~_type_ok(F.get(items, F.lit(i)), itypes))
     obj = F.schema_of_variant(sub).startswith("OBJECT")
     for name in schema.get("required", []) or []:
         missing = F.variant_get(record, variant_path(path + (name,)), "variant").isNull()
@@ -178,20 +206,30 @@ def compile_rules(schema: dict, record: Column, path: tuple[str, ...] = ()) -> l
     return rules
 
 
-def validate_records(df: DataFrame, schema: dict, stream: str) -> DataFrame:
-    """One pass over the records; returns violations[stream, ord, rule, detail]."""
+RULE_SEP = "\u001f"
+
+
+def failed_rules(schema: dict, record: Column) -> Column:
+    """The rules a record breaks, as `rule@path` joined by RULE_SEP ("" = none)."""
+    rules = compile_rules(schema, record)
+    return F.concat_ws(RULE_SEP, *[F.when(bad, F.lit(f"{rule}@{path}")) for rule, path, bad in rules]) if rules else F.lit("")
+
+
+def mark_invalid(df: DataFrame, schema: dict) -> DataFrame:
+    """Records (ord, value, ...) with `_failed`, the rules they break."""
     from sluice.sources.messages import record_variant
 
-    if "record" not in df.columns:
-        df = df.select("ord", record_variant(F.col("value")).alias("record"))
-    rules = compile_rules(schema, F.col("record"))
-    if not rules:
-        return df.limit(0).select(F.lit(stream).alias("stream"), "ord", F.lit("").alias("rule"), F.lit("").alias("detail"))
-    # Filter on the generator's output: a filter on the array itself would be
-    # pushed below the parse and re-parse the record once per rule.
-    failed = F.concat_ws("\u001f", *[F.when(bad, F.lit(f"{rule}@{path}")) for rule, path, bad in rules])
-    hits = df.select("ord", failed.alias("_failed"))
-    exploded = hits.select(F.lit(stream).alias("stream"), "ord",
-                           F.explode_outer(F.split("_failed", "\u001f")).alias("_f"))
-    return exploded.filter(F.col("_f") != "").select(
-        "stream", "ord", F.split("_f", "@").getItem(0).alias("rule"), F.split("_f", "@").getItem(1).alias("detail"))
+    # The record goes through a generator, so that filters on `_failed` do not parse it again.
+    parsed = df.select("*", F.explode(F.array(record_variant(F.col("value")))).alias("_record"))
+    return parsed.withColumn("_failed", failed_rules(schema, F.col("_record"))).drop("_record")
+
+
+def rule_violations(marked: DataFrame, stream: str) -> DataFrame:
+    one = F.split("_f", "@", 2)
+    return (marked.filter(F.col("_failed") != "").select("ord", "value", F.explode(F.split("_failed", RULE_SEP)).alias("_f"))
+            .select(F.lit(stream).alias("stream"), "ord", one[0].alias("rule"), one[1].alias("detail"), "value"))
+
+
+def validate_records(df: DataFrame, schema: dict, stream: str) -> DataFrame:
+    """One pass over the records; returns violations[stream, ord, rule, detail, value]."""
+    return rule_violations(mark_invalid(df, schema), stream)

@@ -45,12 +45,18 @@ def assign_segment(data: DataFrame, bounds: DataFrame, n_bounds: int) -> DataFra
 # control messages: few), so the join's build side needs no second scan.
 
 def bounds_from_rows(control_rows: list) -> list[dict]:
-    """Segment boundaries per stream from the collected control rows."""
-    out, seg, epoch = [], {}, {}
+    """Segment boundaries per stream from the collected control rows (D1/H3). A
+    SCHEMA equal to its stream's current one changes nothing and is no boundary."""
+    out, seg, epoch, current = [], {}, {}, {}
     for r in control_rows:
         if r["type"] not in ("SCHEMA", "BATCH"):
             continue
         s = r["stream"]
+        if r["type"] == "SCHEMA":
+            declared = (r["schema_json"], tuple(r["key_properties"] or ()))
+            if current.get(s) == declared:
+                continue
+            current[s] = declared
         seg[s] = seg.get(s, -1) + 1
         epoch[s] = epoch.get(s, -1) + (1 if r["type"] == "SCHEMA" else 0)
         out.append({"stream": s, "start": r["ord"], "kind": r["type"], "seg": seg[s], "epoch": epoch[s],
@@ -63,6 +69,22 @@ def bounds_from_rows(control_rows: list) -> list[dict]:
     return out
 
 
+INLINE_LIMIT = 64
+
+
+def assign_stream_segment(data: DataFrame, bounds: list[dict], ord_type) -> DataFrame:
+    """One stream's records + seg, epoch. Few boundaries are compared in an
+    expression (no join); more go through the range join."""
+    if len(bounds) > INLINE_LIMIT:
+        return assign_segment(data, bounds_frame(data.sparkSession, bounds, ord_type), len(bounds))
+    seg = epoch = F.lit(None).cast("long")
+    if bounds:
+        past = sum(((F.col("ord") >= ord_literal(b["start"], ord_type)).cast("int") for b in bounds), F.lit(0))
+        seg = F.nullif(past - 1, F.lit(-1)).cast("long")
+        epoch = F.get(F.array(*[F.lit(b["epoch"]) for b in bounds]), past - 1).cast("long")
+    return data.withColumn("seg", seg).withColumn("epoch", epoch)
+
+
 def ord_literal(value, ord_type):
     from pyspark.sql import types as T
 

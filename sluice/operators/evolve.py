@@ -7,6 +7,8 @@ that left the plan stay. Names compare case-insensitively.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +42,12 @@ def create_from_plan(spark: SparkSession, plan: ColumnPlan, time_enabled: bool =
     return spark.createDataFrame([], plan.struct_type(time_enabled))
 
 
+def free_name(name: str, suffix: str, taken: set[str]) -> str:
+    """`<name>_<suffix>`, numbered if an earlier version of the column has that name."""
+    forms = itertools.chain([f"{name}_{suffix}"], (f"{name}_{suffix}_{n}" for n in itertools.count(1)))
+    return next(f for f in forms if f.lower() not in taken)
+
+
 def align_to_plan(target: DataFrame, plan: ColumnPlan, suffix: str, time_enabled: bool = True) -> tuple[DataFrame, list[dict]]:
     """G2+G3 on a snapshot frame; returns (aligned frame, changes)."""
     existing = {f.name.lower(): f for f in target.schema.fields}
@@ -55,7 +63,7 @@ def align_to_plan(target: DataFrame, plan: ColumnPlan, suffix: str, time_enabled
             if name.lower() in key_lower:
                 raise PlanError(f"key column {name!r} changed type ({old.dataType.simpleString()} -> "
                                 f"{dtype.simpleString()}); reload the table")
-            renamed = f"{old.name}_{suffix}"
+            renamed = free_name(old.name, suffix, {c.lower() for c in cols} | {n.lower() for n in plan.names})
             cols[renamed] = cols.pop(old.name)
             cols[name] = F.lit(None).cast(dtype)
             changes.append({"column": name, "change": "versioned", "renamed_to": renamed})

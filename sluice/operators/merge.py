@@ -73,10 +73,17 @@ def merge_join(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFram
 
 
 def merge_upsert(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """D3 (and D4 when the delta lacks columns): merged table without flags."""
+    """D3 (and D4 when the delta lacks columns): target rows without a match, plus
+    the delta. Only the target's matching rows are needed to fill columns that
+    the delta lacks; a small delta broadcasts in both joins."""
     if not keys:
         return append_keyless(target, delta)
-    return merge_join(target, delta, keys).drop(T_FLAG, D_FLAG)
+    lacking = [c for c in target.columns if c not in delta.columns]
+    kept = target.join(delta.select(*[F.col(f"`{k}`") for k in keys]), on=keys, how="left_anti")
+    if lacking:
+        found = target.join(delta.select(*[F.col(f"`{k}`") for k in keys]), on=keys, how="left_semi")
+        delta = delta.join(found.select(*[F.col(f"`{c}`") for c in [*keys, *lacking]]), on=keys, how="left")
+    return kept.unionByName(delta, allowMissingColumns=True)
 
 
 merge_partial = merge_upsert
@@ -101,9 +108,15 @@ def union_promote(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def drop_deleted(df: DataFrame, column: str = "_sdc_deleted_at") -> DataFrame:
-    """C6 hard delete: remove rows flagged as deleted ("" and false are blank)."""
-    if column not in df.columns:
-        return df
+DELETED_AT = "_sdc_deleted_at"
+
+
+def is_deleted(column: str = DELETED_AT) -> Column:
+    """A row is flagged unless the flag is blank (NULL, "" or false)."""
     flag = F.col(column).cast("string")
-    return df.filter(flag.isNull() | flag.isin("", "false"))
+    return flag.isNotNull() & ~flag.isin("", "false")
+
+
+def drop_deleted(df: DataFrame, column: str = DELETED_AT) -> DataFrame:
+    """C6 hard delete: remove rows flagged as deleted."""
+    return df.filter(~is_deleted(column)) if column in df.columns else df

@@ -1,4 +1,4 @@
-"""Route records to streams, resolve targets, count per stream."""
+"""Resolve targets, count records per stream. (B1 routes in the load job.)"""
 
 from __future__ import annotations
 
@@ -11,11 +11,6 @@ from sluice.functions.naming import split_stream_cols, table_name_col
 MAPPING_BROADCAST_LIMIT = 100_000
 
 
-def route_streams(parsed: DataFrame, streams: list[str]) -> dict[str, DataFrame]:
-    """B1: one filtered frame per stream over the same (persisted) parse."""
-    return {s: parsed.filter(F.col("stream") == s) for s in streams}
-
-
 def record_counts(records: DataFrame) -> DataFrame:
     """Rows per stream."""
     return records.groupBy("stream").agg(F.count(F.lit(1)).alias("records"))

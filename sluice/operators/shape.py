@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from sluice.functions.json import extract, extract_text, json_path_text
 from sluice.options import LoadOptions
-from sluice.plans.column_plan import ColumnPlan
+from sluice.plans.column_plan import ColumnPlan, PlanError
 
 # Misfit column names joined by SEP ("" = the row fits). A string built with
 # concat_ws stays in whole-stage codegen; array_compact would not (it is a
@@ -118,10 +118,13 @@ def batch_constants(df: DataFrame, plan: ColumnPlan, now) -> DataFrame:
 
 def select_present(df: DataFrame, plan: ColumnPlan, time_enabled: bool = True, on_error: str = "fail",
                    keep: tuple[str, ...] = ("ord",)) -> DataFrame:
-    """B12+B5: by-name match of a columnar batch to the plan; extra file columns
+    """B12+B5+C4: by-name match of a columnar batch to the plan; extra file columns
     dropped, absent plan columns left out (not nulled), present ones cast."""
     types = plan.types(time_enabled)
     lower = {c.lower(): c for c in df.columns}
+    absent = [k for k in plan.key_columns if k.lower() not in lower]
+    if absent:
+        raise PlanError(f"stream {plan.stream!r}: the batch lacks key columns {absent}")
     out, flags = [], []
     for name in plan.names:
         src = lower.get(name.lower())
@@ -132,25 +135,26 @@ def select_present(df: DataFrame, plan: ColumnPlan, time_enabled: bool = True, o
         misfit = raw.isNotNull() & typed.isNull()
         if on_error == "fail":
             typed = F.when(misfit, F.raise_error(F.lit(f"value does not fit column {plan.stream}.{name}"))).otherwise(typed)
+        if name in plan.key_columns:  # C4: a key may not be NULL
+            no_key = raw.isNull()
+            if on_error == "fail":
+                typed = F.when(no_key, F.raise_error(F.lit(f"NULL key {plan.stream}.{name}"))).otherwise(typed)
+            flags.append(F.when(no_key, F.lit(f"{KEY_RULE}{name}")))
         out.append(typed.alias(name))
         flags.append(F.when(misfit, F.lit(name)))
     kept = [c for c in keep if c in df.columns]
     return df.select(*kept, *out, misfit_list(flags).alias(MISFITS))
 
 
-def split_misfits(shaped: DataFrame, stream: str) -> tuple[DataFrame, DataFrame]:
-    """(rows that fit, rejects[stream, ord, rule, detail]). Persist `shaped`
-    first: both sides read it."""
-    good = shaped.filter(F.col(MISFITS) == "").drop(MISFITS)
-    bad = (shaped.select("ord", F.explode_outer(F.split(MISFITS, SEP)).alias("_m")).filter(F.col("_m") != "")
+def split_misfits(shaped: DataFrame, stream: str, value: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit, rejects[stream, ord, rule, detail, value]). Persist `shaped`
+    first: both sides read it. `value` names the column with the row's source
+    text (dropped from the good rows); without one the row itself is kept as JSON."""
+    plain = [c for c in shaped.columns if c not in ("ord", MISFITS)]
+    text = F.col(value) if value else F.to_json(F.struct(*[F.col(f"`{c}`") for c in plain]))
+    good = shaped.filter(F.col(MISFITS) == "").drop(MISFITS, *([value] if value else []))
+    bad = (shaped.filter(F.col(MISFITS) != "").select("ord", text.alias("value"), F.explode(F.split(MISFITS, SEP)).alias("_m"))
            .select(F.lit(stream).alias("stream"), "ord",
                    F.when(F.col("_m").startswith(KEY_RULE), F.lit("key")).otherwise(F.lit("type")).alias("rule"),
-                   F.regexp_replace("_m", f"^{KEY_RULE}", "").alias("detail")))
+                   F.regexp_replace("_m", f"^{KEY_RULE}", "").alias("detail"), "value"))
     return good, bad
-
-
-def rename_inflect(df: DataFrame) -> DataFrame:
-    """B4 applied to an existing frame's column names."""
-    from sluice.plans.naming import inflect
-
-    return df.select(*[F.col(f"`{c}`").alias(inflect(c)) for c in df.columns])

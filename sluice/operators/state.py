@@ -1,14 +1,16 @@
 """The resume state that is safe to publish.
 
-Safe state = the latest STATE, except that each stream's bookmark is the
-latest one sent at or before the last committed message of that stream.
+With every stream committed to the end of the log, the last STATE is adopted
+whole. With streams committed to different points, each stream's bookmark is
+the last one sent at or before its own point, and a stream without a commit
+keeps the bookmark that was published before.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,33 +25,37 @@ def bookmark_entries(states: DataFrame) -> DataFrame:
         "ord", "stream", F.to_json("_bm").alias("bookmark"))
 
 
-def fold_bookmarks(states: DataFrame, committed: DataFrame | Column | None) -> DataFrame:
-    """Per stream, the last bookmark whose STATE is not ahead of that stream's
-    committed order. `committed` is DataFrame[stream, committed] (held back per
-    stream), one Column (every stream committed up to it: advance_all), or
-    None (everything committed)."""
-    entries = bookmark_entries(states)
-    if committed is None:
-        eligible = entries
-    elif isinstance(committed, Column):
-        eligible = entries.filter(F.col("ord") <= committed)
-    else:
-        # one row per stream; AQE broadcasts it when it proves small
-        c = committed.select(F.col("stream").alias("_cs"), "committed")
-        eligible = entries.join(c, F.col("stream") == F.col("_cs"), "left").filter(
-            F.col("committed").isNull() | (F.col("ord") <= F.col("committed"))).drop("_cs", "committed")
-    return eligible.groupBy("stream").agg(F.max_by("bookmark", "ord").alias("bookmark"))
-
-
-def safe_state(states: DataFrame, committed: DataFrame | Column | None) -> dict | None:
-    """Assemble the publishable state (driver side; one row per stream)."""
-    if isinstance(committed, Column):
-        states = states.filter(F.col("ord") <= committed)
+def fold_bookmarks(states: DataFrame, committed: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+    """Per stream, the last bookmark whose STATE is not ahead of what the
+    stream has committed. `committed` is DataFrame[stream, committed]; a stream
+    that is not in it has committed nothing and keeps its bookmark of
+    `previous` (DataFrame[stream, bookmark]) if it has one."""
+    # one row per stream; AQE broadcasts it when it proves small
+    safe = (bookmark_entries(states).join(committed.select("stream", "committed"), "stream")
+            .filter(F.col("ord") <= F.col("committed")).groupBy("stream").agg(F.max_by("bookmark", "ord").alias("bookmark")))
+    if previous is None:
+        return safe
+    kept = previous.select("stream", "bookmark").join(safe.select("stream"), "stream", "left_anti")
+    return safe.unionByName(kept)
+
+
+def bookmark_frame(spark, document: dict | None) -> DataFrame:
+    """DataFrame[stream, bookmark] of a published state."""
+    marks = (document or {}).get("bookmarks") or {}
+    return spark.createDataFrame([(s, json.dumps(b, sort_keys=True)) for s, b in marks.items()], "stream string, bookmark string")
+
+
+def latest_state_document(states: DataFrame):
+    """The last STATE whole (H4 advance_all: every stream of the log is committed to its end)."""
     latest = states.agg(F.max_by("state_json", "ord").alias("s")).collect()[0]["s"]
-    if latest is None:
-        return None
-    doc = json.loads(latest)
-    if not isinstance(doc, dict) or not doc.get("bookmarks"):
-        return doc
-    doc["bookmarks"] = {r["stream"]: json.loads(r["bookmark"]) for r in fold_bookmarks(states, committed).collect()}
-    return doc
+    return None if latest is None else json.loads(latest)
+
+
+def held_back_state(states: DataFrame, committed: DataFrame, previous: dict | None = None):
+    """H4: the last STATE, with the bookmark of every stream held back to what it committed."""
+    document = latest_state_document(states)
+    if not isinstance(document, dict) or not document.get("bookmarks"):
+        return document
+    held = fold_bookmarks(states, committed, bookmark_frame(states.sparkSession, previous))
+    document["bookmarks"] = {r["stream"]: json.loads(r["bookmark"]) for r in held.collect()}  # one row per stream
+    return document

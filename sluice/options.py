@@ -27,12 +27,10 @@ class LoadOptions:
     # target resolution
     default_target_schema: str | None = None
     schema_mapping: dict = field(default_factory=dict)
-    # state
-    flush_all_streams: bool = False
     # keep identifiers within 63 characters like the reference's target database
     max_identifier_length: int | None = 63
-    # hash buckets of a new table (fixed for its life): size so one bucket is
-    # a few hundred MB at the expected table size
+    # hash buckets of a new table (fixed for its life). A bucket is the unit that a merge
+    # rewrites, not a unit of parallelism: its rows are dealt to several tasks and files
     buckets: int = 16
     # streams of one load merged concurrently (independent tables)
     parallel_streams: int = 1

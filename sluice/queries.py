@@ -10,7 +10,7 @@ import datetime as dt
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.operators import checks, epochs, evolve, merge, shape, state
@@ -183,17 +183,6 @@ SELECT {_LI_COLS} FROM (
 
 # ---------------------------------------------------------------- events: routing, names
 
-def _events_log(spark, sf_dir, stream_col, props=EVENT_PROPS, record=None, keys=("event_id",)):
-    e = _t(spark, sf_dir, "events")
-    streams = [r[0] for r in e.select(stream_col.alias("s")).distinct().collect()]
-    head = None
-    for s in streams:
-        line = _schema_line(spark, s, props, list(keys))
-        head = line if head is None else head.unionByName(line)
-    body = record_messages(e, stream_col, 1, ["ts", "event_id"], record=record)
-    return head.unionByName(body) if head is not None else body
-
-
 def q_route_streams(spark, sf_dir):
     """B1 + E4: one stream per event type; records per stream."""
     _setup(spark)
@@ -438,56 +427,101 @@ SELECT p_partkey, p_name, CAST(NULL AS INTEGER) AS p_size, p_retailprice, p_bran
 
 # ---------------------------------------------------------------- checks
 
+_VALIDATE_CUSTOMER = {"type": "object", "additionalProperties": False, "properties": {
+    "c_custkey": {"type": "integer", "exclusiveMaximum": 1000}, "c_acctbal": {"type": "number", "minimum": 0, "multipleOf": 0.5},
+    "c_name": {"type": "string", "pattern": "[02468]$", "maxLength": 18, "minLength": 19},
+    "c_nationkey": {"type": "string"}, "c_mktsegment": {"enum": ["AUTOMOBILE", "BUILDING"]}}, "required": ["c_custkey", "c_phone"]}
+_VALIDATE_ORDERS = {"type": "object", "properties": {
+    "o_custkey": {"const": 7.0}, "o_orderkey": {"exclusiveMinimum": 10, "enum": [1.0, 20, 3e1]}, "o_totalprice": {"maximum": 1000},
+    "o_orderdate": {"type": "string", "format": "date"}, "o_orderstatus": {"format": "email"}, "tags": {"minItems": 2, "maxItems": 2, "items": [
+        {"type": "string"}, {"type": "string"}, {"type": "integer"}]}}}
+
+
+def _orders_with_tags(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    tags = F.when(F.col("o_orderkey") % 3 == 0, F.to_json(F.array("o_orderstatus"))).when(
+        F.col("o_orderkey") % 3 == 1, F.to_json(F.array("o_orderstatus", "o_orderstatus", "o_orderstatus"))).otherwise(
+        F.to_json(F.array("o_orderstatus", "o_orderstatus")))
+    return o.withColumn("tags", F.from_json(tags, "array<string>"))
+
+
 def q_validate_split(spark, sf_dir):
-    """JSON Schema rules compiled to predicates; violations per rule."""
+    """JSON Schema rules compiled to predicates; violations per rule (every rule fires)."""
     _setup(spark)
-    c = _t(spark, sf_dir, "customer")
-    li = _t(spark, sf_dir, "lineitem")
-    cust_schema = {"type": "object", "properties": {
-        "c_custkey": {"type": "integer"}, "c_acctbal": {"type": "number", "minimum": 0},
-        "c_name": {"type": "string", "pattern": "^Customer#[0-9]+$", "maxLength": 40}},
-        "required": ["c_custkey", "c_name"]}
-    li_schema = {"type": "object", "properties": {"l_discount": {"type": "number", "multipleOf": 0.01, "maximum": 0.1},
-                                                  "l_returnflag": {"enum": ["A", "N", "R"]}}}
     out = None
-    for stream, df, sch, order in (("crm-customer", c, cust_schema, ["c_custkey"]),
-                                   ("db-lineitem", li, li_schema, ["l_shipdate", "l_partkey", "l_suppkey"])):
+    for stream, df, sch, order in (("crm-customer", _t(spark, sf_dir, "customer"), _VALIDATE_CUSTOMER, ["c_custkey"]),
+                                   ("db-orders", _orders_with_tags(spark, sf_dir), _VALIDATE_ORDERS, ["o_orderkey"])):
         recs = messages.records(messages.parse_envelopes(record_messages(df, stream, 1, order)))
         v = checks.validate_records(recs, sch, stream)
         out = v if out is None else out.unionByName(v)
     return out.groupBy("stream", "rule", F.col("detail").alias("path")).agg(F.count(F.lit(1)).alias("violations"))
 
 
-SQL_VALIDATE_SPLIT = """
-SELECT 'crm-customer' AS stream, 'minimum' AS rule, 'c_acctbal' AS path, count(*) AS violations
-FROM customer WHERE c_acctbal < 0 HAVING count(*) > 0
-UNION ALL
-SELECT 'db-lineitem', 'multipleOf', 'l_discount', count(*) FROM lineitem
-WHERE CAST(l_discount AS DECIMAL(18, 6)) % 0.01 <> 0 HAVING count(*) > 0
-UNION ALL
-SELECT 'db-lineitem', 'maximum', 'l_discount', count(*) FROM lineitem WHERE l_discount > 0.1 HAVING count(*) > 0
-UNION ALL
-SELECT 'db-lineitem', 'enum', 'l_returnflag', count(*) FROM lineitem
-WHERE l_returnflag NOT IN ('A', 'N', 'R') HAVING count(*) > 0
-UNION ALL
-SELECT 'crm-customer', 'pattern', 'c_name', count(*) FROM customer
-WHERE NOT regexp_matches(c_name, '^Customer#[0-9]+$') HAVING count(*) > 0
+def _violation(stream, table, rule, path, where):
+    return f"SELECT '{stream}' AS stream, '{rule}' AS rule, '{path}' AS path, count(*) AS violations FROM {table} WHERE {where} HAVING count(*) > 0"
+
+
+SQL_VALIDATE_SPLIT = " UNION ALL ".join(
+    [_violation("crm-customer", "customer", *r) for r in (
+        ("exclusiveMaximum", "c_custkey", "c_custkey >= 1000"), ("minimum", "c_acctbal", "c_acctbal < 0"),
+        ("multipleOf", "c_acctbal", "CAST(c_acctbal AS DECIMAL(18, 6)) % 0.5 <> 0"),
+        ("pattern", "c_name", "NOT regexp_matches(c_name, '[02468]$')"), ("maxLength", "c_name", "length(c_name) > 18"),
+        ("minLength", "c_name", "length(c_name) < 19"), ("type", "c_nationkey", "c_nationkey IS NOT NULL"),
+        ("enum", "c_mktsegment", "c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING')"), ("required", "$", "true"))]
+    + [_violation("db-orders", "orders", *r) for r in (
+        ("const", "o_custkey", "o_custkey <> 7"), ("exclusiveMinimum", "o_orderkey", "o_orderkey <= 10"),
+        ("enum", "o_orderkey", "o_orderkey NOT IN (1, 20, 30)"), ("maximum", "o_totalprice", "o_totalprice > 1000"),
+        ("format", "o_orderdate", "true"), ("format", "o_orderstatus", "true"), ("minItems", "tags", "o_orderkey % 3 = 0"),
+        ("maxItems", "tags", "o_orderkey % 3 = 1"), ("items", "tags", "o_orderkey % 3 = 1"))])
+
+
+def q_validate_reject_table(spark, sf_dir):
+    """C1 with on_error=reject: violating records stay out of the published table, and
+    the rejects keep their text; a replay adds none."""
+    from sluice.job import load_messages, rejects_path, table_root
+
+    _setup(spark)
+    wh = shared_dir(spark, "warehouse")
+    opts = LoadOptions(default_target_schema="crm", on_error="reject", validate_records=True)
+    props = {"c_custkey": BIGINT, "c_acctbal": dict(NUM, minimum=0), "c_mktsegment": dict(STR, enum=["AUTOMOBILE", "BUILDING", None])}
+    log = _schema_line(spark, "crm-customer", props, ["c_custkey"]).unionByName(
+        record_messages(_t(spark, sf_dir, "customer"), "crm-customer", 1, ["c_custkey"], record=F.struct(*props)))
+    for _ in range(2):
+        load_messages(spark, log, wh, opts, now=NOW, suffix=SUFFIX)
+    kept = SnapshotTable(spark, table_root(wh, "crm-customer", opts)).read()
+    gone = spark.read.parquet(rejects_path(wh)).select(
+        F.get_json_object("value", "$.record.c_custkey").cast("long").alias("c_custkey"), "rule")
+    return kept.select("c_custkey", F.lit("kept").alias("rule")).unionByName(gone)
+
+
+SQL_VALIDATE_REJECT_TABLE = """
+SELECT c_custkey, 'minimum' AS rule FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT c_custkey, 'enum' FROM customer WHERE c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING')
+UNION ALL SELECT c_custkey, 'kept' FROM customer WHERE c_acctbal >= 0 AND c_mktsegment IN ('AUTOMOBILE', 'BUILDING')
 """
 
 
 def q_malformed_lines(spark, sf_dir):
-    """Lines cut short are reported, the rest parse."""
+    """C2 + B1: lines cut short, joined or followed by junk, and lines without a
+    stream or a record are reported with their text; the rest parse."""
     _setup(spark)
     e = _t(spark, sf_dir, "events")
     log = record_messages(e, F.concat(F.lit("app-"), F.col("event_type")), 1, ["ts", "event_id"])
-    cut = F.when(F.col("value").contains('"stream":"app-error"'),
-                 F.expr("substring(value, 1, length(value) div 2)")).otherwise(F.col("value"))
-    log = log.withColumn("value", cut)
-    bad = checks.reject_malformed(messages.parse_envelopes(log))
-    return bad.select(F.col("ord.k2").alias("event_id"), "rule")
+    line, kind = F.col("value"), F.get_json_object("value", "$.stream")
+    n = F.col("ord.k2") % 4
+    cut = F.expr("substring(value, 1, length(value) div 2)")
+    joined = F.when(n == 0, F.concat(line, line)).when(n == 1, F.concat_ws(",", line, line)).when(n == 2, F.concat(line, F.lit(" x"))).otherwise(line)
+    bare = F.when(n == 0, F.regexp_replace(line, '"stream":"[^"]*",', "")).when(n == 1, F.regexp_replace(line, '"record":', '"other":')).otherwise(line)
+    log = log.withColumn("value", F.when(kind == "app-error", cut).when(kind == "app-click", joined).when(kind == "app-view", bare).otherwise(line))
+    parsed = messages.parse_envelopes(log)
+    bad = checks.reject_malformed(parsed).unionByName(checks.check_envelope(parsed))
+    return bad.select(F.col("ord.k2").alias("event_id"), "rule", (F.length("value") > 0).alias("has_text"))
 
 
-SQL_MALFORMED = "SELECT event_id, 'malformed' AS rule FROM events WHERE event_type = 'error'"
+SQL_MALFORMED = """
+SELECT event_id, CASE WHEN event_type = 'view' THEN 'envelope' ELSE 'malformed' END AS rule, true AS has_text FROM events
+WHERE event_type = 'error' OR (event_type = 'click' AND event_id % 4 < 3) OR (event_type = 'view' AND event_id % 4 < 2)
+"""
 
 ORDER_CUT = "2024-01-15"
 
@@ -637,8 +671,8 @@ FLUSH_CUTS = {"click": "2024-01-20", "view": "2024-01-10"}
 FLUSH_DEFAULT = "2024-01-25"
 
 
-def q_bookmark_state(spark, sf_dir):
-    """E3 + H4: each stream's bookmark is held back to its last flush."""
+def _bookmark_log(spark, sf_dir):
+    """STATE rows of the events, and what each stream has committed."""
     _setup(spark)
     e = _t(spark, sf_dir, "events")
     stream_col = F.concat(F.lit("app-"), F.col("event_type"))
@@ -653,7 +687,21 @@ def q_bookmark_state(spark, sf_dir):
         "stream", F.struct(F.lit(1).cast("long").alias("seq"),
                            F.coalesce("cut", F.lit(_micros(FLUSH_DEFAULT))).alias("k1"),
                            F.lit(-1).cast("long").alias("k2"), F.lit(0).cast("long").alias("k3")).alias("committed"))
-    return state.fold_bookmarks(st_rows, committed)
+    return st_rows, committed
+
+
+def q_bookmark_state(spark, sf_dir):
+    """E3 + H4: each stream's bookmark is held back to its last flush."""
+    return state.fold_bookmarks(*_bookmark_log(spark, sf_dir))
+
+
+def q_held_back_state(spark, sf_dir):
+    """E3 + H4: a stream without a commit keeps the bookmark published before; a
+    stream that only the earlier state knows stays in it."""
+    states, committed = _bookmark_log(spark, sf_dir)
+    previous = state.bookmark_frame(spark, {"bookmarks": {"app-view": {"event_id": -1}, "app-click": {"event_id": -2},
+                                                          "old-stream": {"event_id": -3}}})
+    return state.fold_bookmarks(states, committed.filter(F.col("stream") != "app-view"), previous)
 
 
 SQL_BOOKMARK_STATE = f"""
@@ -667,6 +715,11 @@ SELECT stream, '{{"event_id":' || CAST(event_id AS VARCHAR) || '}}' AS bookmark
 WHERE rn = 1
 """
 
+SQL_HELD_BACK_STATE = f"""
+SELECT stream, bookmark FROM ({SQL_BOOKMARK_STATE}) WHERE stream <> 'app-view'
+UNION ALL SELECT 'app-view', '{{"event_id": -1}}' UNION ALL SELECT 'old-stream', '{{"event_id": -3}}'
+"""
+
 
 # ---------------------------------------------------------------- columnar batches
 
@@ -792,7 +845,7 @@ SELECT CAST(0 AS BIGINT) AS version, 'orders-load:db-orders:0' AS load_id, count
 
 
 def q_stream_merge(spark, sf_dir):
-    """A2 + H1 + H2 + H3: the lineitem log as JSON-lines files, one file per
+    """A2 + H1 + H2 + H3: the lineitem log as JSON-lines files, eight files per
     micro-batch (AvailableNow), merged into a ledgered snapshot table."""
     from sluice.streaming.loader import run_stream_loader, write_log_files
 
@@ -800,10 +853,10 @@ def q_stream_merge(spark, sf_dir):
     base = shared_dir(spark, "stream")
     log = lineitem_log(spark, sf_dir)
     bucket = F.when(F.col("ord.seq") == 0, F.lit(0)).otherwise(F.year(F.timestamp_micros(F.col("ord.k1"))))
-    write_log_files(log.withColumn("_file", bucket), f"{base}/in")
+    write_log_files(log.withColumn("_file", bucket), f"{base}/in", files=8)
     wh = f"{base}/warehouse"
     opts = LoadOptions(default_target_schema="public")
-    run_stream_loader(spark, f"{base}/in/*/*.txt", wh, f"{base}/checkpoint", opts, max_files=1)
+    run_stream_loader(spark, f"{base}/in/*/*.txt", wh, f"{base}/checkpoint", opts, max_files=8)
     from sluice.job import table_root
 
     return SnapshotTable(spark, table_root(wh, "db-lineitem", opts)).read()
@@ -827,6 +880,247 @@ def q_load_lineitem_files(spark, sf_dir):
     return SnapshotTable(spark, table_root(f"{base}/warehouse", "db-lineitem", opts)).read()
 
 
+def _halves(spark, sf_dir):
+    """The orders table in two logs, by key."""
+    o = _t(spark, sf_dir, "orders")
+    return [_schema_line(spark, "db-orders", ORDERS_PROPS, ["o_orderkey"]).unionByName(
+        record_messages(o.filter(F.col("o_orderkey") % 2 == half), "db-orders", 1, ["o_orderkey"])) for half in (0, 1)]
+
+
+def q_publish_two_loads(spark, sf_dir):
+    """A4: two loads without a given id both arrive, and the first again adds nothing."""
+    from sluice.job import load_messages, table_root
+
+    _setup(spark)
+    wh = shared_dir(spark, "warehouse")
+    opts = LoadOptions(default_target_schema="public")
+    first, second = _halves(spark, sf_dir)
+    for log in (first, second, first):
+        load_messages(spark, log, wh, opts, now=NOW, suffix=SUFFIX)
+    return SnapshotTable(spark, table_root(wh, "db-orders", opts)).read()
+
+
+SQL_ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
+
+
+def q_stream_two_sources(spark, sf_dir):
+    """H2: two streaming loads with checkpoints of their own into one table both arrive."""
+    from sluice.job import table_root
+    from sluice.streaming.loader import run_stream_loader, write_log_files
+
+    _setup(spark)
+    base = shared_dir(spark, "stream")
+    opts = LoadOptions(default_target_schema="public")
+    for i, log in enumerate(_halves(spark, sf_dir)):
+        write_log_files(log.withColumn("_file", F.col("ord.seq")), f"{base}/in{i}")
+        run_stream_loader(spark, f"{base}/in{i}/*/*.txt", f"{base}/warehouse", f"{base}/checkpoint{i}", opts)
+    return SnapshotTable(spark, table_root(f"{base}/warehouse", "db-orders", opts)).read()
+
+
+def q_hard_delete_published(spark, sf_dir):
+    """A hard-delete load removes the rows flagged by an earlier load from the
+    whole table, keyed and keyless."""
+    from sluice.job import load_messages, table_root
+
+    _setup(spark)
+    o = _t(spark, sf_dir, "orders")
+    props = {"o_orderkey": BIGINT, "o_orderstatus": STR}
+    out = None
+    for name, keys in (("keyed", ["o_orderkey"]), ("keyless", [])):
+        wh = shared_dir(spark, "warehouse")
+        soft = LoadOptions(default_target_schema="public", add_metadata_columns=True, primary_key_required=False)
+        hard = LoadOptions(default_target_schema="public", hard_delete=True, primary_key_required=False)
+        rec = F.struct(*props, F.when(F.col("o_orderstatus") == "F", F.lit("2024-01-01T00:00:00")).alias("_sdc_deleted_at"))
+        log = _schema_line(spark, "db-orders", props, keys).unionByName(
+            record_messages(o.filter(F.col("o_orderkey") > 10), "db-orders", 1, ["o_orderkey"], record=rec))
+        load_messages(spark, log, wh, soft, now=NOW, suffix=SUFFIX)
+        late = _schema_line(spark, "db-orders", props, keys).unionByName(record_messages(
+            o.filter(F.col("o_orderkey") <= 10), "db-orders", 1, ["o_orderkey"], record=F.struct(*props)))
+        load_messages(spark, late, wh, hard, now=NOW, suffix=SUFFIX)
+        table = SnapshotTable(spark, table_root(wh, "db-orders", hard)).read().select(F.lit(name).alias("kind"), *props)
+        out = table if out is None else out.unionByName(table)
+    return out
+
+
+SQL_HARD_DELETE_PUBLISHED = """
+SELECT kind, o_orderkey, o_orderstatus FROM orders, (VALUES ('keyed'), ('keyless')) k(kind)
+WHERE o_orderkey <= 10 OR o_orderstatus <> 'F'
+"""
+
+
+def q_published_state(spark, sf_dir):
+    """A6 + H4: the state published by a load is its last STATE, whole."""
+    from sluice.job import load_messages
+    from sluice.sources.snapshots import latest_state
+
+    _setup(spark)
+    e = _t(spark, sf_dir, "events")
+    wh = shared_dir(spark, "warehouse")
+    st = F.struct(F.create_map(F.concat(F.lit("app-"), F.col("event_type")), F.struct("event_id")).alias("bookmarks"))
+    states = e.select(messages.order_key(e, 1, ["ts", "event_id"]).alias("ord"),
+                      F.to_json(F.struct(F.lit("STATE").alias("type"), st.alias("value"))).alias("value"))
+    load_messages(spark, states, wh, LoadOptions(default_target_schema="public"), now=NOW, suffix=SUFFIX)
+    found = latest_state(spark, wh)
+    return spark.createDataFrame([(s, b["event_id"]) for s, b in found["bookmarks"].items()], "stream string, event_id long")
+
+
+SQL_PUBLISHED_STATE = "SELECT 'app-' || event_type AS stream, event_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 1"
+
+
+def _published(spark, logs, stream, opts):
+    from sluice.job import load_messages, table_root
+
+    wh = shared_dir(spark, "warehouse")
+    for log in logs:
+        load_messages(spark, log, wh, opts, now=NOW, suffix=SUFFIX)
+    return SnapshotTable(spark, table_root(wh, stream, opts))
+
+
+def q_batch_reject(spark, sf_dir):
+    """B5 + C4 on BATCH with on_error=reject: balances that do not fit and NULL keys
+    are rejected with their row, and stored values stay."""
+    from sluice.job import load_messages, rejects_path, table_root
+
+    _setup(spark)
+    c = _t(spark, sf_dir, "customer")
+    wh, files = shared_dir(spark, "warehouse"), shared_dir(spark, "arrow")
+    opts = LoadOptions(default_target_schema="crm", on_error="reject")
+    props = {"c_custkey": BIGINT, "c_nationkey": {"type": ["integer", "null"], "maximum": 32767}}
+    head = _schema_line(spark, "crm-customer", props, ["c_custkey"])
+    load_messages(spark, head.unionByName(record_messages(c, "crm-customer", 1, ["c_custkey"], record=F.struct(*props))), wh, opts,
+                  now=NOW, suffix=SUFFIX)
+    batch = c.select(F.when(F.col("c_custkey") % 5 != 0, F.col("c_custkey")).alias("c_custkey"),
+                     F.when(F.col("c_custkey") % 7 == 0, F.lit(99999)).otherwise(F.col("c_nationkey") + 100).alias("c_nationkey"))
+    manifest = columnar.write_arrow_files(batch, files)
+    line = control_message(spark, {"type": "BATCH", "stream": "crm-customer", "encoding": {"format": "arrow"}, "manifest": manifest}, 2)
+    load_messages(spark, head.unionByName(line), wh, opts, now=NOW, suffix=SUFFIX)
+    table = SnapshotTable(spark, table_root(wh, "crm-customer", opts)).read()
+    gone = spark.read.parquet(rejects_path(wh)).groupBy("rule", "detail").agg(F.count(F.lit(1)).alias("n"))
+    return (table.select(F.lit("table").alias("rule"), F.col("c_custkey").cast("string").alias("detail"), F.col("c_nationkey").cast("long").alias("n"))
+            .unionByName(gone))
+
+
+SQL_BATCH_REJECT = """
+SELECT 'table' AS rule, CAST(c_custkey AS VARCHAR) AS detail,
+       CAST(CASE WHEN c_custkey % 5 = 0 OR c_custkey % 7 = 0 THEN c_nationkey ELSE c_nationkey + 100 END AS BIGINT) AS n FROM customer
+UNION ALL SELECT 'key', 'c_custkey', count(*) FROM customer WHERE c_custkey % 5 = 0
+UNION ALL SELECT 'type', 'c_nationkey', count(*) FROM customer WHERE c_custkey % 7 = 0
+"""
+
+
+def q_batch_mixed_decimal(spark, sf_dir):
+    """A file of wide decimals beside a file of doubles; nothing passes through a double."""
+    _setup(spark)
+    s = _t(spark, sf_dir, "supplier")
+    d = shared_dir(spark, "arrow")
+    wide = F.concat(F.lit("123456789012345678901"), F.col("s_suppkey").cast("string")).cast("decimal(38,0)")
+    a = columnar.write_arrow_files(s.filter("s_suppkey % 2 = 0").select("s_suppkey", wide.alias("amount")), f"{d}/a")
+    b = columnar.write_arrow_files(s.filter("s_suppkey % 2 = 1").select("s_suppkey", F.col("s_suppkey").cast("double").alias("amount")), f"{d}/b")
+    head = _schema_line(spark, "db-supplier", {"s_suppkey": BIGINT, "amount": {"type": ["integer", "null"]}}, ["s_suppkey"])
+    line = control_message(spark, {"type": "BATCH", "stream": "db-supplier", "encoding": {"format": "arrow"}, "manifest": a + b}, 1)
+    table = _published(spark, [head.unionByName(line)], "db-supplier", LoadOptions(default_target_schema="public"))
+    return table.read().select("s_suppkey", F.col("amount").cast("string").alias("amount"))
+
+
+SQL_BATCH_MIXED_DECIMAL = """
+SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN '123456789012345678901' || s_suppkey ELSE CAST(s_suppkey AS VARCHAR) END AS amount
+FROM supplier
+"""
+
+
+def q_record_batch_interleave(spark, sf_dir):
+    """D1 + H3: records, a columnar batch, the same SCHEMA again, and records, folded in
+    order; the repeated SCHEMA adds no version."""
+    _setup(spark)
+    c = _t(spark, sf_dir, "customer")
+    props = {"c_custkey": BIGINT, "c_name": STR, "c_mktsegment": STR}
+    files = columnar.write_arrow_files(c.filter("c_custkey % 2 = 0").select("c_custkey", F.lit("batch").alias("c_mktsegment")), shared_dir(spark, "arrow"))
+    head = lambda seq: _schema_line(spark, "crm-customer", props, ["c_custkey"], seq)
+    recs = lambda df, seq: record_messages(df.select(*props), "crm-customer", seq, ["c_custkey"])
+    line = control_message(spark, {"type": "BATCH", "stream": "crm-customer", "encoding": {"format": "arrow"}, "manifest": files}, 2)
+    log = (head(0).unionByName(recs(c, 1)).unionByName(line).unionByName(head(3))
+           .unionByName(recs(c.filter("c_custkey % 3 = 0").withColumn("c_mktsegment", F.lit("late")), 4)).unionByName(head(5)))
+    table = _published(spark, [log], "crm-customer", LoadOptions(default_target_schema="crm"))
+    return table.read().withColumn("versions", F.lit(table.ledger().count()))
+
+
+SQL_RECORD_BATCH_INTERLEAVE = """
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN 'late' WHEN c_custkey % 2 = 0 THEN 'batch' ELSE c_mktsegment END AS c_mktsegment,
+       CAST(3 AS BIGINT) AS versions FROM customer
+"""
+
+
+def q_add_remove_columns(spark, sf_dir):
+    """D5 + G2: a later SCHEMA adds one property and drops another; the dropped column
+    stays, and rows keep what they had."""
+    _setup(spark)
+    c = _t(spark, sf_dir, "customer")
+    p1 = {"c_custkey": BIGINT, "c_name": STR, "c_nationkey": INT}
+    p2 = {"c_custkey": BIGINT, "c_name": STR, "c_mktsegment": STR}
+    logs = [_schema_line(spark, "crm-customer", p1, ["c_custkey"]).unionByName(record_messages(c.select(*p1), "crm-customer", 1, ["c_custkey"])),
+            _schema_line(spark, "crm-customer", p2, ["c_custkey"]).unionByName(
+                record_messages(c.filter("c_custkey <= 20").select(*p2), "crm-customer", 1, ["c_custkey"]))]
+    return _published(spark, logs, "crm-customer", LoadOptions(default_target_schema="crm")).read()
+
+
+SQL_ADD_REMOVE_COLUMNS = """
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey <= 20 THEN c_mktsegment END AS c_mktsegment FROM customer
+"""
+
+
+def q_version_twice(spark, sf_dir):
+    """`value` changes type twice within one load; both older versions are kept."""
+    _setup(spark)
+    e = _t(spark, sf_dir, "events")
+    log = None
+    for i, (prop, expr) in enumerate([(NUM, "value"), (STR, "cast(value as string)"), (BOOL, "value > 50")]):
+        part = _schema_line(spark, "app-metrics", {"event_id": BIGINT, "value": prop}, ["event_id"], 2 * i).unionByName(
+            record_messages(e.filter(F.col("event_id") % 3 == i).select("event_id", F.expr(expr).alias("value")), "app-metrics", 2 * i + 1, ["event_id"]))
+        log = part if log is None else log.unionByName(part)
+    return _published(spark, [log], "app-metrics", LoadOptions(default_target_schema="app")).read()
+
+
+SQL_VERSION_TWICE = f"""
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN value END AS value_{SUFFIX},
+       CASE WHEN event_id % 3 = 1 THEN CAST(value AS VARCHAR) END AS value_{SUFFIX}_1,
+       CASE WHEN event_id % 3 = 2 THEN value > 50 END AS value FROM events
+"""
+
+
+def q_empty_table(spark, sf_dir):
+    """G1: a SCHEMA without records makes an empty table; the given table tells its columns."""
+    _setup(spark)
+    o = _t(spark, sf_dir, "orders")
+    props = {c: ORDERS_PROPS[c] for c in o.columns}
+    table = _published(spark, [_schema_line(spark, "db-orders", props, ["o_orderkey"])], "db-orders", LoadOptions(default_target_schema="public"))
+    empty = table.read()
+    return o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders")).withColumns(
+        {"columns": F.lit(len(empty.columns)).cast("long"), "rows": F.lit(empty.count()).cast("long")})
+
+
+SQL_EMPTY_TABLE = """
+SELECT o_orderstatus, count(*) AS orders, CAST(6 AS BIGINT) AS columns, CAST(0 AS BIGINT) AS rows FROM orders GROUP BY o_orderstatus
+"""
+
+
+def q_lookup_layout(spark, sf_dir):
+    """Configured lookup columns order the rows of every file; a lookup finds its rows."""
+    _setup(spark)
+    c = _t(spark, sf_dir, "customer")
+    opts = LoadOptions(default_target_schema="crm", buckets=4,
+                       schema_mapping={"crm": {"target_schema": "crm", "indices": {"customer": ["c_mktsegment"]}}})
+    props = {"c_custkey": BIGINT, "c_mktsegment": STR}
+    log = _schema_line(spark, "crm-customer", props, ["c_custkey"]).unionByName(record_messages(c.select(*props), "crm-customer", 1, ["c_custkey"]))
+    table = _published(spark, [log], "crm-customer", opts).read()
+    inside = Window.partitionBy("file").orderBy("at")
+    placed = table.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    ordered = placed.withColumn("up", F.coalesce(F.col("c_mktsegment") >= F.lag("c_mktsegment").over(inside), F.lit(True)))
+    return ordered.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.bool_and("up").alias("ordered"))
+
+
+SQL_LOOKUP_LAYOUT = "SELECT c_mktsegment, count(*) AS n, true AS ordered FROM customer GROUP BY c_mktsegment"
+
+
 # ---------------------------------------------------------------- registry
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
@@ -855,6 +1149,19 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "assign_epoch": (q_assign_epoch, SQL_ASSIGN_EPOCH),
     "version_column": (q_version_column, SQL_VERSION_COLUMN),
     "bookmark_state": (q_bookmark_state, SQL_BOOKMARK_STATE),
+    "held_back_state": (q_held_back_state, SQL_HELD_BACK_STATE),
+    "published_state": (q_published_state, SQL_PUBLISHED_STATE),
+    "publish_two_loads": (q_publish_two_loads, SQL_ORDERS),
+    "stream_two_sources": (q_stream_two_sources, SQL_ORDERS),
+    "hard_delete_published": (q_hard_delete_published, SQL_HARD_DELETE_PUBLISHED),
+    "validate_reject_table": (q_validate_reject_table, SQL_VALIDATE_REJECT_TABLE),
+    "batch_reject": (q_batch_reject, SQL_BATCH_REJECT),
+    "batch_mixed_decimal": (q_batch_mixed_decimal, SQL_BATCH_MIXED_DECIMAL),
+    "record_batch_interleave": (q_record_batch_interleave, SQL_RECORD_BATCH_INTERLEAVE),
+    "add_remove_columns": (q_add_remove_columns, SQL_ADD_REMOVE_COLUMNS),
+    "version_twice": (q_version_twice, SQL_VERSION_TWICE),
+    "empty_table": (q_empty_table, SQL_EMPTY_TABLE),
+    "lookup_layout": (q_lookup_layout, SQL_LOOKUP_LAYOUT),
     "batch_columnar": (q_batch_columnar, SQL_BATCH_COLUMNAR),
     "merge_partial_customer": (q_merge_partial_customer, SQL_MERGE_PARTIAL),
     "text_documents": (q_text_documents, SQL_TEXT_DOCUMENTS),

@@ -88,3 +88,9 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.removeprefix("file:"), exist_ok=True)
     return path
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this application's own, on whatever filesystem it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

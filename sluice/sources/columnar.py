@@ -1,9 +1,10 @@
 """A3 + B11 + F2: read the Arrow IPC files named by BATCH manifests.
 
 One task per file (files are the unit of a manifest). Decimal columns travel
-as text and are cast to the declared type later, so no precision is lost
-(Spark's Arrow reader also refuses 32/64-bit decimals). Files whose schemas
-differ are read as separate groups and concatenated with type promotion.
+as text and are cast to the declared type, so no precision is lost (Spark's
+Arrow reader also refuses 32/64-bit decimals). Files whose schemas differ are
+read as separate groups; a load casts every group to its plan before it
+concatenates them.
 Each row carries (_file_ord, _row_ord): manifest position, then row in file.
 """
 
@@ -72,14 +73,14 @@ def _reader(it):
                     yield rb
 
 
-def scan_columnar_batches(spark: SparkSession, paths: list[str], first_ordinal: int = 0) -> DataFrame:
-    """A3: DataFrame of all rows of all files, promoted to one schema."""
+def scan_columnar_groups(spark: SparkSession, paths: list[str], first_ordinal: int = 0) -> list[DataFrame]:
+    """A3: one DataFrame per distinct file schema."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import from_arrow_schema
 
     paths = strip_file_uri(paths)
     listing = spark.createDataFrame([(first_ordinal + i, p) for i, p in enumerate(paths)], "ordinal long, path string")
-    listing = listing.repartition(max(1, len(paths)), "ordinal")
+    listing = listing.repartitionByRange(max(1, len(paths)), "ordinal")  # one task per file
     schemas = listing.mapInPandas(_schema_rows, "ordinal long, path string, schema binary").collect()
     groups: dict[bytes, list[tuple[int, str]]] = {}
     for row in schemas:
@@ -89,11 +90,17 @@ def scan_columnar_batches(spark: SparkSession, paths: list[str], first_ordinal:
         arrow_schema = pa.ipc.read_schema(pa.py_buffer(blob))
         arrow_schema = arrow_schema.append(pa.field(FILE_ORD, pa.int64())).append(pa.field(ROW_ORD, pa.int64()))
         spark_schema = from_arrow_schema(arrow_schema)
-        files = spark.createDataFrame(members, "ordinal long, path string").repartition(len(members), "ordinal")
+        files = spark.createDataFrame(members, "ordinal long, path string").repartitionByRange(len(members), "ordinal")
         frames.append(files.mapInArrow(_reader, spark_schema))
     if not frames:
         raise ValueError("empty manifest")
-    return union_promote(frames)
+    return frames
+
+
+def scan_columnar_batches(spark: SparkSession, paths: list[str], first_ordinal: int = 0) -> DataFrame:
+    """A3: all rows of all files, promoted to one schema. Decimals next to other
+    numbers widen to double here; a load casts each group to its plan first."""
+    return union_promote(scan_columnar_groups(spark, paths, first_ordinal))
 
 
 def _filesystem(path: str):
@@ -128,15 +135,20 @@ def _writer(directory: str):
         import pyarrow as pa
         import pyarrow.ipc as ipc
 
-        batches = list(it)
-        if not batches:
-            return
         path = f"{directory}/part-{uuid.uuid4().hex}.arrow"
-        table = pa.Table.from_batches(batches)
         fs, inner = _filesystem(path)
-        with fs.open_output_stream(inner) as sink, ipc.new_file(sink, table.schema) as w:
-            w.write_table(table)
-        yield pa.RecordBatch.from_pydict({"path": [path], "rows": [table.num_rows]})
+        sink = writer = None
+        rows = 0
+        for batch in it:  # one batch in memory at a time
+            if writer is None:
+                sink = fs.open_output_stream(inner)
+                writer = ipc.new_file(sink, batch.schema)
+            writer.write_batch(batch)
+            rows += batch.num_rows
+        if writer is not None:
+            writer.close()
+            sink.close()
+            yield pa.RecordBatch.from_pydict({"path": [path], "rows": [rows]})
 
     return write
 

@@ -124,32 +124,43 @@ def schema_message(stream: str, properties: dict, keys=(), **extra) -> dict:
 
 # ---------------------------------------------------------------- parse
 
+# What a line must hold to be routed. An empty struct reads "is an object" without its fields.
+_ENVELOPE = T.ArrayType(T.StructType([T.StructField("type", T.StringType()), T.StructField("stream", T.StringType()),
+                                      T.StructField("record", T.StructType([]))]))
+# Message kinds that belong to a stream.
+STREAM_TYPES = ["SCHEMA", "RECORD", "BATCH"]
+
+
 def parse_envelopes(msgs: DataFrame) -> DataFrame:
-    """Light pass over every line: `type` and `stream` only (json_tuple, a
-    generator, so later filters on them are not re-parsed below it). RECORD
-    lines keep their text for the per-stream projection; the few control
-    lines are parsed to VARIANT; lines that are not JSON keep their text in
-    `raw` (C2). Only a line without `type` is parsed fully, to tell a line
-    that is not a JSON object (malformed) from an object without a type."""
-    env = msgs.select("ord", "value", F.json_tuple(F.col("value"), "type", "stream").alias("type", "stream"))
-    whole = F.try_parse_json(F.col("value"))
-    not_object = whole.isNull() | ~F.schema_of_variant(whole).startswith("OBJECT")
-    malformed = F.col("type").isNull() & not_object
-    return env.select(
+    """One full parse of every line, as the single element of a JSON array: text
+    after the object makes the array invalid, a second object makes it longer,
+    and either way the line is `malformed` (C2) and keeps its text in `raw`. The
+    parse sits under a generator, so filters on its columns do not repeat it.
+    RECORD lines keep their text for the per-stream projection; the few control
+    lines are parsed to VARIANT. `incomplete` lines are objects that cannot be
+    routed: no stream, or a RECORD without a record object (B1)."""
+    array = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), _ENVELOPE)
+    parsed = msgs.select("ord", "value", F.explode(F.array(array)).alias("_env"))
+    env = F.get("_env", F.lit(0))
+    malformed = F.coalesce(F.size("_env") != 1, F.lit(True)) | env.isNull()
+    kind, stream = env["type"], env["stream"]
+    incomplete = (kind.isin(STREAM_TYPES) & stream.isNull()) | ((kind == "RECORD") & env["record"].isNull())
+    return parsed.select(
         "ord",
-        "type",
-        "stream",
+        F.when(~malformed, kind).alias("type"),
+        F.when(~malformed, stream).alias("stream"),
         malformed.alias("malformed"),
+        (~malformed & F.coalesce(incomplete, F.lit(False))).alias("incomplete"),
         F.when(malformed, F.col("value")).alias("raw"),
         F.col("value"),
-        F.when(F.col("type") != "RECORD", F.try_parse_json(F.col("value"))).alias("control"),
+        F.when(~malformed & (kind != "RECORD"), F.try_parse_json(F.col("value"))).alias("control"),
     )
 
 
 def control_rows(parsed: DataFrame) -> DataFrame:
     """Non-RECORD envelopes as typed columns (few rows)."""
     c = F.col("control")
-    return parsed.filter(F.col("control").isNotNull()).select(
+    return parsed.filter(F.col("control").isNotNull() & ~F.col("incomplete")).select(
         "ord",
         "type",
         "stream",
@@ -165,7 +176,7 @@ def control_rows(parsed: DataFrame) -> DataFrame:
 def records(parsed: DataFrame) -> DataFrame:
     """RECORD lines: (ord, stream, value text). The record and its
     time_extracted are read from the text by the per-stream projection."""
-    return parsed.filter(F.col("type") == "RECORD").select("ord", "stream", "value")
+    return parsed.filter((F.col("type") == "RECORD") & ~F.col("incomplete")).select("ord", "stream", "value")
 
 
 def record_variant(value: Column) -> Column:

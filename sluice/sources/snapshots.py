@@ -1,23 +1,27 @@
 """Versioned, hash-bucketed snapshot tables with a ledger.
 
-<root>/data/v=<version>/_bucket=<b>/   Parquet files written by one version
-<root>/_ledger/version=<version>/       one JSON row: load_id, manifest, schema, counts
+<root>/data/v=<version>-<attempt>/_bucket=<b>/   Parquet files written by one attempt at a version
+<root>/_ledger/version=<version>/                 one JSON row: load_id, manifest, schema, counts
 
 Rows live in `pmod(xxhash64(keys), buckets)` buckets. A merge reads and
 rewrites only the buckets its delta touches; the ledger row's manifest lists,
 per bucket, the directories that hold its current rows, so untouched buckets
-are carried forward without being read. (A schema change rewrites all
-buckets; keyless tables append a directory.)
+are carried forward without being read. A new column rewrites nothing more
+(files without it read as NULL); a renamed one rewrites the table; keyless
+tables append a directory.
 
-Data is written first, the ledger row last; a ledger row is written with
-mode "errorifexists", so a version is committed once, and a load id already
-in the ledger is skipped, which makes replays (and streaming redelivery)
-safe. Readers only trust what a ledger row lists.
+Every attempt writes a folder of its own; the ledger row, written last with
+mode "errorifexists", is the only pointer to it. A writer that lost the race
+for a version fails and leaves the winner's files alone. A load id that is
+already in the ledger is skipped if it came from the same lines, which makes
+replays (and streaming redelivery) safe, and is an error if it did not.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import hashlib
 import json
 import uuid
 from collections.abc import Callable
@@ -27,14 +31,21 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
-from sluice.operators.merge import D_FLAG, T_FLAG, drop_deleted, merge_join
+from sluice.operators.merge import DELETED_AT, drop_deleted, is_deleted
 
-BUCKET = "_bucket"
+BUCKET, SLOT, MATCHED = "_bucket", "_slot", "_matched"
 DEFAULT_BUCKETS = 16
+# A delta of at most so many rows is broadcast against the buckets it touches.
+SMALL_DELTA = 200_000
 LEDGER_SCHEMA = ("load_id string, manifest string, schema_json string, schema_message string, inserts long, "
-                 "updates long, rows long, bytes long, state_json string, committed_at string, version long")
+                 "updates long, rows long, bytes long, state_json string, committed_at string, source string, "
+                 "version long")
+
+
+class LoadConflict(RuntimeError):
+    """A load id was used again for other input."""
 
 
 @dataclass
@@ -62,7 +73,9 @@ class SnapshotTable:
     def ledger(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(LEDGER_SCHEMA).json(f"{self.root}/_ledger")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def _entries(self) -> list[dict]:
@@ -73,7 +86,7 @@ class SnapshotTable:
         if self._rows is None:
             led = self.ledger()
             self._rows = [] if led is None else sorted(
-                (r.asDict() for r in led.select("version", "load_id", "inserts", "updates", "rows").collect()),
+                (r.asDict() for r in led.select("version", "load_id", "inserts", "updates", "rows", "source").collect()),
                 key=lambda r: r["version"])
         return self._rows
 
@@ -110,127 +123,183 @@ class SnapshotTable:
         return self.spark.read.schema(schema).parquet(*dirs)
 
     # ------------------------------------------------------------ merge + publish
+    def replayed(self, load_id: str, source: str | None) -> LoadResult | None:
+        """The result of an earlier load with this id; an error if it had another source."""
+        done = self.find(load_id)
+        if done is None:
+            return None
+        if source and done.get("source") and done["source"] != source:
+            raise LoadConflict(f"load id {load_id!r} of {self.root} was used for other input; choose a new one")
+        return LoadResult(self.root, done["version"], load_id, done["inserts"], done["updates"], done["rows"], True)
+
+    def _bucket_of(self, keys: list[str], n: int):
+        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n)).cast("int")
+
+    def _merged(self, delta: DataFrame, n_delta: int, old: DataFrame, keys: list[str], matched: Observation) -> DataFrame:
+        """The old rows without a match, and the delta rows; what the delta
+        lacks is taken from the row it replaces. A small delta is broadcast and the
+        old rows stay where they are; else both sides meet on (bucket, slot, keys),
+        the partitioning that the write needs."""
+        names = [f"`{k}`" for k in keys]
+        lacking = [c for c in old.columns if c not in delta.columns]
+        small = n_delta <= SMALL_DELTA
+        on = keys if small else [BUCKET, SLOT, *keys]
+        mark = delta.select(*[F.col(f"`{c}`") for c in on], F.lit(True).alias(MATCHED))
+        probed = old.join(F.broadcast(mark) if small else mark, on=on, how="left")
+        probed = probed.observe(matched, F.count_if(MATCHED).alias("updates"))
+        kept = probed.filter(F.col(MATCHED).isNull()).drop(MATCHED)
+        new = delta
+        extra = [c for c in lacking if c not in (BUCKET, SLOT)]
+        if extra:
+            rest = old.select(*[F.col(f"`{c}`") for c in on], *[F.col(f"`{c}`") for c in extra])
+            if small:  # only the rows that the delta replaces, so as many as it has
+                rest = rest.join(F.broadcast(delta.select(*names)), on=keys, how="left_semi")
+            new = delta.join(rest, on=on, how="left")
+        new = new.repartition(BUCKET) if small else new
+        order = [c for c in old.columns if c not in (BUCKET, SLOT)] + [c for c in delta.columns if c not in old.columns]
+        pick = [F.col(f"`{c}`") for c in order if c not in (BUCKET, SLOT)] + [F.col(BUCKET)]
+        return kept.unionByName(new, allowMissingColumns=True).select(*pick)
+
     def merge(self, delta: DataFrame, keys: list[str], load_id: str,
               align: Callable[[DataFrame], tuple[DataFrame, list]] | None = None, hard_delete: bool = False,
               schema_message: dict | None = None, layout: list[str] | None = None,
-              bloom: list[str] | None = None, source_bytes: Observation | None = None) -> LoadResult:
+              bloom: list[str] | None = None, source_bytes: Observation | None = None,
+              source: str | None = None) -> LoadResult:
         """A4 (+D3/D4/F1/C6): merge `delta` into the table and commit a version."""
-        done = self.find(load_id)
+        done = self.replayed(load_id, source)
         if done is not None:
-            return LoadResult(self.root, done["version"], load_id, done["inserts"], done["updates"], done["rows"], True)
+            return done
         head = self.head()
         version = 0 if head is None else head["version"] + 1
         man = self._manifest(head) if head else {"buckets": self.default_buckets, "dirs": {}}
         n = int(man["buckets"])
-        new_root = f"{self.root}/data/v={version:012d}"
-        flagged_delta = delta.withColumn(T_FLAG, F.lit(False)).withColumn(D_FLAG, F.lit(True))
-
-        current = self.read() if head else None
-        cached = None
-        changed = False
-        if current is not None and align is not None:
-            current, changes = align(current)
-            changed = bool(changes)
-        if not keys:
-            merged = flagged_delta if not changed else current.withColumn(T_FLAG, F.lit(True)).withColumn(
-                D_FLAG, F.lit(False)).unionByName(flagged_delta, allowMissingColumns=True)
-            touched = None if changed else []
-        else:
-            bucket_of = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n))
-            if current is None or changed:
-                touched = None  # every bucket is (re)written
-            else:
-                # the delta is read twice (its buckets, then the merge): keep it
-                delta = delta.persist(StorageLevel.MEMORY_AND_DISK)
-                cached = delta
-                flagged_delta = delta.withColumn(T_FLAG, F.lit(False)).withColumn(D_FLAG, F.lit(True))
-                touched = sorted(r[0] for r in delta.select(bucket_of.alias("b")).distinct().collect())
-                current = self.read(touched)
-                if align is not None:
-                    current, _ = align(current)
-            # Both sides hash-partitioned by bucket and joined on (bucket, keys):
-            # the join reuses that partitioning and every bucket's rows end in
-            # one task, so the bucketed write needs no second shuffle.
-            d_b = delta.withColumn(BUCKET, bucket_of).repartition(BUCKET)
-            if current is None:
-                merged = d_b.withColumn(T_FLAG, F.lit(False)).withColumn(D_FLAG, F.lit(True))
-            else:
-                c_b = current.withColumn(BUCKET, bucket_of).repartition(BUCKET)
-                merged = merge_join(c_b, d_b, [BUCKET] + list(keys))
-        # inserts/updates are counted before the hard delete, rows after it
+        new_root = f"{self.root}/data/v={version:012d}-{uuid.uuid4().hex[:12]}"
         tag = uuid.uuid4().hex[:12]
-        obs_merge, obs_rows = Observation(f"merge_{version}_{tag}"), Observation(f"rows_{version}_{tag}")
-        counted = merged.observe(obs_merge, F.count_if(F.col(D_FLAG) & ~F.col(T_FLAG)).alias("inserts"),
-                                 F.count_if(F.col(D_FLAG) & F.col(T_FLAG)).alias("updates"))
-        kept = drop_deleted(counted) if hard_delete else counted
-        schema = kept.drop(T_FLAG, D_FLAG, BUCKET).schema
-        bucketed = kept if keys else kept.withColumn(BUCKET, F.lit(0))
-        # which buckets get rows is observed while writing (at most `buckets` values)
-        observed = bucketed.observe(obs_rows, F.count(F.lit(1)).alias("rows"),
-                                    F.collect_set(BUCKET).alias("buckets")).drop(T_FLAG, D_FLAG)
-        if keys:
-            # (bucket, lookup columns): the writer's sort on the bucket is then
-            # already satisfied and keeps the order inside each bucket
-            out = observed.sortWithinPartitions(BUCKET, *[F.col(f"`{c}`") for c in (layout or keys)])
-            writer = out.write.mode("overwrite").partitionBy(BUCKET)
-        else:
-            out = observed.drop(BUCKET)
-            out = out if not layout else lookup_layout(out, layout)
-            writer = out.write.mode("overwrite")
-        for col in bloom or []:
-            writer = writer.option(f"parquet.bloom.filter.enabled#{col}", "true")
-        # Let hash partitioning on the bucket alone serve the join on (bucket, keys)
-        # (Spark otherwise re-shuffles each side on all join keys).
-        conf_key = "spark.sql.requireAllClusterKeysForCoPartition"
-        previous = self.spark.conf.get(conf_key, None)
-        self.spark.conf.set(conf_key, "false")
+        matched, written_rows = Observation(f"merge_{version}_{tag}"), Observation(f"rows_{version}_{tag}")
+        delta = delta.persist(StorageLevel.MEMORY_AND_DISK)  # counted, then merged
         try:
-            writer.parquet(new_root if keys else f"{new_root}/{BUCKET}=0")
-        finally:
-            if previous is None:
-                self.spark.conf.unset(conf_key)
+            current = self.read() if head else None
+            renamed = False
+            if current is not None and align is not None:
+                current, changes = align(current)
+                renamed = any(c["change"] == "versioned" for c in changes)
+            if keys:
+                at = self._bucket_of(keys, n)
+                per_bucket = {r[0]: r[1] for r in delta.groupBy(at.alias("b")).agg(F.count(F.lit(1))).collect()}
+                n_delta, touched = sum(per_bucket.values()), set(per_bucket)
             else:
-                self.spark.conf.set(conf_key, previous)
-        try:
-            m = dict(obs_merge.get, **obs_rows.get)
-        except Exception:  # AQE replaced an empty stage and dropped a metrics node
-            m = merged.agg(F.count_if(F.col(D_FLAG) & ~F.col(T_FLAG)).alias("inserts"),
-                           F.count_if(F.col(D_FLAG) & F.col(T_FLAG)).alias("updates")).collect()[0].asDict()
-            rest = drop_deleted(merged) if hard_delete else merged
-            rest = rest if keys else rest.withColumn(BUCKET, F.lit(0))
-            m.update(rest.agg(F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("buckets")).collect()[0].asDict())
-
-        written = sorted(int(b) for b in m["buckets"])
-        if cached is not None:
-            cached.unpersist()
+                n_delta, touched = delta.count(), set()
+            if current is not None and hard_delete and DELETED_AT in current.columns:
+                gone = current.filter(is_deleted())  # Parquet statistics skip files without a flag
+                if keys:
+                    touched |= {r[0] for r in gone.select(self._bucket_of(keys, n).alias("b")).distinct().collect()}
+                elif gone.limit(1).count():
+                    renamed = True  # a keyless table is one bucket: rewrite it
+            if renamed:
+                touched = set(range(n)) if keys else {0}
+            old = None
+            if current is not None and touched and (keys or renamed):
+                old = self.read(sorted(touched))
+                old = align(old)[0] if align is not None else old
+            # deal a bucket's rows to several tasks, so that the bucket count is no ceiling
+            slots = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // n)
+            deal = lambda df: df.withColumn(BUCKET, self._bucket_of(keys, n)).withColumn(
+                SLOT, F.pmod(F.hash(*[F.col(f"`{k}`") for k in keys]), F.lit(slots)))
+            if not keys:
+                merged = delta if old is None else old.unionByName(delta, allowMissingColumns=True)
+            elif old is None:
+                merged = deal(delta).repartition(BUCKET, SLOT).drop(SLOT)
+            else:
+                new, dealt = deal(delta), deal(old)
+                if n_delta <= SMALL_DELTA:
+                    new, dealt = new.drop(SLOT), dealt.drop(SLOT)
+                else:
+                    new, dealt = new.repartition(BUCKET, SLOT), dealt.repartition(BUCKET, SLOT)
+                merged = self._merged(new, n_delta, dealt, keys, matched)
+            kept = drop_deleted(merged) if hard_delete else merged
+            written_schema = kept.drop(BUCKET).schema
+            known = current.schema.fields if current is not None else []
+            schema = T.StructType([*known, *(f for f in written_schema if f.name not in {k.name for k in known})])
+            bucketed = kept if keys else kept.withColumn(BUCKET, F.lit(0))
+            # which buckets get rows is observed while writing (at most `buckets` values)
+            observed = bucketed.observe(written_rows, F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("buckets"))
+            if keys:
+                # (bucket, lookup columns): the writer's sort on the bucket is then
+                # already satisfied and keeps the order inside each bucket
+                out = observed.sortWithinPartitions(BUCKET, *[F.col(f"`{c}`") for c in (layout or keys)])
+                writer = out.write.mode("errorifexists").partitionBy(BUCKET)
+            else:
+                out = observed.drop(BUCKET)
+                out = out if not layout else lookup_layout(out, layout)
+                writer = out.write.mode("errorifexists")
+            for col in bloom or []:
+                writer = writer.option(f"parquet.bloom.filter.enabled#{col}", "true")
+            with co_partitioning(self.spark):
+                writer.parquet(new_root if keys else f"{new_root}/{BUCKET}=0")
+            m = _observed_all(written_rows) or bucketed.agg(
+                F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("buckets")).first().asDict()
+            updates = 0
+            if keys and old is not None:
+                seen = _observed_all(matched)
+                if seen is None:  # an empty stage was skipped and its metrics with it
+                    seen = {"updates": old.join(delta.select(*[F.col(f"`{k}`") for k in keys]), keys, "left_semi").count()}
+                updates = int(seen["updates"])
+        finally:
+            delta.unpersist()
+
+        written = sorted(int(b) for b in m["buckets"] or [])
         if not keys:
-            dirs = {} if touched is None else dict(man["dirs"])
+            dirs = {} if renamed else dict(man["dirs"])
             dirs["0"] = dirs.get("0", []) + ([f"{new_root}/{BUCKET}=0"] if 0 in written else [])
-        else:  # untouched buckets are carried forward; touched ones point at this version
-            rewritten = set(range(n)) if touched is None else set(touched)
-            dirs = {b: ds for b, ds in man["dirs"].items() if int(b) not in rewritten}
-            for b in written:
-                dirs[str(b)] = [f"{new_root}/{BUCKET}={b}"]
+        else:  # untouched buckets are carried forward; touched ones point at this attempt
+            dirs = {b: ds for b, ds in man["dirs"].items() if int(b) not in touched}
+            dirs |= {str(b): [f"{new_root}/{BUCKET}={b}"] for b in written}
         entry = {
             "load_id": load_id,
             "manifest": json.dumps({"buckets": n, "keys": keys, "dirs": dirs}, sort_keys=True),
             "schema_json": schema.json(),
             "schema_message": json.dumps(schema_message) if schema_message else None,
-            "inserts": int(m.get("inserts", 0)),
-            "updates": int(m.get("updates", 0)),
-            "rows": int(m.get("rows", 0)),
+            "inserts": n_delta - updates,
+            "updates": updates,
+            "rows": int(m["rows"] or 0),
             "bytes": _observed(source_bytes, "bytes"),
             "state_json": None,
             "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
+            "source": source,
         }
         row = self.spark.createDataFrame([entry], LEDGER_SCHEMA.replace(", version long", ""))
         row.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_ledger/version={version}")
-        self._entries().append({k: entry[k] for k in ("load_id", "inserts", "updates", "rows")} | {"version": version})
+        self._entries().append({k: entry[k] for k in ("load_id", "inserts", "updates", "rows", "source")} | {"version": version})
         self._head = dict(entry, version=version)
         return LoadResult(self.root, version, load_id, entry["inserts"], entry["updates"], entry["rows"],
                           buckets_rewritten=len(written), bytes=entry["bytes"])
 
 
+@contextlib.contextmanager
+def co_partitioning(spark: SparkSession):
+    """Let hash partitioning on (bucket, slot) serve a join on (bucket, slot, keys);
+    Spark otherwise shuffles each side again on all join keys."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
+
+
+def _observed_all(obs: Observation) -> dict | None:
+    """The metrics of an executed plan; None if AQE dropped the node with an empty stage."""
+    try:
+        found = obs.get
+    except Exception:
+        return None
+    return found if found and all(v is not None for v in found.values()) else None
+
+
 def _observed(obs: Observation | None, name: str) -> int | None:
     if obs is None:
         return None
@@ -269,22 +338,40 @@ def load_audit(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     return out
 
 
+STATE_SCHEMA = "load_id string, state_json string, committed_at string"
+
+
 def publish_state(spark: SparkSession, root: str, load_id: str, state: dict | None) -> None:
     """The load's resume state, written after every table of the load."""
     committed = dt.datetime.now(dt.timezone.utc).isoformat()
-    row = spark.createDataFrame([(load_id, json.dumps(state) if state is not None else None, committed)],
-                                "load_id string, state_json string, committed_at string")
+    text = json.dumps(state, sort_keys=True) if state is not None else None
+    row = spark.createDataFrame([(load_id, text, committed)], STATE_SCHEMA)
+    folder = f"{root}/_loads/load={folder_name(load_id)}"
     try:
-        row.coalesce(1).write.mode("errorifexists").json(f"{root}/_loads/load={load_id.replace(':', '_')}")
-    except AnalysisException:
-        pass  # the same load was published before
+        row.coalesce(1).write.mode("errorifexists").json(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        found = spark.read.schema(STATE_SCHEMA).json(folder).first()
+        if found is None:  # an attempt that died before its row was written
+            row.coalesce(1).write.mode("overwrite").json(folder)
+        elif found["state_json"] != text:
+            raise LoadConflict(f"load {load_id!r} published another state before") from error
+
+
+def folder_name(load_id: str) -> str:
+    """A load id as a folder name: readable, and distinct for distinct ids."""
+    plain = "".join(c if c.isalnum() or c in "-_" else "_" for c in load_id)
+    return plain if plain == load_id else f"{plain}-{hashlib.sha256(load_id.encode()).hexdigest()[:12]}"
 
 
 def latest_state(spark: SparkSession, root: str) -> dict | None:
     """The state of the most recently committed load (one row per load)."""
     try:
-        latest = (spark.read.schema("load_id string, state_json string, committed_at string").json(f"{root}/_loads")
+        latest = (spark.read.schema(STATE_SCHEMA).json(f"{root}/_loads")
                   .agg(F.max_by("state_json", "committed_at").alias("s")).collect())
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return json.loads(latest[0]["s"]) if latest and latest[0]["s"] is not None else None

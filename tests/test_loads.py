@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sluice.job import load_messages, table_root
 from sluice.options import LoadOptions
 from sluice.sources import columnar
-from sluice.sources.snapshots import SnapshotTable, latest_state
+from sluice.sources.snapshots import LoadConflict, SnapshotTable, latest_state, publish_state
 
 NOW = dt.datetime(2024, 6, 1, 12, 0)
 OPTS = LoadOptions(default_target_schema="public")
@@ -270,3 +270,161 @@ def test_dotted_key_column(spark):
                   load_id="d2", now=NOW)
     t = SnapshotTable(spark, table_root(wh, "public-dots", OPTS)).read()
     assert {r["k.id"]: r["v"] for r in t.collect()} == {1: "d", 2: "c"}
+
+
+def test_load_names_follow_the_lines(spark):
+    wh = tempfile.mkdtemp()
+    one = [schema_msg(), record({"id": 1})]
+    two = [schema_msg(), record({"id": 2})]
+    for lines in (one, two, one):
+        load_messages(spark, _log(spark, lines), wh, OPTS, now=NOW)
+    table = SnapshotTable(spark, table_root(wh, "public-things", OPTS))
+    assert sorted(r["id"] for r in table.read().collect()) == [1, 2] and table.ledger().count() == 2
+    load_messages(spark, _log(spark, one), wh, OPTS, load_id="x", now=NOW)
+    with pytest.raises(LoadConflict):
+        load_messages(spark, _log(spark, two), wh, OPTS, load_id="x", now=NOW)
+
+
+def test_two_streaming_sources_both_load(spark):
+    from sluice.streaming.loader import run_stream_loader
+
+    base = tempfile.mkdtemp(prefix="sluice-stream-")
+    for name, ids in (("a", [1, 2]), ("b", [3])):
+        os.makedirs(f"{base}/{name}")
+        with open(f"{base}/{name}/part.txt", "w") as fh:
+            fh.write("\n".join(json.dumps(x) for x in [schema_msg(), *(record({"id": i}) for i in ids)]) + "\n")
+        run_stream_loader(spark, f"{base}/{name}", f"{base}/wh", f"{base}/ckpt-{name}", OPTS)
+    table = SnapshotTable(spark, table_root(f"{base}/wh", "public-things", OPTS)).read()
+    assert sorted(r["id"] for r in table.collect()) == [1, 2, 3]
+
+
+def test_batch_misfits_and_null_keys_are_rejected_and_the_file_stays(spark):
+    wh, d = tempfile.mkdtemp(), tempfile.mkdtemp()
+    f = arrow_file(d, "b.arrow", pa.table({"id": pa.array([1, None, 3], pa.int64()), "bal": ["5", "6", "many"]}))
+    opts = LoadOptions(default_target_schema="public", on_error="reject")
+    batch = {"type": "BATCH", "stream": "public-things", "encoding": {"format": "arrow"}, "manifest": [f]}
+    first = load_messages(spark, _log(spark, [schema_msg(), record({"id": 3, "bal": 9}), batch]), wh, opts, load_id="L", now=NOW)
+    got = {r["id"]: r["bal"] for r in SnapshotTable(spark, table_root(wh, "public-things", opts)).read().collect()}
+    assert got == {1: 5.0, 3: 9.0} and first.rejects == 2 and os.path.exists(f)
+    rejects = lambda: sorted((r["rule"], r["detail"]) for r in spark.read.parquet(f"{wh}/_rejects").collect())
+    assert rejects() == [("key", "id"), ("type", "bal")]
+    load_messages(spark, _log(spark, [schema_msg(), record({"id": 3, "bal": 9}), batch]), wh, opts, load_id="L", now=NOW)
+    assert rejects() == [("key", "id"), ("type", "bal")]
+    for bad in ([schema_msg(), batch],):
+        with pytest.raises(Exception, match="NULL key|does not fit"):
+            load_messages(spark, _log(spark, bad), tempfile.mkdtemp(), OPTS, load_id="M", now=NOW)
+
+
+def test_decimals_beside_doubles_stay_exact(spark):
+    wh, d = tempfile.mkdtemp(), tempfile.mkdtemp()
+    big = decimal.Decimal("1234567890123456789012345")
+    files = [arrow_file(d, "a.arrow", pa.table({"id": pa.array([1], pa.int64()), "n": pa.array([big], pa.decimal128(38, 0))})),
+             arrow_file(d, "b.arrow", pa.table({"id": pa.array([2], pa.int64()), "n": pa.array([2.0], pa.float64())}))]
+    schema = schema_msg({"id": PROPS["id"], "n": {"type": ["integer", "null"]}})
+    batch = {"type": "BATCH", "stream": "public-things", "encoding": {"format": "arrow"}, "manifest": files}
+    load_messages(spark, _log(spark, [schema, batch]), wh, OPTS, now=NOW)
+    got = {r["id"]: r["n"] for r in SnapshotTable(spark, table_root(wh, "public-things", OPTS)).read().collect()}
+    assert got == {1: big, 2: decimal.Decimal(2)} and not any(map(os.path.exists, files))
+
+
+def test_stale_writer_fails_and_harms_nothing(spark):
+    root = tempfile.mkdtemp() + "/t"
+    frame = lambda k: spark.createDataFrame([(k, k)], "k long, v long")
+    one, other = SnapshotTable(spark, root), SnapshotTable(spark, root)
+    one.merge(frame(1), ["k"], "a")
+    assert other.head()["version"] == 0
+    one.merge(frame(2), ["k"], "b")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        other.merge(frame(3), ["k"], "c")
+    assert sorted(r["k"] for r in SnapshotTable(spark, root).read().collect()) == [1, 2]
+    with open(f"{root}/_ledger/version=1/broken.json", "w") as fh:
+        fh.write('{"load_id": ')  # an unreadable ledger is no empty table
+    assert SnapshotTable(spark, root).ledger().count() >= 2
+
+
+def test_rejected_lines_keep_their_text_and_stay_out(spark):
+    wh = tempfile.mkdtemp()
+    opts = LoadOptions(default_target_schema="public", on_error="reject", validate_records=True)
+    props = PROPS | {"bal": {"type": ["number", "null"], "minimum": 0}}
+    lines = [schema_msg(props), record({"id": 1, "bal": -5}), record({"id": 2, "bal": 5}), {"type": "RECORD", "record": {"id": 3}},
+             record({"name": "no key"})]
+    report = load_messages(spark, _log(spark, lines), wh, opts, load_id="V", now=NOW)
+    assert [r["id"] for r in SnapshotTable(spark, table_root(wh, "public-things", opts)).read().collect()] == [2]
+    rejects = {r["rule"]: json.loads(r["value"]) for r in spark.read.parquet(f"{wh}/_rejects").collect()}
+    assert rejects == {"minimum": lines[1], "envelope": lines[3], "key": lines[4]} and report.rejects == 3
+
+
+def test_numeric_stream_ids(spark):
+    wh = tempfile.mkdtemp()
+    msg = {"type": "SCHEMA", "stream": "001", "schema": {"properties": PROPS}, "key_properties": ["id"]}
+    load_messages(spark, _log(spark, [msg, {"type": "RECORD", "stream": "001", "record": {"id": 1}}]), wh, OPTS, now=NOW)
+    assert SnapshotTable(spark, table_root(wh, "001", OPTS)).read().count() == 1
+
+
+@pytest.mark.parametrize("keys", [("id",), ()])
+def test_hard_delete_reaches_the_whole_table(spark, keys):
+    wh = tempfile.mkdtemp()
+    soft = LoadOptions(default_target_schema="public", add_metadata_columns=True, primary_key_required=False)
+    hard = LoadOptions(default_target_schema="public", hard_delete=True, primary_key_required=False)
+    rows = [record({"id": i, "_sdc_deleted_at": "2024-01-01T00:00:00" if i else None}) for i in range(40)]
+    load_messages(spark, _log(spark, [schema_msg(keys=keys), *rows]), wh, soft, load_id="s", now=NOW)
+    read = lambda: sorted(r["id"] for r in SnapshotTable(spark, table_root(wh, "public-things", soft)).read().collect())
+    assert read() == list(range(40))
+    load_messages(spark, _log(spark, [schema_msg(keys=keys), record({"id": 100})]), wh, hard, load_id="h", now=NOW)
+    assert read() == [0, 100]
+
+
+def test_every_version_of_a_column_is_kept(spark):
+    wh = tempfile.mkdtemp()
+    kind = lambda k: schema_msg(dict(PROPS, bal={"type": [k, "null"]}))
+    lines = [kind("number"), record({"id": 1, "bal": 42}), kind("string"), record({"id": 2, "bal": "x"}), kind("boolean"),
+             record({"id": 3, "bal": True}), kind("number"), record({"id": 4, "bal": 7})]
+    load_messages(spark, _log(spark, lines), wh, OPTS, load_id="L", now=NOW, suffix="S")
+    t = SnapshotTable(spark, table_root(wh, "public-things", OPTS)).read()
+    got = {r["id"]: {c: r[c] for c in t.columns if c.startswith("bal") and r[c] is not None} for r in t.collect()}
+    assert got == {1: {"bal_S": 42.0}, 2: {"bal_S_1": "x"}, 3: {"bal_S_2": True}, 4: {"bal": 7.0}}
+
+
+def test_schema_alone_makes_an_empty_table_and_a_repeat_adds_no_commit(spark):
+    wh = tempfile.mkdtemp()
+    load_messages(spark, _log(spark, [schema_msg()]), wh, OPTS, load_id="a", now=NOW)
+    store = SnapshotTable(spark, table_root(wh, "public-things", OPTS))
+    assert store.read().count() == 0 and store.read().columns == ["bal", "id", "name"]
+    lines = [schema_msg(), record({"id": 1}), schema_msg(), schema_msg(), record({"id": 2})]
+    load_messages(spark, _log(spark, lines), wh, OPTS, load_id="b", now=NOW)
+    assert SnapshotTable(spark, store.root).ledger().count() == 2
+    load_messages(spark, _log(spark, [schema_msg(PROPS | {"extra": {"type": "string"}})]), wh, OPTS, load_id="c", now=NOW)
+    assert "extra" in SnapshotTable(spark, store.root).read().columns
+
+
+def test_staging_is_removed(spark):
+    from sluice.session import shared_dir
+
+    base = shared_dir(spark, "stage", unique=False)
+    before = set(os.listdir(base))
+    load_messages(spark, _log(spark, [schema_msg(), record({"id": 1})]), tempfile.mkdtemp(), OPTS, now=NOW)
+    with pytest.raises(Exception):
+        load_messages(spark, _log(spark, [record({"id": 1})]), tempfile.mkdtemp(), OPTS, now=NOW)
+    assert set(os.listdir(base)) == before
+
+
+def test_state_does_not_depend_on_the_cut(spark):
+    lines = [schema_msg(), {"type": "STATE", "value": {"bookmarks": {"a": 1}}}, record({"id": 1}),
+             {"type": "STATE", "value": {"bookmarks": {"b": 2}}}, record({"id": 2})]
+    states = []
+    for cuts in ([0, 5], [0, 2, 5], [0, 1, 2, 3, 4, 5]):
+        wh = tempfile.mkdtemp()
+        for a, b in zip(cuts, cuts[1:]):
+            load_messages(spark, _log(spark, lines[a:b], start=a), wh, OPTS, load_id=f"p{a}", now=NOW)
+        states.append(latest_state(spark, wh))
+    assert states == [{"bookmarks": {"b": 2}}] * 3
+
+
+def test_a_load_id_cannot_publish_two_states(spark):
+    root = tempfile.mkdtemp()
+    publish_state(spark, root, "x:1", {"a": 1})
+    publish_state(spark, root, "x:1", {"a": 1})
+    with pytest.raises(LoadConflict):
+        publish_state(spark, root, "x:1", {"a": 2})
+    publish_state(spark, root, "x_1", {"a": 3})
+    assert latest_state(spark, root) == {"a": 3}

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import decimal
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,15 +28,25 @@ def shape_lines(spark, log_of, props, records, keys=("id",), **opts):
 
 
 def test_parse_flags_malformed_and_skips_nothing(spark, log_of):
+    whole = json.dumps(rec("public-things", {"id": 1}))
     lines = [SCHEMA, rec("public-things", {"id": 1}), '{"type":"RECORD","stream":"public-things","record":{"id":',
-             "[1,2]", {"type": "WHAT"}, {"stream": "x"}]
+             "[1,2]", {"type": "WHAT"}, {"stream": "x"}, whole + " junk", whole + whole, whole + "," + whole, "5", "null"]
     parsed = messages.parse_envelopes(log_of(lines))
     bad = checks.reject_malformed(parsed).collect()
-    assert len(bad) == 2
+    assert sorted(r["value"] for r in bad) == sorted([*lines[2:4], *lines[6:]])
+    assert messages.records(parsed).count() == 1
     kinds = checks.check_message_kind(parsed, messages.control_rows(parsed)).collect()
     assert sorted(r["detail"] for r in kinds) == ["<none>", "WHAT"]
 
 
+def test_incomplete_envelopes_are_violations(spark, log_of):
+    lines = [{"type": "RECORD", "record": {"id": 1}}, {"type": "RECORD", "stream": "s"}, {"type": "RECORD", "stream": "s", "record": 5},
+             {"type": "SCHEMA"}, {"type": "STATE", "value": {}}, {"type": "RECORD", "stream": "001", "record": {}}]
+    parsed = messages.parse_envelopes(log_of(lines))
+    assert sorted(r["detail"] for r in checks.check_envelope(parsed).collect()) == ["record", "record", "stream", "stream"]
+    assert [r["stream"] for r in messages.records(parsed).collect()] == ["001"]
+
+
 def test_batch_encoding_check(spark, log_of):
     lines = [{"type": "BATCH", "stream": "s", "encoding": {"format": "jsonl"}, "manifest": []},
              {"type": "BATCH", "stream": "s", "encoding": {"format": "arrow"}, "manifest": []}]
@@ -217,6 +228,49 @@ def test_validate_rules(spark, log_of):
     assert by_row[2] == {("required", "$")}
 
 
+@pytest.mark.parametrize("rule, good, bad", [
+    ({"enum": [1.0, "a"]}, [1, 1.0, "a"], ["1", 2, "b", True]), ({"enum": [100]}, [100, 1e2], [101]),
+    ({"const": 1.0}, [1.0, 1], [2, "1.0"]), ({"enum": [True, None, {"k": [1]}]}, [True, {"k": [1]}], [1, False, {"k": [2]}]),
+    ({"multipleOf": 3}, [9, 9.0], [10, 10 ** 25, 1e30]), ({"format": "email"}, ["a@b"], ["ab"]),
+    ({"format": "ipv4"}, ["1.2.3.255"], ["1.2.3", "1.2.3.256"]), ({"format": "time"}, ["23:59:59Z"], ["99:99:99"]),
+    ({"format": "some-other"}, ["x"], []), ({"items": [{"type": "integer"}, {"type": "string"}]}, [[1], [1, "a", None]], [["a"], [1, 2]]),
+])
+def test_rules_by_value(spark, log_of, rule, good, bad):
+    recs = messages.records(messages.parse_envelopes(log_of([rec("s", {"v": v}) for v in good + bad])))
+    hits = {r["ord"]["k1"] for r in checks.validate_records(recs, {"properties": {"v": rule}}, "s").collect()}
+    assert hits == set(range(len(good), len(good) + len(bad)))
+
+
+def test_same_schema_again_is_no_boundary(spark, log_of):
+    lines = [SCHEMA, SCHEMA, rec("public-things", {"id": 1}), SCHEMA, rec("public-things", {"id": 2})]
+    parsed = messages.parse_envelopes(log_of(lines))
+    rows = messages.control_rows(parsed).orderBy("ord").collect()
+    bounds = epochs.bounds_from_rows(rows)
+    assert [b["seg"] for b in bounds] == [0]
+    out = epochs.assign_stream_segment(messages.records(parsed), bounds, parsed.schema["ord"].dataType)
+    assert {(r["seg"], r["epoch"]) for r in out.collect()} == {(0, 0)}
+
+
+def test_inline_segments_match_the_range_join(spark, log_of):
+    lines = []
+    for i in range(70):
+        lines += [{"type": "SCHEMA", "stream": "s", "schema": {"properties": {f"c{i}": {}}}, "key_properties": []}, rec("s", {"c": i})]
+    lines.insert(0, rec("s", {"c": -1}))
+    parsed = messages.parse_envelopes(log_of(lines))
+    rows = messages.control_rows(parsed).orderBy("ord").collect()
+    key = lambda df: sorted((r["ord"]["k1"], r["seg"], r["epoch"]) for r in df.collect() if r["seg"] is not None)
+    for n in (30, 70):
+        bounds = epochs.bounds_from_rows(rows[:n])
+        got = epochs.assign_stream_segment(messages.records(parsed), bounds, parsed.schema["ord"].dataType)
+        joined = epochs.assign_segment(messages.records(parsed), epochs.bounds_frame(spark, bounds, parsed.schema["ord"].dataType), n)
+        assert key(got) == key(joined) and got.where("seg IS NULL").count() == 1
+
+
+def test_version_names_do_not_collide():
+    assert evolve.free_name("v", "x", set()) == "v_x"
+    assert evolve.free_name("v", "x", {"v_x", "v_x_1"}) == "v_x_2"
+
+
 def test_validate_unsupported_keyword_is_an_error(spark, log_of):
     from sluice.plans.column_plan import PlanError
 
@@ -256,21 +310,31 @@ def test_bookmarks_held_back_per_stream(spark, log_of):
                                       "stream string, committed struct<seq:bigint,k1:bigint,k2:bigint,k3:bigint>")
     folded = {r["stream"]: r["bookmark"] for r in state.fold_bookmarks(states, committed).collect()}
     assert folded == {"a": '{"pos":1}', "b": '{"pos":4}'}
-    assert state.safe_state(states, None) == {"bookmarks": {"a": {"pos": 3}, "b": {"pos": 4}}, "other": 2}
+    only_b = committed.where("stream = 'b'")
+    assert {r["stream"] for r in state.fold_bookmarks(states, only_b).collect()} == {"b"}  # a has committed nothing
+    held = state.held_back_state(states, only_b, {"bookmarks": {"a": {"pos": 0}, "b": {"pos": 0}, "c": {"pos": 9}}})
+    assert held == {"bookmarks": {"a": {"pos": 0}, "b": {"pos": 4}, "c": {"pos": 9}}, "other": 2}
+    assert state.latest_state_document(states) == {"bookmarks": {"a": {"pos": 3}, "b": {"pos": 4}}, "other": 2}
 
 
 def test_state_without_bookmarks_is_taken_whole(spark, log_of):
     states = state.state_rows(messages.control_rows(messages.parse_envelopes(log_of([{"type": "STATE", "value": {"x": 1}}]))))
-    assert state.safe_state(states, None) == {"x": 1}
+    assert state.latest_state_document(states) == {"x": 1}
+
+
+def test_advance_all_adopts_the_last_state_whole(spark, log_of):
+    lines = [{"type": "STATE", "value": {"bookmarks": {"a": 1}}}, {"type": "STATE", "value": {"bookmarks": {"b": 2}}}]
+    states = state.state_rows(messages.control_rows(messages.parse_envelopes(log_of(lines))))
+    assert state.latest_state_document(states) == {"bookmarks": {"b": 2}}
 
 
 def test_resolve_targets(spark):
     from sluice.operators.route import mapping_frame, resolve_targets
 
-    streams = spark.createDataFrame([("orders",), ("public-My.Table",), ("db-sales-orders-detail",)], "stream string")
+    streams = spark.createDataFrame([("orders",), ("public-My.Table",), ("eu-sales-parcels-late",)], "stream string")
     out = {r["stream"]: r for r in resolve_targets(streams, mapping_frame(spark, {"sales": {"target_schema": "s_raw"}}),
                                                    "landing").collect()}
     assert out["orders"]["table_name"] == "orders" and out["orders"]["target_schema"] == "landing"
     assert out["public-My.Table"]["table_name"] == "my_table" and out["public-My.Table"]["schema_name"] == "public"
-    r = out["db-sales-orders-detail"]
-    assert (r["catalog_name"], r["schema_name"], r["table_name"], r["target_schema"]) == ("db", "sales", "orders_detail", "s_raw")
+    r = out["eu-sales-parcels-late"]
+    assert (r["catalog_name"], r["schema_name"], r["table_name"], r["target_schema"]) == ("eu", "sales", "parcels_late", "s_raw")

@@ -1,9 +1,14 @@
 """Physical-plan checks: the properties the design relies on at scale."""
 
+import contextlib
+import json
 import tempfile
 
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
+from sluice.sources import snapshots
+from sluice.sources.snapshots import SnapshotTable
 from sluice.queries import q_dedup_lineitem, q_load_orders
 from tests.conftest import SF001
 
@@ -15,7 +20,6 @@ def plan_of(df) -> str:
 def test_dedup_is_map_side_limited_and_joins_are_not_nested(spark):
     p = plan_of(q_dedup_lineitem(spark, SF001))
     assert "WindowGroupLimit" in p and "Partial" in p          # hot keys collapse before the shuffle
-    assert "BroadcastHashJoin" in p                            # epochs: broadcast equi + range join
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
@@ -25,27 +29,71 @@ def test_flagship_scans_push_filters(spark):
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
-def test_bucketed_merge_shuffles_each_side_once(spark):
-    from pyspark.sql.readwriter import DataFrameWriter
-
-    from sluice.sources.snapshots import SnapshotTable
-
-    st = SnapshotTable(spark, tempfile.mkdtemp(), buckets=8)
-    st.merge(spark.range(500).select(F.col("id").alias("k"), F.col("id").alias("v")), ["k"], "a")
-    seen = {}
-    original = DataFrameWriter.parquet
+@contextlib.contextmanager
+def data_writes(spark):
+    """Physical plans of the writes of table data."""
+    plans, original = [], DataFrameWriter.parquet
 
     def spy(self, path, *a, **k):
         if "/data/" in path:
-            seen["plan"] = self._df._jdf.queryExecution().executedPlan().toString()
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
         return original(self, path, *a, **k)
 
     DataFrameWriter.parquet = spy
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        st.merge(spark.range(0, 900, 9).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("v")), ["k"], "b")
+        yield plans
     finally:
         DataFrameWriter.parquet = original
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    p = seen["plan"]
-    assert p.count("Exchange") == 2 and "SortMergeJoin" in p   # one shuffle per side, none before the write
+
+
+def _table(spark, n, buckets=8):
+    st = SnapshotTable(spark, tempfile.mkdtemp(), buckets=buckets)
+    st.merge(spark.range(n).select(F.col("id").alias("k"), F.col("id").alias("v")), ["k"], "a")
+    return st
+
+
+def test_small_delta_is_broadcast_and_the_table_stays(spark):
+    st = _table(spark, 500)
+    with data_writes(spark) as plans:
+        st.merge(spark.range(0, 900, 9).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("v")), ["k"], "b")
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+    assert plans[0].count("Exchange hashpartitioning") == 1      # the delta's own rows; the table's are not moved
+    assert st.read().count() == 500 + 44 and st.read().where("v = -1").count() == 100
+
+
+def test_large_delta_shuffles_each_side_once(spark, monkeypatch):
+    monkeypatch.setattr(snapshots, "SMALL_DELTA", 10)
+    st = _table(spark, 500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with data_writes(spark) as plans:
+            res = st.merge(spark.range(0, 900, 9).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("v")), ["k"], "b")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plans[0] and plans[0].count("Exchange hashpartitioning") <= 3
+    assert (res.inserts, res.updates) == (44, 56)
+    assert st.read().count() == 544 and st.read().where("v = -1").count() == 100
+
+
+def test_buckets_are_no_ceiling_of_tasks(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        st = _table(spark, 4000, buckets=2)
+        files = {f for d in json.loads(st.head()["manifest"])["dirs"].values() for f in spark.read.parquet(*d).inputFiles()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(files) > 4
+
+
+def test_added_column_rewrites_only_its_buckets(spark):
+    st = _table(spark, 500)
+    plan_of_two = lambda cur: (cur if "w" in cur.columns else cur.withColumn("w", F.lit(None).cast("string")),
+                               [] if "w" in cur.columns else [{"column": "w", "change": "added"}])
+    one = spark.createDataFrame([(7, 7, "seven")], "k long, v long, w string")
+    res = st.merge(one, ["k"], "b", align=plan_of_two)
+    assert res.buckets_rewritten == 1 and st.read().columns == ["k", "v", "w"]
+    assert [tuple(r) for r in st.read().where("w IS NOT NULL").collect()] == [(7, 7, "seven")] and st.read().count() == 500
