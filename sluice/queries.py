@@ -303,16 +303,22 @@ FROM lineitem
 
 
 def q_blank_to_null(spark, sf_dir):
-    """B6 compat mode: false becomes NULL, 0 stays."""
+    """B6 compat mode: false, "", [] and {} become NULL; 0 and filled values stay."""
     lab = _t(spark, sf_dir, "labels")
-    props = {"doc_id": BIGINT, "quality": INT, "toxic": BOOL}
-    rec = F.struct("doc_id", "quality", (F.col("toxic") == 1).alias("toxic"))
+    props = {"doc_id": BIGINT, "quality": INT, "toxic": BOOL, "note": STR, "tags": {"type": ["array", "null"]}, "extra": {"type": ["object", "null"]}}
+    good = F.col("quality") == 1
+    rec = F.struct("doc_id", "quality", (F.col("toxic") == 1).alias("toxic"), F.when(good, "ok").otherwise("").alias("note"),
+                   F.when(good, F.array("quality")).otherwise(F.array().cast("array<int>")).alias("tags"),
+                   F.when(good, F.create_map(F.lit("q"), F.col("quality"))).otherwise(F.create_map().cast("map<string,int>")).alias("extra"))
     log = _schema_line(spark, "ref-labels", props, ["doc_id"]).unionByName(
         record_messages(lab, "ref-labels", 1, ["doc_id"], record=rec))
     return fold_log(spark, log, "ref-labels", LoadOptions(blank_mode="compat"))
 
 
-SQL_BLANK_TO_NULL = "SELECT doc_id, quality, CASE WHEN toxic = 1 THEN true END AS toxic FROM labels"
+SQL_BLANK_TO_NULL = """
+SELECT doc_id, quality, CASE WHEN toxic = 1 THEN true END AS toxic, CASE WHEN quality = 1 THEN 'ok' END AS note,
+       CASE WHEN quality = 1 THEN '[1]' END AS tags, CASE WHEN quality = 1 THEN '{"q":1}' END AS extra FROM labels
+"""
 
 
 def q_json_text_mode(spark, sf_dir):
