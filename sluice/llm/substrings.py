@@ -45,7 +45,7 @@ from sluice.session import ship_package
 
 LENGTH = 200
 GRAM = 64
-SLICE = 1 << 20  # window starts handled at once
+SLICE = 1 << 18  # window starts handled at once
 HOT = 20_000
 _U = np.uint64
 _MASK = (1 << 64) - 1
