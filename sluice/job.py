@@ -112,6 +112,7 @@ def _summary(parsed: DataFrame) -> list:
         F.count(F.lit(1)).alias("lines"),
         F.sum(F.xxhash64("value").cast("decimal(38,0)")).alias("digest"),
         F.count_if(F.col("type") == "STATE").alias("states"),
+        F.count_if(F.col("type").isin("SCHEMA", "BATCH")).alias("boundaries"),
         F.count_if(~F.col("malformed") & (F.col("type").isNull() | ~F.col("type").isin(messages.MESSAGE_TYPES)))
         .alias("unknown"),
     ).collect()
@@ -199,7 +200,9 @@ class _Load:
             bad = checks.reject_malformed(self.parsed).unionByName(checks.check_envelope(self.parsed)).unionByName(
                 checks.check_message_kind(self.parsed, control))
             self._count(self.rejects.add("lines", bad))
-        rows = control.filter(F.col("type").isin("SCHEMA", "BATCH")).orderBy("ord").collect()
+        if not any(r["boundaries"] for r in self.summary):
+            return []
+        rows = sorted(control.filter(F.col("type").isin("SCHEMA", "BATCH")).collect(), key=lambda r: r["ord"])
         wrong = [r for r in rows if r["type"] == "BATCH" and r["encoding"] != messages.BATCH_ENCODING]
         if wrong and not any(r["malformed"] or r["unknown"] for r in self.summary):  # else reported above
             self._count(self.rejects.add("lines", checks.check_message_kind(self.parsed, control)))

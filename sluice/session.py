@@ -90,6 +90,11 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder of this application's own, on whatever filesystem it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

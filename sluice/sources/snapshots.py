@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from sluice.operators.merge import DELETED_AT, drop_deleted, is_deleted
+from sluice.session import path_exists
 
 BUCKET, SLOT, MATCHED = "_bucket", "_slot", "_matched"
 DEFAULT_BUCKETS = 16
@@ -71,12 +72,8 @@ class SnapshotTable:
 
     # ------------------------------------------------------------ ledger
     def ledger(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(LEDGER_SCHEMA).json(f"{self.root}/_ledger")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        path = f"{self.root}/_ledger"
+        return self.spark.read.schema(LEDGER_SCHEMA).json(path) if path_exists(self.spark, path) else None
 
     def _entries(self) -> list[dict]:
         """A small index of the ledger (version, load id, counts), read once per
@@ -367,11 +364,8 @@ def folder_name(load_id: str) -> str:
 
 def latest_state(spark: SparkSession, root: str) -> dict | None:
     """The state of the most recently committed load (one row per load)."""
-    try:
-        latest = (spark.read.schema(STATE_SCHEMA).json(f"{root}/_loads")
-                  .agg(F.max_by("state_json", "committed_at").alias("s")).collect())
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, f"{root}/_loads"):
         return None
+    latest = (spark.read.schema(STATE_SCHEMA).json(f"{root}/_loads")
+              .agg(F.max_by("state_json", "committed_at").alias("s")).collect())
     return json.loads(latest[0]["s"]) if latest and latest[0]["s"] is not None else None
