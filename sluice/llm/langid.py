@@ -38,7 +38,7 @@ from sluice.llm.common import spare
 from sluice.session import ship_package
 
 ORDER = 4
-SAMPLE_DOCS = 400  # expected labelled documents per language that the model is fitted on
+SAMPLE_DOCS = 250  # expected labelled documents per language that the model is fitted on
 SLICE = 1 << 20
 MODEL_LIMIT = 256 << 20  # bytes of broadcast model
 POINT = 1 << 16  # fixed-point steps per bit
@@ -79,20 +79,21 @@ def learnable(docs: DataFrame) -> DataFrame:
 class Model:
     """Frozen code lengths: sorted pairs per order, each with one cost per language."""
 
-    def __init__(self, counts: pd.DataFrame):
-        self.langs = sorted(counts["lang"].unique())
+    def __init__(self, langs: list[str], lang: np.ndarray, pair: np.ndarray, count: np.ndarray):
+        """Successor counts as columns: index into `langs`, pair, count."""
+        self.langs = langs
         self.tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         lower = None
         for order in range(ORDER + 1):
-            rows = counts[(counts["pair"].to_numpy() >> 48) == order]
-            pairs = np.unique(rows["pair"].to_numpy())
+            rows = np.flatnonzero(pair >> 48 == order)
+            pairs = np.unique(pair[rows])
             contexts, context_of = np.unique(pairs >> 8, return_inverse=True)
             escape = np.zeros((len(contexts), len(self.langs)), np.int64)
             cost = np.empty((len(pairs), len(self.langs)), np.int64)
-            for k, lang in enumerate(self.langs):
-                own = rows[rows["lang"] == lang]
+            for k in range(len(langs)):
+                own = rows[lang[rows] == k]
                 n = np.zeros(len(pairs))
-                n[np.searchsorted(pairs, own["pair"].to_numpy())] = own["n"].to_numpy()
+                n[np.searchsorted(pairs, pair[own])] = count[own]
                 total = np.bincount(context_of, n, len(contexts))
                 distinct = np.bincount(context_of, n > 0, len(contexts))
                 met = total > 0
@@ -169,7 +170,10 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     counts = (rows.where(chosen).select("lang", "text")
               .mapInArrow(_count_contexts, "lang string, pair long, n long")
               .groupBy("lang", "pair").agg(F.sum("n").alias("n")))
-    model = Model(counts.toPandas())
+    langs = sorted(per_lang)
+    number = F.array_position(F.array(*map(F.lit, langs)).cast("array<string>"), F.col("lang")) - 1
+    found = counts.select(number.cast("int").alias("lang"), "pair", "n").toArrow()  # bounded by the sample
+    model = Model(langs, *(found[c].to_numpy() for c in ("lang", "pair", "n")))
     if model.nbytes() > MODEL_LIMIT:
         raise ValueError(f"the model has {model.nbytes()} bytes; lower sample_docs")
     return model

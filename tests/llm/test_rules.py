@@ -93,14 +93,21 @@ def naive_bits(samples, text, order):
     return total
 
 
-def test_code_lengths_match_a_naive_model():
+def fitted(batch):
     import pandas as pd
+
+    counts = pd.concat(b.to_pandas() for b in langid._count_contexts(iter([batch])))
+    counts = counts.groupby(["lang", "pair"], as_index=False)["n"].sum()
+    langs = sorted(counts["lang"].unique())
+    return langid.Model(langs, counts["lang"].map(langs.index).to_numpy(), counts["pair"].to_numpy(), counts["n"].to_numpy())
+
+
+def test_code_lengths_match_a_naive_model():
     import pyarrow as pa
 
     samples = {"aa": ["abracadabra", "banana"], "bb": ["zebra zoo", "lazy dog é"]}
     batch = pa.RecordBatch.from_pydict({"lang": [k for k, v in samples.items() for _ in v], "text": [t for v in samples.values() for t in v]})
-    counts = pd.concat(b.to_pandas() for b in langid._count_contexts(iter([batch])))
-    model = langid.Model(counts.groupby(["lang", "pair"], as_index=False)["n"].sum())
+    model = fitted(batch)
     texts = ["abra zoo", "lazybanana", "é", "qqq", "a" * 50]
     got = model.code_lengths([t.encode() for t in texts]) / langid.POINT
     for i, t in enumerate(texts):
@@ -109,11 +116,9 @@ def test_code_lengths_match_a_naive_model():
 
 
 def test_long_texts_are_scored_whole(monkeypatch):
-    import pandas as pd
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_pydict({"lang": ["x", "y"], "text": ["hello world", "guten tag"]})
-    model = langid.Model(pd.concat(b.to_pandas() for b in langid._count_contexts(iter([batch]))))
+    model = fitted(pa.RecordBatch.from_pydict({"lang": ["x", "y"], "text": ["hello world", "guten tag"]}))
     texts = [b"", b"hello" * 40, b"tag " * 30, b""]
     whole = model.code_lengths(texts)
     monkeypatch.setattr(langid, "SLICE", 7)
