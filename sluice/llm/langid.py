@@ -39,7 +39,7 @@ from sluice.session import ship_package
 
 ORDER = 4
 SAMPLE_DOCS = 250  # expected labelled documents per language that the model is fitted on
-SLICE = 1 << 20
+SLICE = 1 << 19
 MODEL_LIMIT = 256 << 20  # bytes of broadcast model
 POINT = 1 << 16  # fixed-point steps per bit
 UNKNOWN = "und"
@@ -61,9 +61,10 @@ def _pairs(data: np.ndarray, order: int) -> np.ndarray:
 def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, text) -> (lang, pair, n): successor counts of all orders, summed per batch."""
     for batch in batches:
-        frame = batch.to_pandas()
-        for lang, texts in frame.groupby("lang")["text"]:
-            pieces = [np.frombuffer(t.encode("utf-8", "replace"), np.uint8) for t in texts]
+        groups: dict[str, list[np.ndarray]] = {}
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            groups.setdefault(lang, []).append(np.frombuffer(text.as_py().encode("utf-8", "replace"), np.uint8))
+        for lang, pieces in groups.items():
             for order in range(ORDER + 1):
                 pairs, n = np.unique(np.concatenate([_pairs(p, order) for p in pieces]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(pairs), pa.string()), pa.array(pairs),
@@ -132,23 +133,37 @@ class Model:
     def nbytes(self) -> int:
         return sum(a.nbytes for t in self.tables for a in t)
 
-    def code_lengths(self, texts: list[bytes]) -> np.ndarray:
-        """Total code length of each text under each language."""
-        out = np.zeros((len(texts), len(self.langs)), np.int64)
-        sizes = np.array([len(t) for t in texts])
-        bounds = np.r_[0, np.cumsum(sizes)]
-        pairs = np.concatenate([_pairs(np.frombuffer(t, np.uint8), ORDER) for t in texts] or [np.empty(0, np.int64)])
-        for low in range(0, len(pairs), SLICE):
-            high = min(low + SLICE, len(pairs))
-            codes, values = pd.factorize(pairs[low:high])
-            first, last = np.searchsorted(bounds, low, "right") - 1, np.searchsorted(bounds, high, "left")
-            owners = np.arange(first, last)
-            owners = owners[sizes[owners] > 0]
-            cuts = np.maximum(bounds[owners], low) - low
-            cost = self.lookup(values)
-            for k in range(len(self.langs)):
-                out[owners, k] += np.add.reduceat(cost[codes, k], cuts)
-        return out
+    def code_lengths(self, texts) -> np.ndarray:
+        """Total code length of each text (bytes) under each language. Texts are
+        costed together in slices of about SLICE bytes, so memory does not grow
+        with a batch or a text."""
+        totals, held, owners, size = [], [], [], 0
+
+        def flush():
+            nonlocal size
+            if held:
+                codes, values = pd.factorize(np.concatenate(held))
+                cost = self.lookup(values)
+                cuts = np.cumsum([0, *map(len, held[:-1])])
+                for k in range(len(self.langs)):
+                    for i, bits in zip(owners, np.add.reduceat(cost[codes, k], cuts).tolist()):
+                        totals[i][k] += bits
+            held.clear()
+            owners.clear()
+            size = 0
+
+        for i, text in enumerate(texts):
+            totals.append([0] * len(self.langs))
+            for low in range(0, len(text), SLICE):
+                before = min(low, ORDER)
+                part = np.frombuffer(text, np.uint8, min(SLICE, len(text) - low) + before, low - before)
+                held.append(_pairs(part, ORDER)[before:])
+                owners.append(i)
+                size += len(held[-1])
+                if size >= SLICE:
+                    flush()
+        flush()
+        return np.array(totals, np.int64).reshape(len(totals), len(self.langs))
 
 
 def _shorter(pairs: np.ndarray, order: int) -> np.ndarray:
@@ -188,11 +203,10 @@ def predict(model: Model, text: Column, spark) -> Column:
         named = np.array([t is not None and _LETTER.search(t) is not None for t in texts], bool)
         out = pd.DataFrame({"lang_pred": np.full(len(texts), UNKNOWN, object), "score": 0.0, "bits": 0.0})
         if own.langs and named.any():
-            data = [t.encode("utf-8", "replace") for t in texts[named]]
-            length = own.code_lengths(data)
+            length = own.code_lengths(t.encode("utf-8", "replace") for t in texts[named])
             best = length.argmin(1)
             gap = (length.min(1, keepdims=True) - length) / POINT
-            size = np.array([len(t) for t in data])
+            size = np.array([len(t.encode("utf-8", "replace")) for t in texts[named]])
             out.loc[named, "lang_pred"] = np.array(own.langs, object)[best]
             out.loc[named, "score"] = np.round(1 / np.exp2(np.maximum(gap, -1000)).sum(1), 6)
             out.loc[named, "bits"] = np.round(length.min(1) / POINT / size, 6)
