@@ -4,8 +4,9 @@
    before the shuffle).
 2. Cut every benchmark text into windows of `WINDOW` words and rank the words
    of a window by corpus count. The two rarest are its probe terms.
-3. Store the postings of the probe terms: one row per occurrence with document,
-   position and the words around it, in the shared folder.
+3. Store the postings of the probe terms: one row per occurrence with document
+   and position, and the words around it if the term is a window's rarest, in
+   the shared folder.
 4. Meet the postings of the rarest term with the windows; position minus offset
    is a candidate start. Intersect with the second term's offset-adjusted
    postings, and compare all words of the window in place: an exact phrase. A
@@ -99,11 +100,12 @@ def probe_windows(windows: DataFrame, counts: DataFrame) -> DataFrame:
                          second["term"].alias("term2"), second["offset"].alias("offset2"))
 
 
-def build_index(docs: DataFrame, terms: DataFrame, reach: int = WINDOW - 1) -> DataFrame:
+def build_index(docs: DataFrame, terms: DataFrame, rarest: DataFrame, reach: int = WINDOW - 1) -> DataFrame:
     """Stored postings (term, doc_id, text_hash, pos, around) of the terms, and one row
-    per document with NULL term and its word count as pos. `around` holds the
-    words from pos - reach to pos + reach, empty outside the text."""
-    wanted = _term_set(terms)
+    per document with NULL term and its word count as pos. `around` holds, for
+    the rarest terms, the words from pos - reach to pos + reach, space-joined and
+    empty outside the text."""
+    wanted, framed = _term_set(terms), _term_set(rarest)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,22 +116,23 @@ def build_index(docs: DataFrame, terms: DataFrame, reach: int = WINDOW - 1) -> D
                 rows.append(i)
                 term.append(None)
                 pos.append(len(words))
-                around.append([])
+                around.append(None)
                 at = [p for p, w in enumerate(words) if wanted is None or w in wanted.value]
                 if at:
                     padded = [b""] * reach + words + [b""] * reach
                     rows.extend([i] * len(at))
                     term.extend(words[p].decode("utf-8", "replace") for p in at)
                     pos.extend(at)
-                    around.extend([w.decode("utf-8", "replace") for w in padded[p:p + 2 * reach + 1]] for p in at)
+                    around.extend(b" ".join(padded[p:p + 2 * reach + 1]).decode("utf-8", "replace")
+                                  if framed is None or words[p] in framed.value else None for p in at)
             picked = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(term, pa.string()), batch.column(0).take(picked), batch.column(1).take(picked),
-                 pa.array(pos, pa.int64()), pa.array(around, pa.list_(pa.string()))],
+                 pa.array(pos, pa.int64()), pa.array(around, pa.string())],
                 ["term", "doc_id", "text_hash", "pos", "around"])
 
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    posted = keyed.mapInArrow(post, f"term string, doc_id {id_type}, text_hash long, pos long, around array<string>")
+    posted = keyed.mapInArrow(post, f"term string, doc_id {id_type}, text_hash long, pos long, around string")
     if wanted is None:
         posted = posted.where("term IS NULL").unionByName(posted.join(terms, "term", "left_semi"))
     return materialize(posted, "postings")
@@ -141,7 +144,7 @@ def phrase_matches(index: DataFrame, windows: DataFrame, near: int = NEAR, reach
     lists = index.where("term IS NOT NULL")
     found = lists.withColumnRenamed("term", "term1").join(windows, "term1").withColumn("start", F.col("pos") - F.col("offset1"))
     size = F.size("phrase")
-    placed = F.slice("around", (reach + 1 - F.col("offset1")).cast("int"), size)
+    placed = F.slice(F.split("around", " "), (reach + 1 - F.col("offset1")).cast("int"), size)
     agree = F.size(F.filter(F.zip_with(placed, "phrase", lambda a, b: a == b), lambda same: same))
     found = (found.where("start >= 0").withColumn("agree", agree).withColumn("length", size)
              .where(F.col("agree") * WINDOW >= F.col("length") * near)
@@ -162,8 +165,8 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     windows = materialize(benchmark_windows(items), "windows")
     terms = windows.select(F.explode("phrase").alias("term")).distinct()
     windows = materialize(probe_windows(windows, term_counts(docs, terms)), "probes")
-    probes = windows.select("term1").union(windows.select("term2")).distinct().toDF("term")
-    index = build_index(docs, probes)
+    rarest = windows.select(F.col("term1").alias("term")).distinct()
+    index = build_index(docs, rarest.union(windows.select("term2")).distinct(), rarest)
     matches = materialize(phrase_matches(index, windows), "matches")
     exact, key = matches.where("exact"), ["doc_id", "text_hash"]
     # A word is hit once however many windows cover it: merge the covered runs of a document.
