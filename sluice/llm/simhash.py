@@ -139,24 +139,29 @@ def links(fps: DataFrame, distance: int = DISTANCE, hot: int = HOT) -> DataFrame
     return found.union(_midpoint_links(members, distance)).distinct()
 
 
+def _settled(stars: DataFrame) -> bool:
+    """Do the edges form stars: every node has one smaller neighbour at most, and a
+    node that is someone's smaller neighbour has none itself?"""
+    ends = (stars.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+            .union(stars.select("b", F.lit(0), F.lit(1))))
+    sums = ends.groupBy("n").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return sums.where("up > 1 OR (up > 0 AND down > 0)").limit(1).count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the edges (a, b): label is the component's smallest node."""
-    def state(e):
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
     stars = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .where("a <> b").distinct(), "stars")
-    before = None
-    while (now := state(stars)) != before:
-        before = now
+    while not _settled(stars):
+        # Large star: a node's greater neighbours move to its least one. An edge gives
+        # at most one edge, so repeats may wait for the distinct below.
         both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .where("a <> b").distinct())
+        large = both.join(least, "a").where("b > a AND b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # Small star: a node and its smaller neighbours move to the least of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = small.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        stars = materialize(small, "stars")
+        stars = materialize(small.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "stars")
     return stars.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
         stars.select("b", "b").distinct())
 
