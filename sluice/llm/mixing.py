@@ -3,7 +3,8 @@
 The mix is a sequence of equal slots. Slot k has the golden-ratio point
 frac(k * phi), kept on an integer lattice; the point falls into one source's
 interval of the cumulative weights, so at every length of the schedule each
-source has its share up to a few slots. The r-th slot of a source takes the
+source has its share up to a few slots. Slots that a source still lacks at the
+end are added as the last ones. The r-th slot of a source takes the
 r-th block of that source's shuffled word stream: documents in the order of
 md5(doc_id), cut into blocks of `BLOCK` words, a second pass when the target
 exceeds the source. The last slot is cut to the source's target.
@@ -86,12 +87,18 @@ def schedule(needs: DataFrame, block: int) -> DataFrame:
               .withColumn("cell", F.expr(f"point div {cell}")))
     placed = (points.join(intervals, "cell").where("point >= low AND point < high")
               .select("skey", "id", F.expr(f"id div {CHUNK}").alias("chunk")))
-    before = (placed.groupBy("skey", "chunk").agg(F.count("*").alias("n"))
-              .select("skey", "chunk", F.coalesce(F.sum("n").over(
-                  Window.partitionBy("skey").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)),
-                  F.lit(0)).alias("before")))
+    chunks = materialize(placed.groupBy("skey", "chunk").agg(F.count("*").alias("n")), "chunks")
+    before = chunks.select("skey", "chunk", F.coalesce(F.sum("n").over(
+        Window.partitionBy("skey").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     place = F.row_number().over(Window.partitionBy("skey", "chunk").orderBy("id")) - 1
-    return placed.join(before, ["skey", "chunk"]).select("skey", (F.col("before") + place).alias("rank"))
+    ranked = placed.join(before, ["skey", "chunk"]).select("skey", (F.col("before") + place).alias("rank"))
+    # A narrow interval may hold fewer points than its source needs: the missing ranks are the last slots.
+    missing = (cumulated.join(chunks.groupBy("skey").agg(F.sum("n").alias("n")), "skey", "left")
+               .select("skey", "need", F.coalesce("n", F.lit(0)).alias("n")).where("need > n")
+               .select("skey", "need", F.explode(F.expr(f"sequence(n, need - 1, {CHUNK}L)")).alias("first"))
+               .repartition("skey", "first")
+               .select("skey", F.explode(F.expr(f"sequence(first, least(first + {CHUNK}, need) - 1)")).alias("rank")))
+    return ranked.unionByName(missing)
 
 
 def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:

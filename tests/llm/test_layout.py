@@ -125,6 +125,17 @@ def test_schedule_is_low_discrepancy(spark):
     assert abs(slots["sa"] / slots["sb"] - 2.5) < 0.05
 
 
+def test_small_sources_get_every_slot_beside_large_ones(spark):
+    small = {f"s{i:02d}b": 1 + i % 5 for i in range(20)}
+    rows = [*small.items(), *((f"s{i:02d}a", 100_000 + 7_919 * i) for i in range(20))]
+    needs = dict(rows)
+    slots = mixing.schedule(spark.createDataFrame(rows, "skey string, need long"), 64)
+    got = {r["skey"]: r for r in slots.groupBy("skey").agg(
+        F.count("*").alias("n"), F.count_distinct("rank").alias("ranks"), F.max("rank").alias("last")).collect()}
+    for s, need in needs.items():
+        assert got[s]["n"] == got[s]["ranks"] == got[s]["last"] + 1 >= need
+
+
 def test_mixed_documents_take_effect(spark, edge_docs):
     taken = {}
     for r in mixing.mix(edge_docs).collect():
