@@ -3,12 +3,13 @@
 1. Count the benchmark's terms over the whole corpus (counts summed per batch
    before the shuffle).
 2. Cut every benchmark text into windows of `WINDOW` words and rank the words
-   of a window by corpus count. The two rarest are its probe terms.
-3. Store the postings of the probe terms: one row per occurrence with document
-   and position, and the words around it if the term is a window's rarest, in
-   the shared folder.
-4. Meet the postings of the rarest term with the windows; position minus offset
-   is a candidate start. Intersect with the second term's offset-adjusted
+   of a window by corpus count. The rarest are its probe terms: one more than the
+   words that a proximity match may change, so three for ten words. One of them
+   at least is in place in every match.
+3. Store the postings of the probe terms: one row per occurrence with document,
+   position and the words around it, in the shared folder.
+4. Meet the postings of the probe terms with the windows; position minus offset
+   is a candidate start. Intersect with the second rarest term's offset-adjusted
    postings, and compare all words of the window in place: an exact phrase. A
    start where at least `NEAR` of ten words are in place is a proximity match.
 
@@ -16,7 +17,8 @@ Rare terms have short lists, so the joins stay small however common the other
 words are; a long list of a term that is in a third of all documents is split
 by the join, since a posting is a row of its own and no list is ever gathered.
 Term sets go to the tasks only up to `TERMS_LIMIT` terms; beyond it the tasks
-emit all terms and the same joins select.
+emit all terms and the same joins select. Up to `PROBES_LIMIT` probes are
+broadcast, so the postings stay where they are.
 
 Defined results: NULL, empty and wordless texts (document or item) have no
 words and no windows; an item shorter than a window is one window; repeated
@@ -40,6 +42,7 @@ from sluice.session import ship_package
 WINDOW = 10
 NEAR = 8
 TERMS_LIMIT = 500_000
+PROBES_LIMIT = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _FOLD = bytes.maketrans(_UPPER.encode(), _LOWER.encode())
@@ -89,23 +92,26 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counted.join(terms, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def probe_windows(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """Windows with their two rarest words: (term1, offset1), (term2, offset2)."""
+def probe_windows(windows: DataFrame, counts: DataFrame, near: int = NEAR) -> DataFrame:
+    """Windows with their probes (term, offset), the rarest words that no match can
+    all change, and their second rarest word (term2, offset2)."""
     words = windows.select("window_id", "item_id", "phrase", F.posexplode("phrase").alias("offset", "term"))
     words = words.join(counts, "term", "left")
     ranked = (words.groupBy("window_id", "item_id", "phrase")
               .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "offset"))).alias("r")))
-    first, second = F.col("r")[0], F.element_at("r", F.least(F.size("r"), F.lit(2)))
-    return ranked.select("window_id", "item_id", "phrase", first["term"].alias("term1"), first["offset"].alias("offset1"),
+    probes = F.slice("r", F.lit(1), F.floor(F.size("r") * (WINDOW - near) / WINDOW).cast("int") + 1)
+    second = F.element_at("r", F.least(F.size("r"), F.lit(2)))
+    return ranked.select("window_id", "item_id", "phrase",
+                         F.transform(probes, lambda w: F.struct(w["term"].alias("term"), w["offset"].alias("offset"))).alias("probes"),
                          second["term"].alias("term2"), second["offset"].alias("offset2"))
 
 
-def build_index(docs: DataFrame, terms: DataFrame, rarest: DataFrame, reach: int = WINDOW - 1) -> DataFrame:
+def build_index(docs: DataFrame, terms: DataFrame, probes: DataFrame, reach: int = WINDOW - 1) -> DataFrame:
     """Stored postings (term, doc_id, text_hash, pos, around) of the terms, and one row
     per document with NULL term and its word count as pos. `around` holds, for
-    the rarest terms, the words from pos - reach to pos + reach, space-joined and
+    the probe terms, the words from pos - reach to pos + reach, space-joined and
     empty outside the text."""
-    wanted, framed = _term_set(terms), _term_set(rarest)
+    wanted, framed = _term_set(terms), _term_set(probes)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,21 +148,26 @@ def phrase_matches(index: DataFrame, windows: DataFrame, near: int = NEAR, reach
     """(doc_id, text_hash, item_id, start, length, exact): exact phrases, and starts
     where at least `near` of WINDOW words (in proportion) are in place."""
     lists = index.where("term IS NOT NULL")
-    found = lists.withColumnRenamed("term", "term1").join(windows, "term1").withColumn("start", F.col("pos") - F.col("offset1"))
+    probes = windows.select("window_id", "item_id", "phrase", "term2", "offset2", F.inline("probes").alias("term1", "offset1"))
+    seconds = windows.select(F.col("term2").alias("term")).distinct()
+    if probes.count() <= PROBES_LIMIT:
+        probes, seconds = F.broadcast(probes), F.broadcast(seconds)
+    found = (lists.withColumnRenamed("term", "term1").withColumn("around", F.split("around", " "))
+             .join(probes, "term1").withColumn("start", F.col("pos") - F.col("offset1")))
     size = F.size("phrase")
-    placed = F.slice(F.split("around", " "), (reach + 1 - F.col("offset1")).cast("int"), size)
-    agree = F.size(F.filter(F.zip_with(placed, "phrase", lambda a, b: a == b), lambda same: same))
+    same = [F.get("around", F.lit(reach + k) - F.col("offset1")) == F.get("phrase", F.lit(k)) for k in range(reach + 1)]
+    agree = sum((F.coalesce(s.cast("int"), F.lit(0)) for s in same), F.lit(0))
     found = (found.where("start >= 0").withColumn("agree", agree).withColumn("length", size)
              .where(F.col("agree") * WINDOW >= F.col("length") * near)
              .select("doc_id", "text_hash", "item_id", "window_id", "start", "length", "agree", "term2",
-                     (F.col("start") + F.col("offset2")).alias("pos2")))
-    second = lists.select(F.col("term").alias("term2"), F.col("pos").alias("pos2"),
+                     (F.col("start") + F.col("offset2")).alias("pos2")).distinct())
+    second = lists.join(seconds, "term", "left_semi").select(F.col("term").alias("term2"), F.col("pos").alias("pos2"),
                           F.col("doc_id").alias("d2"), F.col("text_hash").alias("h2"), F.lit(True).alias("met")).distinct()
     same = ((found["term2"] == second["term2"]) & (found["pos2"] == second["pos2"])
             & found["doc_id"].eqNullSafe(second["d2"]) & found["text_hash"].eqNullSafe(second["h2"]))
     exact = F.coalesce(F.col("met"), F.lit(False)) & (F.col("agree") == F.col("length"))
     return (found.join(second, same, "left")
-            .select("doc_id", "text_hash", "item_id", "window_id", "start", "length", exact.alias("exact")).distinct())
+            .select("doc_id", "text_hash", "item_id", "window_id", "start", "length", exact.alias("exact")))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -165,8 +176,8 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     windows = materialize(benchmark_windows(items), "windows")
     terms = windows.select(F.explode("phrase").alias("term")).distinct()
     windows = materialize(probe_windows(windows, term_counts(docs, terms)), "probes")
-    rarest = windows.select(F.col("term1").alias("term")).distinct()
-    index = build_index(docs, rarest.union(windows.select("term2")).distinct(), rarest)
+    probes = windows.select(F.explode("probes.term").alias("term")).distinct()
+    index = build_index(docs, probes.union(windows.select("term2")).distinct(), probes)
     matches = materialize(phrase_matches(index, windows), "matches")
     exact, key = matches.where("exact"), ["doc_id", "text_hash"]
     # A word is hit once however many windows cover it: merge the covered runs of a document.

@@ -34,6 +34,12 @@ def op3_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_hash", "n_near")
 
 
+def op3_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proximity half of op3: benchmark windows with at least 8 of 10 words in place."""
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_near")
+
+
 def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(table(spark, sf_dir, "documents"))
 
@@ -66,6 +72,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_repetition": (op1_repetition, oracle.REPETITION),
     "op2_ppm": (op2_ppm, None),
     "op3_index": (op3_index, oracle.DECONTAMINATION),
+    "op3_proximity": (op3_proximity, None),
     "op4_hilbert": (op4_hilbert, None),
     "op5_boosting": (op5_boosting, None),
     "op6_rollup": (op6_rollup, None),

@@ -1,6 +1,7 @@
 """Decontamination, page text, substrings and SimHash against brute force."""
 
 import hashlib
+import itertools
 import random
 from collections import Counter
 
@@ -72,6 +73,37 @@ def test_proximity_matches(spark):
     assert got[1] == (10, 0) and got[2] == (0, 1) and got[3] == (0, 0)
 
 
+def test_proximity_matches_wherever_words_change(spark):
+    words = "one two three four five six seven eight nine ten".split()
+    changes = [c for n in (1, 2, 3) for c in itertools.combinations(range(10), n)]
+    docs = [(i, "lead " + " ".join("x" if p in c else w for p, w in enumerate(words))) for i, c in enumerate(changes)]
+    frame = lambda rows, c: spark.createDataFrame(rows, f"{c} long, text string")
+    found = decontaminate.decontaminate(frame(docs, "doc_id"), frame([(7, " ".join(words))], "item_id"))
+    assert {r["doc_id"]: (r["n_hit"], r["n_near"]) for r in found.collect()} == {i: (0, int(len(c) < 3)) for i, c in enumerate(changes)}
+
+
+def brute_near(text, windows):
+    words = decontaminate.tokens(text)
+    same = lambda w, p: sum(a == b for a, b in zip(w, words[p:p + len(w)]))
+    near = lambda w, n: n < len(w) and n * 10 >= len(w) * decontaminate.NEAR
+    return sum(any(near(w, same(w, p)) for p in range(len(words))) for _, w in windows)
+
+
+@pytest.mark.parametrize("limit", [decontaminate.TERMS_LIMIT, 0])
+def test_proximity_matches_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "TERMS_LIMIT", limit)
+    monkeypatch.setattr(decontaminate, "PROBES_LIMIT", limit)
+    rnd = random.Random(6)
+    say = lambda n: [rnd.choice("abcd") for _ in range(n)]
+    items = [(i, " ".join(say(n))) for i, n in enumerate([1, 2, 4, 5, 7, 9, 10, 10, 13])]
+    docs = [(i, " ".join(say(rnd.randint(0, 40)))) for i in range(60)]
+    docs += [(100 + i, t + " " + " ".join(say(3))) for i, t in items] + [(200, None)]
+    cut = {(i, tuple(w[k:k + 10])) for i, t in items for w in [decontaminate.tokens(t)] for k in range(max(1, len(w) - 9))}
+    frame = lambda rows, c: spark.createDataFrame(rows, f"{c} long, text string")
+    got = {r["doc_id"]: r["n_near"] for r in decontaminate.decontaminate(frame(docs, "doc_id"), frame(items, "item_id")).collect()}
+    assert got == {i: brute_near(t, cut) for i, t in docs}
+
+
 def test_decontamination_edges(spark, edge_docs, no_docs):
     items = spark.createDataFrame([(1, "the the"), (2, "word word word word word word word word word word word")], "item_id long, text string")
     got = {r["doc_id"]: r for r in decontaminate.decontaminate(edge_docs, items).collect()}
