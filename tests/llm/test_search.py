@@ -248,6 +248,24 @@ def test_blocks(html, want):
     assert pagetext.blocks(html) == want
 
 
+@pytest.mark.parametrize(("html", "want"), [
+    ('<div class="layout has-sidebar"><article>a b</article></div>', "a b"),
+    ('<div id="page" class="with-menu"><article>a b</article></div>', "a b"),
+    ('<article class="post comments-open category-social">a b</article>', "a b"),
+    ('<article class="comments">a b</article>', "a b"),
+    ('<div class="menu">x<article>a b<p class="cookie-notice">c</p></article></div>', "a b"),
+    ('<form id=f><main><p>a b</p></main></form>', "a b"),
+    ('<aside><article>card</article></aside><article>a b</article>', "a b"),
+    ('<p>an unmarked page</p><aside><article>card</article></aside>', "an unmarked page"),
+    ('x<span class="ad">y</span>z<article>a <b class="share">s</b>b</article>', "a\nb"),
+    ('<main><p>the main text of the page</p><article>card</article></main>', "the main text of the page"),
+    ('<main><h1>T</h1><article>the main text of the page</article></main>', "the main text of the page"),
+])
+def test_articles_are_never_hidden(html, want):
+    found = pagetext.blocks(html)
+    assert "\n".join(t for level, t in found if level == pagetext.text_level(found)) == want
+
+
 def test_pages_lose_what_the_host_repeats(spark):
     bar = "all rights reserved by the site owner"
     pages = [(1, "https://a.com/1", f"<div>{bar}</div><div>first story about rivers</div>"), (2, "http://u@A.com:80/2", f"<div>second story</div><div>{bar}</div>"),
