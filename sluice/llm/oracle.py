@@ -75,3 +75,46 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+_LETTERS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+            r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+')")
+
+DIVERGENCE = rf"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LETTERS} AS w, row_number() OVER () AS r FROM documents),
+x AS (SELECT lang, source, r, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM x GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM x SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+g AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.n + 5 * v.v))::BIGINT AS p,
+             (1 + (1000000000::HUGEINT * (k.total + 5)) // (v.n + 5 * v.v))::BIGINT AS q
+      FROM g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+ranked AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM ranked)
+WHERE part = 'pair' OR rank <= 50
+"""
+
+INFILL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+                  sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+r AS (SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS c1, ('0x' || h[9:16])::BIGINT % (n + 1) AS c2,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                       OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+                  WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+s AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) - least(c1, c2) AS m,
+             substring(t, 1, least(c1, c2)) AS pre, substring(t, least(c1, c2) + 1, greatest(c1, c2) - least(c1, c2)) AS mid,
+             substring(t, greatest(c1, c2) + 1) AS suf FROM r)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN m END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s
+"""

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from sluice.llm import oracle
 from sluice.llm.common import table
 from sluice.llm.decontaminate import decontaminate
+from sluice.llm.divergence import divergence_audit
 from sluice.llm.hilbert import hilbert_shards
+from sluice.llm.infill import digest, fill_in_middle, restore
 from sluice.llm.langid import identify
 from sluice.llm.mixing import mix
 from sluice.llm.pagetext import extract_pages
@@ -68,6 +70,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit(table(spark, sf_dir, "documents"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = restore(fill_in_middle(table(spark, sf_dir, "documents")))
+    return rebuilt.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_repetition": (op1_repetition, oracle.REPETITION),
     "op2_ppm": (op2_ppm, None),
@@ -80,4 +91,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_pagetext": (op8_pagetext, None),
     "op9_substrings": (op9_substrings, None),
     "op10_simhash": (op10_simhash, None),
+    "op12_divergence": (op12_divergence, oracle.DIVERGENCE),
+    "op13_infill": (op13_infill, oracle.INFILL),
 }
