@@ -84,7 +84,9 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
 
     for batch in batches:
-        for lang, text, copies in zip(batch["lang"].to_pylist(), batch["text"], batch["copies"].to_pylist()):
+        for k, (lang, text, copies) in enumerate(zip(batch["lang"].to_pylist(), batch["text"], batch["copies"].to_pylist())):
+            if k % 64 == 0 and sum(len(n) for n, _ in held.values()) > HELD:
+                yield from emit()
             found = terms(text.as_py())
             if len(copies) == 1 and copies[0]["n"] == 1:
                 n, in_docs = held.setdefault((lang, copies[0]["source"]), (Counter(), Counter()))
@@ -95,13 +97,9 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for copy in copies:
                 n, in_docs = held.setdefault((lang, copy["source"]), (Counter(), Counter()))
                 times = copy["n"]
-                for term, k in own.items():
-                    n[term] += k * times
+                for term, found_here in own.items():
+                    n[term] += found_here * times
                     in_docs[term] += times
-            if sum(len(n) for n, _ in held.values()) > HELD:
-                yield from emit()
-        if sum(len(n) for n, _ in held.values()) > HELD:
-            yield from emit()
     yield from emit()
 
 
