@@ -13,6 +13,7 @@ from sluice.llm.divergence import divergence_audit
 from sluice.llm.hilbert import hilbert_shards
 from sluice.llm.infill import digest, fill_in_middle, restore
 from sluice.llm.langid import identify
+from sluice.llm.maxent import score_documents
 from sluice.llm.mixing import mix
 from sluice.llm.pagetext import extract_pages
 from sluice.llm.pii import find_personal_data
@@ -70,6 +71,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_audit(table(spark, sf_dir, "documents"))
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_pagetext": (op8_pagetext, None),
     "op9_substrings": (op9_substrings, None),
     "op10_simhash": (op10_simhash, None),
+    "op11_maxent": (op11_maxent, None),
     "op12_divergence": (op12_divergence, oracle.DIVERGENCE),
     "op13_infill": (op13_infill, oracle.INFILL),
 }
