@@ -32,7 +32,9 @@ from sluice.plans import naming
 from sluice.plans.column_plan import ColumnPlan, build_plan
 from sluice.session import configure, remove_dir, shared_dir, time_type_enabled
 from sluice.sources import columnar, messages
-from sluice.sources.snapshots import LoadResult, SnapshotTable, co_partitioning, folder_name, publish_state
+from sluice.sources.inputs import InputLedger, file_positions, identity
+from sluice.sources.snapshots import (LoadResult, SnapshotTable, co_partitioning, folder_name, latest_state,
+                                      publish_state)
 
 REJECT_SCHEMA = "stream string, ord string, rule string, detail string, value string"
 
@@ -45,6 +47,8 @@ class LoadReport:
     results: list[LoadResult] = field(default_factory=list)
     rejects: int = 0
     state: dict | None = None
+    load_id: str | None = None
+    replayed: bool = False  # the last completed load consumed the same files: nothing was read
 
 
 def table_root(warehouse: str, stream: str, opts: LoadOptions) -> str:
@@ -124,13 +128,30 @@ def _fingerprint(summary: list) -> str:
     return hashlib.sha256(json.dumps(rows).encode()).hexdigest()[:24]
 
 
+def load_files(spark: SparkSession, paths: str | list[str], warehouse: str, opts: LoadOptions = LoadOptions(),
+               now: dt.datetime | None = None, suffix: str | None = None,
+               tables: dict[str, SnapshotTable] | None = None) -> LoadReport:
+    """Load JSON-lines files, identified by position (path, size, modification time):
+    files that the last completed load consumed are not read again; any others are
+    a new load, whatever lines they hold."""
+    source = identity(file_positions(spark, paths))
+    done = InputLedger(spark, warehouse).consumed_last(source)
+    if done is not None:
+        return LoadReport(state=latest_state(spark, warehouse.rstrip("/")), load_id=done["load_id"], replayed=True)
+    return load_messages(spark, messages.scan_messages(spark, paths), warehouse, opts, now=now, suffix=suffix,
+                         tables=tables, source=source)
+
+
 def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: LoadOptions = LoadOptions(),
                   load_id: str | None = None, now: dt.datetime | None = None, suffix: str | None = None,
-                  stage: bool = True, tables: dict[str, SnapshotTable] | None = None) -> LoadReport:
+                  stage: bool = True, tables: dict[str, SnapshotTable] | None = None,
+                  source: str | None = None) -> LoadReport:
     """Load one message log into its tables. Without a `load_id` the load is named
-    after its lines, so the same lines load once. A given id that was used for
-    other lines is an error. `tables` keeps table handles (and their ledgers)
-    across calls, e.g. across micro-batches of one stream."""
+    after its input (`source`, else its lines) and the load completed before it: every
+    call is a load of its own, but one that repeats a load that died goes on with it.
+    A given id names a load once, and an id that was used for other input is an
+    error. `tables` keeps table handles (and their ledgers) across calls, e.g. across
+    micro-batches of one stream."""
     configure(spark)
     parsed, staged = messages.parse_envelopes(msgs), None
     if stage:
@@ -138,7 +159,7 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
     else:
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _Load(spark, parsed, warehouse, opts, load_id, now, suffix, tables).run()
+        return _Load(spark, parsed, warehouse, opts, load_id, now, suffix, tables, source).run()
     finally:
         if staged is None:
             parsed.unpersist()
@@ -147,17 +168,18 @@ def load_messages(spark: SparkSession, msgs: DataFrame, warehouse: str, opts: Lo
 
 
 class _Load:
-    def __init__(self, spark, parsed, warehouse, opts, load_id, now, suffix, tables):
+    def __init__(self, spark, parsed, warehouse, opts, load_id, now, suffix, tables, source):
         self.spark, self.parsed, self.warehouse, self.opts = spark, parsed, warehouse, opts
         self.time_enabled = time_type_enabled(spark)
         self.now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         self.suffix = suffix or self.now.strftime("%Y%m%d_%H%M")
         self.tables = {} if tables is None else tables
         self.summary = _summary(parsed)
-        self.source = _fingerprint(self.summary)
-        self.load_id = load_id or f"load-{self.source}"
+        self.source = source or _fingerprint(self.summary)
+        self.inputs = InputLedger(spark, warehouse)
+        self.load_id = load_id or self.inputs.name(self.source)
         self.rejects = _Rejects(warehouse, self.load_id, opts)
-        self.report, self.lock = LoadReport(), threading.Lock()
+        self.report, self.lock = LoadReport(load_id=self.load_id), threading.Lock()
         self.ord_type = parsed.schema["ord"].dataType
         self.records = messages.records(parsed)
 
@@ -182,6 +204,7 @@ class _Load:
         if any(r["states"] for r in self.summary):
             self.report.state = state.latest_state_document(state.state_rows(messages.control_rows(self.parsed)))
             publish_state(self.spark, self.warehouse.rstrip("/"), self.load_id, self.report.state)
+        self.inputs.complete(self.load_id, self.source)
         return self.report
 
     def _count(self, rejected: int) -> None:

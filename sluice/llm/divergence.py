@@ -106,7 +106,8 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, term, total, used): kept terms with their count per source that uses them."""
     counted = collapse(docs).mapInArrow(_count_terms, "lang string, source string, term string, n long, docs long")
-    per_source = counted.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    met = counted.repartition("lang", "term")  # one shuffle serves both sums
+    per_source = met.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     return (per_source.groupBy("lang", "term")
             .agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("used"))
             .where(F.col("docs") >= min_docs).select("lang", "term", "total", "used"))

@@ -13,11 +13,13 @@ one. The windows that share an anchor are a run.
    Only neighbours are compared, so a hot anchor is split over partitions.
 2. Open runs, and one of each repeated range beside them, bring their bytes
    (at most LENGTH + LENGTH - GRAM each). Runs of one anchor meet and compare
-   all their windows by prefix hashes, under two independent bases so that a
-   hash match is verified. Anchors with more than `HOT` open runs compare their
-   windows as rows of a plain aggregate instead.
+   all their windows by prefix hashes, `WINDOWS` at a time. Anchors with more than
+   `HOT` open runs compare their windows as rows of a plain aggregate instead.
 3. Each text drops the bytes of its repeated windows.
 
+Every hash match, of windows and of whole runs, is verified under a second,
+independent base with a prime modulus.
+
 Texts pass through a shuffle twice, runs once; no group is gathered.
 
 Defined results: NULL and empty texts have no bytes and the digest of nothing;
@@ -46,10 +48,12 @@ from sluice.session import ship_package
 LENGTH = 200
 GRAM = 64
 SLICE = 1 << 18  # window starts handled at once
-HOT = 20_000
+HOT = 2_000
+WINDOWS = 1 << 17  # windows of open runs compared at once (one anchor at least)
 _U = np.uint64
 _MASK = (1 << 64) - 1
-_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd, so that powers have inverses
+_BASES = (0x9E3779B97F4A7C15, 0x2545F491)  # the first is odd, so that its powers have inverses
+_PRIME = (1 << 31) - 1  # modulus of the second base; products of two residues fit in 64 bits
 _MIX = _U(0xD6E8FEB86659FD93)
 # Bits of a sorted run: the neighbour before or after has the same anchor, or the same range.
 _ANCHOR, _RANGE = 1, 2
@@ -66,33 +70,53 @@ def _letters(base: int) -> np.ndarray:
     return np.array(out, _U)
 
 
+def _powers(base: int, size: int, modulus: int) -> np.ndarray:
+    """base^0 .. base^(size - 1), by doubling."""
+    out = np.ones(size, _U)
+    known = 1
+    while known < size:
+        step = _U(pow(base, known, modulus))
+        more = out[:min(known, size - known)] * step
+        out[known:known + len(more)] = more % _U(modulus) if modulus < 1 << 64 else more
+        known += len(more)
+    return out
+
+
 class Prefixes:
-    """Prefix polynomial hashes modulo 2^64: the hash of any byte range in constant time."""
+    """Prefix polynomial hashes: the hash of any byte range in constant time. The first base
+    works modulo 2^64, the second modulo a prime (of at most 2^31 bytes)."""
 
     _tables: dict = {}
 
     def __init__(self, data: np.ndarray, which: int = 0):
         letters, powers, inverse = self._base(which, len(data))
-        self.inverse = inverse
+        self.inverse, self.prime = inverse, which == 1
         self.sums = np.zeros(len(data) + 1, _U)
-        np.cumsum(letters[data] * powers[:len(data)], out=self.sums[1:])
+        terms = letters[data] * powers[:len(data)]
+        np.cumsum(terms % _U(_PRIME) if self.prime else terms, out=self.sums[1:])
 
     @classmethod
     def _base(cls, which: int, n: int):
         held = cls._tables.get(which)
         if held is None or len(held[1]) < n + 1:
             size, base = max(n + 1, SLICE + 4 * LENGTH), _BASES[which]
-            power = lambda b: np.r_[_U(1), np.cumprod(np.full(size, _U(b)))]
-            held = cls._tables[which] = (_letters(base), power(base), power(pow(base, -1, 1 << 64)))
+            modulus = _PRIME if which else 1 << 64
+            letters = _letters(base) % _U(_PRIME) if which else _letters(base)
+            held = cls._tables[which] = (letters, _powers(base, size, modulus), _powers(pow(base, -1, modulus), size, modulus))
         return held
 
+    def _moved(self, between: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+        if self.prime:
+            return between % _U(_PRIME) * inverse % _U(_PRIME)
+        return _stir(between * inverse)
+
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return _stir((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
+        return self._moved(self.sums[ends] - self.sums[starts], self.inverse[starts])
 
     def windows(self, length: int) -> np.ndarray:
         """Hash of the `length` bytes from every start."""
         n = len(self.sums) - length
-        return _stir((self.sums[length:] - self.sums[:n]) * self.inverse[:n])
+        return self._moved(self.sums[length:] - self.sums[:n], self.inverse[:n])
 
 
 def _stir(h: np.ndarray) -> np.ndarray:
@@ -113,7 +137,7 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 def runs(data: np.ndarray, bounds: np.ndarray, length: int, gram: int):
     """Runs of the windows of documents laid end to end (document i is
     data[bounds[i]:bounds[i + 1]]). Yields per slice: document, anchor hash, range
-    hash, first window, windows, and how many equal runs follow each other."""
+    hash under either base, first window, windows, and how many equal runs follow each other."""
     place_bits = _U(int(SLICE + 2 * length).bit_length())
     for low in range(0, max(len(data) - length + 1, 0), SLICE):
         part = data[low:low + SLICE + length - 1]
@@ -132,13 +156,14 @@ def runs(data: np.ndarray, bounds: np.ndarray, length: int, gram: int):
         count = np.diff(np.r_[first, len(starts)])
         begin = starts[first] - low
         span = sums.ranges(begin, begin + count - 1 + length) ^ count.astype(_U)
+        proof = Prefixes(part, 1).ranges(begin, begin + count - 1 + length)
         doc, lead = owner[first], grams[anchor[first]]
         # Equal runs that follow each other (periodic text) become one train.
-        new = np.r_[True, (lead[1:] != lead[:-1]) | (span[1:] != span[:-1]) | (doc[1:] != doc[:-1])
-                    | (begin[1:] != begin[:-1] + count[:-1])]
+        new = np.r_[True, (lead[1:] != lead[:-1]) | (span[1:] != span[:-1]) | (proof[1:] != proof[:-1])
+                    | (doc[1:] != doc[:-1]) | (begin[1:] != begin[:-1] + count[:-1])]
         head = np.flatnonzero(new)
         times = np.diff(np.r_[head, len(first)])
-        yield (doc[head], lead[head].view(np.int64), span[head].view(np.int64),
+        yield (doc[head], lead[head].view(np.int64), span[head].view(np.int64), proof[head].view(np.int64),
                starts[first][head] - bounds[doc[head]], count[head], times)
 
 
@@ -156,7 +181,7 @@ def _longs(values) -> pa.Array:
 
 def find_runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "text_hash", "anchor", "span", "lo", "windows", "times"]
+    names = ["doc_id", "text_hash", "anchor", "span", "proof", "lo", "windows", "times"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,7 +190,7 @@ def find_runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at),
                                                   *(_longs(c) for c in columns)], names)
 
-    return docs.mapInArrow(find, f"doc_id {id_type}, text_hash int, anchor long, span long, lo long, windows long, times long")
+    return docs.mapInArrow(find, f"doc_id {id_type}, text_hash long, anchor long, span long, proof long, lo long, windows long, times long")
 
 
 def _mark_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,9 +211,9 @@ def _mark_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             continue
         table = pa.Table.from_batches([batch])
         table = table if held is None else pa.concat_tables([held, table])
-        anchor, span = (table[c].to_numpy() for c in ("anchor", "span"))
+        anchor, span, proof = (table[c].to_numpy() for c in ("anchor", "span", "proof"))
         same = anchor[1:] == anchor[:-1]
-        link = same * _ANCHOR + (same & (span[1:] == span[:-1])) * _RANGE
+        link = same * _ANCHOR + (same & (span[1:] == span[:-1]) & (proof[1:] == proof[:-1])) * _RANGE
         n = len(link)
         if n:
             edges = np.zeros(n, np.int64)
@@ -203,14 +228,15 @@ def _mark_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def sorted_neighbours(found: DataFrame) -> DataFrame:
     """Runs that share their anchor with another run, or follow themselves, with their bits."""
     spark = found.sparkSession
-    ranged = found.repartitionByRange("anchor", "span", "doc_id", "lo").sortWithinPartitions("anchor", "span", "doc_id", "lo")
+    order = ["anchor", "span", "proof", "doc_id", "lo"]
+    ranged = found.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = StructType([*found.schema, *(StructField(c, LongType()) for c in ("prev", "next", "edge", "part"))])
     marked = materialize(ranged.mapInArrow(_mark_neighbours, schema), "runs")
     # Two rows per range partition: compare each partition's last run with the next one's first.
     edges = [r.asDict() for r in marked.where("edge > 0").orderBy("part", "edge").collect()]
     for one, other in zip(edges, edges[1:]):
         if one["part"] != other["part"] and one["anchor"] == other["anchor"]:
-            link = _ANCHOR + _RANGE * (one["span"] == other["span"])
+            link = _ANCHOR + _RANGE * ((one["span"], one["proof"]) == (other["span"], other["proof"]))
             one["next"] |= link
             other["prev"] |= link
     patched = spark.createDataFrame([tuple(e.values()) for e in edges], schema)
@@ -258,7 +284,7 @@ def cut_open_runs(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
                     ["anchor", "doc_id", "text_hash", "lo", "windows", "bytes"])
 
     return (_with_text(docs, found, "anchor lo windows", "inner")
-            .mapInArrow(cut, f"anchor long, doc_id {id_type}, text_hash int, lo long, windows long, bytes binary"))
+            .mapInArrow(cut, f"anchor long, doc_id {id_type}, text_hash long, lo long, windows long, bytes binary"))
 
 
 def _window_hashes(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -285,7 +311,7 @@ def _intervals(table: pa.Table, rows, offset, hit) -> pa.RecordBatch:
 def compare_windows(pieces: DataFrame, length: int, hot: int) -> DataFrame:
     """(doc_id, text_hash, lo, windows): intervals of repeated windows within the given runs."""
     id_type = pieces.schema["doc_id"].dataType.simpleString()
-    out = f"doc_id {id_type}, text_hash int, lo long, windows long"
+    out = f"doc_id {id_type}, text_hash long, lo long, windows long"
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def repeated(table: pa.Table) -> pa.RecordBatch:
@@ -296,17 +322,28 @@ def compare_windows(pieces: DataFrame, length: int, hot: int) -> DataFrame:
             hit[order[:-1][same]] = hit[order[1:][same]] = True
             return _intervals(table, rows, offset, hit)
 
+        def groups(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            """Whole anchors, at most `WINDOWS` windows (or one anchor) at a time."""
+            anchor, reach = table["anchor"].to_numpy(), np.cumsum(table["windows"].to_numpy())
+            ends = np.flatnonzero(np.r_[anchor[1:] != anchor[:-1], True]) + 1 if len(anchor) else np.empty(0, np.int64)
+            at = 0
+            while at < len(anchor):
+                before = reach[at - 1] if at else 0
+                fits = np.searchsorted(reach[ends - 1], before + WINDOWS, "right")
+                end = int(ends[max(fits - 1, np.searchsorted(ends, at, "right"))])
+                yield repeated(table.slice(at, end - at))
+                at = end
+
         held = None  # the last anchor's runs may go on in the next batch
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = table if held is None else pa.concat_tables([held, table])
             anchor = table["anchor"].to_numpy()
             done = int(np.searchsorted(anchor, anchor[-1])) if len(anchor) else 0
-            if done:
-                yield repeated(table.slice(0, done))
+            yield from groups(table.slice(0, done))
             held = table.slice(done)
-        if held is not None and held.num_rows:
-            yield repeated(held)
+        if held is not None:
+            yield from groups(held)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,7 +363,7 @@ def compare_windows(pieces: DataFrame, length: int, hot: int) -> DataFrame:
     found = rest.mapInArrow(compare, out)
     if crowded.limit(1).count():
         spelt = (pieces.join(crowded, "anchor", "left_semi")
-                 .mapInArrow(spell, f"one long, two long, doc_id {id_type}, text_hash int, lo long"))
+                 .mapInArrow(spell, f"one long, two long, doc_id {id_type}, text_hash long, lo long"))
         again = spelt.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
         found = found.unionByName(spelt.join(again, ["one", "two"], "left_semi")
                                   .select("doc_id", "text_hash", "lo", F.lit(1).cast("long").alias("windows")))
@@ -371,7 +408,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.hash("text").alias("text_hash"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:

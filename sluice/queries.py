@@ -894,7 +894,7 @@ def _halves(spark, sf_dir):
 
 
 def q_publish_two_loads(spark, sf_dir):
-    """A4: two loads without a given id both arrive, and the first again adds nothing."""
+    """A4: two loads without a given id both arrive, and the first again changes no row."""
     from sluice.job import load_messages, table_root
 
     _setup(spark)
@@ -909,6 +909,54 @@ def q_publish_two_loads(spark, sf_dir):
 SQL_ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
 
 
+def _log_file(log: DataFrame, folder: str) -> str:
+    """A log written as one folder of JSON-lines files in production order."""
+    from sluice.streaming.loader import write_log_files
+
+    return write_log_files(log.withColumn("_file", F.lit(0)), folder)[0]
+
+
+def q_reload_earlier_log(spark, sf_dir):
+    """A4: log A, log B, log A again, and A's files once more right after (a replay):
+    the table is A's again, after three loads."""
+    from sluice.job import load_files, table_root
+
+    _setup(spark)
+    o = _t(spark, sf_dir, "orders")
+    base, opts = shared_dir(spark, "files"), LoadOptions(default_target_schema="public")
+    head = _schema_line(spark, "db-orders", ORDERS_PROPS, ["o_orderkey"])
+    later = o.withColumn("o_orderstatus", F.lit("B")).withColumn("o_totalprice", -F.col("o_totalprice")).select(*o.columns)
+    a, b = (_log_file(head.unionByName(record_messages(df, "db-orders", 1, ["o_orderkey"])), f"{base}/{name}")
+            for name, df in (("a", o), ("b", later)))
+    for path in (a, b, a, a):
+        load_files(spark, path, f"{base}/warehouse", opts, now=NOW, suffix=SUFFIX)
+    table = SnapshotTable(spark, table_root(f"{base}/warehouse", "db-orders", opts))
+    return table.read().withColumn("loads", F.lit(table.ledger().count()))
+
+
+SQL_RELOAD_EARLIER_LOG = SQL_ORDERS.replace(" FROM", ", CAST(3 AS BIGINT) AS loads FROM")
+
+
+def q_keyless_twice(spark, sf_dir):
+    """F1 + A4: the same keyless log in two files is two loads; a file that is loaded
+    again right away is a replay."""
+    from sluice.job import load_files, table_root
+
+    _setup(spark)
+    e = _t(spark, sf_dir, "events")
+    base = shared_dir(spark, "files")
+    opts = LoadOptions(default_target_schema="public", primary_key_required=False)
+    log = _schema_line(spark, "app-events", EVENT_PROPS, []).unionByName(record_messages(e, "app-events", 1, ["ts", "event_id"]))
+    for name in ("one", "two"):
+        path = _log_file(log, f"{base}/{name}")
+        for _ in range(2):
+            load_files(spark, path, f"{base}/warehouse", opts, now=NOW, suffix=SUFFIX)
+    return SnapshotTable(spark, table_root(f"{base}/warehouse", "app-events", opts)).read()
+
+
+SQL_KEYLESS_TWICE = "SELECT event_id, ts, user_id, event_type, value FROM events, (VALUES (1), (2)) t(copy)"
+
+
 def q_stream_two_sources(spark, sf_dir):
     """H2: two streaming loads with checkpoints of their own into one table both arrive."""
     from sluice.job import table_root
@@ -1174,6 +1222,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "text_conversations": (q_text_conversations, SQL_TEXT_CONVERSATIONS),
     "text_pages": (q_text_pages, SQL_TEXT_PAGES),
     "publish_replay": (q_publish_replay, SQL_PUBLISH_REPLAY),
+    "reload_earlier_log": (q_reload_earlier_log, SQL_RELOAD_EARLIER_LOG),
+    "keyless_twice": (q_keyless_twice, SQL_KEYLESS_TWICE),
     "stream_merge": (q_stream_merge, SQL_DEDUP_LINEITEM),
     "load_lineitem_files": (q_load_lineitem_files, SQL_DEDUP_LINEITEM),
 }

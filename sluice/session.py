@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # SQL settings the operators rely on; all are runtime-settable.
@@ -99,3 +100,48 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder of this application's own, on whatever filesystem it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class FileExists(RuntimeError):
+    """A file that must be new is there already."""
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, on whatever filesystem it is; none if there is no such folder."""
+    path, fs = _file_system(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file of this application's own."""
+    file, fs = _file_system(spark, path)
+    stream = fs.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole or not at all; FileExists if there is one of that name."""
+    file, fs = _file_system(spark, path)
+    part, _ = _file_system(spark, f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")
+    stream = fs.create(part, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(file.toUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(part, file, options)
+    except Py4JJavaError as error:
+        fs.delete(part, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            raise FileExists(path) from error
+        raise

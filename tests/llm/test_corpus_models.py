@@ -341,7 +341,7 @@ def test_lm_predicts_held_out_text(spark):
 
 def test_lm_threshold_is_bounded(spark):
     words = spark.createDataFrame([(f"{k}".encode(), k) for k in range(1, 3000)], "word binary, n long")
-    for listed in (0, 1, 40, 1900, 2990, 10_000):
+    for listed in (0, 1, 1900, 2990, 10_000):
         least = maxent._threshold(words, listed)
         reach = sum(k >= least for k in range(1, 3000))
         assert reach <= listed and (reach >= 0.85 * min(listed, 2999) or listed <= 1)

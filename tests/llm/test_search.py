@@ -151,6 +151,24 @@ def test_substring_edges(edge_docs, no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
 
 
+def test_documents_without_an_id_keep_their_own_spans(spark):
+    """Two texts without an id whose 32-bit hashes are equal: only one of them is repeated."""
+    text = F.concat(*[F.sha2(F.concat("id", F.lit(k)), 256) for k in "ab"])
+    pair = (spark.range(300_000).select(F.col("id").cast("string").alias("id")).select(text.alias("text"))
+            .groupBy(F.hash("text")).agg(F.collect_list("text").alias("t")).where("size(t) > 1").first()["t"][:2])
+    rows = [(None, pair[0]), (None, pair[1]), (5, pair[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, substrings.remove_repeats(docs, 40, 16).collect()), key=repr) == brute_repeats(rows, 40)
+
+
+@pytest.mark.parametrize("windows", [1, 60])
+def test_open_runs_are_compared_some_at_a_time(spark, windows, monkeypatch):
+    monkeypatch.setattr(substrings, "WINDOWS", windows)
+    rows = repeated_texts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    assert sorted(map(tuple, substrings.remove_repeats(docs, 40, 16).collect()), key=repr) == brute_repeats(rows, 40)
+
+
 def test_runs_cover_every_window_once_in_any_slices(monkeypatch):
     texts = [(t or "").encode() for _, t in repeated_texts()]
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -158,7 +176,7 @@ def test_runs_cover_every_window_once_in_any_slices(monkeypatch):
     for size in (1 << 20, 64, 7):
         monkeypatch.setattr(substrings, "SLICE", size)
         covered = Counter()
-        for doc, _, _, lo, windows, times in substrings.runs(data, bounds, 40, 16):
+        for doc, *_, lo, windows, times in substrings.runs(data, bounds, 40, 16):
             for d, a, n in zip(doc.tolist(), lo.tolist(), (windows * times).tolist()):
                 covered.update((d, s) for s in range(a, a + n))
         assert covered == Counter((d, s) for d, t in enumerate(texts) for s in range(len(t) - 39))

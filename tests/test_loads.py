@@ -11,7 +11,7 @@ import pyarrow.ipc as ipc
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.job import load_messages, table_root
+from sluice.job import load_files, load_messages, table_root
 from sluice.options import LoadOptions
 from sluice.sources import columnar
 from sluice.sources.snapshots import LoadConflict, SnapshotTable, latest_state, publish_state
@@ -53,12 +53,12 @@ PROPS = {"id": {"type": "integer", "maximum": 2147483647}, "name": {"type": ["st
          "bal": {"type": ["number", "null"]}}
 
 
-def schema_msg(props=PROPS, keys=("id",)):
-    return {"type": "SCHEMA", "stream": "public-things", "schema": {"properties": props}, "key_properties": list(keys)}
+def schema_msg(props=PROPS, keys=("id",), stream="public-things"):
+    return {"type": "SCHEMA", "stream": stream, "schema": {"properties": props}, "key_properties": list(keys)}
 
 
-def record(r):
-    return {"type": "RECORD", "stream": "public-things", "record": r}
+def record(r, stream="public-things"):
+    return {"type": "RECORD", "stream": stream, "record": r}
 
 
 def test_job_upsert_batch_delete_state_and_replay(spark):
@@ -272,19 +272,90 @@ def test_dotted_key_column(spark):
     assert {r["k.id"]: r["v"] for r in t.collect()} == {1: "d", 2: "c"}
 
 
-def test_load_names_follow_the_lines(spark):
+def _values(spark, wh, stream="public-things"):
+    table = SnapshotTable(spark, table_root(wh, stream, OPTS))
+    return sorted((r["id"], r["name"]) for r in table.read().collect()), table.ledger().count()
+
+
+def test_logs_without_an_id_load_every_time(spark):
+    """A, B, A leaves the table at A; an id that is used again must name the same lines."""
     wh = tempfile.mkdtemp()
-    one = [schema_msg(), record({"id": 1})]
-    two = [schema_msg(), record({"id": 2})]
+    one = [schema_msg(), record({"id": 1, "name": "a"})]
+    two = [schema_msg(), record({"id": 1, "name": "b"}), record({"id": 2})]
     for lines in (one, two, one):
         load_messages(spark, _log(spark, lines), wh, OPTS, now=NOW)
-    table = SnapshotTable(spark, table_root(wh, "public-things", OPTS))
-    assert sorted(r["id"] for r in table.read().collect()) == [1, 2] and table.ledger().count() == 2
+    assert _values(spark, wh) == ([(1, "a"), (2, None)], 3)
     load_messages(spark, _log(spark, one), wh, OPTS, load_id="x", now=NOW)
     with pytest.raises(LoadConflict):
         load_messages(spark, _log(spark, two), wh, OPTS, load_id="x", now=NOW)
 
 
+def _file(folder, name, lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as fh:
+        fh.write("\n".join(json.dumps(x) for x in lines) + "\n")
+    return f"{folder}/{name}"
+
+
+def test_files_are_identified_by_position(spark):
+    base = tempfile.mkdtemp(prefix="sluice-files-")
+    a = _file(base, "a.txt", [schema_msg(), record({"id": 1, "name": "a"})])
+    b = _file(base, "b.txt", [schema_msg(), record({"id": 1, "name": "b"})])
+    wh = f"{base}/wh"
+    reports = [load_files(spark, path, wh, OPTS, now=NOW) for path in (a, b, a, a)]
+    assert [r.replayed for r in reports] == [False, False, False, True]
+    assert reports[3].load_id == reports[2].load_id != reports[0].load_id
+    assert _values(spark, wh) == ([(1, "a")], 3)
+    os.utime(a, ns=(10**18, 10**18))  # the same lines, written again
+    assert not load_files(spark, a, wh, OPTS, now=NOW).replayed
+    assert not load_files(spark, [a, b], wh, OPTS, now=NOW).replayed  # in name order: b wins
+    assert load_files(spark, f"{base}/*.txt", wh, OPTS, now=NOW).replayed  # the same two files
+    assert _values(spark, wh) == ([(1, "b")], 5)
+    with pytest.raises(FileNotFoundError):
+        load_files(spark, f"{base}/none*", wh, OPTS, now=NOW)
+
+
+def test_a_load_that_died_goes_on_under_its_name(spark, monkeypatch):
+    """Two keyless streams; the load dies between them and is repeated: no row comes twice."""
+    from sluice import job
+
+    base = tempfile.mkdtemp(prefix="sluice-files-")
+    opts = LoadOptions(default_target_schema="public", primary_key_required=False)
+    path = _file(base, "log.txt", [schema_msg(stream=s, keys=[]) for s in ("public-a", "public-b")]
+                 + [record({"id": 1}, stream=s) for s in ("public-a", "public-b")])
+    whole, died = job._Load._stream, []
+
+    def dies(self, stream, *args):
+        if stream == "public-b" and not died:
+            died.append(stream)
+            raise RuntimeError("executor lost")
+        return whole(self, stream, *args)
+
+    monkeypatch.setattr(job._Load, "_stream", dies)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        load_files(spark, path, f"{base}/wh", opts, now=NOW)
+    report = load_files(spark, path, f"{base}/wh", opts, now=NOW)
+    assert not report.replayed and [r.skipped for r in report.results] == [True, False]
+    for stream in ("public-a", "public-b"):
+        assert SnapshotTable(spark, table_root(f"{base}/wh", stream, opts)).read().count() == 1
+    assert load_files(spark, path, f"{base}/wh", opts, now=NOW).replayed
+
+
+def test_loads_that_complete_at_once_are_both_entered(spark):
+    from sluice.sources.inputs import InputLedger
+
+    wh = tempfile.mkdtemp()
+    one, two = InputLedger(spark, wh), InputLedger(spark, wh)
+    assert one.name("x") == two.name("x") != one.name("y")
+    stale = one.head
+    one.head = lambda: (setattr(one, "head", stale), None)[1]  # reads before the other completes
+    two.complete("load-two", "y")
+    one.complete("load-one", "x")
+    one.complete("load-one", "x")
+    assert (one.head()["number"], one.head()["load_id"], one.head()["after"]) == (1, "load-one", "load-two")
+    assert one.consumed_last("x") and not one.consumed_last("y")
+
+
 def test_two_streaming_sources_both_load(spark):
     from sluice.streaming.loader import run_stream_loader
 
