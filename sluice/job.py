@@ -5,10 +5,11 @@
 2. checks on the whole log in one aggregate (malformed or incomplete lines,
    unknown kinds, records before their SCHEMA), and the log's fingerprint, which
    names the load and tells a replay from other input; details only on failure;
-3. per stream: segments by SCHEMA/BATCH boundaries, then, in order, one merge
-   per segment: shape -> latest per key -> merge with the buckets it touches ->
-   hard delete -> publish;
-4. the safe state is published after every table of the load.
+3. per stream: segments by SCHEMA/BATCH boundaries, each shaped by its plan; segments
+   fold into one merge and commit as long as no column changes its type: latest per
+   key and column -> merge with the buckets it touches -> hard delete -> publish;
+4. the safe state is published after every table of the load, or, if a stream
+   failed, held back to what each stream committed.
 Only control messages (SCHEMA/BATCH boundaries) reach the driver.
 """
 
@@ -25,6 +26,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.operators import checks, epochs, evolve, merge, shape, state
 from sluice.options import LoadOptions
@@ -33,8 +35,8 @@ from sluice.plans.column_plan import ColumnPlan, build_plan
 from sluice.session import configure, remove_dir, shared_dir, time_type_enabled
 from sluice.sources import columnar, messages
 from sluice.sources.inputs import InputLedger, file_positions, identity
-from sluice.sources.snapshots import (LoadResult, SnapshotTable, co_partitioning, folder_name, latest_state,
-                                      publish_state)
+from sluice.sources.snapshots import (LoadResult, Segment, SnapshotTable, co_partitioning, folder_name,
+                                      latest_state, publish_state)
 
 REJECT_SCHEMA = "stream string, ord string, rule string, detail string, value string"
 
@@ -91,18 +93,25 @@ class _Rejects:
         return self.add(check, spark.createDataFrame([(stream, str(order), rule, detail, None)], REJECT_SCHEMA))
 
 
-def _merge_segment(store: SnapshotTable, delta: DataFrame, plan: ColumnPlan, opts: LoadOptions, load_id: str,
-                   suffix: str, time_enabled: bool, schema_message: dict, source: str,
-                   source_bytes: Observation | None = None) -> LoadResult:
-    def align(current: DataFrame):
-        return evolve.align_to_plan(current, plan, suffix, time_enabled)
+@dataclass
+class _Part:
+    """The rows of one segment, shaped and with `ord`, that wait for their merge."""
+
+    frame: DataFrame
+    plan: ColumnPlan
+    segment: Segment
+    start: object  # of the segment in the log; None: the log's start
+    held: list = field(default_factory=list)  # cached frames to release
+    files: list = field(default_factory=list)  # batch files to remove after the commit
+
 
-    layout = [c for c in opts.indices_for(plan.schema_segment, plan.table) if c in plan.names]
-    # Configured lookup columns order the rows inside each bucket (row-group
-    # min/max skipping) and get Parquet bloom filters
-    return store.merge(delta, list(plan.key_columns), load_id, align=align, hard_delete=opts.hard_delete,
-                       schema_message=schema_message, layout=layout or None, bloom=layout or None,
-                       source_bytes=source_bytes, source=source)
+def _fits(run: list[_Part], part: _Part) -> bool:
+    """May the part fold into the run's commit? Not if a column changes its type."""
+    types = {}
+    for p in run:
+        types |= {f.name.lower(): f for f in p.frame.schema.fields}
+    same = all(types.get(f.name.lower(), f) == f for f in part.frame.schema.fields if f.name != "ord")
+    return same and part.plan.key_columns == run[0].plan.key_columns and len(run) < merge.MAX_SEGMENTS
 
 
 def _summary(parsed: DataFrame) -> list:
@@ -181,6 +190,8 @@ class _Load:
         self.rejects = _Rejects(warehouse, self.load_id, opts)
         self.report, self.lock = LoadReport(load_id=self.load_id), threading.Lock()
         self.ord_type = parsed.schema["ord"].dataType
+        self.complete: set[str] = set()  # streams committed to the end of the log
+        self.reached: dict[str, object] = {}  # for the others: where the first uncommitted segment starts
         self.records = messages.records(parsed)
 
     def run(self) -> LoadReport:
@@ -189,16 +200,24 @@ class _Load:
             by_stream.setdefault(b["stream"], []).append(b)
         first_record = {r["stream"]: r["first_record"] for r in self.summary if r["records"]}
         streams = sorted(set(first_record) | set(by_stream))
-        load = lambda s: self._stream(s, by_stream.get(s, []), first_record.get(s))
-        if self.opts.parallel_streams > 1 and len(streams) > 1:
-            # streams are independent tables: submit their jobs concurrently; the setting
-            # is made once for the load, so that concurrent merges do not toggle it
-            with co_partitioning(self.spark), ThreadPoolExecutor(min(self.opts.parallel_streams, len(streams))) as pool:
-                for done in [pool.submit(load, s) for s in streams]:
-                    done.result()
-        else:
-            for s in streams:
-                load(s)
+
+        def load(stream: str) -> None:
+            self._stream(stream, by_stream.get(stream, []), first_record.get(stream))
+            self.complete.add(stream)
+
+        try:
+            if self.opts.parallel_streams > 1 and len(streams) > 1:
+                # streams are independent tables: submit their jobs concurrently; the setting
+                # is made once for the load, so that concurrent merges do not toggle it
+                with co_partitioning(self.spark), ThreadPoolExecutor(min(self.opts.parallel_streams, len(streams))) as pool:
+                    for done in [pool.submit(load, s) for s in streams]:
+                        done.result()
+            else:
+                for s in streams:
+                    load(s)
+        except Exception:
+            self._publish_held_back(streams)
+            raise
         # Every stream of the log is committed up to its end: the last state is safe whole.
         # (A load without STATE messages leaves the published state as it was.)
         if any(r["states"] for r in self.summary):
@@ -207,6 +226,19 @@ class _Load:
         self.inputs.complete(self.load_id, self.source)
         return self.report
 
+    def _publish_held_back(self, streams: list[str]) -> None:
+        """E3 + H4: a stream failed. Each stream's bookmark is held back to the last one before
+        what it did not commit; a stream without a commit keeps its published one. Bookmarks
+        of streams that have nothing in this log are safe."""
+        if not any(r["states"] for r in self.summary):
+            return
+        root = self.warehouse.rstrip("/")
+        unsafe = {s: self.reached.get(s) for s in streams if s not in self.complete}
+        states = state.state_rows(messages.control_rows(self.parsed))
+        held = state.held_back_to(states, unsafe, self.ord_type, latest_state(self.spark, root))
+        publish_state(self.spark, root, f"{self.load_id}:held", held, replace=True)
+        self.report.state = held
+
     def _count(self, rejected: int) -> None:
         with self.lock:
             self.report.rejects += rejected
@@ -259,33 +291,75 @@ class _Load:
                        "key_properties": list(b["key_properties"] or [])}
                 plans[b["epoch"]] = (build_plan(msg, self.opts), msg)
         counts = {r[0]: r[1] for r in rows.groupBy("seg").count().collect()} if len(todo) > 1 else None
+        run: list[_Part] = []
         for seg, b in todo:
             epoch = -1 if b is None else b["epoch"]
+            start = None if b is None else b["start"]
             if epoch not in plans:
                 if b["kind"] == "BATCH":
                     self._count(self.rejects.add_one(self.spark, f"{stream}:{seg}:order", stream, b["start"], "order", "BATCH before SCHEMA"))
                 continue
             plan, msg = plans[epoch]
+            parts = []
             if b is not None and b["kind"] == "BATCH":
-                self._batch(store, b, plan, msg, f"{self.load_id}:{stream}:{seg}:batch")
-            if counts is None or counts.get(None if b is None else seg) or self._changes(store, plan):
+                parts.append(self._batch(store, b, plan, msg, f"{self.load_id}:{stream}:{seg}:batch"))
+            if counts is None or counts.get(None if b is None else seg) or self._changes(store, run, plan):
                 in_seg = F.col("seg").isNull() if b is None else F.col("seg") == seg
-                self._records(store, rows.filter(in_seg), in_seg, plan, msg, f"{self.load_id}:{stream}:{seg}")
-
-    def _changes(self, store: SnapshotTable, plan: ColumnPlan) -> bool:
-        """Does an empty segment still change the table: create it, or its columns (D5)?"""
-        current = store.read()
-        if current is None:
-            return True
-        diff = evolve.diff_columns(evolve.plan_frame(self.spark, plan.table, plan, self.time_enabled),
-                                   evolve.existing_frame(self.spark, plan.table, current.schema))
-        return diff.filter("status <> 'same'").limit(1).count() > 0
-
-    def _records(self, store, rows: DataFrame, in_seg, plan: ColumnPlan, msg: dict, load_id: str) -> None:
+                parts.append(self._records(store, rows.filter(in_seg), in_seg, plan, msg, f"{self.load_id}:{stream}:{seg}", start))
+            for part in parts:
+                if part is None:  # committed before
+                    continue
+                if run and (self.opts.hard_delete or not _fits(run, part)):
+                    self._commit(store, run)
+                    run = []
+                    self.reached[stream] = part.start
+                run.append(part)
+        if run:
+            self._commit(store, run)
+
+    def _commit(self, store: SnapshotTable, run: list[_Part]) -> None:
+        """H3: one merge and commit for a run of segments. With hard_delete every segment is a run,
+        since its deletions precede the next one's rows."""
+        plans, keys = [p.plan for p in run], list(run[0].plan.key_columns)
+        if len(run) == 1:
+            delta, partial = merge.latest_per_key(run[0].frame, keys).drop("ord").withColumn(merge.SEGMENTS, F.lit(1).cast("long")), {}
+        else:
+            delta, partial = merge.fold_segments([p.frame for p in run], keys)
+            have = {c.lower() for c in delta.columns}
+            for plan in plans[1:]:  # columns that a plan adds to the table, though no row has them
+                for name, dtype in plan.types(self.time_enabled).items():
+                    if name.lower() not in have:
+                        have.add(name.lower())
+                        delta, partial[name] = delta.withColumn(name, F.lit(None).cast(dtype)), 0
+        last = plans[-1]
+        layout = [c for c in self.opts.indices_for(last.schema_segment, last.table) if c in last.names]
+        # Configured lookup columns order the rows inside each bucket (row-group
+        # min/max skipping) and get Parquet bloom filters
+        results = store.merge_segments(
+            delta, keys, [p.segment for p in run], lambda t: evolve.align_to_plans(t, plans, self.suffix, self.time_enabled),
+            self.opts.hard_delete, layout or None, layout or None, self.source, partial)
+        for result in results:
+            self._done(result)
+        for part in run:
+            for frame in part.held:
+                frame.unpersist()
+            columnar.remove_sources(part.files)
+
+    def _changes(self, store: SnapshotTable, run: list[_Part], plan: ColumnPlan) -> bool:
+        """Does an empty segment still change the table: create it, or its columns (D5)? The
+        table is what it will be after the segments that wait for their commit."""
+        schema = store.schema()
+        for part in run:
+            new = [f for f in part.plan.struct_type(self.time_enabled).fields]
+            kept = [] if schema is None else [f for f in schema.fields if f.name.lower() not in {n.name.lower() for n in new}]
+            schema = T.StructType([*kept, *new])
+        return evolve.changes_table(schema, plan, self.time_enabled)
+
+    def _records(self, store, rows: DataFrame, in_seg, plan: ColumnPlan, msg: dict, load_id: str, start) -> _Part | None:
         done = store.replayed(load_id, self.source)
         if done is not None:
             self._done(done)
-            return
+            return None
         held = []
         # Bytes of record text in the segment, counted while the delta is computed
         source_bytes = Observation(f"bytes_{uuid.uuid4().hex[:12]}")
@@ -304,12 +378,9 @@ class _Load:
             self._count(self.rejects.add(f"{load_id}:values", misfit))
         else:  # misfits and NULL keys already raise inside the projection
             good = shape.flatten_records(rows, plan, self.opts, self.time_enabled, now=self.now, guard=in_seg).drop(shape.MISFITS)
-        delta = merge.latest_per_key(good, list(plan.key_columns)).drop("ord")
-        self._done(_merge_segment(store, delta, plan, self.opts, load_id, self.suffix, self.time_enabled, msg, self.source, source_bytes))
-        for frame in held:
-            frame.unpersist()
+        return _Part(good, plan, Segment(load_id, msg, source_bytes), start, held)
 
-    def _batch(self, store: SnapshotTable, b: dict, plan: ColumnPlan, msg: dict, load_id: str) -> None:
+    def _batch(self, store: SnapshotTable, b: dict, plan: ColumnPlan, msg: dict, load_id: str) -> _Part | None:
         """BATCH segment: Arrow files -> present columns -> latest per key -> partial
         merge. Each file group is cast to the plan before the groups meet, so no
         value passes through another group's type. The files are removed only
@@ -318,7 +389,7 @@ class _Load:
         done = store.replayed(load_id, self.source)
         if done is not None:  # committed before, its files may be gone
             self._done(done)
-            return
+            return None
         paths, groups = list(b["manifest"] or []), []
         for raw in columnar.scan_columnar_groups(self.spark, paths):
             raw = raw.withColumn("ord", F.struct(F.col(columnar.FILE_ORD), F.col(columnar.ROW_ORD)))
@@ -336,9 +407,5 @@ class _Load:
         keys = list(plan.key_columns)
         if keys and self.opts.duplicates == "fail":
             merge.assert_unique(good, keys)
-        delta = merge.latest_per_key(good, keys).drop("ord")
-        result = _merge_segment(store, delta, plan, self.opts, load_id, self.suffix, self.time_enabled, msg, self.source)
-        present.unpersist()
-        self._done(result)
-        if not rejected:
-            columnar.remove_sources(paths)
+        held = [present] if self.opts.on_error == "reject" else []
+        return _Part(good, plan, Segment(load_id, msg), b["start"], held, [] if rejected else paths)

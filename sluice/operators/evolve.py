@@ -37,6 +37,23 @@ def diff_columns(plan_cols: DataFrame, existing_cols: DataFrame) -> DataFrame:
     return j.select("table", "column", "type", "existing_column", "existing_type", status.alias("status"))
 
 
+def changes_table(schema: T.StructType | None, plan: ColumnPlan, time_enabled: bool = True) -> bool:
+    """Would this plan create the table, add a column, or change a column's type?"""
+    if schema is None:
+        return True
+    have = {f.name.lower(): f.dataType for f in schema.fields}
+    return any(have.get(name.lower()) != dtype for name, dtype in plan.types(time_enabled).items())
+
+
+def align_to_plans(target: DataFrame, plans: list[ColumnPlan], suffix: str, time_enabled: bool = True) -> tuple[DataFrame, list[dict]]:
+    """align_to_plan for one plan after another."""
+    changes = []
+    for plan in plans:
+        target, more = align_to_plan(target, plan, suffix, time_enabled)
+        changes += more
+    return target, changes
+
+
 def create_from_plan(spark: SparkSession, plan: ColumnPlan, time_enabled: bool = True) -> DataFrame:
     """G1: the empty snapshot of a new table."""
     return spark.createDataFrame([], plan.struct_type(time_enabled))

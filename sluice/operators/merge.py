@@ -27,6 +27,50 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str | list[str] = "ord
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+SEGMENTS = "_segs"
+MAX_SEGMENTS = 62  # bits of the mask that says which segments wrote a key
+
+
+def fold_segments(frames: list[DataFrame], keys: list[str]) -> tuple[DataFrame, dict[str, int]]:
+    """H3: the net effect of several segments, in order, in one aggregation per key.
+
+    Each frame has the rows of one segment, `ord`, and the columns that the segment
+    writes. Per key, a column comes from the last row of the last segment that has
+    both, so that rows win whole within a segment and columns that a segment lacks
+    keep what was written before. Columns that the same segments write are picked
+    together. Returns one row per key with SEGMENTS (bit i: segment i has the key), and
+    for every column that only some segments write the mask of those that do: where it
+    meets no bit of the row, the table's value stays.
+    """
+    kinds = list(dict.fromkeys(f.schema["ord"].dataType.simpleString() for f in frames))
+    placed, writers = [], {}
+    for i, frame in enumerate(frames):
+        kind = frame.schema["ord"].dataType.simpleString()
+        order = F.struct(F.lit(i).alias("seg"), *[(F.col("ord") if k == kind else F.lit(None).cast(k)).alias(f"o{j}")
+                                                  for j, k in enumerate(kinds)])
+        columns = [c for c in frame.columns if c != "ord"]
+        for c in columns:
+            writers[c] = writers.get(c, 0) | 1 << i
+        placed.append(frame.select(*[F.col(f"`{c}`") for c in columns], F.lit(1 << i).cast("long").alias(SEGMENTS), order.alias("ord")))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), placed)
+    bit = F.col(SEGMENTS)
+    if not keys:  # an append takes every row
+        return rows.drop("ord"), {}
+    whole = (1 << len(frames)) - 1
+    groups = {}
+    for c, mask in writers.items():
+        if c not in keys:
+            groups.setdefault(mask, []).append(c)
+    picks = []
+    for k, (mask, columns) in enumerate(groups.items()):
+        order = F.col("ord") if mask == whole else F.when(bit.bitwiseAND(F.lit(mask)) != 0, F.col("ord"))
+        picks.append(F.max_by(F.struct(*[F.col(f"`{c}`") for c in columns]), order).alias(f"_g{k}"))
+    met = rows.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*picks, F.bit_or(bit).alias(SEGMENTS))
+    at = {c: f"_g{k}" for k, columns in enumerate(groups.values()) for c in columns}
+    out = met.select(*[F.col(f"`{c}`") if c in keys else F.col(at[c])[c].alias(c) for c in writers], SEGMENTS)
+    return out, {c: mask for mask, columns in groups.items() if mask != whole for c in columns}
+
+
 def assert_unique(df: DataFrame, keys: list[str]) -> None:
     """S2 with duplicates="fail": a batch may not hold a key twice."""
     dup = df.groupBy(*[F.col(f"`{k}`") for k in keys]).count().filter(F.col("count") > 1).limit(1).collect()

@@ -59,3 +59,25 @@ def held_back_state(states: DataFrame, committed: DataFrame, previous: dict | No
     held = fold_bookmarks(states, committed, bookmark_frame(states.sparkSession, previous))
     document["bookmarks"] = {r["stream"]: json.loads(r["bookmark"]) for r in held.collect()}  # one row per stream
     return document
+
+
+def held_back_to(states: DataFrame, unsafe: dict, ord_type, previous: dict | None = None):
+    """H4 for a load in which streams failed: `unsafe` has, per failed stream, the position
+    of its first uncommitted message, or None if nothing of it was committed. All other
+    bookmarks of the log are safe to its end."""
+    document = latest_state_document(states)
+    if not isinstance(document, dict) or not document.get("bookmarks"):
+        return document
+    from sluice.operators.epochs import ord_literal
+
+    entries = bookmark_entries(states)
+    safe = F.lit(True)
+    for stream, start in unsafe.items():
+        before = F.lit(False) if start is None else F.col("ord") < ord_literal(start, ord_type)
+        safe &= (F.col("stream") != stream) | before
+    held = entries.filter(safe).groupBy("stream").agg(F.max_by("bookmark", "ord").alias("bookmark"))
+    kept = (previous or {}).get("bookmarks") or {}
+    marks = {s: kept[s] for s in unsafe if s in kept}
+    marks |= {r["stream"]: json.loads(r["bookmark"]) for r in held.collect()}  # one row per stream
+    document["bookmarks"] = marks
+    return document

@@ -1021,6 +1021,46 @@ def q_published_state(spark, sf_dir):
 SQL_PUBLISHED_STATE = "SELECT 'app-' || event_type AS stream, event_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 1"
 
 
+def q_held_back_published(spark, sf_dir):
+    """E3 + H4 in the job: customers load, then a load of orders and customers fails on
+    a customer that does not fit; published are the orders' last bookmark and the
+    customers' earlier one."""
+    from sluice.job import load_messages
+    from sluice.sources.snapshots import latest_state
+
+    _setup(spark)
+    wh, opts = shared_dir(spark, "warehouse"), LoadOptions(default_target_schema="public")
+    o, c = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer")
+    props = {"c_custkey": {"type": "integer", "maximum": 2147483647}, "c_name": STR}
+    mark = lambda df, seq, key, marks: df.select(  # noqa: E731  a STATE after every row, with a bookmark per stream
+        messages.order_key(df, seq, [key]).alias("ord"),
+        F.to_json(F.struct(F.lit("STATE").alias("type"), F.struct(F.struct(*[v.alias(s) for s, v in marks.items()]).alias("bookmarks"))
+                           .alias("value"))).alias("value"))
+    head = _schema_line(spark, "b-customer", props, ["c_custkey"])
+    early = c.filter("c_custkey <= 100")
+    first = (head.unionByName(record_messages(early.select(*props), "b-customer", 1, ["c_custkey"]))
+             .unionByName(mark(early, 2, "c_custkey", {"b-customer": F.col("c_custkey")})))
+    load_messages(spark, first, wh, opts, now=NOW, suffix=SUFFIX)
+    bad = c.select(F.when(F.col("c_custkey") % 7 == 0, F.lit("seven")).otherwise(F.col("c_custkey").cast("string")).alias("c_custkey"), "c_name")
+    second = (head.unionByName(_schema_line(spark, "a-orders", ORDERS_PROPS, ["o_orderkey"]))
+              .unionByName(record_messages(o, "a-orders", 1, ["o_orderkey"]))
+              .unionByName(_record_messages(bad, "b-customer", 1, [], spread=4))
+              .unionByName(mark(o, 3, "o_orderkey", {"a-orders": F.col("o_orderkey"), "b-customer": F.lit(10**9)})))
+    try:
+        load_messages(spark, second, wh, opts, now=NOW, suffix=SUFFIX)
+    except Exception as error:
+        if "does not fit" not in str(error):
+            raise
+    found = latest_state(spark, wh)
+    return spark.createDataFrame(sorted(found["bookmarks"].items()), "stream string, mark long")
+
+
+SQL_HELD_BACK_PUBLISHED = """
+SELECT 'a-orders' AS stream, max(o_orderkey) AS mark FROM orders
+UNION ALL SELECT 'b-customer', max(c_custkey) FROM customer WHERE c_custkey <= 100
+"""
+
+
 def _published(spark, logs, stream, opts):
     from sluice.job import load_messages, table_root
 
@@ -1222,6 +1262,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "text_conversations": (q_text_conversations, SQL_TEXT_CONVERSATIONS),
     "text_pages": (q_text_pages, SQL_TEXT_PAGES),
     "publish_replay": (q_publish_replay, SQL_PUBLISH_REPLAY),
+    "held_back_published": (q_held_back_published, SQL_HELD_BACK_PUBLISHED),
     "reload_earlier_log": (q_reload_earlier_log, SQL_RELOAD_EARLIER_LOG),
     "keyless_twice": (q_keyless_twice, SQL_KEYLESS_TWICE),
     "stream_merge": (q_stream_merge, SQL_DEDUP_LINEITEM),

@@ -1,7 +1,8 @@
 """Versioned, hash-bucketed snapshot tables with a ledger.
 
 <root>/data/v=<version>-<attempt>/_bucket=<b>/   Parquet files written by one attempt at a version
-<root>/_ledger/version=<version>/                 one JSON row: load_id, manifest, schema, counts
+<root>/_ledger/version=<version>/                 JSON rows: load_id, manifest, schema, counts; a commit
+                                                  of several segments has one row (version) for each
 
 Rows live in `pmod(xxhash64(keys), buckets)` buckets. A merge reads and
 rewrites only the buckets its delta touches; the ledger row's manifest lists,
@@ -10,8 +11,8 @@ are carried forward without being read. A new column rewrites nothing more
 (files without it read as NULL); a renamed one rewrites the table; keyless
 tables append a directory.
 
-Every attempt writes a folder of its own; the ledger row, written last with
-mode "errorifexists", is the only pointer to it. A writer that lost the race
+Every attempt writes a folder of its own; the ledger file, written last, whole, and
+only if there is none of its version, is the only pointer to it. A writer that lost the race
 for a version fails and leaves the winner's files alone. A load id that is
 already in the ledger is skipped if it came from the same lines, which makes
 replays (and streaming redelivery) safe, and is an error if it did not.
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from sluice.operators.merge import DELETED_AT, drop_deleted, is_deleted
-from sluice.session import path_exists
+from sluice.operators.merge import DELETED_AT, SEGMENTS, drop_deleted, is_deleted
+from sluice.session import FileExists, path_exists, write_new
 
 BUCKET, SLOT, MATCHED = "_bucket", "_slot", "_matched"
 DEFAULT_BUCKETS = 16
@@ -42,13 +43,26 @@ DEFAULT_BUCKETS = 16
 SMALL_DELTA = 200_000
 LEDGER_SCHEMA = ("load_id string, manifest string, schema_json string, schema_message string, inserts long, "
                  "updates long, rows long, bytes long, state_json string, committed_at string, source string, "
-                 "version long")
+                 "step int, version long")
 
 
 class LoadConflict(RuntimeError):
     """A load id was used again for other input."""
 
 
+class StaleWriter(RuntimeError):
+    """Another writer committed the version that this one prepared."""
+
+
+@dataclass
+class Segment:
+    """What a commit records of one of its segments."""
+
+    load_id: str
+    schema_message: dict | None = None
+    source_bytes: Observation | None = None
+
+
 @dataclass
 class LoadResult:
     table: str
@@ -71,19 +85,25 @@ class SnapshotTable:
         self._head: dict | None = None
 
     # ------------------------------------------------------------ ledger
-    def ledger(self) -> DataFrame | None:
+    def _commits(self) -> DataFrame | None:
+        """Ledger rows as they lie in the files; `version` is the commit's first one."""
         path = f"{self.root}/_ledger"
         return self.spark.read.schema(LEDGER_SCHEMA).json(path) if path_exists(self.spark, path) else None
 
+    def ledger(self) -> DataFrame | None:
+        rows = self._commits()
+        return None if rows is None else rows.withColumn("version", F.col("version") + F.coalesce("step", F.lit(0))).drop("step")
+
     def _entries(self) -> list[dict]:
         """A small index of the ledger (version, load id, counts), read once per
         handle (this process is the table's only writer) and extended by
         merge(). Manifests and schemas stay in the files; only the head's is
         read."""
         if self._rows is None:
-            led = self.ledger()
+            led = self._commits()
             self._rows = [] if led is None else sorted(
-                (r.asDict() for r in led.select("version", "load_id", "inserts", "updates", "rows", "source").collect()),
+                (r.asDict() for r in led.select(F.col("version").alias("commit"), (F.col("version") + F.coalesce("step", F.lit(0))).alias("version"),
+                                                "load_id", "inserts", "updates", "rows", "source").collect()),
                 key=lambda r: r["version"])
         return self._rows
 
@@ -93,7 +113,9 @@ class SnapshotTable:
             return None
         if self._head is None or self._head["version"] != rows[-1]["version"]:
             version = rows[-1]["version"]  # partition pruning: one ledger file is read
-            self._head = self.ledger().filter(F.col("version") == version).drop("state_json").collect()[0].asDict()
+            commits = self._commits()
+            last = commits.filter(F.col("version") == rows[-1]["commit"]).drop("state_json").collect()
+            self._head = max((r.asDict() for r in last), key=lambda r: r["step"] or 0) | {"version": version}
         return self._head
 
     def find(self, load_id: str) -> dict | None:
@@ -102,6 +124,11 @@ class SnapshotTable:
                 return r
         return None
 
+    def schema(self) -> T.StructType | None:
+        """The table's columns, from the ledger alone."""
+        head = self.head()
+        return None if head is None else T.StructType.fromJson(json.loads(head["schema_json"]))
+
     @staticmethod
     def _manifest(entry: dict) -> dict:
         return json.loads(entry["manifest"])
@@ -132,40 +159,58 @@ class SnapshotTable:
     def _bucket_of(self, keys: list[str], n: int):
         return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n)).cast("int")
 
-    def _merged(self, delta: DataFrame, n_delta: int, old: DataFrame, keys: list[str], matched: Observation) -> DataFrame:
-        """The old rows without a match, and the delta rows; what the delta
-        lacks is taken from the row it replaces. A small delta is broadcast and the
+    def _merged(self, delta: DataFrame, n_delta: int, old: DataFrame, keys: list[str], matched: Observation,
+                partial: dict[str, int], n_segments: int) -> DataFrame:
+        """The old rows without a match, and the delta rows; what the delta, or
+        the row's own segments (`partial`), lack is taken from the row it replaces. A small delta is broadcast and the
         old rows stay where they are; else both sides meet on (bucket, slot, keys),
         the partitioning that the write needs."""
         names = [f"`{k}`" for k in keys]
         lacking = [c for c in old.columns if c not in delta.columns]
         small = n_delta <= SMALL_DELTA
         on = keys if small else [BUCKET, SLOT, *keys]
-        mark = delta.select(*[F.col(f"`{c}`") for c in on], F.lit(True).alias(MATCHED))
+        mark = delta.select(*[F.col(f"`{c}`") for c in on], F.lit(True).alias(MATCHED), SEGMENTS)
         probed = old.join(F.broadcast(mark) if small else mark, on=on, how="left")
-        probed = probed.observe(matched, F.count_if(MATCHED).alias("updates"))
-        kept = probed.filter(F.col(MATCHED).isNull()).drop(MATCHED)
+        probed = probed.observe(matched, *[F.count_if(F.col(MATCHED) & (first_segment() == 1 << i)).alias(f"updates{i}")
+                                           for i in range(n_segments)])
+        kept = probed.filter(F.col(MATCHED).isNull()).drop(MATCHED, SEGMENTS)
         new = delta
         extra = [c for c in lacking if c not in (BUCKET, SLOT)]
-        if extra:
-            rest = old.select(*[F.col(f"`{c}`") for c in on], *[F.col(f"`{c}`") for c in extra])
+        either = [c for c in partial if c in old.columns]
+        if extra or either:
+            rest = old.select(*[F.col(f"`{c}`") for c in on], *[F.col(f"`{c}`") for c in extra],
+                              *[F.col(f"`{c}`").alias(f"_old_{c}") for c in either])
             if small:  # only the rows that the delta replaces, so as many as it has
                 rest = rest.join(F.broadcast(delta.select(*names)), on=keys, how="left_semi")
             new = delta.join(rest, on=on, how="left")
-        new = new.repartition(BUCKET) if small else new
-        order = [c for c in old.columns if c not in (BUCKET, SLOT)] + [c for c in delta.columns if c not in old.columns]
+            for c in either:
+                wrote = F.col(SEGMENTS).bitwiseAND(F.lit(partial[c])) != 0
+                new = new.withColumn(c, F.when(wrote, F.col(f"`{c}`")).otherwise(F.col(f"`_old_{c}`"))).drop(f"_old_{c}")
+        new = (new.repartition(BUCKET) if small else new).drop(SEGMENTS)
+        order = [c for c in old.columns if c not in (BUCKET, SLOT)] + [c for c in delta.columns if c not in (*old.columns, SEGMENTS)]
         pick = [F.col(f"`{c}`") for c in order if c not in (BUCKET, SLOT)] + [F.col(BUCKET)]
         return kept.unionByName(new, allowMissingColumns=True).select(*pick)
 
-    def merge(self, delta: DataFrame, keys: list[str], load_id: str,
+    def merge(self, delta: DataFrame, keys: list[str], load_id: str | list[Segment],
               align: Callable[[DataFrame], tuple[DataFrame, list]] | None = None, hard_delete: bool = False,
               schema_message: dict | None = None, layout: list[str] | None = None,
               bloom: list[str] | None = None, source_bytes: Observation | None = None,
-              source: str | None = None) -> LoadResult:
-        """A4 (+D3/D4/F1/C6): merge `delta` into the table and commit a version."""
-        done = self.replayed(load_id, source)
+              source: str | None = None, partial: dict[str, int] | None = None) -> LoadResult:
+        """A4 (+D3/D4/F1/C6): merge `delta` into the table and commit it, as one version
+        or, with a list of segments and the delta of `fold_segments`, as one per segment."""
+        return self.merge_segments(
+            delta.withColumn(SEGMENTS, F.lit(1).cast("long")) if isinstance(load_id, str) else delta, keys,
+            [Segment(load_id, schema_message, source_bytes)] if isinstance(load_id, str) else load_id,
+            align, hard_delete, layout, bloom, source, partial)[-1]
+
+    def merge_segments(self, delta: DataFrame, keys: list[str], segments: list[Segment], align=None, hard_delete: bool = False,
+                       layout: list[str] | None = None, bloom: list[str] | None = None, source: str | None = None,
+                       partial: dict[str, int] | None = None) -> list[LoadResult]:
+        """One commit of several segments (H3): a result for each."""
+        done = self.replayed(segments[-1].load_id, source)
         if done is not None:
-            return done
+            return [done]
+        several, partial = len(segments), partial or {}
         head = self.head()
         version = 0 if head is None else head["version"] + 1
         man = self._manifest(head) if head else {"buckets": self.default_buckets, "dirs": {}}
@@ -182,10 +227,12 @@ class SnapshotTable:
                 renamed = any(c["change"] == "versioned" for c in changes)
             if keys:
                 at = self._bucket_of(keys, n)
-                per_bucket = {r[0]: r[1] for r in delta.groupBy(at.alias("b")).agg(F.count(F.lit(1))).collect()}
-                n_delta, touched = sum(per_bucket.values()), set(per_bucket)
+                per_bucket = delta.groupBy(at.alias("b")).agg(*_segment_counts(several)).collect()
+                touched = {r["b"] for r in per_bucket}
             else:
-                n_delta, touched = delta.count(), set()
+                per_bucket, touched = delta.agg(*_segment_counts(several)).collect(), set()
+            sums = {k: sum(r[k] or 0 for r in per_bucket) for k in ("n", *(f"{w}{i}" for i in range(several) for w in ("rows", "first")))}
+            n_delta = sums["n"]
             if current is not None and hard_delete and DELETED_AT in current.columns:
                 gone = current.filter(is_deleted())  # Parquet statistics skip files without a flag
                 if keys:
@@ -203,16 +250,17 @@ class SnapshotTable:
             deal = lambda df: df.withColumn(BUCKET, self._bucket_of(keys, n)).withColumn(
                 SLOT, F.pmod(F.hash(*[F.col(f"`{k}`") for k in keys]), F.lit(slots)))
             if not keys:
-                merged = delta if old is None else old.unionByName(delta, allowMissingColumns=True)
+                merged = delta.drop(SEGMENTS)
+                merged = merged if old is None else old.unionByName(merged, allowMissingColumns=True)
             elif old is None:
-                merged = deal(delta).repartition(BUCKET, SLOT).drop(SLOT)
+                merged = deal(delta).repartition(BUCKET, SLOT).drop(SLOT, SEGMENTS)
             else:
                 new, dealt = deal(delta), deal(old)
                 if n_delta <= SMALL_DELTA:
                     new, dealt = new.drop(SLOT), dealt.drop(SLOT)
                 else:
                     new, dealt = new.repartition(BUCKET, SLOT), dealt.repartition(BUCKET, SLOT)
-                merged = self._merged(new, n_delta, dealt, keys, matched)
+                merged = self._merged(new, n_delta, dealt, keys, matched, partial, several)
             kept = drop_deleted(merged) if hard_delete else merged
             written_schema = kept.drop(BUCKET).schema
             known = current.schema.fields if current is not None else []
@@ -235,12 +283,14 @@ class SnapshotTable:
                 writer.parquet(new_root if keys else f"{new_root}/{BUCKET}=0")
             m = _observed_all(written_rows) or bucketed.agg(
                 F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("buckets")).first().asDict()
-            updates = 0
+            updates = dict.fromkeys([f"updates{i}" for i in range(several)], 0)
             if keys and old is not None:
                 seen = _observed_all(matched)
                 if seen is None:  # an empty stage was skipped and its metrics with it
-                    seen = {"updates": old.join(delta.select(*[F.col(f"`{k}`") for k in keys]), keys, "left_semi").count()}
-                updates = int(seen["updates"])
+                    hit = old.join(delta.select(*[F.col(f"`{k}`") for k in keys], SEGMENTS), keys).agg(
+                        *[F.count_if(first_segment() == 1 << i).alias(f"updates{i}") for i in range(several)])
+                    seen = hit.first().asDict()
+                updates = {k: int(v) for k, v in seen.items()}
         finally:
             delta.unpersist()
 
@@ -251,25 +301,44 @@ class SnapshotTable:
         else:  # untouched buckets are carried forward; touched ones point at this attempt
             dirs = {b: ds for b, ds in man["dirs"].items() if int(b) not in touched}
             dirs |= {str(b): [f"{new_root}/{BUCKET}={b}"] for b in written}
-        entry = {
-            "load_id": load_id,
+        shared = {
             "manifest": json.dumps({"buckets": n, "keys": keys, "dirs": dirs}, sort_keys=True),
             "schema_json": schema.json(),
-            "schema_message": json.dumps(schema_message) if schema_message else None,
-            "inserts": n_delta - updates,
-            "updates": updates,
             "rows": int(m["rows"] or 0),
-            "bytes": _observed(source_bytes, "bytes"),
             "state_json": None,
             "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
             "source": source,
         }
-        row = self.spark.createDataFrame([entry], LEDGER_SCHEMA.replace(", version long", ""))
-        row.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_ledger/version={version}")
-        self._entries().append({k: entry[k] for k in ("load_id", "inserts", "updates", "rows", "source")} | {"version": version})
-        self._head = dict(entry, version=version)
-        return LoadResult(self.root, version, load_id, entry["inserts"], entry["updates"], entry["rows"],
-                          buckets_rewritten=len(written), bytes=entry["bytes"])
+        entries = []
+        for i, segment in enumerate(segments):
+            # a key is new in the first segment that has it, unless the table has it
+            inserts = sums[f"first{i}"] - updates[f"updates{i}"]
+            own = shared if i == several - 1 else shared | {"manifest": None, "schema_json": None}
+            entries.append(own | {
+                "load_id": segment.load_id, "step": i, "inserts": inserts, "updates": sums[f"rows{i}"] - inserts,
+                "schema_message": json.dumps(segment.schema_message) if segment.schema_message else None,
+                "bytes": _observed(segment.source_bytes, "bytes")})
+        try:
+            write_new(self.spark, f"{self.root}/_ledger/version={version}/commit.json", "\n".join(json.dumps(e) for e in entries) + "\n")
+        except FileExists as error:
+            raise StaleWriter(f"version {version} of {self.root} was committed by another writer") from error
+        self._entries().extend({k: e[k] for k in ("load_id", "inserts", "updates", "rows", "source")} | {"commit": version, "version": version + i}
+                               for i, e in enumerate(entries))
+        self._head = dict(entries[-1], version=version + several - 1)
+        return [LoadResult(self.root, version + i, e["load_id"], e["inserts"], e["updates"], e["rows"],
+                           buckets_rewritten=len(written), bytes=e["bytes"]) for i, e in enumerate(entries)]
+
+
+def first_segment():
+    """The lowest bit of SEGMENTS."""
+    return F.col(SEGMENTS).bitwiseAND(-F.col(SEGMENTS))
+
+
+def _segment_counts(several: int) -> list:
+    """Rows, rows of each segment, and rows that come first in it."""
+    return [F.count(F.lit(1)).alias("n"),
+            *[F.count_if(F.col(SEGMENTS).bitwiseAND(F.lit(1 << i)) != 0).alias(f"rows{i}") for i in range(several)],
+            *[F.count_if(first_segment() == 1 << i).alias(f"first{i}") for i in range(several)]]
 
 
 @contextlib.contextmanager
@@ -338,12 +407,16 @@ def load_audit(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
 STATE_SCHEMA = "load_id string, state_json string, committed_at string"
 
 
-def publish_state(spark: SparkSession, root: str, load_id: str, state: dict | None) -> None:
-    """The load's resume state, written after every table of the load."""
+def publish_state(spark: SparkSession, root: str, load_id: str, state: dict | None, replace: bool = False) -> None:
+    """The load's resume state, written after every table of the load. `replace`: a
+    held-back state, which a later attempt of the load may advance."""
     committed = dt.datetime.now(dt.timezone.utc).isoformat()
     text = json.dumps(state, sort_keys=True) if state is not None else None
     row = spark.createDataFrame([(load_id, text, committed)], STATE_SCHEMA)
     folder = f"{root}/_loads/load={folder_name(load_id)}"
+    if replace:
+        row.coalesce(1).write.mode("overwrite").json(folder)
+        return
     try:
         row.coalesce(1).write.mode("errorifexists").json(folder)
     except AnalysisException as error:

@@ -499,3 +499,154 @@ def test_a_load_id_cannot_publish_two_states(spark):
         publish_state(spark, root, "x:1", {"a": 2})
     publish_state(spark, root, "x_1", {"a": 3})
     assert latest_state(spark, root) == {"a": 3}
+
+
+# ---------------------------------------------------------------- folded segments and held-back state
+
+def _jobs(spark, run):
+    """What a call returns, and how many Spark jobs it took."""
+    context, group = spark.sparkContext, f"count-{id(run)}"
+    context.setJobGroup(group, "counted")
+    try:
+        out = run()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(context.statusTracker().getJobIdsForGroup(group))
+
+
+def _folding_log(arrow_dir):
+    """Records, a batch with some columns, an added column, a dropped one, an empty segment."""
+    batch = lambda name, t: arrow_file(arrow_dir, name, t)
+    f1 = batch("b1.arrow", pa.table({"id": pa.array([1, 3, 3], pa.int64()), "name": ["one", "x", "three"]}))
+    f2 = batch("b2.arrow", pa.table({"id": pa.array([5], pa.int64()), "bal": [0.5]}))
+    send = lambda f: {"type": "BATCH", "stream": "public-things", "encoding": {"format": "arrow"}, "manifest": ["file://" + f]}
+    wide = PROPS | {"extra": {"type": ["string", "null"]}}
+    narrow = {k: v for k, v in wide.items() if k != "name"}
+    return [schema_msg(), record({"id": 1, "name": "first", "bal": 1.0}), record({"id": 2, "name": "second", "bal": 2.0}),
+            record({"id": 1, "name": "again", "bal": 1.5}), send(f1), schema_msg(wide), record({"id": 2, "extra": "e", "bal": 9}),
+            record({"id": 4, "extra": "f"}), schema_msg(narrow), record({"id": 1, "bal": None, "extra": "n"}), send(f2),
+            schema_msg(narrow | {"more": {"type": ["integer", "null"]}})]
+
+
+FOLDED = {1: ("one", None, "n", None), 2: (None, 9.0, "e", None), 3: ("three", None, None, None), 4: (None, None, "f", None),
+          5: (None, 0.5, None, None)}
+
+
+def _folded(spark, wh, stream="public-things"):
+    table = SnapshotTable(spark, table_root(wh, stream, OPTS))
+    audit = table.ledger().orderBy("version").select("version", "inserts", "updates").collect()
+    return {r["id"]: (r["name"], r["bal"], r["extra"], r["more"]) for r in table.read().collect()}, list(map(tuple, audit))
+
+
+def test_segments_fold_into_one_commit(spark, monkeypatch):
+    """Folded or one by one: the same table and the same counts per segment."""
+    from sluice import job
+    from sluice.operators import merge
+
+    one, many = tempfile.mkdtemp(), tempfile.mkdtemp()
+    folded, jobs = _jobs(spark, lambda: load_messages(spark, _log(spark, _folding_log(tempfile.mkdtemp())), one, OPTS, load_id="L", now=NOW))
+    assert len(os.listdir(f"{table_root(one, 'public-things', OPTS)}/data")) == 1  # one write of the table
+    monkeypatch.setattr(job, "_fits", lambda run, part: False)
+    single, more_jobs = _jobs(spark, lambda: load_messages(spark, _log(spark, _folding_log(tempfile.mkdtemp())), many, OPTS, load_id="L", now=NOW))
+    assert len(os.listdir(f"{table_root(many, 'public-things', OPTS)}/data")) == 6
+    assert jobs < more_jobs / 2
+    assert _folded(spark, one) == _folded(spark, many) == (FOLDED, [(0, 2, 0), (1, 1, 1), (2, 1, 1), (3, 0, 1), (4, 1, 0), (5, 0, 0)])
+    assert [(r.load_id, r.inserts, r.updates) for r in folded.results] == [(r.load_id, r.inserts, r.updates) for r in single.results]
+    assert merge.MAX_SEGMENTS < 63
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_folded_segments_keep_what_they_do_not_write(spark, monkeypatch, small):
+    """Onto a table: a key's columns that none of its segments writes keep their value."""
+    from sluice.sources import snapshots
+
+    monkeypatch.setattr(snapshots, "SMALL_DELTA", 10**6 if small else -1)
+    wh, d = tempfile.mkdtemp(), tempfile.mkdtemp()
+    old = [schema_msg(PROPS | {"extra": {"type": ["string", "null"]}, "gone": {"type": ["string", "null"]}}),
+           *(record({"id": i, "name": f"old{i}", "bal": i, "extra": f"x{i}", "gone": f"g{i}"}) for i in range(1, 8))]
+    load_messages(spark, _log(spark, old), wh, OPTS, load_id="old", now=NOW)
+    load_messages(spark, _log(spark, _folding_log(d)), wh, OPTS, load_id="L", now=NOW)
+    rows, audit = _folded(spark, wh)
+    assert rows == {1: ("one", None, "n", None), 2: (None, 9.0, "e", None), 3: ("three", 3.0, "x3", None), 4: (None, None, "f", None),
+                    5: ("old5", 0.5, "x5", None), 6: ("old6", 6.0, "x6", None), 7: ("old7", 7.0, "x7", None)}
+    assert audit == [(0, 7, 0), (1, 0, 2), (2, 0, 2), (3, 0, 2), (4, 0, 1), (5, 0, 1), (6, 0, 0)]
+    table = SnapshotTable(spark, table_root(wh, "public-things", OPTS))
+    assert {r["id"]: r["gone"] for r in table.read().collect()} == {i: f"g{i}" for i in range(1, 8)}
+    again = load_messages(spark, _log(spark, old), wh, OPTS, load_id="old", now=NOW)
+    assert all(r.skipped for r in again.results)
+
+
+def test_a_type_change_cuts_the_fold(spark):
+    wh = tempfile.mkdtemp()
+    text = dict(PROPS, bal={"type": ["string", "null"]})
+    lines = [schema_msg(), record({"id": 1, "bal": 1}), schema_msg(PROPS | {"extra": {"type": "string"}}), record({"id": 2, "bal": 2, "extra": "e"}),
+             schema_msg(text), record({"id": 1, "bal": "one"})]
+    load_messages(spark, _log(spark, lines), wh, OPTS, load_id="L", now=NOW, suffix="S")
+    table = SnapshotTable(spark, table_root(wh, "public-things", OPTS))
+    assert {r["id"]: (r["bal"], r["bal_S"], r["extra"]) for r in table.read().collect()} == {1: ("one", 1.0, None), 2: (None, 2.0, "e")}
+    assert len(os.listdir(f"{table.root}/data")) == 2 and table.ledger().count() == 3
+
+
+def test_keyless_segments_append_in_one_commit(spark):
+    wh, opts = tempfile.mkdtemp(), LoadOptions(default_target_schema="public", primary_key_required=False)
+    lines = [schema_msg(keys=[]), record({"id": 1}), record({"id": 1}), schema_msg(PROPS | {"extra": {"type": "string"}}, keys=[]),
+             record({"id": 1, "extra": "e"})]
+    for _ in range(2):
+        load_messages(spark, _log(spark, lines), wh, opts, load_id="L", now=NOW)
+    table = SnapshotTable(spark, table_root(wh, "public-things", opts))
+    assert sorted((r["id"], r["extra"]) for r in table.read().collect() if r["extra"]) == [(1, "e")] and table.read().count() == 3
+    assert [(r["inserts"], r["updates"]) for r in table.ledger().orderBy("version").collect()] == [(2, 0), (1, 0)]
+
+
+def test_hard_delete_does_not_fold(spark):
+    """A row deleted in one segment and sent again in the next starts anew."""
+    wh, opts = tempfile.mkdtemp(), LoadOptions(default_target_schema="public", hard_delete=True)
+    narrow = {k: v for k, v in PROPS.items() if k != "bal"}
+    lines = [schema_msg(), record({"id": 1, "name": "a", "bal": 1}), record({"id": 2, "name": "b", "bal": 2}), schema_msg(narrow),
+             record({"id": 1, "_sdc_deleted_at": "2024-01-01T00:00:00"}), schema_msg(narrow | {"extra": {"type": "string"}}), record({"id": 1, "name": "c"})]
+    load_messages(spark, _log(spark, lines), wh, opts, load_id="L", now=NOW)
+    table = SnapshotTable(spark, table_root(wh, "public-things", opts))
+    assert {r["id"]: (r["name"], r["bal"]) for r in table.read().collect()} == {1: ("c", None), 2: ("b", 2.0)}
+
+
+def _state(**marks):
+    return {"type": "STATE", "value": {"bookmarks": {f"public-{k}": {"pos": v} for k, v in marks.items()}, "other": sum(marks.values())}}
+
+
+@pytest.mark.parametrize("parallel", [1, 2])
+def test_state_is_held_back_when_a_stream_fails(spark, parallel):
+    wh = tempfile.mkdtemp()
+    opts = LoadOptions(default_target_schema="public", parallel_streams=parallel)
+    load_messages(spark, _log(spark, [schema_msg(stream="public-b"), record({"id": 1}, "public-b"), _state(b=1)]), wh, opts, load_id="one", now=NOW)
+    text = dict(PROPS, bal={"type": ["string", "null"]})
+    log = lambda last: _log(spark, [
+        schema_msg(stream="public-a"), schema_msg(stream="public-b"), record({"id": 1}, "public-a"), _state(a=2, b=2, idle=7),
+        record({"id": 2}, "public-b"), _state(a=3, b=3), schema_msg(text, stream="public-b"), _state(a=4, b=4),
+        record({"id": last, "bal": "t"}, "public-b"), record({"id": 2}, "public-a"), _state(a=5, b=5)])
+    with pytest.raises(Exception, match="does not fit"):
+        load_messages(spark, log("three"), wh, opts, load_id="two", now=NOW, suffix="S")
+    # a is whole; b's first run is committed, so its bookmark before the second run is safe; idle has no rows
+    want = {"bookmarks": {"public-a": {"pos": 5}, "public-b": {"pos": 3}, "public-idle": {"pos": 7}}, "other": 10}
+    assert latest_state(spark, wh) == want
+    assert SnapshotTable(spark, table_root(wh, "public-b", opts)).read().count() == 2
+
+
+def test_a_repeated_load_advances_the_held_back_state(spark, monkeypatch):
+    from sluice import job
+
+    wh, whole, died = tempfile.mkdtemp(), job._Load._stream, []
+
+    def dies(self, stream, *args):
+        if stream == "public-b" and not died:
+            died.append(stream)
+            raise RuntimeError("executor lost")
+        return whole(self, stream, *args)
+
+    monkeypatch.setattr(job._Load, "_stream", dies)
+    lines = [schema_msg(stream="public-a"), schema_msg(stream="public-b"), record({"id": 1}, "public-a"), record({"id": 1}, "public-b"), _state(a=1, b=1)]
+    with pytest.raises(RuntimeError):
+        load_messages(spark, _log(spark, lines), wh, OPTS, now=NOW)
+    assert latest_state(spark, wh)["bookmarks"] == {"public-a": {"pos": 1}}
+    report = load_messages(spark, _log(spark, lines), wh, OPTS, now=NOW)
+    assert [r.skipped for r in report.results] == [True, False]
+    assert latest_state(spark, wh)["bookmarks"] == {"public-a": {"pos": 1}, "public-b": {"pos": 1}}
