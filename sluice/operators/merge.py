@@ -117,17 +117,12 @@ def merge_join(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFram
 
 
 def merge_upsert(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """D3 (and D4 when the delta lacks columns): target rows without a match, plus
-    the delta. Only the target's matching rows are needed to fill columns that
-    the delta lacks; a small delta broadcasts in both joins."""
+    """D3 (and D4 when the delta lacks columns): one join that reads the target and the
+    delta once each, so that merges chained over segments do not multiply their plans.
+    (A published table is merged by its touched buckets, see sources.snapshots.)"""
     if not keys:
         return append_keyless(target, delta)
-    lacking = [c for c in target.columns if c not in delta.columns]
-    kept = target.join(delta.select(*[F.col(f"`{k}`") for k in keys]), on=keys, how="left_anti")
-    if lacking:
-        found = target.join(delta.select(*[F.col(f"`{k}`") for k in keys]), on=keys, how="left_semi")
-        delta = delta.join(found.select(*[F.col(f"`{c}`") for c in [*keys, *lacking]]), on=keys, how="left")
-    return kept.unionByName(delta, allowMissingColumns=True)
+    return merge_join(target, delta, keys).drop(T_FLAG, D_FLAG)
 
 
 merge_partial = merge_upsert
