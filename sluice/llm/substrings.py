@@ -48,7 +48,7 @@ from sluice.session import ship_package
 LENGTH = 200
 GRAM = 64
 SLICE = 1 << 18  # window starts handled at once
-HOT = 2_000
+HOT = 20_000
 WINDOWS = 1 << 17  # windows of open runs compared at once (one anchor at least)
 _U = np.uint64
 _MASK = (1 << 64) - 1
@@ -287,19 +287,33 @@ def cut_open_runs(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
             .mapInArrow(cut, f"anchor long, doc_id {id_type}, text_hash long, lo long, windows long, bytes binary"))
 
 
-def _window_hashes(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every window of every run: row, offset in the run, and hashes under both bases."""
-    data, bounds = _texts(table["bytes"].combine_chunks())
-    windows = table["windows"].to_numpy()
-    rows = np.repeat(np.arange(len(windows)), windows)
-    offset = np.arange(len(rows)) - np.repeat(np.cumsum(windows) - windows, windows)
-    at = bounds[rows] + offset
-    return rows, offset, *(Prefixes(data, which).ranges(at, at + length) for which in (0, 1))
+def _window_hashes(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes under both bases of every window of every run, in order. Runs are read some
+    at a time, so that only the hashes themselves grow with the table."""
+    reach, at, one, two = np.cumsum(table["windows"].to_numpy()), 0, [], []
+    while at < table.num_rows:
+        before = reach[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(reach, before + WINDOWS, "right")))
+        part = table.slice(at, end - at)
+        data, bounds = _texts(part["bytes"].combine_chunks())
+        windows = part["windows"].to_numpy()
+        starts = np.arange(windows.sum()) + np.repeat(bounds[:-1] - (np.cumsum(windows) - windows), windows)
+        one.append(Prefixes(data, 0).ranges(starts, starts + length))
+        two.append(Prefixes(data, 1).ranges(starts, starts + length).astype(np.uint32))
+        at = end
+    return (np.concatenate(one), np.concatenate(two)) if one else (np.empty(0, _U), np.empty(0, np.uint32))
 
 
-def _intervals(table: pa.Table, rows, offset, hit) -> pa.RecordBatch:
+def _places(table: pa.Table, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Run, and offset in the run, of the windows with these numbers."""
+    reach = np.cumsum(table["windows"].to_numpy())
+    rows = np.searchsorted(reach, which, "right")
+    return rows, which - (reach[rows] - table["windows"].to_numpy()[rows])
+
+
+def _intervals(table: pa.Table, hit: np.ndarray) -> pa.RecordBatch:
     """Hit windows as (doc_id, text_hash, lo, windows) intervals."""
-    rows, offset = rows[hit], offset[hit]
+    rows, offset = _places(table, np.flatnonzero(hit))
     first = np.flatnonzero(np.r_[True, (np.diff(rows) != 0) | (np.diff(offset) != 1)]) if len(rows) else np.empty(0, np.int64)
     at = _longs(rows[first])
     return pa.RecordBatch.from_arrays(
@@ -315,12 +329,13 @@ def compare_windows(pieces: DataFrame, length: int, hot: int) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def repeated(table: pa.Table) -> pa.RecordBatch:
-            rows, offset, one, two = _window_hashes(table, length)
+            one, two = _window_hashes(table, length)
             order = np.lexsort((two, one))
-            same = (np.diff(one[order]) == 0) & (np.diff(two[order]) == 0)
-            hit = np.zeros(len(rows), bool)
+            one, two = one[order], two[order]
+            same = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
+            hit = np.zeros(len(order), bool)
             hit[order[:-1][same]] = hit[order[1:][same]] = True
-            return _intervals(table, rows, offset, hit)
+            return _intervals(table, hit)
 
         def groups(table: pa.Table) -> Iterator[pa.RecordBatch]:
             """Whole anchors, at most `WINDOWS` windows (or one anchor) at a time."""
@@ -350,10 +365,11 @@ def compare_windows(pieces: DataFrame, length: int, hot: int) -> DataFrame:
             table = pa.Table.from_batches([batch])
             for k in range(0, table.num_rows, 1000):
                 part = table.slice(k, 1000)
-                rows, offset, one, two = _window_hashes(part, length)
+                one, two = _window_hashes(part, length)
+                rows, offset = _places(part, np.arange(len(one)))
                 at = _longs(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [_longs(one.view(np.int64)), _longs(two.view(np.int64)), part["doc_id"].combine_chunks().take(at),
+                    [_longs(one.view(np.int64)), _longs(two), part["doc_id"].combine_chunks().take(at),
                      part["text_hash"].combine_chunks().take(at), _longs(part["lo"].to_numpy()[rows] + offset)],
                     ["one", "two", "doc_id", "text_hash", "lo"])
 
