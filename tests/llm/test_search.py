@@ -284,6 +284,72 @@ def test_articles_are_never_hidden(html, want):
     assert "\n".join(t for level, t in found if level == pagetext.text_level(found)) == want
 
 
+@pytest.mark.parametrize(("html", "want"), [
+    ('<article>a b c<ol class="comment-list"><li>first!</li></ol></article>', "a b c"),
+    ('<article>a b c<div id="comments-area">me too</div><div class="ad-slot top">buy</div></article>', "a b c"),
+    ('<main><div class="sidebar-left">x</div><p>a b c</p><div class="cookie-bar">y</div></main>', "a b c"),
+    ('<article><p>a b c</p><p class="related-work">the related work</p></article>', "a b c\nthe related work"),
+    ('<article class="post"><div class="content-sidebar-wrap"><p>' + "a " * 50 + '</p></div><h1>t</h1></article>', ("a " * 50).strip() + "\nt"),
+    ('<div class="comments-area"><article>a b</article></div>', "a b"),
+    ('<article><p>short</p><div class="comment-list">' + "long talk " * 9 + '</div></article>', "short"),
+])
+def test_layout_names_hide_what_is_beside_the_text(html, want):
+    found = pagetext.blocks(html)
+    assert "\n".join(t for level, t in found if level == pagetext.text_level(found)) == want
+
+
+def test_a_very_long_page():
+    html = "<nav>menu</nav><article>" + "<p>word &amp; word</p><div class='ad-slot'>buy</div>" * 40_000 + "</article>" + "<div>" * 30_000
+    found = pagetext.blocks(html)
+    assert found == [(2, "word & word")] * 40_000
+
+
+def brute_host_text(pages, run):
+    """Unmarked pages as lists of blocks per (host, page): what is kept, by definition."""
+    streams = {(h, tuple(" ".join(b).split())) for h, b in pages}
+    out = []
+    for h, blocks in pages:
+        words = " ".join(blocks).split()
+        holders = lambda gram: sum(any(s[i:i + run] == gram for i in range(len(s))) for host, s in streams if host == h)
+        held = [0] * len(words)
+        for i in range(len(words) - run + 1):
+            n = holders(tuple(words[i:i + run]))
+            if n > 1:
+                held[i:i + run] = [max(x, n) for x in held[i:i + run]]
+        kept, at, gone = [], 0, 0
+        for b in blocks:
+            n = len(b.split())
+            least, at = min(held[at:at + n]), at + n
+            if least >= pagetext.MANY or (least > 1 and n <= pagetext.SHORT):
+                gone += n
+            else:
+                kept.append(b)
+        out.append("\n".join(kept if gone <= pagetext.NEARLY_ALL * len(words) else blocks))
+    return out
+
+
+def test_unmarked_pages_match_brute_force(spark):
+    rnd = random.Random(12)
+    say = lambda n: " ".join(rnd.choice("abcdefghijklmnop") for _ in range(n))
+    shared = [say(n) for n in (2, 7, 12, 40, 50)]
+    pages = [(rnd.choice("xy"), [rnd.choice([say(rnd.randint(1, 45)), rnd.choice(shared), "p " + shared[1] + " q"]) for _ in range(rnd.randint(1, 7))])
+             for _ in range(40)]
+    pages += [pages[0], pages[1], ("z", [shared[3]]), ("z", [shared[3], "own words"])]
+    rows = [(k, f"http://{h}/{k}", "".join(f"<p>{b}</p>" for b in blocks)) for k, (h, blocks) in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in pagetext.extract_pages(df).collect()}
+    assert [got[k] for k in range(len(pages))] == brute_host_text(pages, pagetext.RUN)
+
+
+def test_mirrored_pages_and_shared_phrases_stay(spark):
+    story = "once upon a time there was a river that ran through the old town and nobody knew where it came from"
+    pages = [(1, "http://h/1", f"<p>{story}</p><p>a second paragraph</p>"), (2, "http://h/2", f"<p>{story}</p><p>a second paragraph</p>"),
+             (3, "http://h/3", "<div>the keeper said that once upon a time there was a river, and that was all</div>")]
+    got = {r["page_id"]: r["text"] for r in pagetext.extract_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {1: story + "\na second paragraph", 2: story + "\na second paragraph",
+                   3: "the keeper said that once upon a time there was a river, and that was all"}
+
+
 def test_pages_lose_what_the_host_repeats(spark):
     bar = "all rights reserved by the site owner"
     pages = [(1, "https://a.com/1", f"<div>{bar}</div><div>first story about rivers</div>"), (2, "http://u@A.com:80/2", f"<div>second story</div><div>{bar}</div>"),
@@ -300,9 +366,9 @@ def test_pages_lose_what_the_host_repeats(spark):
 def test_repeated_suffixes_match_brute_force(spark):
     rnd = random.Random(9)
     streams = [(h, p, [rnd.choice("abc") for _ in range(rnd.randint(0, 25))]) for h in "xy" for p in range(20)]
-    scanned = spark.createDataFrame([(f"http://{h}/", hash((h, p)), [" ".join(t)]) for h, p, t in streams], "url string, page long, rest array<string>")
+    scanned = spark.createDataFrame([(f"http://{h}/", hash((h, p)), [" ".join(t)]) for h, p, t in streams], "url string, stream long, rest array<string>")
     found = pagetext.suffixes(scanned)
-    got = {(r["page"], r["at"]) for r in found.join(pagetext.repeated_suffixes(found), ["host", "prefix"], "left_semi").collect()}
+    got = {(r["stream"], r["at"]) for r in found.join(pagetext.repeated_suffixes(found), ["host", "prefix"], "left_semi").collect()}
     holders = {}
     for h, p, t in streams:
         for i in range(len(t) - pagetext.RUN + 1):
