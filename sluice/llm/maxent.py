@@ -62,9 +62,9 @@ ROWS = 4096
 ROUNDS = 8
 RATE = 1.5
 PRIOR = 2.0  # strength of the pull towards zero, in tokens
-HELD = 1_000_000  # distinct words that a task holds before it passes their counts on
+HELD = 500_000  # distinct words that a task holds before it passes their counts on
 PIECE = 1 << 20  # bytes of a text that are cut into words at once
-BATCH = 1 << 20  # tokens scored at once
+BATCH = 1 << 19  # tokens scored at once
 UNIT = 1 << 20  # whole-number steps of a token's count
 FEATURES = 4
 # Classes and context symbols with a fixed number, and stand-ins in a row of words.
