@@ -493,7 +493,7 @@ def q_validate_reject_table(spark, sf_dir):
     log = _schema_line(spark, "crm-customer", props, ["c_custkey"]).unionByName(
         record_messages(_t(spark, sf_dir, "customer"), "crm-customer", 1, ["c_custkey"], record=F.struct(*props)))
     for _ in range(2):
-        load_messages(spark, log, wh, opts, now=NOW, suffix=SUFFIX)
+        load_messages(spark, log, wh, opts, load_id="customers", now=NOW, suffix=SUFFIX)
     kept = SnapshotTable(spark, table_root(wh, "crm-customer", opts)).read()
     gone = spark.read.parquet(rejects_path(wh)).select(
         F.get_json_object("value", "$.record.c_custkey").cast("long").alias("c_custkey"), "rule")
