@@ -321,7 +321,7 @@ class SnapshotTable:
         try:
             write_new(self.spark, f"{self.root}/_ledger/version={version}/commit.json", "\n".join(json.dumps(e) for e in entries) + "\n")
         except FileExists as error:
-            raise StaleWriter(f"version {version} of {self.root} was committed by another writer") from error
+            raise StaleWriter(f"version {version} of {self.root} already exists: another writer committed it") from error
         self._entries().extend({k: e[k] for k in ("load_id", "inserts", "updates", "rows", "source")} | {"commit": version, "version": version + i}
                                for i, e in enumerate(entries))
         self._head = dict(entries[-1], version=version + several - 1)
