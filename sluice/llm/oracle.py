@@ -48,13 +48,28 @@ v AS (SELECT *, (1.5::DOUBLE * words - stopped) / (weights - weight_below) AS le
 t AS (SELECT source, source_size,
              least(stop::DOUBLE, coalesce((SELECT arg_min(level, ratio) FROM v x WHERE x.level <= x.ratio), 0) * weight) AS target
       FROM v),
-p AS (SELECT d.*, source_size, target, floor(target)::BIGINT AS words,
+k AS (SELECT *, coalesce('s' || source, '') AS skey, floor(target)::BIGINT AS words, ceil(source_size / 64.0::DOUBLE)::BIGINT AS blocks FROM t),
+e AS (SELECT *, (floor(words / greatest(source_size, 1)) * blocks
+                 + ceil((words - floor(words / greatest(source_size, 1)) * source_size) / 64))::BIGINT AS need FROM k),
+c AS (SELECT *, coalesce(sum(need) OVER (ORDER BY skey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS below,
+             (sum(need) OVER ())::BIGINT AS wanted, count(*) OVER () AS sources FROM e WHERE need > 0),
+i AS (SELECT skey, below, need, floor(below * (2147483648::DOUBLE / wanted))::BIGINT AS low,
+             floor((below + need) * (2147483648::DOUBLE / wanted))::BIGINT AS high, wanted + wanted // 50 + 64 * sources AS points FROM c),
+g AS (SELECT id, id % 2147483648 * 1327217885 % 2147483648 AS point FROM (SELECT unnest(range((SELECT max(points) FROM i))) AS id)),
+q AS (SELECT skey, row_number() OVER (PARTITION BY skey ORDER BY id) - 1 AS rank, id AS slot
+      FROM g JOIN i ON point >= low AND point < high),
+lack AS (SELECT skey, below, points, unnest(range((SELECT count(*) FROM q WHERE q.skey = i.skey), need)) AS rank FROM i),
+slots AS (SELECT skey, rank, slot FROM q UNION ALL SELECT skey, rank, points + below + rank FROM lack),
+p AS (SELECT row_number() OVER () AS r, d.*, skey, source_size, target, words, blocks,
              coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size
-                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a
+      FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
+copies AS (SELECT *, least(a + size, words - copy * source_size) AS z FROM p, (SELECT unnest([0, 1]) AS copy)),
+ends AS (SELECT r, skey, copy * blocks + unnest([a // 64, (z - 1) // 64]) AS rank FROM copies WHERE z > a),
+f AS (SELECT r, min(slot) AS first_slot, max(slot) AS last_slot FROM ends JOIN slots USING (skey, rank) GROUP BY r)
+SELECT doc_id, size, source_size, target, first_slot::BIGINT AS first_slot, last_slot::BIGINT AS last_slot,
        (greatest(least(a + size, words) - a, 0) + greatest(least(a + size, words - source_size) - a, 0))::BIGINT AS taken
-FROM p
+FROM p LEFT JOIN f USING (r)
 """
 
 _TOKENS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "

@@ -56,7 +56,7 @@ def op6_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).drop("text_hash")
+    return mix(table(spark, sf_dir, "documents")).drop("copy_slots", "text_hash")
 
 
 def op8_pagetext(spark: SparkSession, sf_dir: str) -> DataFrame:

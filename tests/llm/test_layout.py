@@ -152,6 +152,65 @@ def test_mixed_documents_take_effect(spark, edge_docs):
     assert +words == +want
 
 
+def test_every_prefix_of_the_mix_holds_each_share(spark):
+    docs = table(spark, SF, "documents")
+    target = {r["source"]: r["target"] for r in docs.join(mixing.mix(docs).drop("source"), "doc_id")
+              .groupBy("source").agg(F.max("target").alias("target")).collect()}
+    pieces = sorted(mixing.mixed_pieces(docs).collect(), key=lambda r: (r["slot"], r["place"]))
+    words, at = Counter(), {}
+    share = {s: t / sum(target.values()) for s, t in target.items()}
+    for r in pieces:
+        assert at.setdefault(r["slot"], r["source"]) == r["source"]  # a slot holds one source
+        words[r["source"]] += r["n_words"]
+        total = sum(words.values())
+        for s in share:
+            assert abs(words[s] - share[s] * total) <= 6 * mixing.BLOCK
+    in_slot = Counter()
+    for r in pieces:
+        in_slot[r["slot"]] += r["n_words"]
+    assert max(in_slot.values()) == mixing.BLOCK
+    # A plain order, one source after the other, is far from that.
+    plain = Counter()
+    for r in sorted(pieces, key=lambda r: (str(r["source"]), r["slot"]))[:len(pieces) // 2]:
+        plain[r["source"]] += r["n_words"]
+    assert max(abs(plain[s] - share[s] * sum(plain.values())) for s in share) > 60 * mixing.BLOCK
+
+
+def test_pieces_add_up_to_the_mix(spark, edge_docs):
+    texts = {(r[0], r["h"]): WORD.findall(r["text"] or "") for r in edge_docs.withColumn("h", F.xxhash64("text")).select("doc_id", "text", "h").collect()}
+    got, first, last, begins = Counter(), {}, {}, defaultdict(dict)
+    for r in mixing.mixed_pieces(edge_docs).collect():
+        key = r["doc_id"], r["text_hash"]
+        assert 1 <= r["first_word"] and r["first_word"] + r["n_words"] - 1 <= len(texts[key])
+        got[key] += r["n_words"]
+        first[key], last[key] = min(first.get(key, r["slot"]), r["slot"]), max(last.get(key, r["slot"]), r["slot"])
+        begins[key][r["copy"]] = min(begins[key].get(r["copy"], r["slot"]), r["slot"])
+    rows = mixing.mix(edge_docs).collect()
+    many = Counter((r["doc_id"], r["text_hash"]) for r in rows)
+    for r in rows:
+        key = r["doc_id"], r["text_hash"]
+        if many[key] == 1:  # repeated rows share their key
+            assert (r["taken"], r["first_slot"], r["last_slot"]) == (got[key], first.get(key), last.get(key))
+            assert r["copy_slots"] == [begins[key][c] for c in sorted(begins[key])]
+    assert sum(got.values()) == sum(r["taken"] for r in rows)
+
+
+def test_mixed_documents_follow_the_schedule(spark):
+    docs = table(spark, SF, "documents")
+    out = mixing.mixed_documents(docs, slot="mix_slot")
+    assert out.columns == [*docs.columns, "mix_slot"]
+    rows = out.withColumn("part", F.spark_partition_id()).collect()
+    slots = [r["mix_slot"] for r in sorted(rows, key=lambda r: r["part"])]  # as read, partition after partition
+    assert slots == sorted(slots) and len(slots) == mixing.mixed_documents(docs).count()
+    begins = {r["doc_id"]: r["copy_slots"] for r in mixing.mix(docs).collect()}
+    placed = defaultdict(list)
+    for r in rows:
+        placed[r["doc_id"]].append(r["mix_slot"])
+    assert {i: sorted(s) for i, s in placed.items()} == {i: sorted(s) for i, s in begins.items() if s}
+    with pytest.raises(ValueError, match="MIX_SLOT"):
+        mixing.mixed_documents(out, slot="MIX_SLOT")
+
+
 def test_rollup_commits_once(spark):
     docs = spark.createDataFrame([("a", "en", "one two"), ("a", "en", None), (None, None, ""), ("b", "de", "x")], "source string, lang string, text string")
     count = lambda d: rollup.counted(d, F.size(F.split(F.coalesce("text", F.lit("")), " ")), "v1")
