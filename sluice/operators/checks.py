@@ -17,6 +17,10 @@ class LoadError(RuntimeError):
     pass
 
 
+class UndecidableRule(LoadError):
+    """A rule that could not be evaluated, which says nothing about the record."""
+
+
 def _violations(df: DataFrame, rule: str, detail: Column) -> DataFrame:
     given = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
     return df.select(given("stream").alias("stream"), "ord", F.lit(rule).alias("rule"), detail.cast("string").alias("detail"),
@@ -51,7 +55,8 @@ def raise_if_any(violations: DataFrame) -> None:
     first = violations.limit(1).collect()
     if first:
         v = first[0]
-        raise LoadError(f"{v['rule']} violation in stream {v['stream']!r}: {v['detail']!r} at {v['ord']}")
+        error = UndecidableRule if v["rule"] == UNDECIDABLE else LoadError
+        raise error(f"{v['rule']} violation in stream {v['stream']!r}: {v['detail']!r} at {v['ord']}")
 
 
 # ---------------------------------------------------------------- C1
@@ -61,7 +66,10 @@ ANNOTATIONS = {"title", "description", "default", "examples", "$comment", "$sche
                "writeOnly", "format_hint", "inclusion", "selected"}
 SUPPORTED = {"type", "properties", "required", "enum", "const", "minimum", "maximum", "exclusiveMinimum",
              "exclusiveMaximum", "multipleOf", "minLength", "maxLength", "pattern", "format", "minItems",
-             "maxItems", "items", "additionalProperties"}
+             "maxItems", "items", "additionalItems", "uniqueItems", "contains", "minProperties", "maxProperties",
+             "additionalProperties"}
+UNDECIDABLE = "undecidable"
+RULE_SEP = "\u001f"
 
 _TYPE_TESTS = {
     "null": lambda t: t == "VOID",
@@ -119,15 +127,22 @@ def _equals_any(sub: Column, is_num: Column, num: Column, dbl: Column, values: l
     return F.coalesce(out, F.lit(False))
 
 
-def compile_rules(schema: dict, record: Column, path: tuple[str, ...] = ()) -> list[tuple[str, str, Column]]:
-    """JSON Schema keywords -> [(rule, path, violation predicate)]."""
+def compile_rules(schema: dict | bool, record: Column, path: tuple[str, ...] = (), at: str = "") -> list[Column]:
+    """JSON Schema keywords -> columns that name what a value breaks, as `rule@path`
+    strings or arrays of them (NULL: nothing). Items of arrays and values of objects
+    without a property of their own are lambda variables of the same rules; `at` is
+    where the value that `record` stands for is found (`tags[]`, `tags[2]`, `extra.*`)."""
+    if schema is True:
+        return []
+    if schema is False:
+        return [F.when(record.isNotNull(), F.lit(f"false@{at or '$'}"))]
     unknown = set(schema) - SUPPORTED - ANNOTATIONS
     if unknown:
-        raise PlanError(f"validation keywords not supported: {sorted(unknown)} at {'.'.join(path) or '$'}")
-    where = ".".join(path) or "$"
+        raise PlanError(f"validation keywords not supported: {sorted(unknown)} at {'.'.join((at, *path)) or '$'}")
+    where = ".".join(((at,) if at else ()) + path) or "$"
     sub = F.variant_get(record, variant_path(path), "variant") if path else record
     present = sub.isNotNull()
-    rules: list[tuple[str, str, Column]] = []
+    rules: list[Column] = []
     num = F.try_variant_get(sub, "$", "decimal(38,18)")
     dbl = F.try_variant_get(sub, "$", "double")
     txt = F.try_variant_get(sub, "$", "string")
@@ -135,7 +150,7 @@ def compile_rules(schema: dict, record: Column, path: tuple[str, ...] = ()) -> l
     is_str = F.schema_of_variant(sub) == "STRING"
 
     def add(rule: str, bad: Column):
-        rules.append((rule, where, present & F.coalesce(bad, F.lit(False))))
+        rules.append(F.when(present & F.coalesce(bad, F.lit(False)), F.lit(f"{rule}@{where}")))
 
     if "type" in schema:
         types = [schema["type"]] if isinstance(schema["type"], str) else list(schema["type"])
@@ -152,8 +167,13 @@ def compile_rules(schema: dict, record: Column, path: tuple[str, ...] = ()) -> l
             add(kw, is_num & F.coalesce(cmp(num), cmp(dbl)))
     if "multipleOf" in schema:
         step = F.lit(str(schema["multipleOf"])).cast("decimal(38,18)")
-        # a number beyond the decimal range cannot be divided exactly: that is an error, not a pass
-        add("multipleOf", is_num & (num.isNull() | ((num % step) != 0)))
+        rest = num % step
+        if float(schema["multipleOf"]).is_integer():  # integers of up to 38 digits divide exactly
+            exact = F.schema_of_variant(sub).startswith("DECIMAL") | _type_ok(sub, ["integer"])
+            whole = F.when(exact & (F.schema_of_variant(sub) != "DOUBLE"), F.try_variant_get(sub, "$", "decimal(38,0)"))
+            rest = F.coalesce(rest, whole % F.lit(str(int(schema["multipleOf"]))).cast("decimal(38,0)"))
+        add("multipleOf", is_num & (rest != 0))
+        add(UNDECIDABLE, is_num & rest.isNull())  # beyond exact arithmetic: neither kept nor broken
     if "minLength" in schema:
         add("minLength", is_str & (F.char_length(txt) < schema["minLength"]))
     if "maxLength" in schema:
@@ -173,22 +193,20 @@ def compile_rules(schema: dict, record: Column, path: tuple[str, ...] = ()) -> l
         add("minItems", F.size(items) < schema["minItems"])
     if "maxItems" in schema:
         add("maxItems", F.size(items) > schema["maxItems"])
-    if isinstance(schema.get("items"), dict) and schema["items"]:
-        item = schema["items"]
-        extra = set(item) - {"type"} - ANNOTATIONS
-        if extra:
-            raise PlanError(f"validation of array items supports only 'type', found {sorted(extra)} at {where}")
-        if "type" in item:
-            itypes = [item["type"]] if isinstance(item["type"], str) else list(item["type"])
-            add("items", ~F.forall(items, lambda x: _type_ok(x, itypes)))
-    if isinstance(schema.get("items"), list):  # one schema per position
-        for i, item in enumerate(schema["items"]):
-            extra = set(item) - {"type"} - ANNOTATIONS
-            if extra:
-                raise PlanError(f"validation of array items supports only 'type', found {sorted(extra)} at {where}")
-            if "type" in item:
-                itypes = [item["type"]] if isinstance(item["type"], str) else list(item["type"])
-                add("items", (F.size(items) > i) & ~_type_ok(F.get(items, F.lit(i)), itypes))
+    if schema.get("uniqueItems"):
+        add("uniqueItems", F.size(F.array_distinct(F.transform(items, _same_value))) < F.size(items))
+    if "contains" in schema:
+        add("contains", ~F.exists(items, lambda x: failed_rules(schema["contains"], _value(x), f"{where}[]") == ""))
+    by_place = schema["items"] if isinstance(schema.get("items"), list) else []  # one schema per position
+    for i, item in enumerate(by_place):
+        one = F.when(F.size(items) > i, _value(F.get(items, F.lit(i))))
+        rules += _item_rules(item, one, where, f"[{i}]")
+    rest = schema.get("additionalItems", True) if by_place else schema.get("items", True)
+    if rest is False:
+        add("additionalItems" if by_place else "items", F.size(items) > len(by_place))
+    elif rest not in (True, {}):
+        others = F.slice(items, len(by_place) + 1, F.greatest(F.size(items) - len(by_place), F.lit(0))) if by_place else items
+        rules.append(_each(others, lambda x: F.concat_ws(RULE_SEP, *_item_rules(rest, _value(x), where, "[]"))))
     obj = F.schema_of_variant(sub).startswith("OBJECT")
     for name in schema.get("required", []) or []:
         missing = F.variant_get(record, variant_path(path + (name,)), "variant").isNull()
@@ -198,21 +216,55 @@ def compile_rules(schema: dict, record: Column, path: tuple[str, ...] = ()) -> l
         keys = F.json_object_keys(F.to_json(sub))
         add("additionalProperties", obj & (F.size(F.array_except(keys, F.array(*[F.lit(a) for a in allowed]) if allowed
                                                                  else F.array().cast("array<string>"))) > 0))
-    elif isinstance(schema.get("additionalProperties"), dict) and schema["additionalProperties"]:
-        raise PlanError(f"additionalProperties with a schema is not supported at {where}")
+    elif schema.get("additionalProperties", True) not in (True, {}):
+        known = list((schema.get("properties") or {}).keys())
+        entries = F.map_entries(F.when(obj, F.try_variant_get(sub, "$", "map<string,variant>")))
+        if known:
+            entries = F.filter(entries, lambda e: ~e["key"].isin(known))
+        prefix = "*" if where == "$" else f"{where}.*"
+        rules.append(_each(entries, lambda e: failed_rules(schema["additionalProperties"], _value(e["value"]), prefix)))
+    if "minProperties" in schema:
+        add("minProperties", obj & (F.size(F.json_object_keys(F.to_json(sub))) < schema["minProperties"]))
+    if "maxProperties" in schema:
+        add("maxProperties", obj & (F.size(F.json_object_keys(F.to_json(sub))) > schema["maxProperties"]))
     for name, prop in (schema.get("properties") or {}).items():
         if isinstance(prop, dict):
-            rules.extend(compile_rules(prop, record, path + (name,)))
+            rules.extend(compile_rules(prop, record, path + (name,), at))
     return rules
 
 
-RULE_SEP = "\u001f"
+def _value(x: Column) -> Column:
+    """A JSON null inside an array or object, which Spark hands over as NULL, as a value."""
+    return F.coalesce(x, F.parse_json(F.lit("null")))
+
+
+def _same_value(x: Column) -> Column:
+    """Text that is equal for equal items: numbers by value, everything else as JSON."""
+    number = F.coalesce(F.try_variant_get(x, "$", "decimal(38,18)").cast("string"), F.try_variant_get(x, "$", "double").cast("string"))
+    return F.coalesce(F.when(_type_ok(x, ["number"]), F.concat(F.lit("#"), number)), F.to_json(_value(x)))
+
+
+def _item_rules(item: dict | bool, x: Column, where: str, place: str) -> list[Column]:
+    """Rules of one item. A wrong type of the item itself is the array's rule `items`."""
+    if not isinstance(item, dict):
+        return compile_rules(item, x, (), where + place)
+    rules = compile_rules({k: v for k, v in item.items() if k != "type"}, x, (), where + place)
+    if "type" in item:
+        types = [item["type"]] if isinstance(item["type"], str) else list(item["type"])
+        rules.append(F.when(x.isNotNull() & ~_type_ok(x, types), F.lit(f"items@{where}")))
+    return rules
+
+
+def _each(values: Column, failed) -> Column:
+    """What the elements of an array break, every rule once (NULL: nothing)."""
+    joined = F.concat_ws(RULE_SEP, F.filter(F.transform(values, failed), lambda f: f != ""))
+    return F.when(joined != "", F.array_distinct(F.split(joined, RULE_SEP)))
 
 
-def failed_rules(schema: dict, record: Column) -> Column:
-    """The rules a record breaks, as `rule@path` joined by RULE_SEP ("" = none)."""
-    rules = compile_rules(schema, record)
-    return F.concat_ws(RULE_SEP, *[F.when(bad, F.lit(f"{rule}@{path}")) for rule, path, bad in rules]) if rules else F.lit("")
+def failed_rules(schema: dict | bool, record: Column, at: str = "") -> Column:
+    """The rules a value breaks, as `rule@path` joined by RULE_SEP ("" = none)."""
+    rules = compile_rules(schema, record, (), at)
+    return F.concat_ws(RULE_SEP, *rules) if rules else F.lit("")
 
 
 def mark_invalid(df: DataFrame, schema: dict) -> DataFrame:

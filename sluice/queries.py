@@ -481,6 +481,43 @@ SQL_VALIDATE_SPLIT = " UNION ALL ".join(
         ("maxItems", "tags", "o_orderkey % 3 = 1"), ("items", "tags", "o_orderkey % 3 = 1"))])
 
 
+_VALIDATE_ITEMS = {"type": "object", "properties": {
+    "parties": {"type": "array", "uniqueItems": True, "contains": {"properties": {"key": {"maximum": 50}}}, "items": {
+        "type": "object", "required": ["role", "since"], "properties": {
+            "role": {"enum": ["part", "vendor"]}, "key": {"type": "integer", "multipleOf": 3, "maximum": 1500}}}},
+    "amounts": {"items": [{"maximum": 25}, {"minimum": 20000, "multipleOf": 0.05}, {"type": "integer"}], "additionalItems": {"exclusiveMaximum": 0.05}},
+    "flags": {"items": {"type": "string", "pattern": "^[ANO]$"}, "contains": {"const": "R"}},
+    "grid": {"items": {"type": "array", "items": {"minimum": 5}}},
+    "huge": {"items": {"multipleOf": 0.5}}, "pair": {"items": [{}], "additionalItems": False},
+    "extra": {"additionalProperties": {"type": "string", "const": "A"}, "minProperties": 3}}}
+
+
+def q_validate_items(spark, sf_dir):
+    """Rules inside arrays (of values, of objects, by position, of arrays) and of
+    undeclared properties; a rule beyond exact arithmetic is an error of its own."""
+    _setup(spark)
+    party = lambda role, key: F.struct(F.lit(role).alias("role"), F.col(key).alias("key"))
+    lines = _t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.array(party("part", "l_partkey"), party("supplier", "l_suppkey")).alias("parties"),
+        F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax").alias("amounts"), F.array("l_returnflag", "l_linestatus").alias("flags"),
+        F.array(F.array("l_linenumber", F.lit(9)), F.array("l_linenumber")).alias("grid"), F.array(F.col("l_extendedprice") * 1e16).alias("huge"),
+        F.array("l_linenumber", "l_linenumber").alias("pair"), F.struct("l_returnflag", "l_linestatus").alias("extra"))
+    recs = messages.records(messages.parse_envelopes(record_messages(lines, "db-lines", 1, ["l_orderkey", "l_linenumber"])))
+    found = checks.validate_records(recs, _VALIDATE_ITEMS, "db-lines")
+    return found.groupBy("stream", "rule", F.col("detail").alias("path")).agg(F.count(F.lit(1)).alias("violations"))
+
+
+SQL_VALIDATE_ITEMS = " UNION ALL ".join(_violation("db-lines", "lineitem", *r) for r in (
+    ("contains", "parties", "l_partkey > 50 AND l_suppkey > 50"), ("required", "parties[]", "true"), ("enum", "parties[].role", "true"),
+    ("multipleOf", "parties[].key", "l_partkey % 3 <> 0 OR l_suppkey % 3 <> 0"), ("maximum", "parties[].key", "l_partkey > 1500 OR l_suppkey > 1500"),
+    ("maximum", "amounts[0]", "l_quantity > 25"), ("minimum", "amounts[1]", "l_extendedprice < 20000"),
+    ("multipleOf", "amounts[1]", "CAST(l_extendedprice AS DECIMAL(18, 6)) % 0.05 <> 0"), ("items", "amounts", "l_discount <> floor(l_discount)"),
+    ("exclusiveMaximum", "amounts[]", "l_tax >= 0.05"), ("pattern", "flags[]", "l_returnflag = 'R' OR l_linestatus = 'F'"),
+    ("contains", "flags", "l_returnflag <> 'R'"), ("minimum", "grid[][]", "l_linenumber < 5"),
+    ("undecidable", "huge[]", "l_extendedprice * 1e16 >= 1e20"), ("additionalItems", "pair", "true"),
+    ("const", "extra.*", "l_returnflag <> 'A' OR l_linestatus <> 'A'"), ("minProperties", "extra", "true")))
+
+
 def q_validate_reject_table(spark, sf_dir):
     """C1 with on_error=reject: violating records stay out of the published table, and
     the rejects keep their text; a replay adds none."""
@@ -1236,6 +1273,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "append_keyless": (q_append_keyless, SQL_APPEND_KEYLESS),
     "union_promote": (q_union_promote, SQL_UNION_PROMOTE),
     "validate_split": (q_validate_split, SQL_VALIDATE_SPLIT),
+    "validate_items": (q_validate_items, SQL_VALIDATE_ITEMS),
     "malformed_lines": (q_malformed_lines, SQL_MALFORMED),
     "check_order": (q_check_order, SQL_CHECK_ORDER),
     "check_keys": (q_check_keys, SQL_CHECK_KEYS),

@@ -3,6 +3,7 @@
 import datetime as dt
 import decimal
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -271,6 +272,56 @@ def test_version_names_do_not_collide():
     assert evolve.free_name("v", "x", {"v_x", "v_x_1"}) == "v_x_2"
 
 
+LINES = {"type": "array", "minItems": 1, "uniqueItems": True, "contains": {"properties": {"sku": {"const": "a"}}}, "items": {
+    "type": "object", "required": ["sku", "qty"], "additionalProperties": {"type": "string", "maxLength": 2}, "properties": {
+        "sku": {"type": "string", "enum": ["a", "b"]}, "qty": {"type": ["integer", "null"], "minimum": 1, "multipleOf": 2},
+        "tags": {"type": "array", "maxItems": 2, "items": {"type": "string", "pattern": "^[a-z]$"}},
+        "box": {"type": "array", "items": [{"maximum": 9}, {"type": "string"}], "additionalItems": False}}}}
+
+
+@pytest.mark.parametrize("lines, broken", [
+    ([{"sku": "a", "qty": 2, "tags": ["x", "y"], "box": [9, "w"], "note": "ok"}, {"sku": "b", "qty": None}], set()),
+    (None, {("type", "lines")}),
+    ([], {("minItems", "lines"), ("contains", "lines")}),
+    ([{"sku": "a", "qty": 2}, {"sku": "a", "qty": 4.0}], set()),
+    ([{"sku": "a", "qty": 2}, {"qty": 2.0, "sku": "a"}], {("uniqueItems", "lines")}),
+    ([{"sku": "c", "qty": 3}, {"sku": "c", "qty": 0}], {("enum", "lines[].sku"), ("multipleOf", "lines[].qty"), ("minimum", "lines[].qty"),
+                                                          ("contains", "lines")}),
+    ([{"sku": "a"}, 7, None], {("required", "lines[]"), ("items", "lines")}),
+    ([{"sku": "a", "qty": 2, "tags": ["x", "YY", 1]}], {("maxItems", "lines[].tags"), ("pattern", "lines[].tags[]"), ("items", "lines[].tags")}),
+    ([{"sku": "a", "qty": 2, "box": [10, 5, 6]}], {("maximum", "lines[].box[0]"), ("items", "lines[].box"), ("additionalItems", "lines[].box")}),
+    ([{"sku": "a", "qty": 2, "note": "long", "more": 1}], {("maxLength", "lines[].*"), ("type", "lines[].*")}),
+    ([{"sku": "a", "qty": 1e30}], {("undecidable", "lines[].qty")}),
+])
+def test_rules_inside_arrays(spark, log_of, lines, broken):
+    recs = messages.records(messages.parse_envelopes(log_of([rec("s", {"id": 1, "lines": lines}), rec("s", {"id": 2})])))
+    v = checks.validate_records(recs, {"properties": {"lines": LINES}}, "s").collect()
+    assert Counter((r["rule"], r["detail"]) for r in v) == Counter(broken)
+    assert {r["ord"]["k1"] for r in v} <= {0}
+
+
+@pytest.mark.parametrize("rule, good, bad", [
+    ({"minProperties": 1, "maxProperties": 2}, [{"a": 1}, {"a": 1, "b": 2}, 5], [{}, {"a": 1, "b": 2, "c": 3}]),
+    ({"additionalProperties": {"type": "integer"}}, [{}, {"a": 1}, "x"], [{"a": "x"}, {"a": None}]),
+    ({"items": False}, [[], 1], [[1], [None]]), ({"uniqueItems": True}, [[1, 2], [1, "1"], [None]], [[1, 1.0], [None, None], ["a", "a"]]),
+    ({"contains": {"minimum": 5}}, [[1, 5], "x"], [[], [1, 2]]), ({"items": {"items": {"maximum": 1}}}, [[[1], []], [5]], [[[1], [2]]]),
+])
+def test_rules_of_collections(spark, log_of, rule, good, bad):
+    recs = messages.records(messages.parse_envelopes(log_of([rec("s", {"v": v}) for v in good + bad])))
+    hits = {r["ord"]["k1"] for r in checks.validate_records(recs, {"properties": {"v": rule}}, "s").collect()}
+    assert hits == set(range(len(good), len(good) + len(bad)))
+
+
+def test_an_undecidable_rule_is_an_error_of_its_own(spark, log_of):
+    recs = messages.records(messages.parse_envelopes(log_of([rec("s", {"v": v}) for v in (10 ** 25, 9 * 10 ** 24, 1e30)])))
+    v = checks.validate_records(recs, {"properties": {"v": {"multipleOf": 3}}}, "s")
+    assert {(r["ord"]["k1"], r["rule"]) for r in v.collect()} == {(0, "multipleOf"), (2, "undecidable")}
+    with pytest.raises(checks.UndecidableRule):
+        checks.raise_if_any(v.filter("ord.k1 = 2"))
+    with pytest.raises(checks.LoadError, match="multipleOf"):
+        checks.raise_if_any(v.filter("ord.k1 = 0"))
+
+
 def test_validate_unsupported_keyword_is_an_error(spark, log_of):
     from sluice.plans.column_plan import PlanError
 
