@@ -1,21 +1,25 @@
 """A3 + B11 + F2: read the Arrow IPC files named by BATCH manifests.
 
-One task per file (files are the unit of a manifest). Decimal columns travel
-as text and are cast to the declared type, so no precision is lost (Spark's
-Arrow reader also refuses 32/64-bit decimals). Files whose schemas differ are
-read as separate groups; a load casts every group to its plan before it
-concatenates them.
-Each row carries (_file_ord, _row_ord): manifest position, then row in file.
+A file is cut into runs of record batches, which its footer locates, so one
+large file is read by several tasks. Decimal columns travel as text and are cast
+to the declared type, so no precision is lost (Spark's Arrow reader also refuses
+32/64-bit decimals). Files whose schemas differ are read as separate groups; a
+load casts every group to its plan before it concatenates them.
+Each row carries (_file_ord, _row_ord): manifest position, then the row's place
+in the file: the record batch's number in the upper 32 bits, its row below.
 """
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.operators.merge import union_promote
 
 FILE_ORD, ROW_ORD = "_file_ord", "_row_ord"
+SPLIT_BYTES = 64 << 20  # of a file, for one task
+MAX_TASKS = 10_000  # of one scan; more splits share tasks
+_SPLITS = "ordinal long, path string, first long, past long, schema binary"
 
 
 def strip_file_uri(paths: list[str]) -> list[str]:
@@ -44,56 +48,63 @@ def _text_decimals(batch):
     return pa.RecordBatch.from_arrays(cols, schema=pa.schema(fields))
 
 
-def _schema_rows(it):
-    import pandas as pd
-    import pyarrow as pa
+def _splits(split_bytes: int):
+    def describe(it):
+        import pandas as pd
+        import pyarrow as pa
 
-    for pdf in it:
-        out = []
-        for ordinal, path in zip(pdf["ordinal"], pdf["path"]):
-            with _open(path) as reader:
-                schema = _text_decimals(pa.RecordBatch.from_pylist([], schema=reader.schema)).schema
-            out.append((int(ordinal), path, schema.serialize().to_pybytes()))
-        yield pd.DataFrame(out, columns=["ordinal", "path", "schema"])
+        for pdf in it:
+            out = []
+            for ordinal, path in zip(pdf["ordinal"], pdf["path"]):
+                fs, inner = _filesystem(path)
+                size = fs.get_file_info(inner).size
+                with _open(path) as reader:
+                    schema = _text_decimals(pa.RecordBatch.from_pylist([], schema=reader.schema)).schema.serialize().to_pybytes()
+                    batches = reader.num_record_batches
+                step = max(1, batches * split_bytes // max(size, 1))
+                for first in range(0, max(batches, 1), step):  # a file without a batch still has a schema
+                    out.append((int(ordinal), path, first, min(first + step, batches), schema))
+            yield pd.DataFrame(out, columns=["ordinal", "path", "first", "past", "schema"])
+
+    return describe
 
 
 def _reader(it):
+    import numpy as np
     import pyarrow as pa
 
-    for batch in it:
-        for ordinal, path in zip(batch.column("ordinal").to_pylist(), batch.column("path").to_pylist()):
-            offset = 0
+    for split in it:
+        for ordinal, path, first, past in zip(*(split.column(c).to_pylist() for c in ("ordinal", "path", "first", "past"))):
             with _open(path) as reader:
-                for i in range(reader.num_record_batches):
+                for i in range(first, past):
                     rb = _text_decimals(reader.get_batch(i))
                     n = rb.num_rows
-                    rb = rb.append_column(FILE_ORD, pa.array([ordinal] * n, pa.int64()))
-                    rb = rb.append_column(ROW_ORD, pa.array(range(offset, offset + n), pa.int64()))
-                    offset += n
+                    rb = rb.append_column(FILE_ORD, pa.array(np.full(n, ordinal, np.int64)))
+                    rb = rb.append_column(ROW_ORD, pa.array((i << 32) + np.arange(n, dtype=np.int64)))
                     yield rb
 
 
-def scan_columnar_groups(spark: SparkSession, paths: list[str], first_ordinal: int = 0) -> list[DataFrame]:
-    """A3: one DataFrame per distinct file schema."""
+def scan_columnar_groups(spark: SparkSession, paths: list[str], first_ordinal: int = 0,
+                         split_bytes: int = SPLIT_BYTES) -> list[DataFrame]:
+    """A3: one DataFrame per distinct file schema, in the order of their first files.
+    The driver gets one row per schema; files and their splits stay a DataFrame."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import from_arrow_schema
 
     paths = strip_file_uri(paths)
+    if not paths:
+        raise ValueError("empty manifest")
     listing = spark.createDataFrame([(first_ordinal + i, p) for i, p in enumerate(paths)], "ordinal long, path string")
-    listing = listing.repartitionByRange(max(1, len(paths)), "ordinal")  # one task per file
-    schemas = listing.mapInPandas(_schema_rows, "ordinal long, path string, schema binary").collect()
-    groups: dict[bytes, list[tuple[int, str]]] = {}
-    for row in schemas:
-        groups.setdefault(bytes(row["schema"]), []).append((row["ordinal"], row["path"]))
+    splits = listing.repartitionByRange(min(len(paths), MAX_TASKS), "ordinal").mapInPandas(_splits(split_bytes), _SPLITS)
+    groups = splits.groupBy("schema").agg(F.min("ordinal").alias("first"), F.count(F.lit(1)).alias("n")).collect()
     frames = []
-    for blob, members in groups.items():
+    for group in sorted(groups, key=lambda g: g["first"]):
+        blob = bytes(group["schema"])
         arrow_schema = pa.ipc.read_schema(pa.py_buffer(blob))
         arrow_schema = arrow_schema.append(pa.field(FILE_ORD, pa.int64())).append(pa.field(ROW_ORD, pa.int64()))
-        spark_schema = from_arrow_schema(arrow_schema)
-        files = spark.createDataFrame(members, "ordinal long, path string").repartitionByRange(len(members), "ordinal")
-        frames.append(files.mapInArrow(_reader, spark_schema))
-    if not frames:
-        raise ValueError("empty manifest")
+        members = splits.filter(F.col("schema") == F.lit(blob)).drop("schema")
+        members = members.repartitionByRange(min(group["n"], MAX_TASKS), "ordinal", "first")
+        frames.append(members.mapInArrow(_reader, from_arrow_schema(arrow_schema)))
     return frames
 
 

@@ -44,6 +44,29 @@ def test_columnar_scan_decimal64_and_promotion(spark):
     assert (rows[2][columnar.FILE_ORD], rows[2][columnar.ROW_ORD]) == (0, 1)
 
 
+def test_one_large_file_is_read_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 50_000, 1, 1).select("id", F.concat(F.lit("value "), F.col("id")).alias("text"))
+    (path,) = columnar.write_arrow_files(rows, str(tmp_path / "big"))
+    with ipc.open_file(path) as reader:
+        ipc.new_file(str(tmp_path / "none.arrow"), reader.schema).close()  # a file without a record batch
+    paths = [path, str(tmp_path / "none.arrow")]
+    (whole,) = columnar.scan_columnar_groups(spark, paths)
+    (cut,) = columnar.scan_columnar_groups(spark, paths, split_bytes=os.path.getsize(path) // 5)
+    tasks = cut.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) >= 5 and max(r["count"] for r in tasks) <= 20_000
+    in_order = lambda df: [tuple(r) for r in df.orderBy(columnar.FILE_ORD, columnar.ROW_ORD).select("id", "text").collect()]
+    assert in_order(cut) == in_order(whole) == [(i, f"value {i}") for i in range(50_000)]
+
+
+def test_files_of_one_schema_form_one_group(spark, tmp_path):
+    paths = [columnar.write_arrow_files(spark.range(i, i + 1).select(F.col("id").cast("int" if i == 1 else "long")).coalesce(1),
+                                        str(tmp_path / str(i)))[0] for i in range(6)]
+    groups = columnar.scan_columnar_groups(spark, paths)
+    assert [sorted(r["id"] for r in g.collect()) for g in groups] == [[0, 2, 3, 4, 5], [1]]
+    with pytest.raises(ValueError, match="empty"):
+        columnar.scan_columnar_groups(spark, [])
+
+
 def _log(spark, lines, start=0):
     rows = [((0, start + i, 0, 0), json.dumps(x)) for i, x in enumerate(lines)]
     return spark.createDataFrame(rows, "ord struct<seq:bigint,k1:bigint,k2:bigint,k3:bigint>, value string")
