@@ -4,10 +4,11 @@
    kept when their own check passes) and two broad shapes, runs of grouped
    digits (`digits`) and long tokens (`secret`). Proposals overlap freely.
 2. Every proposal gets format features (length, digits, separators, letters)
-   and context features (neighbouring characters, a keyword before it), each in
+   and context features (neighbouring characters, a keyword after it), each in
    a few bins; together they form a feature code.
-3. Broad proposals are labelled weakly: `digits` by lying in a valid base span,
-   `secret` by a credential word before it (which is then no feature). Counts
+3. Broad proposals are labelled weakly: `digits` by lying in a valid base span or
+   by a personal word before them on the line with no other digit between,
+   `secret` by a credential word before it (words before are no feature). Counts
    per feature code over all documents are the whole training set: at most
    `CODES` rows, whatever the corpus. Gradient-boosted trees of depth two are
    fitted to the counts of three folds of documents.
@@ -58,7 +59,11 @@ BASE = KINDS[:4]
 # A character without which a pattern cannot match, as a cheap test before it.
 _NEEDS = {"email": "@", "phone": "+"}
 _CREDENTIAL = "(?i)(token|secret|passw|key|auth|bearer)"
-_PERSONAL = "(?i)(phone|tel|call|fax|mobile|card|visa|account|iban|ssn|ip|mail|contact)"
+# Words that announce a personal number.
+_PERSONAL = ("phone|telephone|tel|call|fax|mobile|cell|whatsapp|sms|card|visa|mastercard|account|acct|iban|ssn|passport|"
+             "licence|license|contact|reach|dial|text")
+_ANNOUNCED = rf"(?i)\b({_PERSONAL})s?\b[^0-9\n]*$"
+_NAMED_AFTER = rf"(?i)^[^0-9\n]*\b({_PERSONAL})s?\b"
 # Feature -> number of bins; a code is the mixed-radix number of its bins.
 FEATURES = {"kind": 2, "length": 8, "digits": 8, "gaps": 4, "shape": 4, "left": 4, "right": 4, "word": 2}
 CODES = math.prod(FEATURES.values())
@@ -130,7 +135,8 @@ def features() -> dict[str, Column]:
         "shape": shape,
         "left": char(F.right("before", F.lit(1))),
         "right": char(F.left("after", F.lit(1))),
-        "word": F.when(F.col("kind") == KINDS.index("digits"), F.regexp_like("before", F.lit(_PERSONAL)).cast("int")).otherwise(0),
+        "word": F.when(F.col("kind") == KINDS.index("digits"), F.coalesce(
+            F.regexp_like("after", F.lit(_NAMED_AFTER)), F.lit(False)).cast("int")).otherwise(0),
     }
 
 
@@ -229,9 +235,9 @@ def find_personal_data(docs: DataFrame, precision: float = PRECISION) -> DataFra
     found = found.where(~is_base | F.col("valid"))
     order = Window.partitionBy("rid").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = found.withColumn("held", F.coalesce(F.max(F.when(is_base, F.col("end"))).over(order) >= F.col("end"), F.lit(False)))
-    credential = F.regexp_like("before", F.lit(_CREDENTIAL))
+    credential, announced = F.regexp_like("before", F.lit(_CREDENTIAL)), F.regexp_like("before", F.lit(_ANNOUNCED))
     found = found.select("rid", "doc_id", "kind", "start", "end", "held",
-                         F.when(F.col("kind") == KINDS.index("digits"), F.col("held")).otherwise(credential).alias("label"),
+                         F.when(F.col("kind") == KINDS.index("digits"), F.col("held") | announced).otherwise(credential).alias("label"),
                          F.when(~is_base, feature_code()).alias("code"))
     found = materialize(found, "spans")
     held_out = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0

@@ -186,6 +186,25 @@ def test_personal_data_edges(spark, edge_docs, no_docs):
     assert pii.find_personal_data(docs).first()["n_email"] == 5000
 
 
+def test_announced_numbers_are_added_and_plain_ones_stay(spark):
+    """Recall of the added spans on planted texts, and precision beside numbers of other kinds."""
+    planted, texts = Counter(), []
+    for i in range(400):
+        numbers = [f"(555) {100 + i % 900}-4{i:03d}", f"555 {200 + i % 700} {4000 + i}", f"{100 + i % 800}-{10 + i % 90}-6{i:03d}"]
+        lead = ("call ", "my phone ", "SSN: ")
+        text = "Please " + ", ".join(w + n for w, n in zip(lead, numbers)) + " or +1 555 010 %04d today" % i
+        for n in numbers:
+            planted[len(texts), text.index(n), text.index(n) + len(n)] += 1
+        texts.append(text)
+    clean = [f"Item {i}: built 19{10 + i % 80}-0{1 + i % 9}-1{i % 10}, sizes 12.5 {i % 90 + 10}.75, pages 100-1{i:02d}" for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts + clean)), "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(docs).collect()}
+    added = {(d, *map(int, s.split(":")[1:])) for d, spans in found.items() for s in spans.split(",") if s.startswith("digits:")}
+    assert len(added & set(planted)) >= 0.9 * len(planted)
+    assert not [a for a in added if a[0] >= len(texts)]
+    assert all("phone:" in found[d] for d in range(len(texts)))
+
+
 def test_boosting_separates_and_calibrates():
     per_kind = pii.CODES // pii.FEATURES["kind"]
     good, bad = per_kind + 4 * 500, per_kind + 4 * 10
