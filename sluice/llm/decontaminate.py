@@ -9,9 +9,10 @@
 3. Store the postings of the probe terms: one row per occurrence with document,
    position and the words around it, in the shared folder.
 4. Meet the postings of the probe terms with the windows; position minus offset
-   is a candidate start. Intersect with the second rarest term's offset-adjusted
-   postings, and compare all words of the window in place: an exact phrase. A
-   start where at least `NEAR` of ten words are in place is a proximity match.
+   is a candidate start, kept if the words around it put at least `NEAR` of ten
+   in place. The probes' offset-adjusted lists are intersected on (document,
+   window, start): a start in all of them, with every word in place, is an exact
+   phrase, any other a proximity match.
 
 Rare terms have short lists, so the joins stay small however common the other
 words are; a long list of a term that is in a third of all documents is split
@@ -43,6 +44,7 @@ WINDOW = 10
 NEAR = 8
 TERMS_LIMIT = 500_000
 PROBES_LIMIT = 100_000
+POSTED = 20_000  # postings that a task holds before it hands them on
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _FOLD = bytes.maketrans(_UPPER.encode(), _LOWER.encode())
@@ -93,49 +95,54 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def probe_windows(windows: DataFrame, counts: DataFrame, near: int = NEAR) -> DataFrame:
-    """Windows with their probes (term, offset), the rarest words that no match can
-    all change, and their second rarest word (term2, offset2)."""
+    """Windows with their probes (term, offset): the rarest words that no match can all change."""
     words = windows.select("window_id", "item_id", "phrase", F.posexplode("phrase").alias("offset", "term"))
     words = words.join(counts, "term", "left")
     ranked = (words.groupBy("window_id", "item_id", "phrase")
               .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "offset"))).alias("r")))
     probes = F.slice("r", F.lit(1), F.floor(F.size("r") * (WINDOW - near) / WINDOW).cast("int") + 1)
-    second = F.element_at("r", F.least(F.size("r"), F.lit(2)))
-    return ranked.select("window_id", "item_id", "phrase",
-                         F.transform(probes, lambda w: F.struct(w["term"].alias("term"), w["offset"].alias("offset"))).alias("probes"),
-                         second["term"].alias("term2"), second["offset"].alias("offset2"))
+    return ranked.select("window_id", "item_id", "phrase", F.transform(
+        probes, lambda w: F.struct(w["term"].alias("term"), w["offset"].alias("offset"))).alias("probes"))
 
 
-def build_index(docs: DataFrame, terms: DataFrame, probes: DataFrame, reach: int = WINDOW - 1) -> DataFrame:
+def build_index(docs: DataFrame, terms: DataFrame, reach: int = WINDOW - 1) -> DataFrame:
     """Stored postings (term, doc_id, text_hash, pos, around) of the terms, and one row
-    per document with NULL term and its word count as pos. `around` holds, for
-    the probe terms, the words from pos - reach to pos + reach, space-joined and
-    empty outside the text."""
-    wanted, framed = _term_set(terms), _term_set(probes)
+    per document with NULL term and its word count as pos. `around` holds the
+    words from pos - reach to pos + reach, space-joined and empty outside the text."""
+    wanted = _term_set(terms)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, term, pos, around = [], [], [], []
+
+            def posted() -> pa.RecordBatch:
+                picked = pa.array(rows, pa.int64())
+                out = pa.RecordBatch.from_arrays(
+                    [pa.array(term, pa.string()), batch.column(0).take(picked), batch.column(1).take(picked),
+                     pa.array(pos, pa.int64()), pa.array(around, pa.string())],
+                    ["term", "doc_id", "text_hash", "pos", "around"])
+                for column in (rows, term, pos, around):
+                    column.clear()
+                return out
+
             for i, text in enumerate(batch.column(2)):
                 words = tokens(text.as_py())
                 rows.append(i)
                 term.append(None)
                 pos.append(len(words))
                 around.append(None)
-                at = [p for p, w in enumerate(words) if wanted is None or w in wanted.value]
-                if at:
-                    padded = [b""] * reach + words + [b""] * reach
-                    rows.extend([i] * len(at))
-                    term.extend(words[p].decode("utf-8", "replace") for p in at)
-                    pos.extend(at)
-                    around.extend(b" ".join(padded[p:p + 2 * reach + 1]).decode("utf-8", "replace")
-                                  if framed is None or words[p] in framed.value else None for p in at)
-            picked = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(term, pa.string()), batch.column(0).take(picked), batch.column(1).take(picked),
-                 pa.array(pos, pa.int64()), pa.array(around, pa.string())],
-                ["term", "doc_id", "text_hash", "pos", "around"])
+                padded = [b""] * reach + words + [b""] * reach
+                for p, word in enumerate(words):
+                    if wanted is not None and word not in wanted.value:
+                        continue
+                    rows.append(i)
+                    term.append(word.decode("utf-8", "replace"))
+                    pos.append(p)
+                    around.append(b" ".join(padded[p:p + 2 * reach + 1]).decode("utf-8", "replace"))
+                    if len(rows) >= POSTED:
+                        yield posted()
+            yield posted()
 
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     posted = keyed.mapInArrow(post, f"term string, doc_id {id_type}, text_hash long, pos long, around string")
@@ -148,26 +155,21 @@ def phrase_matches(index: DataFrame, windows: DataFrame, near: int = NEAR, reach
     """(doc_id, text_hash, item_id, start, length, exact): exact phrases, and starts
     where at least `near` of WINDOW words (in proportion) are in place."""
     lists = index.where("term IS NOT NULL")
-    probes = windows.select("window_id", "item_id", "phrase", "term2", "offset2", F.inline("probes").alias("term1", "offset1"))
-    seconds = windows.select(F.col("term2").alias("term")).distinct()
+    probes = windows.select("window_id", "item_id", "phrase", F.size("probes").alias("asked"), F.inline("probes").alias("term1", "offset1"))
     if probes.count() <= PROBES_LIMIT:
-        probes, seconds = F.broadcast(probes), F.broadcast(seconds)
+        probes = F.broadcast(probes)
     found = (lists.withColumnRenamed("term", "term1").withColumn("around", F.split("around", " "))
              .join(probes, "term1").withColumn("start", F.col("pos") - F.col("offset1")))
-    size = F.size("phrase")
     same = [F.get("around", F.lit(reach + k) - F.col("offset1")) == F.get("phrase", F.lit(k)) for k in range(reach + 1)]
     agree = sum((F.coalesce(s.cast("int"), F.lit(0)) for s in same), F.lit(0))
-    found = (found.where("start >= 0").withColumn("agree", agree).withColumn("length", size)
-             .where(F.col("agree") * WINDOW >= F.col("length") * near)
-             .select("doc_id", "text_hash", "item_id", "window_id", "start", "length", "agree", "term2",
-                     (F.col("start") + F.col("offset2")).alias("pos2")).distinct())
-    second = lists.join(seconds, "term", "left_semi").select(F.col("term").alias("term2"), F.col("pos").alias("pos2"),
-                          F.col("doc_id").alias("d2"), F.col("text_hash").alias("h2"), F.lit(True).alias("met")).distinct()
-    same = ((found["term2"] == second["term2"]) & (found["pos2"] == second["pos2"])
-            & found["doc_id"].eqNullSafe(second["d2"]) & found["text_hash"].eqNullSafe(second["h2"]))
-    exact = F.coalesce(F.col("met"), F.lit(False)) & (F.col("agree") == F.col("length"))
-    return (found.join(second, same, "left")
-            .select("doc_id", "text_hash", "item_id", "window_id", "start", "length", exact.alias("exact")))
+    found = (found.where("start >= 0").withColumn("agree", agree).withColumn("length", F.size("phrase"))
+             .where(F.col("agree") * WINDOW >= F.col("length") * near))
+    # Repeated documents post their words again: a probe is met or not, whatever its postings
+    # (the set holds at most a window's probes).
+    return (found.groupBy("doc_id", "text_hash", "item_id", "window_id", "start", "length")
+            .agg(F.size(F.collect_set("offset1")).alias("met"), F.max("agree").alias("agree"), F.max("asked").alias("asked"))
+            .select("doc_id", "text_hash", "item_id", "window_id", "start", "length",
+                    ((F.col("met") == F.col("asked")) & (F.col("agree") == F.col("length"))).alias("exact")))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -176,8 +178,7 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     windows = materialize(benchmark_windows(items), "windows")
     terms = windows.select(F.explode("phrase").alias("term")).distinct()
     windows = materialize(probe_windows(windows, term_counts(docs, terms)), "probes")
-    probes = windows.select(F.explode("probes.term").alias("term")).distinct()
-    index = build_index(docs, probes.union(windows.select("term2")).distinct(), probes)
+    index = build_index(docs, windows.select(F.explode("probes.term").alias("term")).distinct())
     matches = materialize(phrase_matches(index, windows), "matches")
     exact, key = matches.where("exact"), ["doc_id", "text_hash"]
     # A word is hit once however many windows cover it: merge the covered runs of a document.
