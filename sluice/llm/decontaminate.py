@@ -113,6 +113,7 @@ def build_index(docs: DataFrame, terms: DataFrame, reach: int = WINDOW - 1) -> D
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None if wanted is None else wanted.value
         for batch in batches:
             rows, term, pos, around = [], [], [], []
 
@@ -132,14 +133,14 @@ def build_index(docs: DataFrame, terms: DataFrame, reach: int = WINDOW - 1) -> D
                 term.append(None)
                 pos.append(len(words))
                 around.append(None)
-                padded = [b""] * reach + words + [b""] * reach
-                for p, word in enumerate(words):
-                    if wanted is not None and word not in wanted.value:
-                        continue
-                    rows.append(i)
-                    term.append(word.decode("utf-8", "replace"))
-                    pos.append(p)
-                    around.append(b" ".join(padded[p:p + 2 * reach + 1]).decode("utf-8", "replace"))
+                at = [p for p, w in enumerate(words) if known is None or w in known]
+                padded = [b""] * reach + words + [b""] * reach if at else []
+                for first in range(0, len(at), POSTED):
+                    part = at[first:first + POSTED]
+                    rows.extend([i] * len(part))
+                    term.extend(words[p].decode("utf-8", "replace") for p in part)
+                    pos.extend(part)
+                    around.extend(b" ".join(padded[p:p + 2 * reach + 1]).decode("utf-8", "replace") for p in part)
                     if len(rows) >= POSTED:
                         yield posted()
             yield posted()
