@@ -33,7 +33,7 @@ from sluice.options import LoadOptions
 from sluice.plans import naming
 from sluice.plans.column_plan import ColumnPlan, build_plan
 from sluice.session import configure, remove_dir, shared_dir, time_type_enabled
-from sluice.sources import columnar, messages
+from sluice.sources import catalog, columnar, messages
 from sluice.sources.inputs import InputLedger, file_positions, identity
 from sluice.sources.snapshots import (LoadResult, Segment, SnapshotTable, co_partitioning, folder_name,
                                       latest_state, publish_state)
@@ -53,10 +53,15 @@ class LoadReport:
     replayed: bool = False  # the last completed load consumed the same files: nothing was read
 
 
-def table_root(warehouse: str, stream: str, opts: LoadOptions) -> str:
+def target_of(stream: str, opts: LoadOptions) -> tuple[str, str]:
+    """The schema and table that a stream loads."""
     _, segment, raw_table = naming.split_stream(stream)
-    schema = naming.target_schema(segment, opts.default_target_schema, opts.schema_mapping)
-    return f"{warehouse.rstrip('/')}/{schema}/{naming.table_name(raw_table)}"
+    return naming.target_schema(segment, opts.default_target_schema, opts.schema_mapping), naming.table_name(raw_table)
+
+
+def table_root(warehouse: str, stream: str, opts: LoadOptions) -> str:
+    schema, table = target_of(stream, opts)
+    return f"{warehouse.rstrip('/')}/{schema}/{table}"
 
 
 def _stage(spark: SparkSession, parsed: DataFrame) -> tuple[DataFrame, str]:
@@ -202,8 +207,12 @@ class _Load:
         streams = sorted(set(first_record) | set(by_stream))
 
         def load(stream: str) -> None:
+            if self.opts.register_tables:  # G1: the name is checked before anything is written
+                catalog.claim(self.spark, *target_of(stream, self.opts), self._store(stream).root)
             self._stream(stream, by_stream.get(stream, []), first_record.get(stream))
             self.complete.add(stream)
+            if self.opts.register_tables:
+                catalog.register(self.spark, *target_of(stream, self.opts), self._store(stream))
 
         try:
             if self.opts.parallel_streams > 1 and len(streams) > 1:

@@ -1,4 +1,4 @@
-"""Align a table to a new column plan.
+"""Align a table to a new column plan.
 
 New plan columns are added as NULL; a column whose type changed is kept
 under `<name>_<suffix>` and a fresh empty column takes its name; columns
@@ -54,11 +54,6 @@ def align_to_plans(target: DataFrame, plans: list[ColumnPlan], suffix: str, time
     return target, changes
 
 
-def create_from_plan(spark: SparkSession, plan: ColumnPlan, time_enabled: bool = True) -> DataFrame:
-    """G1: the empty snapshot of a new table."""
-    return spark.createDataFrame([], plan.struct_type(time_enabled))
-
-
 def free_name(name: str, suffix: str, taken: set[str]) -> str:
     """`<name>_<suffix>`, numbered if an earlier version of the column has that name."""
     forms = itertools.chain([f"{name}_{suffix}"], (f"{name}_{suffix}_{n}" for n in itertools.count(1)))

@@ -27,6 +27,8 @@ class LoadOptions:
     # target resolution
     default_target_schema: str | None = None
     schema_mapping: dict = field(default_factory=dict)
+    # G1: name every table in the session catalog, so that spark.table("schema.name") reads it
+    register_tables: bool = False
     # keep identifiers within 63 characters like the reference's target database
     max_identifier_length: int | None = 63
     # hash buckets of a new table (fixed for its life). A bucket is the unit that a merge

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -1234,6 +1235,27 @@ SELECT o_orderstatus, count(*) AS orders, CAST(6 AS BIGINT) AS columns, CAST(0 A
 """
 
 
+def q_catalog_table(spark, sf_dir):
+    """G1: the loaded table is read by its name in the session catalog, after a second
+    load that adds a column and writes part of the rows again."""
+    from sluice.job import load_messages
+
+    _setup(spark)
+    o = _t(spark, sf_dir, "orders")
+    wh = shared_dir(spark, "warehouse")
+    opts = LoadOptions(default_target_schema=f"shop_{uuid.uuid4().hex[:12]}", register_tables=True)
+    keys, late = ["o_orderkey"], ORDERS_PROPS | {"note": STR}
+    first = _schema_line(spark, "db-orders", ORDERS_PROPS, keys).unionByName(record_messages(o, "db-orders", 1, keys))
+    urgent = o.filter("o_orderpriority = '1-URGENT'").withColumn("note", F.lit("urgent"))
+    second = _schema_line(spark, "db-orders", late, keys).unionByName(record_messages(urgent, "db-orders", 1, keys))
+    for log in (first, second):
+        load_messages(spark, log, wh, opts, now=NOW, suffix=SUFFIX)
+    return spark.table(f"{opts.default_target_schema}.ORDERS")
+
+
+SQL_CATALOG_TABLE = SQL_ORDERS.replace(" FROM", ", CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' END AS note FROM")
+
+
 def q_lookup_layout(spark, sf_dir):
     """Configured lookup columns order the rows of every file; a lookup finds its rows."""
     _setup(spark)
@@ -1293,6 +1315,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "add_remove_columns": (q_add_remove_columns, SQL_ADD_REMOVE_COLUMNS),
     "version_twice": (q_version_twice, SQL_VERSION_TWICE),
     "empty_table": (q_empty_table, SQL_EMPTY_TABLE),
+    "catalog_table": (q_catalog_table, SQL_CATALOG_TABLE),
     "lookup_layout": (q_lookup_layout, SQL_LOOKUP_LAYOUT),
     "batch_columnar": (q_batch_columnar, SQL_BATCH_COLUMNAR),
     "merge_partial_customer": (q_merge_partial_customer, SQL_MERGE_PARTIAL),

@@ -133,15 +133,19 @@ class SnapshotTable:
     def _manifest(entry: dict) -> dict:
         return json.loads(entry["manifest"])
 
+    def directories(self, buckets: list[int] | None = None) -> list[str]:
+        """Where the rows of the current snapshot (or of some of its buckets) lie."""
+        head, wanted = self.head(), None if buckets is None else set(buckets)
+        man = {"dirs": {}} if head is None else self._manifest(head)
+        return [d for b, ds in sorted(man["dirs"].items()) if wanted is None or int(b) in wanted for d in ds]
+
     def read(self, buckets: list[int] | None = None) -> DataFrame | None:
         """The current snapshot (or only some of its buckets)."""
         head = self.head()
         if head is None:
             return None
         schema = T.StructType.fromJson(json.loads(head["schema_json"]))
-        man = self._manifest(head)
-        wanted = None if buckets is None else set(buckets)
-        dirs = [d for b, ds in sorted(man["dirs"].items()) if wanted is None or int(b) in wanted for d in ds]
+        dirs = self.directories(buckets)
         if not dirs:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*dirs)

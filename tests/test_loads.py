@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sluice.job import load_files, load_messages, table_root
 from sluice.options import LoadOptions
-from sluice.sources import columnar
+from sluice.sources import catalog, columnar
 from sluice.sources.snapshots import LoadConflict, SnapshotTable, latest_state, publish_state
 
 NOW = dt.datetime(2024, 6, 1, 12, 0)
@@ -673,3 +673,50 @@ def test_a_repeated_load_advances_the_held_back_state(spark, monkeypatch):
     report = load_messages(spark, _log(spark, lines), wh, OPTS, now=NOW)
     assert [r.skipped for r in report.results] == [True, False]
     assert latest_state(spark, wh)["bookmarks"] == {"public-a": {"pos": 1}, "public-b": {"pos": 1}}
+
+
+def _things(log_of, ids, **more):
+    props = {"id": {"type": "integer"}, **{k: {"type": "string"} for k in more}}
+    return log_of([{"type": "SCHEMA", "stream": "public-Things", "schema": {"properties": props}, "key_properties": ["id"]},
+                   *({"type": "RECORD", "stream": "public-Things", "record": {"id": i, **more}} for i in ids)])
+
+
+def test_a_table_is_read_by_its_name(spark, log_of):
+    wh, opts = tempfile.mkdtemp(), LoadOptions(default_target_schema="g1_names", register_tables=True, buckets=3)
+    named = lambda: spark.table("g1_names.THINGS")
+    store = lambda: SnapshotTable(spark, table_root(wh, "public-Things", opts))
+    load_messages(spark, _things(log_of, []), wh, opts, now=NOW)
+    assert named().columns == ["id"] and named().count() == 0
+    load_messages(spark, _things(log_of, range(20)), wh, opts, now=NOW)
+    planned = named()
+    load_messages(spark, _things(log_of, [3, 30], note="it's"), wh, opts, now=NOW)
+    assert planned.count() == 20  # planned on the version before
+    assert named().schema == store().read().schema
+    assert sorted(map(tuple, named().collect())) == sorted(map(tuple, store().read().collect()))
+    assert named().count() == 21 and named().where("note = 'it''s'").count() == 2
+    files = [r["tableName"] for r in spark.sql("SHOW TABLES IN g1_names").collect() if "files" in r["tableName"]]
+    assert len(files) == 2  # the current version and the one before
+    assert not catalog.register(spark, "g1_names", "things", store())
+
+
+def test_a_name_that_is_taken_stops_the_load(spark, log_of):
+    opts = LoadOptions(default_target_schema="g1_taken", register_tables=True)
+    first, second = tempfile.mkdtemp(), tempfile.mkdtemp()
+    load_messages(spark, _things(log_of, [1]), first, opts, now=NOW)
+    with pytest.raises(catalog.NameTaken):
+        load_messages(spark, _things(log_of, [2]), second, opts, now=NOW)
+    assert SnapshotTable(spark, table_root(second, "public-Things", opts)).head() is None
+    assert [r[0] for r in spark.table("g1_taken.things").collect()] == [1]
+
+
+def test_a_keyless_table_and_a_forgotten_catalog(spark, log_of):
+    wh, opts = tempfile.mkdtemp(), LoadOptions(default_target_schema="g1_again", register_tables=True, primary_key_required=False)
+    log = log_of([{"type": "SCHEMA", "stream": "e", "schema": {"properties": {"v": {"type": "integer"}}}, "key_properties": []},
+                  {"type": "RECORD", "stream": "e", "record": {"v": 1}}])
+    for _ in range(3):
+        load_messages(spark, log, wh, opts, now=NOW)
+    assert spark.table("g1_again.e").count() == 3
+    for row in spark.sql("SHOW TABLES IN g1_again").collect():
+        spark.sql(f"DROP {'VIEW' if row['tableName'] == 'e' else 'TABLE'} g1_again.{row['tableName']}")
+    assert catalog.register_warehouse(spark, wh) == ["g1_again.e"]
+    assert spark.table("g1_again.e").count() == 3  # dropping the names left the files alone
