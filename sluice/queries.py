@@ -68,6 +68,7 @@ def fold_log(spark: SparkSession, msgs: DataFrame, stream: str, opts: LoadOption
     parsed = messages.parse_envelopes(msgs).filter(F.col("stream") == stream)
     bounds = epochs.bounds_from_rows(messages.control_rows(parsed).filter(F.col("type").isin("SCHEMA", "BATCH"))
                                      .orderBy("ord").collect())
+    # by a join, as the log is not staged: its columns guard the rows that the projections raise on
     bounds_df = epochs.bounds_frame(spark, bounds, parsed.schema["ord"].dataType)
     segmented = epochs.assign_segment(messages.records(parsed), bounds_df, len(bounds))
     if any(b["kind"] == "BATCH" for b in bounds):

@@ -198,15 +198,24 @@ def test_segments_and_order_check(spark, log_of):
     assert [r["ord"]["k1"] for r in checks.check_order(seg).collect()] == [0]
 
 
-def test_salted_range_join_matches_broadcast(spark, log_of):
-    lines = [SCHEMA] + [rec("public-things", {"id": i}) for i in range(20)] + [SCHEMA] + \
-            [rec("public-things", {"id": i}) for i in range(5)]
-    parsed = messages.parse_envelopes(log_of(lines))
-    bounds = epochs.segment_bounds(messages.control_rows(parsed))
-    a = epochs.assign_segment(messages.records(parsed), bounds, 2)
-    b = epochs.assign_segment(messages.records(parsed), bounds, epochs.BROADCAST_LIMIT + 1)
-    key = lambda df: sorted((r["ord"]["k1"], r["seg"]) for r in df.collect())
-    assert key(a) == key(b)
+@pytest.mark.parametrize("n, limit", [(10, 200_000), (5_000, 200_000), (5_000, 10), (5_000, 1), (1_000_000, 200_000)])
+def test_segments_by_search(spark, monkeypatch, n, limit):
+    """Boundaries of the hot stream `a` at 10, 20, ..., of `b` at 5 only, of `c` nowhere."""
+    monkeypatch.setattr(epochs, "BROADCAST_LIMIT", limit)
+    place = lambda c: F.struct(F.lit(0).alias("file"), c.alias("row"))
+    i = F.col("id")
+    bounds = spark.range(n).select(F.lit("a").alias("stream"), place(i * 10 + 10).alias("start"), i.alias("seg"), F.floor(i / 2).alias("epoch"))
+    bounds = bounds.union(spark.range(1).select(F.lit("b"), place(F.lit(5).cast("long")), i, i))
+    stream = F.element_at(F.array(*[F.lit(s) for s in "aaabc"]), (i % 5 + 1).cast("int"))
+    data = spark.range(0, 10 * n + 50, max(1, n // 20_000)).select(stream.alias("stream"), place(i).alias("ord"), i.alias("at"))
+    got = epochs.assign_segment(data, bounds, n + 1)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert got.columns == ["stream", "ord", "at", "seg", "epoch"] and got.count() == data.count()
+    seg = (F.when((F.col("stream") == "a") & (F.col("at") >= 10), F.least(F.floor(F.col("at") / 10) - 1, F.lit(n - 1)))
+           .when((F.col("stream") == "b") & (F.col("at") >= 5), F.lit(0)))
+    epoch = F.when(F.col("stream") == "a", F.floor(seg / 2)).otherwise(seg)
+    assert got.where(~F.col("seg").eqNullSafe(seg) | ~F.col("epoch").eqNullSafe(epoch)).count() == 0
 
 
 def test_validate_rules(spark, log_of):
@@ -252,7 +261,7 @@ def test_same_schema_again_is_no_boundary(spark, log_of):
     assert {(r["seg"], r["epoch"]) for r in out.collect()} == {(0, 0)}
 
 
-def test_inline_segments_match_the_range_join(spark, log_of):
+def test_inline_segments_match_the_blocks(spark, log_of):
     lines = []
     for i in range(70):
         lines += [{"type": "SCHEMA", "stream": "s", "schema": {"properties": {f"c{i}": {}}}, "key_properties": []}, rec("s", {"c": i})]
