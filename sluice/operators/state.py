@@ -30,8 +30,9 @@ def fold_bookmarks(states: DataFrame, committed: DataFrame, previous: DataFrame
     stream has committed. `committed` is DataFrame[stream, committed]; a stream
     that is not in it has committed nothing and keeps its bookmark of
     `previous` (DataFrame[stream, bookmark]) if it has one."""
-    # one row per stream; AQE broadcasts it when it proves small
-    safe = (bookmark_entries(states).join(committed.select("stream", "committed"), "stream")
+    # One row per stream goes to the tasks, never the STATE rows: left to itself the planner
+    # broadcasts those if it has no size for `committed`, and the driver holds the whole log.
+    safe = (bookmark_entries(states).join(F.broadcast(committed.select("stream", "committed")), "stream")
             .filter(F.col("ord") <= F.col("committed")).groupBy("stream").agg(F.max_by("bookmark", "ord").alias("bookmark")))
     if previous is None:
         return safe

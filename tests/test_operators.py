@@ -398,3 +398,25 @@ def test_resolve_targets(spark):
     assert out["public-My.Table"]["table_name"] == "my_table" and out["public-My.Table"]["schema_name"] == "public"
     r = out["eu-sales-parcels-late"]
     assert (r["catalog_name"], r["schema_name"], r["table_name"], r["target_schema"]) == ("eu", "sales", "parcels_late", "s_raw")
+
+
+def test_fold_bookmarks_never_broadcasts_the_states(spark):
+    states = spark.range(100).select("id", F.struct(F.col("id").alias("seq")).alias("ord"), F.format_string(
+        '{"bookmarks": {"s%s": {"pos": %s}}}', F.col("id") % 3, F.col("id")).alias("state_json")).drop("id")
+    committed = spark.createDataFrame([(f"s{i}", (50 + i,)) for i in range(3)], "stream string, committed struct<seq:bigint>")
+    folded = state.fold_bookmarks(states, committed)
+    assert {r["stream"]: r["bookmark"] for r in folded.collect()} == {"s0": '{"pos":48}', "s1": '{"pos":49}', "s2": '{"pos":50}'}
+    plan = folded._jdf.queryExecution().sparkPlan().toString()
+    assert "BuildLeft" not in plan and "BuildRight" in plan
+
+
+def test_rules_are_tried_once_a_record(spark):
+    """Neither a filter on the broken rules nor their split repeats them; every value's type is read once."""
+    schema = {"type": "object", "properties": {"a": {"items": {"enum": [1, "x", None], "minimum": 1, "maximum": 5, "multipleOf": 2}}}}
+    lines = ['{"record": {"a": [1, 2.0, 4e0, "x", null, 7, true, [2], {"b": 3}, "2"]}}', '{"record": {"a": 3}}', '{"record": [1]}']
+    rows = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "ord long, value string")
+    found = checks.validate_records(rows, schema, "s")
+    assert sorted((r["ord"], r["rule"], r["detail"]) for r in found.collect()) == [
+        (0, "enum", "a[]"), (0, "maximum", "a[]"), (0, "multipleOf", "a[]"), (2, "type", "$")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("schema_of_variant") + plan.count("schemaOfVariant") == 1
