@@ -720,3 +720,16 @@ def test_a_keyless_table_and_a_forgotten_catalog(spark, log_of):
         spark.sql(f"DROP {'VIEW' if row['tableName'] == 'e' else 'TABLE'} g1_again.{row['tableName']}")
     assert catalog.register_warehouse(spark, wh) == ["g1_again.e"]
     assert spark.table("g1_again.e").count() == 3  # dropping the names left the files alone
+
+
+def test_log_files_are_dealt_once_and_worded_where_they_are_written(spark, tmp_path):
+    from sluice.sources.messages import scan_messages
+    from sluice.streaming.loader import write_log_files
+
+    rows = spark.range(3000).select((F.col("id") % 3).alias("_file"), F.struct(F.col("id").alias("k")).alias("ord"), "id")
+    paths = write_log_files(rows, str(tmp_path / "log"), files=4, compression="gzip", value=F.format_string('{"id":%s}', "id"))
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["log=000000", "log=000001", "log=000002"]
+    read = scan_messages(spark, f"{tmp_path}/log/*/*.txt.gz").orderBy("ord").collect()
+    assert [json.loads(r["value"])["id"] for r in read] == [i for k in range(3) for i in range(k, 3000, 3)]
+    files = [f for p in paths for f in os.listdir(p) if f.startswith("part-")]
+    assert 3 <= len(files) <= 14 and all(f.endswith(".txt.gz") for f in files)
