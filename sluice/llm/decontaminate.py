@@ -32,6 +32,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -45,6 +46,7 @@ NEAR = 8
 TERMS_LIMIT = 500_000
 PROBES_LIMIT = 100_000
 POSTED = 20_000  # postings that a task holds before it hands them on
+COUNTED = 50_000  # distinct words that a task holds before it keeps the terms among them
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _FOLD = bytes.maketrans(_UPPER.encode(), _LOWER.encode())
@@ -84,10 +86,14 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
-            for text in batch.column(0):
-                words = tokens(text.as_py())
-                seen.update(words if wanted is None else filter(wanted.value.__contains__, words))
-            yield pa.RecordBatch.from_arrays([pa.array([t.decode("utf-8", "replace") for t in seen], pa.string()),
+            part: Counter = Counter()
+            for i, text in enumerate(batch.column(0)):
+                part.update(tokens(text.as_py()))
+                if len(part) >= COUNTED or i == batch.num_rows - 1:  # all words counted, then the terms picked: less per word
+                    for term in part if wanted is None else wanted.value & part.keys():
+                        seen[term] += part[term]
+                    part.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()),
                                               pa.array(list(seen.values()), pa.int64())], ["term", "n"])
 
     counted = docs.select("text").mapInArrow(count, "term string, n long")
@@ -109,7 +115,7 @@ def build_index(docs: DataFrame, terms: DataFrame, reach: int = WINDOW - 1) -> D
     """Stored postings (term, doc_id, text_hash, pos, around) of the terms, and one row
     per document with NULL term and its word count as pos. `around` holds the
     words from pos - reach to pos + reach, space-joined and empty outside the text."""
-    wanted = _term_set(terms)
+    wanted, width = _term_set(terms), 2 * reach + 1
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,12 +141,14 @@ def build_index(docs: DataFrame, terms: DataFrame, reach: int = WINDOW - 1) -> D
                 around.append(None)
                 at = [p for p, w in enumerate(words) if known is None or w in known]
                 padded = [b""] * reach + words + [b""] * reach if at else []
+                line, ends = b" ".join(padded), list(accumulate(map(len, padded), initial=0))
                 for first in range(0, len(at), POSTED):
                     part = at[first:first + POSTED]
                     rows.extend([i] * len(part))
-                    term.extend(words[p].decode("utf-8", "replace") for p in part)
+                    term.extend([words[p] for p in part])
                     pos.extend(part)
-                    around.extend(b" ".join(padded[p:p + 2 * reach + 1]).decode("utf-8", "replace") for p in part)
+                    # words padded[p] to padded[p + 2 * reach], cut from the one line: `ends` counts no spaces
+                    around.extend([line[ends[p] + p:ends[p + width] + p + width - 1] for p in part])
                     if len(rows) >= POSTED:
                         yield posted()
             yield posted()

@@ -375,3 +375,17 @@ def test_repeated_suffixes_match_brute_force(spark):
             holders.setdefault((h, tuple(t[i:i + pagetext.RUN])), set()).add(p)
     assert got == {(hash((h, p)), i) for h, p, t in streams for i in range(len(t) - pagetext.RUN + 1)
                    if len(holders[h, tuple(t[i:i + pagetext.RUN])]) > 1}
+
+
+def test_postings_carry_their_words_and_counts_come_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "COUNTED", 2)
+    texts = ["Größe 東京 b c 東京", "", None, "b b x", "é 東京"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    terms = spark.createDataFrame([("東京",), ("b",), ("none",)], "term string")
+    assert {r["term"]: r["n"] for r in decontaminate.term_counts(docs, terms).collect()} == {"東京": 3, "b": 3}
+    found = decontaminate.build_index(docs, terms, 2).where("term IS NOT NULL").collect()
+    want = []
+    for i, text in enumerate(texts):
+        padded = ["", "", *(t.decode() for t in decontaminate.tokens(text)), "", ""]
+        want += [(padded[p], i, p - 2, " ".join(padded[p - 2:p + 3])) for p in range(2, len(padded) - 2) if padded[p] in ("東京", "b")]
+    assert sorted((r["term"], r["doc_id"], r["pos"], r["around"]) for r in found) == sorted(want)
