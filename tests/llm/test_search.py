@@ -377,6 +377,50 @@ def test_repeated_suffixes_match_brute_force(spark):
                    if len(holders[h, tuple(t[i:i + pagetext.RUN])]) > 1}
 
 
+def test_suffix_array_is_sorted_and_holds_common_prefixes(spark):
+    rnd = random.Random(21)
+    run, depth = 3, 7
+    streams = {(h, p): [rnd.choice("ab") for _ in range(rnd.randint(0, 16))] for h in "xy" for p in range(8)}
+    scanned = spark.createDataFrame([(f"http://{h}/", p, [" ".join(t)]) for (h, p), t in streams.items()], "url string, stream long, rest array<string>")
+    array = pagetext.suffix_array(scanned, run, depth)
+    rows = sorted(array.collect(), key=lambda r: (r["host"], r["prefix"], r["interval"], r["tail"], r["stream"], r["at"]))
+    for (_, _), group in itertools.groupby(rows, key=lambda r: (r["host"], r["prefix"])):
+        group = list(group)
+        assert [r["tail"] for r in group] == sorted(streams[r["host"], r["stream"]][r["at"]:r["at"] + depth] for r in group)
+        same = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert [r["common"] for r in group] == [0] + [same(a["tail"], b["tail"]) for a, b in zip(group, group[1:])]
+    holders = {}
+    for (h, p), t in streams.items():
+        for i in range(len(t) - run + 1):
+            holders.setdefault((h, tuple(t[i:i + run])), set()).add(p)
+    want = set()
+    for (h, p), t in streams.items():
+        n = [len(holders[h, tuple(t[i:i + run])]) for i in range(len(t) - run + 1)]
+        for i, k in enumerate(n):
+            if k > 1 and (i == 0 or n[i - 1] != k):
+                end = next((j for j in range(i, len(n)) if n[j] != k), len(n))
+                want.add((h, p, i, end - 1 - i + run, k))
+    assert {tuple(r) for r in pagetext.maximal_repeats(array, run=run).collect()} == want
+
+
+def test_repeats_decide_inside_marked_articles(spark):
+    rnd = random.Random(5)
+    say = lambda n: " ".join("".join(rnd.choice("aeioklmnrst") for _ in range(6)) for _ in range(n))
+    bar, line = "get our letter every morning in your box", "a line that some of the articles have"
+    page = lambda parts: "<article>" + "".join(f"<div>{p}</div>" for p in parts) + "</article>"
+    own = [say(60) for _ in range(10)]
+    parts = {k: [own[k], *([bar] if k < 7 else []), *([line] if k < 4 else [])] for k in range(10)}
+    rows = [(k, f"http://h/{k}", page(p)) for k, p in parts.items()]
+    copy = say(60)  # nearly equal articles: their short blocks are text
+    copies = {20 + k: [copy, bar, f"number {k}"] for k in range(12)}
+    rows += [(k, f"http://mirror/{k}", page(p)) for k, p in copies.items()]
+    short = {40 + k: [say(10), bar] for k in range(6)}  # too large a part of the article
+    rows += [(k, f"http://brief/{k}", page(p)) for k, p in short.items()]
+    got = {r["page_id"]: r["text"] for r in pagetext.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = {k: "\n".join(b for b in p if b != bar) for k, p in parts.items()} | {k: "\n".join(p) for k, p in (copies | short).items()}
+    assert got == want
+
+
 def test_postings_carry_their_words_and_counts_come_in_parts(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "COUNTED", 2)
     texts = ["Größe 東京 b c 東京", "", None, "b b x", "é 東京"]
