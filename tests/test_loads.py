@@ -2,9 +2,11 @@
 
 import datetime as dt
 import decimal
+import gzip
 import json
 import os
 import tempfile
+import time
 
 import pyarrow as pa
 import pyarrow.ipc as ipc
@@ -195,6 +197,61 @@ def test_streaming_equals_batch(spark):
     assert SnapshotTable(spark, table_root(f"{base}/wh", "public-things", OPTS)).ledger().count() == 3
 
 
+def _shuffle_files(spark) -> int:
+    """Shuffle files on this local master's disk."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(blocks.apply(i).getName().startswith("shuffle_") for i in range(blocks.size()))
+
+
+def test_a_stream_keeps_few_versions_and_no_shuffle_files(spark):
+    """A stream's disk does not grow by a table and its shuffles with every micro-batch."""
+    from sluice.session import shuffles_removed
+    from sluice.streaming.loader import run_stream_loader
+
+    rows = spark.range(2000).repartition(3, "id")
+    with shuffles_removed(spark):
+        before = _shuffle_files(spark)
+        assert rows.groupBy((F.col("id") % 7).alias("k")).count().count() == 7
+        deadline = time.time() + 20  # files go in the background
+        while _shuffle_files(spark) > before and time.time() < deadline:
+            time.sleep(0.1)
+        assert _shuffle_files(spark) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+    base = tempfile.mkdtemp(prefix="sluice-stream-")
+    os.makedirs(f"{base}/in")
+    lines = [schema_msg()] + [record({"id": i * 7 % 101 + 40 * (i // 60), "name": f"n{i}"}) for i in range(240)]
+    for n in range(5):
+        with gzip.open(f"{base}/in/part-{n:03d}.txt.gz", "wt") as fh:
+            fh.write("\n".join(json.dumps(x) for x in lines[n * 49:n * 49 + 49]) + "\n")
+        os.utime(f"{base}/in/part-{n:03d}.txt.gz", (1_700_000_000 + n, 1_700_000_000 + n))
+    run_stream_loader(spark, f"{base}/in", f"{base}/wh", f"{base}/ckpt", OPTS, max_files=1, keep_versions=2)
+    root = table_root(f"{base}/wh", "public-things", OPTS)
+    table = SnapshotTable(spark, root)
+    assert table.ledger().count() == 5
+    assert {r["id"]: r["name"] for r in table.read().collect()} == {x["record"]["id"]: x["record"]["name"] for x in lines[1:]}
+    named = set()
+    for version in (3, 4):  # the last two are whole, and nothing else is left
+        row = spark.read.json(f"{root}/_ledger/version={version}").first()
+        named |= {d for ds in json.loads(row["manifest"])["dirs"].values() for d in ds}
+    left = {f"{at}/{d}" for at, dirs, _ in os.walk(f"{root}/data") for d in dirs if d.startswith("_bucket=")}
+    assert left == named
+    with pytest.raises(ValueError, match="keep_versions"):
+        run_stream_loader(spark, f"{base}/in", f"{base}/wh", f"{base}/ckpt", OPTS, keep_versions=1)
+
+
+def test_versions_stay_unless_asked(spark):
+    wh = tempfile.mkdtemp()
+    for i in range(4):
+        load_messages(spark, _log(spark, [schema_msg(), record({"id": 1, "name": f"n{i}"}), record({"id": 2 + i, "name": "x"})]), wh, OPTS,
+                      load_id=f"load{i}", now=NOW)
+    table = SnapshotTable(spark, table_root(wh, "public-things", OPTS))
+    assert len(os.listdir(f"{table.root}/data")) == 4
+    whole = sorted(map(tuple, table.read().collect()))
+    assert table.remove_superseded(4) == 0
+    assert table.remove_superseded(2) > 0 and sorted(map(tuple, table.read().collect())) == whole
+
+
 def test_small_delta_rewrites_only_its_buckets(spark):
     wh = tempfile.mkdtemp()
     lines = [schema_msg()] + [record({"id": i, "name": f"n{i}"}) for i in range(200)]
